@@ -121,3 +121,7 @@ SLO_P95_MS = 2000
 SLO_AVAILABILITY_PCT = 99.5
 SLO_DLT_PCT = 0.3
 SLO_FLAGGED_PCT = 95.0
+REASON_OUT_OF_STOCK = "Inventory out of stock"
+REASON_UNKNOWN_SHIPPING = "Unknown shipping status: "
+CURRENCY_DEFAULT = "USD"
+CUSTOMER_DEFAULT = "N/A"

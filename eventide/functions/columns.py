@@ -113,3 +113,14 @@ def unit_draw(key: Column | str, salt: str = "") -> Column:
     if salt:
         k = F.concat(k, F.lit(salt))
     return F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
+def epoch_micros(df, col: str) -> Column:
+    """Microseconds since the epoch for TIMESTAMP or TIMESTAMP_NTZ columns.
+
+    An NTZ wall-clock value is read as UTC whatever the session time zone.
+    """
+    dtype = dict(df.dtypes)[col]
+    if dtype == "timestamp_ntz":
+        return F.expr(f"unix_micros(to_utc_timestamp(cast(`{col}` as timestamp), current_timezone()))")
+    return F.unix_micros(F.col(col))
