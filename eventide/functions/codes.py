@@ -72,9 +72,12 @@ TOPIC_ORDER_CREATED = "order.created"
 TOPIC_PAYMENT_RESULT = "payment.result"
 TOPIC_INVENTORY_REQUESTED = "inventory.requested"
 TOPIC_COMPENSATION_RESULT = "compensation.result"
-COMPENSATION_REFUND = "PAYMENT_REFUND"
-COMPENSATION_RELEASE = "INVENTORY_RELEASE"
-COMPENSATION_CANCEL = "ORDER_CANCEL"
+COMPENSATION_REFUND = "REFUND"
+COMPENSATION_RELEASE = "RELEASE"
+COMPENSATION_CANCEL = "CANCEL"
+ENVELOPE_REFUND = "PaymentRefundRequested"
+ENVELOPE_RELEASE = "InventoryReleaseRequested"
+ENVELOPE_CANCEL = "OrderCancellationRequested"
 
 # --- fixed values: payment statuses and burn-rate inputs -------------------
 PAYMENT_OK = "CHARGED"
