@@ -124,3 +124,12 @@ def epoch_micros(df, col: str) -> Column:
     if dtype == "timestamp_ntz":
         return F.expr(f"unix_micros(to_utc_timestamp(cast(`{col}` as timestamp), current_timezone()))")
     return F.unix_micros(F.col(col))
+
+
+def uuid_from(col: Column | str) -> Column:
+    """Deterministic UUID-shaped id (8-4-4-4-12 hex) from the md5 of a value."""
+    h = F.md5(_c(col).cast("string"))
+    return F.concat_ws(
+        "-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+        F.substring(h, 17, 4), F.substring(h, 21, 12),
+    )

@@ -1,6 +1,14 @@
 """SQL (DuckDB dialect) versions of the stand-in inputs of
 ``sources.driver_tables``, used as CTEs by the oracle queries."""
 
+
+def uuid(expr: str) -> str:
+    """8-4-4-4-12 formatting of md5(expr), as ``functions.columns.uuid_from``."""
+    h = f"md5(CAST({expr} AS VARCHAR))"
+    return (f"concat_ws('-', substr({h}, 1, 8), substr({h}, 9, 4), substr({h}, 13, 4), "
+            f"substr({h}, 17, 4), substr({h}, 21, 12))")
+
+
 PAYMENT_RECORDS = """
 pr_base AS (
   SELECT event_id, user_id, ts,
@@ -39,9 +47,9 @@ fraud_orders AS (
   FROM events
 )"""
 
-SAGA_EVENTS = """
+SAGA_EVENTS = f"""
 saga_events AS (
-  SELECT 'ord-' || user_id || '-' || strftime(ts, '%Y%m%d') AS order_id,
+  SELECT {uuid("'ord-' || user_id || '-' || strftime(ts, '%Y%m%d')")} AS order_id,
          event_id AS seq, ts,
          CASE event_type
            WHEN 'signup' THEN 'OrderCreated'
@@ -101,3 +109,16 @@ counter_samples AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
+
+ORDER_TABLE = """
+order_table AS (
+  SELECT o_orderkey AS id, o_custkey AS customer_id, o_orderstatus AS status, o_totalprice AS total,
+         o_orderdate AS created_at
+  FROM orders
+)"""
+
+
+def unit_draw(expr: str, salt: str) -> str:
+    """Same as ``functions.columns.unit_draw``: md5 -> 32 bits -> [0, 1)."""
+    return (f"CAST(('0x' || substr(md5(CAST({expr} AS VARCHAR) || '{salt}'), 1, 8)) AS BIGINT)"
+            f" / CAST(4294967296.0 AS DOUBLE)")

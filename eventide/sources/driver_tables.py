@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
+from ..functions.columns import uuid_from
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -91,7 +92,7 @@ def fraud_orders(events: DataFrame) -> DataFrame:
 
 
 def saga_events(events: DataFrame) -> DataFrame:
-    """Typed saga event log; one saga per (user, day).
+    """Typed saga event log; one saga per (user, day), id UUID-shaped.
 
     signup -> OrderCreated; click -> PaymentCompleted; view ->
     InventoryReserved / InventoryRequested (even / odd id); purchase ->
@@ -120,8 +121,8 @@ def saga_events(events: DataFrame) -> DataFrame:
         (et == "signup") & (F.col("value") >= 5), F.concat(F.lit("Street "), F.col("user_id").cast("string"))
     )
     return events.select(
-        F.concat(F.lit("ord-"), F.col("user_id").cast("string"), F.lit("-"),
-                 F.date_format("ts", "yyyyMMdd")).alias("order_id"),
+        uuid_from(F.concat(F.lit("ord-"), F.col("user_id").cast("string"), F.lit("-"),
+                           F.date_format("ts", "yyyyMMdd"))).alias("order_id"),
         eid.alias("seq"),
         F.col("ts"),
         etype.alias("event_type"),
@@ -216,3 +217,14 @@ def counter_samples(events: DataFrame) -> DataFrame:
         "ts", "metric", "app",
         F.sum("n").over(w).cast("double").alias("value"),
     )
+
+
+def order_table(orders: DataFrame) -> DataFrame:
+    """The TPC-H ``orders`` table in the order-service layout."""
+    return orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("total"),
+        F.col("o_orderdate").alias("created_at"),
+    )
