@@ -122,3 +122,44 @@ def unit_draw(expr: str, salt: str) -> str:
     """Same as ``functions.columns.unit_draw``: md5 -> 32 bits -> [0, 1)."""
     return (f"CAST(('0x' || substr(md5(CAST({expr} AS VARCHAR) || '{salt}'), 1, 8)) AS BIGINT)"
             f" / CAST(4294967296.0 AS DOUBLE)")
+
+# faulted topic records: the rules below are fault-injection configuration
+FAULT_RULES = [
+    ("topic:payment.requested", 0.05, 0.10, 2000, 0.03),
+    ("topic:order.created", 0.0, 0.25, 0, 0.0),
+    ("type:view", 0.02, 0.05, 500, 0.05),
+]
+
+
+def faulted_records(seed: int = 42) -> str:
+    rules = " UNION ALL ".join(
+        f"SELECT '{k}' AS key, CAST({a} AS DOUBLE) AS p_drop, CAST({b} AS DOUBLE) AS p_dup, "
+        f"CAST({c} AS INTEGER) AS max_delay_ms, CAST({d} AS DOUBLE) AS p_corrupt"
+        for k, a, b, c, d in FAULT_RULES)
+    rid = f"'{seed}/' || topic || '/' || \"partition\" || '/' || \"offset\""
+    return f"""
+fault_rules AS ({rules}),
+fr_rule AS (
+  SELECT t.*, coalesce(rt.p_drop, ry.p_drop, 0.0) AS p_drop, coalesce(rt.p_dup, ry.p_dup, 0.0) AS p_dup,
+         coalesce(rt.max_delay_ms, ry.max_delay_ms, 0) AS max_delay_ms,
+         coalesce(rt.p_corrupt, ry.p_corrupt, 0.0) AS p_corrupt
+  FROM topic_records t
+  LEFT JOIN fault_rules rt ON rt.key = 'topic:' || t.topic
+  LEFT JOIN fault_rules ry ON ry.key = 'type:' || json_extract_string(t.value, '$.type')
+),
+fr_draw AS (
+  SELECT *, {unit_draw(rid, ':drop')} AS u_drop, {unit_draw(rid, ':dup')} AS u_dup,
+            {unit_draw(rid, ':corrupt')} AS u_cor, {unit_draw(rid, ':delay')} AS u_delay
+  FROM fr_rule
+),
+faulted AS (
+  SELECT key,
+         CASE WHEN u_cor < p_corrupt THEN substr(value, 1, CAST(greatest(1, floor(length(value) / 2)) AS INTEGER))
+              ELSE value END AS value,
+         topic, "partition", "offset",
+         "timestamp" + to_microseconds(CAST(floor(u_delay * (max_delay_ms + 1)) AS BIGINT) * 1000) AS "timestamp",
+         u_cor < p_corrupt AS corrupted,
+         c.copy
+  FROM fr_draw, LATERAL (SELECT unnest(generate_series(1, CASE WHEN u_dup < p_dup THEN 2 ELSE 1 END)) AS copy) c
+  WHERE NOT (u_drop < p_drop)
+)"""

@@ -228,3 +228,34 @@ def order_table(orders: DataFrame) -> DataFrame:
         F.col("o_totalprice").alias("total"),
         F.col("o_orderdate").alias("created_at"),
     )
+
+
+def result_records(saga_events: DataFrame) -> DataFrame:
+    """``inventory.result`` / ``shipping.result`` envelopes from the saga log.
+
+    Inventory events give RESERVED (reserved), OUT_OF_STOCK (failed, even
+    seq) or BACKORDER (failed, odd seq: an unknown status); shipping events
+    give DELIVERED / SHIPPED (completed, by seq parity), FAILED (failed) or
+    LOST.  Requested events are not results and are left out.
+    """
+    et, s = F.col("event_type"), F.col("seq")
+    even = s % 2 == 0
+    topic = F.when(et.startswith("Inventory"), F.lit("inventory.result")).when(
+        et.startswith("Shipping"), F.lit("shipping.result"))
+    status = (
+        F.when(et == "InventoryReserved", "RESERVED")
+        .when(et == "InventoryFailed", F.when(even, "OUT_OF_STOCK").otherwise("BACKORDER"))
+        .when(et == "ShippingCompleted", F.when(even, "DELIVERED").otherwise("SHIPPED"))
+        .when(et == "ShippingFailed", F.when(even, "FAILED").otherwise("LOST"))
+    )
+    ref_name = F.when(et.startswith("Inventory"), F.lit("reservationId")).otherwise(F.lit("shippingId"))
+    payload = F.to_json(F.struct(
+        F.col("order_id").alias("orderId"), status.alias("status"),
+        F.col("ref_id").alias("ref"), F.col("reason").alias("reason")))
+    payload = F.replace(payload, F.lit('"ref":'), F.concat(F.lit('"'), ref_name, F.lit('":')))
+    value = F.to_json(F.struct(
+        F.col("order_id").alias("orderId"), F.concat(F.lit("ev-"), s.cast("string")).alias("eventId"),
+        et.alias("type"), payload.alias("payload")))
+    return saga_events.where(status.isNotNull()).select(
+        F.col("order_id").alias("key"), value.alias("value"), topic.alias("topic"),
+        F.lit(0).alias("partition"), s.alias("offset"), F.col("ts").alias("timestamp"))
