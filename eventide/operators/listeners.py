@@ -84,7 +84,7 @@ def apply_cancellations(orders: DataFrame, msgs: DataFrame, seq: str = "offset")
         "status", F.when(hit, F.lit("CANCELLED")).otherwise(F.col("status"))).drop("_creason")
     rid = F.when(F.col("_ok"), F.col("_oid")).otherwise(F.col("key"))
     success = F.col("_ok") & valid_uuid("_oid")
-    results = p.select(rid.alias("order_id"), "_seq",
+    results = p.select(rid.alias("order_id"), F.col("_seq").alias("seq"),
                        _result_json(rid, "ORDER_CANCEL", success, "order-api").alias("value"))
     return new_orders, results
 
@@ -101,7 +101,7 @@ def apply_refunds(payment_status: DataFrame, msgs: DataFrame, seq: str = "offset
                                                F.lit(codes.PAYMENT_REFUNDED)).otherwise(F.col("status"))).drop(
         "_refund")
     rid = F.when(F.col("_ok"), F.col("_oid")).otherwise(F.col("key"))
-    results = p.select(rid.alias("order_id"), "_seq",
+    results = p.select(rid.alias("order_id"), F.col("_seq").alias("seq"),
                        _result_json(rid, "PAYMENT_REFUND", F.col("_ok"), "payment-svc").alias("value"))
     return new_status, results
 
@@ -116,12 +116,12 @@ def apply_releases(reservations: DataFrame, msgs: DataFrame,
     good = p.where("_ok")
     known = reservations.select(F.col("order_id").alias("_oid"), F.col("reservation_id").alias("_known"))
     g = good.join(known, "_oid", "left")
-    released = g.select(F.col("_oid").alias("order_id"), F.col("_seq"),
+    released = g.select(F.col("_oid").alias("order_id"), F.col("_seq").alias("seq"),
                         (F.col("_known").isNotNull() | F.col("_ref").isNotNull()).alias("counted"),
                         F.coalesce("_ref", "_known").alias("reservation_id"))
     remaining = reservations.join(good.select(F.col("_oid").alias("order_id")).distinct(), "order_id", "left_anti")
     rid = F.when(F.col("_ok"), F.col("_oid")).otherwise(F.col("key"))
-    results = p.select(rid.alias("order_id"), "_seq",
+    results = p.select(rid.alias("order_id"), F.col("_seq").alias("seq"),
                        _result_json(rid, "INVENTORY_RELEASE", F.col("_ok"), "inventory-svc").alias("value"))
     return remaining, released, results
 
