@@ -62,3 +62,26 @@ def blank(col: Column | str) -> Column:
 
 def non_blank(col: Column | str) -> Column:
     return ~blank(col)
+
+
+def json_struct(value: Column | str, fields: list[str]) -> Column:
+    """Parse a JSON object once into a struct of string fields.
+
+    Nested objects/arrays come back as their compact JSON text (the same text
+    ``get_json_object`` returns); JSON ``null`` and missing fields are NULL.
+    The extra ``_corrupt`` field holds the input when it is not valid JSON.
+    """
+    schema = ", ".join(f"`{f}` string" for f in fields) + ", `_corrupt` string"
+    return F.from_json(_c(value), schema, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
+
+
+def with_json(df, value: str, fields: list[str], out: str):
+    """Add ``out`` (struct of ``fields``) and ``out_ok`` (valid JSON) with one parse.
+
+    Downstream expressions read ``out.field``; because ``from_json`` is not a
+    cheap expression, Catalyst keeps it in its own projection instead of
+    re-evaluating it per consumer.
+    """
+    x = df.withColumn(out, json_struct(value, fields))
+    ok = F.col(value).isNotNull() & F.col(f"{out}._corrupt").isNull() & F.col(out).isNotNull()
+    return x.withColumn(f"{out}_ok", ok)

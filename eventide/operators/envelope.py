@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.columns import valid_uuid
-from ..functions.json_fields import blank, envelope_columns, is_json, json_text, non_blank, unwrap_payload
+from ..functions.json_fields import blank, is_json, json_text, non_blank, unwrap_payload, with_json
 
 
 def _c(c):
@@ -24,13 +24,18 @@ def parse_envelope(df: DataFrame, value: str = "value") -> DataFrame:
 
     Missing fields default to NULL (payload to ``{}``); an unparsable
     document is an error (``Envelope parse failed``), never an exception.
+    The document is parsed once (``from_json`` into four string fields).
     """
-    cols = envelope_columns(value)
-    ok = is_json(value)
-    out = df
-    for name, expr in cols.items():
-        out = out.withColumn(name, F.when(ok, expr))
-    return out.withColumn("error_reason", F.when(~ok, F.lit("Envelope parse failed")))
+    x = with_json(df, value, ["orderId", "eventId", "type", "payload"], "_env")
+    ok = F.col("_env_ok")
+    return x.select(
+        *df.columns,
+        F.when(ok, F.col("_env.orderId")).alias("order_id"),
+        F.when(ok, F.col("_env.eventId")).alias("event_id"),
+        F.when(ok, F.col("_env.type")).alias("type"),
+        F.when(ok, F.coalesce(F.col("_env.payload"), F.lit("{}"))).alias("payload"),
+        F.when(~ok, F.lit("Envelope parse failed")).alias("error_reason"),
+    )
 
 
 def build_envelope(
@@ -110,65 +115,72 @@ def build_payment_request(df: DataFrame) -> DataFrame:
     )
 
 
-def _result_body(value: str) -> Column:
-    """Payload object of a result envelope (payload may be text or object)."""
-    return F.when(is_json(value), F.get_json_object(_c(value), "$.payload"))
+def _with_body(df: DataFrame, value: str, fields: list[str]) -> DataFrame:
+    """Envelope parsed once, then its payload (text or object) parsed once:
+    ``_env`` / ``_env_ok`` and ``_b`` / ``_b_ok``."""
+    x = with_json(df, value, ["orderId", "payload"], "_env")
+    x = x.withColumn("_body", F.when(F.col("_env_ok"), F.col("_env.payload")))
+    return with_json(x, "_body", fields, "_b")
+
+
+def _drop_tmp(x: DataFrame) -> DataFrame:
+    return x.drop("_env", "_env_ok", "_body", "_b", "_b_ok")
 
 
 def parse_payment_result(df: DataFrame, value: str = "value") -> DataFrame:
     """status (UNKNOWN default), order_id, payment_id, reason, success flag."""
-    body = _result_body(value)
-    status = F.coalesce(json_text(body, "status"), F.lit(codes.PAYMENT_UNKNOWN))
-    oid = json_text(body, "orderId")
-    return df.select(
+    x = _with_body(df, value, ["orderId", "status", "paymentId", "reason"])
+    status = F.coalesce(F.col("_b.status"), F.lit(codes.PAYMENT_UNKNOWN))
+    oid = F.col("_b.orderId")
+    return _drop_tmp(x.select(
         "*",
         oid.alias("order_id"),
         status.alias("status"),
-        json_text(body, "paymentId").alias("payment_id"),
-        F.coalesce(json_text(body, "reason"), F.lit(codes.REASON_PAYMENT_DECLINED)).alias("reason"),
+        F.col("_b.paymentId").alias("payment_id"),
+        F.coalesce(F.col("_b.reason"), F.lit(codes.REASON_PAYMENT_DECLINED)).alias("reason"),
         (F.upper(status) == codes.PAYMENT_OK).alias("success"),
-        F.when(body.isNull() | ~is_json(body), F.lit("Failed to parse payment.result"))
+        F.when(~F.col("_b_ok"), F.lit("Failed to parse payment.result"))
         .when(blank(oid), F.lit("Missing orderId")).alias("error_reason"),
-    )
+    ))
 
 
 def parse_inventory_result(df: DataFrame, value: str = "value") -> DataFrame:
     """RESERVED ok; OUT_OF_STOCK fail; anything else fails with its text."""
-    env_oid = F.when(is_json(value), F.get_json_object(_c(value), "$.orderId"))
-    body = _result_body(value)
-    status = F.coalesce(json_text(body, "status"), F.lit(""))
-    return df.select(
+    x = _with_body(df, value, ["status", "reservationId"])
+    env_oid = F.when(F.col("_env_ok"), F.col("_env.orderId"))
+    status = F.coalesce(F.col("_b.status"), F.lit(""))
+    return _drop_tmp(x.select(
         "*",
         env_oid.alias("order_id"),
         status.alias("status"),
-        json_text(body, "reservationId").alias("reservation_id"),
+        F.col("_b.reservationId").alias("reservation_id"),
         (status == "RESERVED").alias("success"),
         F.when(status == "RESERVED", F.lit(None).cast("string"))
         .when(status == "OUT_OF_STOCK", F.lit(codes.REASON_OUT_OF_STOCK))
         .otherwise(F.concat(F.lit(codes.REASON_UNKNOWN_INVENTORY), status)).alias("reason"),
-        F.when(body.isNull() | ~is_json(body), F.lit("Failed to parse inventory.result"))
+        F.when(~F.col("_b_ok"), F.lit("Failed to parse inventory.result"))
         .when(blank(env_oid), F.lit("Missing orderId")).alias("error_reason"),
-    )
+    ))
 
 
 def parse_shipping_result(df: DataFrame, value: str = "value") -> DataFrame:
     """DELIVERED/SHIPPED ok; FAILED (reason default); anything else fails."""
-    env_oid = F.when(is_json(value), F.get_json_object(_c(value), "$.orderId"))
-    body = _result_body(value)
-    status = F.coalesce(json_text(body, "status"), F.lit(""))
+    x = _with_body(df, value, ["status", "shippingId", "reason"])
+    env_oid = F.when(F.col("_env_ok"), F.col("_env.orderId"))
+    status = F.coalesce(F.col("_b.status"), F.lit(""))
     ok = status.isin("DELIVERED", "SHIPPED")
-    return df.select(
+    return _drop_tmp(x.select(
         "*",
         env_oid.alias("order_id"),
         status.alias("status"),
-        json_text(body, "shippingId").alias("shipping_id"),
+        F.col("_b.shippingId").alias("shipping_id"),
         ok.alias("success"),
         F.when(ok, F.lit(None).cast("string"))
-        .when(status == "FAILED", F.coalesce(json_text(body, "reason"), F.lit(codes.REASON_SHIPPING_FAILED)))
+        .when(status == "FAILED", F.coalesce(F.col("_b.reason"), F.lit(codes.REASON_SHIPPING_FAILED)))
         .otherwise(F.concat(F.lit(codes.REASON_UNKNOWN_SHIPPING), status)).alias("reason"),
-        F.when(body.isNull() | ~is_json(body), F.lit("Failed to parse shipping.result"))
+        F.when(~F.col("_b_ok"), F.lit("Failed to parse shipping.result"))
         .when(blank(env_oid), F.lit("Missing orderId")).alias("error_reason"),
-    )
+    ))
 
 
 def parse_status_update(df: DataFrame, value: str = "value") -> DataFrame:

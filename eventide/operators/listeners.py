@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.columns import order_is_terminal, valid_uuid
-from ..functions.json_fields import is_json, json_text
+from ..functions.json_fields import with_json
 from .dedup import dedup_first_seen
 
 
@@ -33,13 +33,13 @@ def apply_status_updates(orders: DataFrame, msgs: DataFrame, seq: str = "offset"
     """
     from ..functions.columns import map_status_update
 
-    v = F.col("value")
-    oid = F.when(is_json(v), json_text(v, "orderId"))
-    st = F.when(is_json(v), json_text(v, "status"))
-    rs = F.when(is_json(v), json_text(v, "reason"))
+    x = with_json(msgs, "value", ["orderId", "status", "reason"], "_m")
+    oid = F.when(F.col("_m_ok"), F.col("_m.orderId"))
+    st = F.when(F.col("_m_ok"), F.col("_m.status"))
+    rs = F.when(F.col("_m_ok"), F.col("_m.reason"))
     ok = oid.isNotNull() & st.isNotNull() & valid_uuid(oid)
-    parsed = msgs.select(oid.alias("id"), map_status_update(st).alias("_st"), rs.alias("_rs"), F.col(seq).alias("_seq"),
-                         ok.alias("_ok")).where("_ok")
+    parsed = x.select(oid.alias("id"), map_status_update(st).alias("_st"), rs.alias("_rs"), F.col(seq).alias("_seq"),
+                      ok.alias("_ok")).where("_ok")
     last = parsed.groupBy("id").agg(
         F.max_by("_st", "_seq").alias("_st"),
         F.max_by(F.struct(F.col("_rs").alias("r")), F.when((F.col("_rs").isNotNull()) & (F.col("_rs") != ""),
@@ -54,18 +54,19 @@ def _parse_command(msgs: DataFrame, scope: str, ref_field: str | None, seq: str)
     """Dedup by ``scope:key`` (first record wins) and parse the payload."""
     scoped = msgs.withColumn("_scope", F.lit(scope))
     first = dedup_first_seen(scoped, ["key"], [seq], ["_scope"])
-    v = F.col("value")
-    payload = F.when(is_json(v), F.coalesce(F.get_json_object(v, "$.payload"), F.lit("{}")))
-    body_ok = payload.isNotNull() & is_json(payload)
+    fields = ["orderId", "reason"] + ([ref_field] if ref_field else [])
+    x = with_json(first, "value", ["payload"], "_env")
+    x = x.withColumn("_payload", F.when(F.col("_env_ok"), F.coalesce(F.col("_env.payload"), F.lit("{}"))))
+    x = with_json(x, "_payload", fields, "_p")
     cols = [
         F.col("key"), F.col(seq).alias("_seq"),
-        json_text(payload, "orderId").alias("_oid"),
-        F.coalesce(json_text(payload, "reason"), F.lit("Saga compensation")).alias("_reason"),
-        body_ok.alias("_ok"),
+        F.col("_p.orderId").alias("_oid"),
+        F.coalesce(F.col("_p.reason"), F.lit("Saga compensation")).alias("_reason"),
+        F.col("_p_ok").alias("_ok"),
     ]
     if ref_field:
-        cols.append(json_text(payload, ref_field).alias("_ref"))
-    return first.select(*cols)
+        cols.append(F.col(f"_p.{ref_field}").alias("_ref"))
+    return x.select(*cols)
 
 
 def apply_cancellations(orders: DataFrame, msgs: DataFrame, seq: str = "offset") -> tuple[DataFrame, DataFrame]:
@@ -126,13 +127,17 @@ def apply_releases(reservations: DataFrame, msgs: DataFrame,
     return remaining, released, results
 
 
+def _result_fields(results: DataFrame, fields: list[str]) -> DataFrame:
+    """Envelope and payload of result messages, each parsed once (``_b``)."""
+    x = with_json(results, "value", ["payload"], "_env")
+    x = x.withColumn("_body", F.when(F.col("_env_ok"), F.col("_env.payload")))
+    return with_json(x, "_body", fields, "_b")
+
+
 def payment_status_lookup(results: DataFrame, seq: str = "offset") -> DataFrame:
     """Current payment status per order: status of its latest payment result."""
-    v = F.col("value")
-    body = F.when(is_json(v), F.get_json_object(v, "$.payload"))
-    oid = json_text(body, "orderId")
-    st = json_text(body, "status")
-    return (results.select(oid.alias("order_id"), st.alias("_st"), F.col(seq).alias("_seq"))
+    x = _result_fields(results, ["orderId", "status"])
+    return (x.select(F.col("_b.orderId").alias("order_id"), F.col("_b.status").alias("_st"), F.col(seq).alias("_seq"))
             .where(F.col("order_id").isNotNull() & F.col("_st").isNotNull())
             .groupBy("order_id").agg(F.max_by("_st", "_seq").alias("status")))
 
@@ -140,13 +145,10 @@ def payment_status_lookup(results: DataFrame, seq: str = "offset") -> DataFrame:
 def inventory_request_from_payment(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Choreography consumer: CHARGED -> inventory request (items default 1);
     anything else -> order compensation {reason PAYMENT_FAILED, originalStatus}."""
-    v = F.col("value")
-    body = F.when(is_json(v), F.get_json_object(v, "$.payload"))
-    oid = json_text(body, "orderId")
-    st = json_text(body, "status")
-    items = F.coalesce(json_text(body, "items").try_cast("int"), F.lit(1))
-    parsed = results.select("key", oid.alias("order_id"), st.alias("status"), items.alias("items")).where(
-        F.col("order_id").isNotNull())
+    x = _result_fields(results, ["orderId", "status", "items"])
+    items = F.coalesce(F.col("_b.items").try_cast("int"), F.lit(1))
+    parsed = x.select("key", F.col("_b.orderId").alias("order_id"), F.col("_b.status").alias("status"),
+                      items.alias("items")).where(F.col("order_id").isNotNull())
     req = parsed.where(F.col("status") == codes.PAYMENT_OK).select(
         "order_id", F.to_json(F.struct(F.col("order_id").alias("orderId"), F.col("items").alias("items")))
         .alias("value"))
