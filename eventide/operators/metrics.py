@@ -155,3 +155,12 @@ def canary_comparison(df: DataFrame, channel: str, ts: str, ok: Column, size: st
         F.round(F.lit(100.0) * F.col("failures") / F.col("requests"), 6).alias("error_rate_pct"),
         F.round(F.lit(100.0) * F.col("requests") / total, 6).alias("share_pct"),
     )
+
+
+def observe_counters(df: DataFrame, name: str, failed: Column) -> DataFrame:
+    """Attach received/failed counters to a DataFrame (``DataFrame.observe``).
+
+    The counts are computed as a side effect of whatever action runs on the
+    result (no extra pass); read them from the returned ``Observation`` or,
+    in streaming, from ``StreamingQueryProgress.observedMetrics``."""
+    return df.observe(name, F.count(F.lit(1)).alias("received"), F.count_if(failed).alias("failed"))

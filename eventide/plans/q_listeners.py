@@ -64,7 +64,7 @@ cmds AS ({q_saga._commands_sql("carried", "seq")}),
 cmd_records AS (
   SELECT key, topic, seq * 10 + cmd_order AS "offset",
          json_object('orderId', order_id, 'eventId', 'cmd-' || seq || '-' || cmd_order, 'type', envelope_type,
-                     'payload', payload) AS value
+                     'payload', CAST(payload AS VARCHAR)) AS value
   FROM cmds
 ),
 cmd_parsed AS (
