@@ -33,19 +33,27 @@ def dedup_first_seen(
 
     ``seen`` is the idempotency table of earlier runs (same scope/key
     columns); keys in it are dropped entirely (``left_anti``).  Rows whose key
-    is NULL are passed through untouched (no key, no dedup).
+    is NULL have no idempotency key and pass through untouched.
+
+    One aggregation does both: keyed rows group by (scope, key) and keep
+    ``min_by``; each keyless row gets a unique group of its own (a
+    per-task row id, unique whatever order a retried task reads in), so even
+    a flood of identical keyless copies is never gathered into one group.
+    The input is read once (no union of two filtered copies) and the
+    aggregate stays partial (map-side combined).
     """
     keys = (scope_cols or []) + key_cols
     cols = df.columns
+    if seen is not None:
+        df = df.join(seen.select(*keys).distinct(), keys, "left_anti")
     null_key = None
     for k in key_cols:
         null_key = F.col(k).isNull() if null_key is None else (null_key | F.col(k).isNull())
-    keyed, unkeyed = df.where(~null_key), df.where(null_key)
-    if seen is not None:
-        keyed = keyed.join(seen.select(*keys).distinct(), keys, "left_anti")
-    first = keyed.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order_cols])).alias("_r"))
-    return first.select("_r.*").unionByName(unkeyed)
+    row = F.struct(*[F.col(c) for c in cols])
+    tagged = df.withColumn("_nk", F.when(null_key, F.monotonically_increasing_id()))
+    grouped = tagged.groupBy(*keys, "_nk").agg(
+        F.min_by(row, F.struct(*[F.col(c) for c in order_cols])).alias("_r"))
+    return grouped.select("_r.*")
 
 
 def duplicate_rows(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> DataFrame:
