@@ -14,10 +14,10 @@ event; here every step is a set operation over the log:
 * ``saga_current_state`` - one ``groupBy(order_id)`` with ``max_by`` per
   column: the latest state, the latest failure, the id written by the latest
   event that sets it.  All are partial aggregates (no group is materialised).
-* ``compensation_plan`` - ids carried forward to each failure with
-  ``last(..., ignoreNulls)`` over the order's earlier events (the window
-  reuses the join's hash partitioning on ``order_id``: a sort, no shuffle),
-  then 1..3 commands per failure via ``explode`` of a filtered array.
+* ``compensation_plan`` - ids carried forward to each failure (latest earlier
+  payment / reservation of the order) with the skew-safe range-partitioned
+  carry of ``operators.carry``, then 1..3 commands per failure via
+  ``explode`` of a filtered array.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.columns import case_map
+from .carry import carry_last_before
 
 EVENT_STATE = [(e, s) for e, s, _ in codes.SAGA_EVENTS]
 EVENT_FAILED = [(e, f) for e, _, f in codes.SAGA_EVENTS if f]
@@ -95,17 +96,16 @@ def saga_current_state(transitions: DataFrame) -> DataFrame:
 
 
 def with_carried_ids(transitions: DataFrame) -> DataFrame:
-    """Add payment_id / reservation_id as known just before each event."""
-    w = Window.partitionBy("order_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    et = F.col("event_type")
-
-    def carried(event: str) -> Column:
-        tagged = F.when(et == event, F.struct(F.col("ref_id").alias("v")))
-        return F.last(tagged, ignorenulls=True).over(w)["v"]
+    """Add payment_id / reservation_id as known just before each event.
 
-    return transitions.withColumn("payment_id", carried("PaymentCompleted")).withColumn(
-        "reservation_id", carried("InventoryReserved")
-    )
+    Only the rows that set or need an id take part (payments, reservations,
+    failures); the as-of carry is skew-safe (``carry.carry_last_before``)."""
+    et = F.col("event_type")
+    needed = transitions.where(et.isin("PaymentCompleted", "InventoryReserved", *FAILURE_EVENTS))
+    return carry_last_before(needed, "order_id", "seq", {
+        "payment_id": (et == "PaymentCompleted", F.col("ref_id")),
+        "reservation_id": (et == "InventoryReserved", F.col("ref_id")),
+    })
 
 
 def _commands(failed_state: Column, payment_id: Column, reservation_id: Column, reason: Column) -> Column:
