@@ -1,4 +1,4 @@
-"""Custom stateful streaming operators (``transformWithStateInPandas``).
+"""Custom stateful streaming operators (``applyInPandasWithState``).
 
 ``saga_stream`` keeps one saga row per order in the state store (RocksDB)
 and applies the same transitions as ``operators.saga`` to each micro-batch,
@@ -12,11 +12,8 @@ not with their traffic; a hot key only costs the rows it sends in a batch
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import codes
 
@@ -33,87 +30,87 @@ _FIELDS = ["state", "failed_state", "payment_id", "inventory_reservation_id", "s
            "shipping_address", "failure_reason", "retry_count", "created_at", "updated_at"]
 
 
-class SagaProcessor(StatefulProcessor):
-    """Per-order saga state machine (event-sourced, no guard on the previous state)."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.saga = handle.getValueState("saga", SAGA_STATE_SCHEMA)
-        self.seq = handle.getValueState("seq", "seq long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        cur = dict(zip(_FIELDS, self.saga.get())) if self.saga.exists() else None
-        last = self.seq.get()[0] if self.seq.exists() else None
-        for r in batch.itertuples(index=False):
-            et = r.event_type
-            if et not in _NEXT:
-                continue
-            if cur is None:
-                if et != codes.SAGA_START_EVENT:
-                    continue  # unknown order: ignored
-                cur = dict.fromkeys(_FIELDS)
-                cur.update(state=_NEXT[et], shipping_address=r.shipping_address, retry_count=0,
-                           created_at=r.ts, updated_at=r.ts)
-                last = r.seq
-                continue
-            if et == codes.SAGA_START_EVENT:
-                continue  # start is idempotent
-            cur["state"] = _NEXT[et]
-            if et in _FAILED:
-                cur["failed_state"] = _FAILED[et]
-                cur["failure_reason"] = r.reason
-            elif et == "PaymentCompleted":
-                cur["payment_id"] = r.ref_id
-            elif et == "InventoryReserved":
-                cur["inventory_reservation_id"] = r.ref_id
-            elif et == "ShippingCompleted":
-                cur["shipping_id"] = r.ref_id
-            cur["updated_at"] = r.ts
-            last = r.seq
+def _saga_step(cur, last, rows):
+    """Apply one key's rows (tuples sorted by seq) to its saga row; returns (cur, last)."""
+    for seq, ts, et, ref_id, reason, address in rows:
+        if et not in _NEXT:
+            continue
         if cur is None:
-            return
-        self.saga.update(tuple(cur[f] for f in _FIELDS))
-        self.seq.update((int(last),))
-        yield pd.DataFrame([{"order_id": key[0], "last_seq": int(last), **cur}])
-
-    def close(self) -> None:
-        pass
+            if et != codes.SAGA_START_EVENT:
+                continue  # unknown order: ignored
+            cur = dict.fromkeys(_FIELDS)
+            cur.update(state=_NEXT[et], shipping_address=address, retry_count=0, created_at=ts, updated_at=ts)
+            last = seq
+            continue
+        if et == codes.SAGA_START_EVENT:
+            continue  # start is idempotent
+        cur["state"] = _NEXT[et]
+        if et in _FAILED:
+            cur["failed_state"] = _FAILED[et]
+            cur["failure_reason"] = reason
+        elif et == "PaymentCompleted":
+            cur["payment_id"] = ref_id
+        elif et == "InventoryReserved":
+            cur["inventory_reservation_id"] = ref_id
+        elif et == "ShippingCompleted":
+            cur["shipping_id"] = ref_id
+        cur["updated_at"] = ts
+        last = seq
+    return cur, last
+
+
+_IN_COLS = ["seq", "ts", "event_type", "ref_id", "reason", "shipping_address"]
+_OUT_COLS = ["order_id", "last_seq", *_FIELDS]
+
+
+def _saga_fn(key, pdfs, state):
+    """applyInPandasWithState body: state is (saga fields..., last_seq).
+
+    Plain Python over the key's few rows (column lists, one sort), one
+    output row built column-wise: the per-key cost stays small."""
+    rows = []
+    for pdf in pdfs:
+        rows.extend(zip(*(pdf[c].tolist() for c in _IN_COLS)))
+    rows.sort(key=lambda r: r[0])
+    cur, last = None, None
+    if state.exists:
+        *vals, last = state.get
+        cur = dict(zip(_FIELDS, vals))
+    cur, last = _saga_step(cur, last, rows)
+    if cur is None:
+        return
+    state.update(tuple(cur[f] for f in _FIELDS) + (int(last),))
+    out = {"order_id": [key[0]], "last_seq": [int(last)], **{f: [cur[f]] for f in _FIELDS}}
+    yield pd.DataFrame(out, columns=_OUT_COLS)
 
 
 def saga_stream(events: DataFrame) -> DataFrame:
-    """Streaming saga state (update mode): one row per order touched in a batch."""
+    """Streaming saga state (update mode): one row per order touched in a batch.
+
+    ``applyInPandasWithState`` ships the group state with the Arrow batches
+    (no per-key round trips); state is one row per order."""
     ev = events.select("order_id", "seq", "ts", "event_type", "ref_id", "reason", "shipping_address")
     ev = ev.withColumn("ts", ev["ts"].cast("timestamp"))
-    return ev.groupBy("order_id").transformWithStateInPandas(
-        SagaProcessor(), SAGA_OUTPUT_SCHEMA, "Update", "None")
-
-
-class TtlDedupProcessor(StatefulProcessor):
-    """Accept a key, suppress it for ``ttl_us``, accept the next one after that."""
-
-    def __init__(self, ttl_us: int):
-        self.ttl_us = int(ttl_us)
+    return ev.groupBy("order_id").applyInPandasWithState(
+        _saga_fn, SAGA_OUTPUT_SCHEMA, SAGA_STATE_SCHEMA + ", last_seq long", "Update", "NoTimeout")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "ts_us long")
 
-    def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["ts_us", "rid"], kind="stable")
-        last = self.last.get()[0] if self.last.exists() else None
+def _ttl_fn(ttl_us: int):
+    def fn(key, pdfs, state):
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "rid"], kind="stable")
+        last = state.get[0] if state.exists else None
         keep = []
         for t in batch["ts_us"].tolist():
-            ok = last is None or t >= last + self.ttl_us
+            ok = last is None or t >= last + ttl_us
             keep.append(ok)
             if ok:
                 last = t
-        self.last.update((int(last),))
+        state.update((int(last),))
         out = batch[keep]
         if len(out):
             yield out
 
-    def close(self) -> None:
-        pass
+    return fn
 
 
 def outbound_ttl_dedup_stream(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
@@ -123,5 +120,5 @@ def outbound_ttl_dedup_stream(df: DataFrame, key: str, ts: str, ttl_seconds: int
 
     x = df.select(F.col(key).alias("k"), F.col(id_col).alias("rid"),
                   F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"))
-    return x.groupBy("k").transformWithStateInPandas(
-        TtlDedupProcessor(ttl_seconds * 1_000_000), "k string, rid long, ts_us long", "Append", "None")
+    return x.groupBy("k").applyInPandasWithState(
+        _ttl_fn(ttl_seconds * 1_000_000), "k string, rid long, ts_us long", "ts_us long", "Append", "NoTimeout")
