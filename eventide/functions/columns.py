@@ -115,6 +115,13 @@ def unit_draw(key: Column | str, salt: str = "") -> Column:
     return F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def ntz_as_utc(col: Column | str) -> Column:
+    """TIMESTAMP_NTZ wall clock read as UTC -> TIMESTAMP, whatever the session zone."""
+    c = _c(col)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+
+
 def epoch_micros(df, col: str) -> Column:
     """Microseconds since the epoch for TIMESTAMP or TIMESTAMP_NTZ columns.
 
@@ -122,7 +129,7 @@ def epoch_micros(df, col: str) -> Column:
     """
     dtype = dict(df.dtypes)[col]
     if dtype == "timestamp_ntz":
-        return F.expr(f"unix_micros(to_utc_timestamp(cast(`{col}` as timestamp), current_timezone()))")
+        return F.unix_micros(ntz_as_utc(col))
     return F.unix_micros(F.col(col))
 
 

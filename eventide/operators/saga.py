@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..functions.columns import case_map
+from ..functions.columns import case_map, epoch_micros
 from .carry import carry_last_before
 
 EVENT_STATE = [(e, s) for e, s, _ in codes.SAGA_EVENTS]
@@ -224,8 +224,7 @@ def burn_rate_cumulative(transitions: DataFrame) -> DataFrame:
 def processing_durations(transitions: DataFrame) -> DataFrame:
     """Saga processing time created -> completed, in milliseconds."""
     done = transitions.where(F.col("event_type") == "ShippingCompleted")
-    ms = (F.unix_micros(F.col("ts").cast("timestamp"))
-          - F.unix_micros(F.col("created_at").cast("timestamp"))).cast("double") / F.lit(1000.0).cast("double")
+    ms = (epoch_micros(done, "ts") - epoch_micros(done, "created_at")).cast("double") / F.lit(1000.0).cast("double")
     return done.select("order_id", "seq", ms.alias("duration_ms"))
 
 

@@ -205,7 +205,7 @@ def counter_samples(events: DataFrame) -> DataFrame:
         events.select(
             F.concat(F.lit("events_"), F.col("event_type"), F.lit("_total")).alias("metric"),
             F.concat(F.lit("app-"), F.pmod(F.col("user_id"), F.lit(3)).cast("string")).alias("app"),
-            F.date_trunc("minute", F.col("ts")).alias("ts"),
+            F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz").alias("ts"),
         )
         .groupBy("metric", "app", "ts")
         .agg(F.count(F.lit(1)).alias("n"))

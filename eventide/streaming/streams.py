@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import ntz_as_utc
 from ..functions.json_fields import payment_status
 from ..session import scratch_path
 
@@ -27,8 +28,7 @@ GRACE = {"1 hour": "23 hours", "6 hours": "18 hours"}
 def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
     """Watermarks need TIMESTAMP (not NTZ); wall-clock NTZ is read as UTC."""
     dtype = dict(df.dtypes)[ts]
-    col = F.to_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone()) if dtype == "timestamp_ntz" \
-        else F.col(ts)
+    col = ntz_as_utc(ts) if dtype == "timestamp_ntz" else F.col(ts)
     return df.withColumn(out, col)
 
 

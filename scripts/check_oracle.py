@@ -20,7 +20,9 @@ from eventide.session import get_spark  # noqa: E402
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or sorted(QUERIES)
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    tz = os.environ.get("CHECK_TZ")  # e.g. America/Los_Angeles: results must not depend on it
+    spark = get_spark("local[8]", shuffle_partitions=8,
+                      extra_conf={"spark.sql.session.timeZone": tz} if tz else None)
     con = duck(sf_dir)
     bad = 0
     for n in names:
