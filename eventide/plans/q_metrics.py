@@ -217,3 +217,46 @@ def q_slo_summary(spark, sf_dir):
     dlt = t.agg(F.count_if(F.col("failed_state").isNotNull()).alias("dlt_total"))
     burn = saga.burn_rate_cumulative(t)
     return slo.slo_summary(p95, dlt, burn)
+
+
+def _hq_sql(src: str, grp: str, q: float, bounds: list[float], name: str) -> str:
+    """SQL: histogram_quantile over cumulative buckets of ``src(grp, v)``."""
+    b = ", ".join(f"CAST({x} AS DOUBLE)" for x in bounds)
+    return f"""
+{name}_b AS (SELECT unnest([{b}]) AS le),
+{name}_h AS (
+  SELECT {grp}, bb.le, count(*) FILTER (WHERE v <= bb.le) AS cnt FROM {src}, {name}_b bb GROUP BY {grp}, bb.le
+  UNION ALL SELECT {grp}, CAST('inf' AS DOUBLE), count(v) FROM {src} GROUP BY {grp}
+),
+{name}_x AS (
+  SELECT *, lag(le) OVER w AS prev_le, coalesce(lag(cnt) OVER w, 0) AS prev_cnt,
+         max(cnt) FILTER (WHERE le = CAST('inf' AS DOUBLE)) OVER (PARTITION BY {grp}) AS total
+  FROM {name}_h WINDOW w AS (PARTITION BY {grp} ORDER BY le)
+),
+{name}_y AS (SELECT *, CASE WHEN prev_le IS NULL AND le > 0 THEN 0.0 ELSE prev_le END AS lower FROM {name}_x),
+{name} AS (
+  SELECT {grp}, round(arg_min(CASE WHEN le = CAST('inf' AS DOUBLE) THEN prev_le
+         ELSE lower + (le - lower) * ((CAST({q} AS DOUBLE) * total - prev_cnt) / (cnt - prev_cnt)) END, le), 6) AS q
+  FROM {name}_y WHERE cnt >= CAST({q} AS DOUBLE) * total AND total > 0 GROUP BY {grp}
+)"""
+
+
+_CB = metrics.default_bounds(0, 8)
+
+
+@query("canary_latency", q_saga.TRANSITIONS + """,
+dur AS (
+  SELECT CASE WHEN CAST(('0x' || substr(md5(order_id), 1, 8)) AS BIGINT) % 10000 < 1000 THEN 'canary' ELSE 'main' END
+           AS channel,
+         CAST(epoch_us(ts) - epoch_us(created_at) AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS v
+  FROM transitions WHERE event_type = 'ShippingCompleted'
+),""" + _hq_sql("dur", "channel", 0.5, _CB, "p50") + "," + _hq_sql("dur", "channel", 0.95, _CB, "p95") + """
+SELECT channel, p50.q AS p50_ms, p95.q AS p95_ms FROM p50 JOIN p95 USING (channel)""")
+def q_canary_latency(spark, sf_dir):
+    """Saga completion latency p50/p95 per canary channel (bucketed, PromQL style)."""
+    d = saga.processing_durations(q_saga._transitions(spark, sf_dir))
+    c = faults.canary_split(d, 0.1, "order_id")
+    h = metrics.latency_histogram(c, "duration_ms", ["channel"], _CB)
+    p50 = metrics.histogram_quantile(h, 0.5, ["channel"]).select("channel", F.round("quantile", 6).alias("p50_ms"))
+    p95 = metrics.histogram_quantile(h, 0.95, ["channel"]).select("channel", F.round("quantile", 6).alias("p95_ms"))
+    return p50.join(p95, "channel")
