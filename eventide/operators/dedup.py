@@ -124,12 +124,14 @@ def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
         F.col("_src").alias("_rid"), F.col("_nxt").alias("_j")))
     reach = cut_lineage(msgs.groupBy("_k").agg(F.min_by("_rid", F.struct("_us", "_rid")).alias("_rid"))
                         .select("_rid"))
+    size = reach.count()
     for _ in range(max_rounds):
         step = reach.join(jump, "_rid").where(F.col("_j").isNotNull()).select(F.col("_j").alias("_rid"))
-        new = cut_lineage(step.join(reach, "_rid", "left_anti").distinct())
-        if new.isEmpty():
+        grown = cut_lineage(reach.unionByName(step).distinct())
+        new_size = grown.count()  # cheap: reads the checkpoint
+        if new_size == size:
             break
-        reach = cut_lineage(reach.unionByName(new))
+        reach, size = grown, new_size
         jump = cut_lineage(jump.alias("a").join(jump.alias("b"), F.col("a._j") == F.col("b._rid"), "left").select(
             F.col("a._rid").alias("_rid"), F.col("b._j").alias("_j")))
     accepted = base.join(reach.select(F.col("_rid").alias(rid)), rid, "left_semi")
