@@ -69,6 +69,22 @@ def pending_timeouts_stream(requests: DataFrame, responses: DataFrame, key: str
     return j.where(F.col("rs_key").isNull()).select("rq.*")
 
 
+def timeout_failures(unmatched: DataFrame, state: str = "state") -> DataFrame:
+    """Unmatched *_PENDING requests -> the failure they turn into (as ``stuck_pending``)."""
+    from ..functions import codes
+    from ..functions.columns import case_map
+    from ..operators.saga import PENDING_TO_FAILED
+
+    return unmatched.drop("failed_state", "failure_reason").select(
+        "*", case_map(state, PENDING_TO_FAILED).alias("failed_state"),
+        F.format_string(codes.REASON_TIMEOUT, F.col(state)).alias("failure_reason"))
+
+
+def read_state_store(spark, checkpoint: str, operator_id: int = 0) -> DataFrame:
+    """Inspect a streaming query's state (e.g. the window-count store)."""
+    return spark.read.format("statestore").option("operatorId", operator_id).load(checkpoint)
+
+
 def run_available_now(df: DataFrame, name: str, mode: str = "append", fmt: str = "parquet",
                       root: str | None = None) -> str:
     """Run a streaming query over all available input, wait, return the output path."""

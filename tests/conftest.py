@@ -14,7 +14,7 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from eventide.session import get_spark
 
-    s = get_spark("local[8]", shuffle_partitions=8)
+    s = get_spark("local[8]", shuffle_partitions=8, extra_conf={"spark.driver.memory": "8g"})
     yield s
     s.stop()
 

@@ -39,6 +39,8 @@ def test_status_counts_stream_equals_batch(spark, tmpdir_fresh):
     want = {(r.window_start, r.status, r.cnt) for r in batch.collect()}
     # append mode emits closed windows only: everything older than the final watermark
     assert got and got <= want
+    state = streams.read_state_store(spark, f"{tmpdir_fresh}/q/checkpoint")
+    assert state.count() > 0  # open windows still held in the state store
     last = max(w for w, _, _ in want)
     import datetime as dt_
     closed = {x for x in want if x[0] + dt_.timedelta(hours=1) + dt_.timedelta(hours=23) <= last}
@@ -99,6 +101,9 @@ def test_pending_timeouts_stream(spark, tmpdir_fresh):
     out = streams.run_available_now(streams.pending_timeouts_stream(rq, rs, timeout="10 minutes"), "to",
                                     root=f"{tmpdir_fresh}/q")
     got = {(r.order_id, r.seq) for r in spark.read.parquet(out).collect()}
+    fails = streams.timeout_failures(spark.read.parquet(out)).collect()
+    assert all(r.failure_reason == f"Timeout waiting for {r.state} response" for r in fails)
+    assert {r.failed_state for r in fails} <= {"PAYMENT_FAILED", "INVENTORY_FAILED", "SHIPPING_FAILED"}
     # batch twin: pending transitions with no later transition of the order within 10 minutes
     a, b = t.alias("a"), t.alias("b")
     matched = a.join(b, (F.col("a.order_id") == F.col("b.order_id")) & (F.col("b.ts") > F.col("a.ts"))
