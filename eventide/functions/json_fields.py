@@ -43,17 +43,6 @@ def unwrap_payload(value: Column | str) -> Column:
     return F.coalesce(F.get_json_object(_c(value), "$.payload"), _c(value))
 
 
-def envelope_columns(value: Column | str) -> dict[str, Column]:
-    """orderId, eventId, type (NULL default) and payload (``{}`` default)."""
-    v = _c(value)
-    return {
-        "order_id": F.get_json_object(v, "$.orderId"),
-        "event_id": F.get_json_object(v, "$.eventId"),
-        "type": F.get_json_object(v, "$.type"),
-        "payload": F.coalesce(F.get_json_object(v, "$.payload"), F.lit("{}")),
-    }
-
-
 def blank(col: Column | str) -> Column:
     """NULL or only whitespace."""
     c = _c(col)

@@ -56,12 +56,6 @@ def dedup_first_seen(
     return grouped.select("_r.*")
 
 
-def duplicate_rows(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> DataFrame:
-    """The complement of ``dedup_first_seen``: every non-first record."""
-    w = Window.partitionBy(*key_cols).orderBy(*order_cols)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") > 1).drop("_rn")
-
-
 def _next_at_or_after(msgs: DataFrame, probes: DataFrame, bucket_us: int) -> DataFrame:
     """For each probe (_k, _us, _src): id of the first message of key _k with
     time >= _us (ties by id), or NULL.

@@ -78,10 +78,6 @@ def split_quarantine(df: DataFrame, error_col: str = "error_reason") -> tuple[Da
     return df.where(~bad), df.where(bad)
 
 
-def with_unwrapped_payload(df: DataFrame, value: str = "value", out: str = "body") -> DataFrame:
-    return df.withColumn(out, F.when(is_json(value), unwrap_payload(value)))
-
-
 def parse_order_created(df: DataFrame, value: str = "value") -> DataFrame:
     """order.created: payload if present (text or object), else the message.
 

@@ -72,12 +72,6 @@ def histogram_quantile(buckets: DataFrame, q: float, by: list[str] | None = None
     return first_hit
 
 
-def ratio_pct(num: Column, den: Column, floor: float | None = None) -> Column:
-    """100 * num / den; ``floor`` guards the denominator (``greatest(den, floor)``)."""
-    d = F.greatest(den, F.lit(floor)) if floor is not None else den
-    return F.when(d > 0, F.lit(100.0) * num / d)
-
-
 def success_rate(df: DataFrame, ok: Column, bad: Column, ts: str, size: str = "1 day") -> DataFrame:
     """100 * succ / max(succ + fail, 1) per tumbling window."""
     g = df.groupBy(F.window(ts, size).alias("w")).agg(

@@ -26,6 +26,8 @@ def test_build_and_parse_envelope(spark):
     assert r['{"orderId":"x"}'].payload == "{}" and r['{"orderId":"x"}'].type is None
     good, q = envelope.split_quarantine(bad)
     assert good.count() == 1 and q.count() == 1
+    blanks = spark.createDataFrame([("a",), (" ",), (None,)], "order_id string")
+    assert [r.order_id for r in envelope.non_blank_order_id(blanks).collect()] == ["a"]
 
 
 def test_dedup_first_seen(spark):

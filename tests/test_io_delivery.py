@@ -19,6 +19,8 @@ def _recs(spark, rows):
 
 def test_topic_roundtrip_files(spark, tmpdir_fresh):
     r = _recs(spark, [("k", "v1", "a", 0, 0, T0), ("k", "v2", "b", 0, 1, T0)])
+    out_recs = topics.to_records(r, F.col("topic"))
+    assert out_recs.columns == ["key", "value", "topic", "headers"]
     topics.write_topic(r, path=f"{tmpdir_fresh}/t")
     back = topics.read_topic_batch(spark, ["a"], path=f"{tmpdir_fresh}/t")
     assert [x.value for x in back.collect()] == ["v1"]
