@@ -37,8 +37,19 @@ def velocity_counts(
     customer: str = "customer_id",
     ts: str = "created_at",
     order_id: str = "order_id",
+    strategy: str = "bucket",
 ) -> DataFrame:
-    """Add ``velocity_count``; NULL customers get 0 and are never counted."""
+    """Add ``velocity_count``; NULL customers get 0 and are never counted.
+
+    ``strategy="bucket"`` (default): one shuffle on (customer, time bucket),
+    groups bounded by one customer's orders in two window lengths.
+    ``strategy="range"``: velocity = rank(order) - rank(probe at t - W) with
+    prefix counts over range partitions (``carry.count_before``); no group is
+    ever larger than a range, whatever the customer skew, at the cost of
+    more shuffles and one checkpoint.
+    """
+    if strategy == "range":
+        return _velocity_by_rank(orders, window_minutes, customer, ts, order_id)
     w_us = int(window_minutes) * 60 * 1_000_000
     micros = epoch_micros(orders, ts)
     # NULL customers: each row its own partition, so they never group together.
@@ -66,6 +77,26 @@ def velocity_counts(
     return counted.where("_real").drop("_us", "_pk", "_b", "_real")
 
 
+def _velocity_by_rank(orders: DataFrame, window_minutes: int, customer: str, ts: str, order_id: str) -> DataFrame:
+    from .carry import count_before
+
+    w_us = int(window_minutes) * 60 * 1_000_000
+    base = orders.withColumn("_us", epoch_micros(orders, ts))
+    keyed = base.where(F.col(customer).isNotNull())
+    # order rows (kind 0) and probes at t - W (kind 1, after same-instant orders)
+    pts = keyed.select(F.col(customer).alias("_c"), "_us", F.lit(0).alias("_kind"),
+                       F.col(order_id).cast("string").alias("_id")).unionByName(
+        keyed.select(F.col(customer).alias("_c"), (F.col("_us") - F.lit(w_us)).alias("_us"), F.lit(1).alias("_kind"),
+                     F.col(order_id).cast("string").alias("_id")))
+    ranked = count_before(pts, "_c", ["_us", "_kind", "_id"], F.col("_kind") == 0, "_r")
+    vel = ranked.groupBy("_id").agg(
+        (F.sum(F.when(F.col("_kind") == 0, F.col("_r"))) - F.sum(F.when(F.col("_kind") == 1, F.col("_r"))))
+        .cast("bigint").alias("velocity_count"))
+    out = base.join(vel, base[order_id].cast("string") == vel["_id"], "left").drop("_id")
+    return out.withColumn("velocity_count", F.when(F.col(customer).isNull(), F.lit(0).cast("bigint"))
+                          .otherwise(F.col("velocity_count"))).drop("_us")
+
+
 def fraud_score(
     orders: DataFrame,
     window_minutes: int = codes.FRAUD_VELOCITY_WINDOW_MINUTES,
@@ -74,6 +105,7 @@ def fraud_score(
     ts: str = "created_at",
     total: str = "total",
     order_id: str = "order_id",
+    strategy: str = "bucket",
 ) -> DataFrame:
     """Score every order: the four parts, the capped score, action and reason."""
     t = F.col(total)
@@ -94,7 +126,7 @@ def fraud_score(
     lo, hi = codes.FRAUD_OFF_HOURS
     off_score = F.when(F.hour(ts).between(lo, hi), F.lit(codes.FRAUD_OFF_HOURS_SCORE)).otherwise(F.lit(0))
 
-    scored = velocity_counts(orders, window_minutes, customer, ts, order_id).select(
+    scored = velocity_counts(orders, window_minutes, customer, ts, order_id, strategy).select(
         "*",
         value_score.alias("value_score"),
         velocity_score.alias("velocity_score"),

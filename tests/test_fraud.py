@@ -82,3 +82,18 @@ def test_admission_and_review(spark):
     assert st2["1"][0] == "APPROVED" and st2["2"] == ("REJECTED", "Rejected during manual review")
     assert [r.aggregate_id for r in ob2.collect()] == ["1"]
     assert [r.order_id for r in rej.collect()] == ["0"]
+
+
+def test_velocity_strategies_agree(spark):
+    """Range-rank velocity equals the bucketed one, with a hot customer and ties."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 4000).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 10 < 7, F.lit("hot"))
+        .otherwise((F.col("id") % 7).cast("string")).alias("customer_id"),
+        (F.lit(T0) + F.make_dt_interval(secs=(F.col("id") * 37 % 20000).cast("double"))).alias("created_at"),
+        F.lit(10).cast("decimal(12,2)").alias("total"))
+    a = {r.order_id: r.velocity_count for r in fraud.velocity_counts(df, 60).collect()}
+    b = {r.order_id: r.velocity_count for r in fraud.velocity_counts(df, 60, strategy="range").collect()}
+    assert a == b and max(a.values()) > 5
