@@ -297,3 +297,57 @@ def enrich_shipping_address(requests: DataFrame, state: DataFrame) -> DataFrame:
     addr = state.select("order_id", F.col("shipping_address").alias("_addr"))
     return requests.join(addr, "order_id", "left").withColumn(
         "address", default_address("_addr")).drop("_addr")
+
+
+def saga_state(events: DataFrame) -> DataFrame:
+    """``saga_instance`` rows straight from the event log in ONE aggregation.
+
+    Transitions carry no guard on the previous state, so order matters only
+    through the start gate: an order exists from its first ``OrderCreated``,
+    later starts are no-ops, earlier events are ignored.  Every event before
+    the first start has a smaller seq, so for each field the latest event
+    that sets it either comes after the start (and counts) or the field was
+    never set after the start (NULL).  All parts are ``min_by``/``max_by``
+    partial aggregates, so the same plan runs as a streaming aggregation in
+    update mode (state = one aggregation buffer per order) and a hot order is
+    combined map-side.  Equals ``saga_current_state(saga_transitions(events))``.
+    """
+    et, seq = F.col("event_type"), F.col("seq")
+    known = events.where(et.isin(*[e for e, _ in EVENT_STATE]))
+    is_start = et == codes.SAGA_START_EVENT
+
+    def latest(cond: Column, *fields: Column) -> Column:
+        return F.max_by(F.struct(seq.alias("s"), *fields), F.when(cond, seq))
+
+    agg = known.groupBy("order_id").agg(
+        F.min(F.when(is_start, seq)).alias("_start_seq"),
+        F.min_by(F.struct(F.col("ts").alias("ts"), F.col("shipping_address").alias("a")),
+                 F.when(is_start, seq)).alias("_start"),
+        latest(~is_start, case_map("event_type", EVENT_STATE).alias("v"), F.col("ts").alias("ts")).alias("_last"),
+        latest(et.isin(*FAILURE_EVENTS), case_map("event_type", EVENT_FAILED).alias("v"),
+               F.col("reason").alias("r")).alias("_fail"),
+        latest(et == "PaymentCompleted", F.col("ref_id").alias("v")).alias("_pay"),
+        latest(et == "InventoryReserved", F.col("ref_id").alias("v")).alias("_res"),
+        latest(et == "ShippingCompleted", F.col("ref_id").alias("v")).alias("_shp"),
+    ).where(F.col("_start_seq").isNotNull())
+
+    def after(c: str) -> Column:
+        return F.col(f"{c}.s") > F.col("_start_seq")
+
+    return agg.select(
+        "order_id",
+        F.when(after("_last"), F.col("_last.v")).otherwise(F.lit(_start_state())).alias("state"),
+        F.when(after("_fail"), F.col("_fail.v")).alias("failed_state"),
+        F.when(after("_pay"), F.col("_pay.v")).alias("payment_id"),
+        F.when(after("_res"), F.col("_res.v")).alias("inventory_reservation_id"),
+        F.when(after("_shp"), F.col("_shp.v")).alias("shipping_id"),
+        F.col("_start.a").alias("shipping_address"),
+        F.when(after("_fail"), F.col("_fail.r")).alias("failure_reason"),
+        F.lit(0).alias("retry_count"),
+        F.col("_start.ts").alias("created_at"),
+        F.when(after("_last"), F.col("_last.ts")).otherwise(F.col("_start.ts")).alias("updated_at"),
+    )
+
+
+def _start_state() -> str:
+    return dict(EVENT_STATE)[codes.SAGA_START_EVENT]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import envelope, listeners, saga
 from ..operators.faults import canary_split
 from ..sources import driver_tables as dt
-from ..streaming import stateful, streams
+from ..streaming import streams
 from ..session import scratch_path
 from . import q_listeners, q_saga, q_status
 from .registry import query
@@ -105,26 +105,16 @@ def q_status_count_stream(spark, sf_dir):
 SELECT order_id, state, failed_state, payment_id, inventory_reservation_id, shipping_id, shipping_address,
        failure_reason, retry_count FROM state""")
 def q_saga_stream(spark, sf_dir):
-    """Saga state per order from the stateful streaming operator; the latest
-    emitted row per order is its current state."""
+    """Saga state per order from the streaming aggregation (update mode,
+    changelog sink, several micro-batches); the latest emitted row per order
+    is its current state."""
     base = _fresh(spark, "saga_stream")
     ev = q_saga._events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    # the log arrives in seq order: one file per seq range, written in order
-    n = 4
-    edges = ev.approxQuantile("seq", [i / n for i in range(1, n)], 0.0)
-    lo = None
-    for hi in [*edges, None]:
-        part = ev
-        if lo is not None:
-            part = part.where(F.col("seq") > lo)
-        if hi is not None:
-            part = part.where(F.col("seq") <= hi)
-        part.write.mode("append").parquet(f"{base}/src/part={0 if lo is None else int(lo) + 1:012d}")
-        lo = hi
-    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1 << 20).parquet(f"{base}/src/*")
-    out = streams.run_available_now(stateful.saga_stream(src), "saga", mode="update", root=base)
+    ev.write.parquet(f"{base}/src")
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/src")
+    out = streams.run_available_now(streams.saga_state_stream(src), "saga", mode="update", root=base)
     rows = spark.read.parquet(out)
     latest = rows.groupBy("order_id").agg(
-        F.max_by(F.struct(*[c for c in rows.columns if c not in ("order_id", "batch_id")]), "last_seq").alias("r"))
+        F.max_by(F.struct(*[c for c in rows.columns if c not in ("order_id", "batch_id")]), "batch_id").alias("r"))
     return latest.select("order_id", "r.state", "r.failed_state", "r.payment_id", "r.inventory_reservation_id",
                          "r.shipping_id", "r.shipping_address", "r.failure_reason", "r.retry_count")

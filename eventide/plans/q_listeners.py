@@ -18,8 +18,7 @@ TERMINAL = "('COMPLETED', 'CANCELLED', 'FAILED', 'REJECTED', 'PAYMENT_FAILED', '
 
 
 def _ts(spark, sf_dir):
-    t = q_saga._transitions(spark, sf_dir)
-    return t, saga.saga_current_state(t)
+    return q_saga._transitions(spark, sf_dir), q_saga._state(spark, sf_dir)
 
 
 def _orders(state):

@@ -21,7 +21,7 @@ def _transitions(spark, sf_dir):
 
 
 def _state(spark, sf_dir):
-    return saga.saga_current_state(_transitions(spark, sf_dir))
+    return saga.saga_state(_events(spark, sf_dir))
 
 
 TRANSITIONS = with_(SAGA_EVENTS) + """,

@@ -84,8 +84,10 @@ def _saga_fn(key, pdfs, state):
     yield pd.DataFrame(out, columns=_OUT_COLS)
 
 
-def saga_stream(events: DataFrame) -> DataFrame:
-    """Streaming saga state (update mode): one row per order touched in a batch.
+def saga_stream_pandas(events: DataFrame) -> DataFrame:
+    """Streaming saga state machine in Python (update mode): one row per order
+    touched in a batch.  ``streams.saga_state_stream`` computes the same state
+    as a JVM streaming aggregation and is the one to use at scale.
 
     ``applyInPandasWithState`` ships the group state with the Arrow batches
     (no per-key round trips); state is one row per order."""

@@ -47,6 +47,18 @@ def running_status_count_stream(records: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("cnt"))
 
 
+def saga_state_stream(events: DataFrame) -> DataFrame:
+    """Saga state per order as a streaming aggregation (update mode).
+
+    ``operators.saga.saga_state`` is one ``groupBy(order_id)`` of
+    ``min_by``/``max_by`` buffers, so it runs unchanged on a stream: the state
+    store keeps one aggregation buffer per order and every micro-batch emits
+    the orders it touched."""
+    from ..operators.saga import saga_state
+
+    return saga_state(events)
+
+
 def dedup_stream(df: DataFrame, keys: list[str], ts: str, delay: str = "10 minutes") -> DataFrame:
     """Drop records whose keys were seen within the watermark delay."""
     x = event_time(df, ts)

@@ -101,3 +101,22 @@ def test_carry_forward_across_ranges(spark):
     a = sorted((r.k, r.o, r.c) for r in got.collect())
     b = sorted((r.k, r.o, r.c) for r in want.collect())
     assert a == b
+
+
+def test_direct_state_equals_transition_state(spark):
+    from eventide.sources import driver_tables as dt
+
+    from .conftest import SF01
+
+    ev = dt.saga_events(dt.table(spark, SF01, "events"))
+    extra = spark.createDataFrame(  # pre-start events, duplicate starts, unknown orders
+        [("z", 1, T0, "PaymentFailed", None, "early", None), ("z", 2, T0, "OrderCreated", None, None, "A"),
+         ("z", 3, T0, "OrderCreated", None, None, "B"), ("y", 5, T0, "PaymentCompleted", "p", None, None)], SCHEMA)
+    ev = ev.unionByName(extra)
+    a = saga.saga_state(ev)
+    b = saga.saga_current_state(saga.saga_transitions(ev))
+    cols = sorted(a.columns)
+    assert cols == sorted(b.columns)
+    ra = sorted(tuple(str(r[c]) for c in cols) for r in a.collect())
+    rb = sorted(tuple(str(r[c]) for c in cols) for r in b.collect())
+    assert ra == rb

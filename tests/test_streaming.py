@@ -52,7 +52,8 @@ def test_saga_stream_equals_batch(spark, tmpdir_fresh):
     src = f"{tmpdir_fresh}/saga"
     _write_files(ev.withColumn("ts", F.col("ts").cast("timestamp")), src, n=3, order="seq")
     stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = streams.run_available_now(stateful.saga_stream(stream), "saga", mode="update", root=f"{tmpdir_fresh}/q")
+    out = streams.run_available_now(stateful.saga_stream_pandas(stream), "saga", mode="update",
+                                    root=f"{tmpdir_fresh}/q")
     rows = spark.read.parquet(out)
     final = rows.groupBy("order_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "order_id"]),
                                                   "last_seq").alias("r")).select("order_id", "r.*")
@@ -64,6 +65,24 @@ def test_saga_stream_equals_batch(spark, tmpdir_fresh):
     assert got == want
 
 
+def test_saga_state_stream_equals_batch(spark, tmpdir_fresh):
+    ev = dt.saga_events(dt.table(spark, SF001, "events"))
+    src = f"{tmpdir_fresh}/saga2"
+    _write_files(ev.withColumn("ts", F.col("ts").cast("timestamp")), src, n=3, order="seq")
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = streams.run_available_now(streams.saga_state_stream(stream), "saga2", mode="update",
+                                    root=f"{tmpdir_fresh}/q")
+    rows = spark.read.parquet(out)
+    assert rows.select("batch_id").distinct().count() == 3
+    final = rows.groupBy("order_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "order_id"]),
+                                                  "batch_id").alias("r")).select("order_id", "r.*")
+    key = ["order_id", "state", "failed_state", "payment_id", "inventory_reservation_id", "shipping_id",
+           "failure_reason"]
+    got = {tuple(r[c] for c in key) for r in final.collect()}
+    want = {tuple(r[c] for c in key) for r in saga.saga_current_state(saga.saga_transitions(ev)).collect()}
+    assert got == want
+
+
 def test_ttl_dedup_stream_equals_batch(spark, tmpdir_fresh):
     from eventide.operators import dedup
 
