@@ -55,19 +55,32 @@ def read_topic_stream(
     bootstrap: str | None = None,
     path: str | None = None,
     max_per_trigger: int | None = None,
+    from_timestamp_ms: int | None = None,
 ) -> DataFrame:
-    """Continuous scan from the earliest offset (Kafka) or of a record folder."""
+    """Continuous scan from the earliest offset (Kafka) or of a record folder.
+
+    ``from_timestamp_ms`` starts every partition at its first offset with a
+    record timestamp at or after that time (Kafka ``startingTimestamp``): the
+    streaming form of ``replay_from_time``.  Partitions without such a record
+    start at the end."""
     if bootstrap:
         r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-             .option("subscribe", ",".join(topics)).option("startingOffsets", "earliest")
-             .option("includeHeaders", "true"))
+             .option("subscribe", ",".join(topics)).option("includeHeaders", "true"))
+        if from_timestamp_ms is not None:
+            r = r.option("startingTimestamp", str(int(from_timestamp_ms))).option(
+                "startingOffsetsByTimestampStrategy", "latest")
+        else:
+            r = r.option("startingOffsets", "earliest")
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return _kafka_frame(r.load())
     r = spark.readStream.schema(TOPIC_SCHEMA)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_per_trigger))
-    return r.parquet(path).where(F.col("topic").isin(*topics))
+    df = r.parquet(path).where(F.col("topic").isin(*topics))
+    if from_timestamp_ms is not None:
+        df = df.where(F.col("timestamp") >= F.timestamp_millis(F.lit(int(from_timestamp_ms))))
+    return df
 
 
 def to_records(df: DataFrame, topic, key: str = "key", value: str = "value") -> DataFrame:
