@@ -41,10 +41,12 @@ def slo_summary(p95: DataFrame | None, dlt: DataFrame | None, burn: DataFrame |
 def fault_impact(metric_by_period: DataFrame, baseline: str = "before") -> DataFrame:
     """Per period metrics with deltas against the baseline period.
 
-    ``metric_by_period``: (period, metric, value).  The baseline row per metric
-    is a conditional aggregate joined back on ``metric`` (one row per metric).
-    """
-    base = metric_by_period.groupBy("metric").agg(
-        F.max(F.when(F.col("period") == baseline, F.col("value"))).alias("baseline"))
-    return metric_by_period.join(base, "metric").withColumn(
+    ``metric_by_period``: (period, metric, value), already aggregated (a few
+    rows per metric).  The baseline is a window over each metric's rows, so
+    the input is evaluated once (no self-join)."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("metric")
+    return metric_by_period.withColumn(
+        "baseline", F.max(F.when(F.col("period") == baseline, F.col("value"))).over(w)).withColumn(
         "delta", F.round(F.col("value") - F.col("baseline"), 6))

@@ -124,15 +124,14 @@ def q_fault_impact(spark, sf_dir):
     from ..operators import slo
 
     lab = faults.label_periods(_parsed(spark, sf_dir), "timestamp", "2024-01-10 00:00:00", "2024-01-20 00:00:00")
-
-    def share(cond, name):
-        return lab.groupBy("period").agg(
-            F.round(F.lit(100.0) * F.count_if(cond) / F.count(F.lit(1)), 6).alias("value")).select(
-            "period", F.lit(name).alias("metric"), "value")
-
-    m = (share(F.col("error_reason").isNotNull(), "failed_pct")
-         .unionByName(share(F.col("copy") > 1, "duplicate_pct"))
-         .unionByName(share(is_dlt_topic("topic"), "dlt_pct")))
+    n = F.count(F.lit(1))
+    # one pass over the input: all three shares per period, then unpivot
+    per = lab.groupBy("period").agg(
+        F.round(F.lit(100.0) * F.count_if(F.col("error_reason").isNotNull()) / n, 6).alias("failed_pct"),
+        F.round(F.lit(100.0) * F.count_if(F.col("copy") > 1) / n, 6).alias("duplicate_pct"),
+        F.round(F.lit(100.0) * F.count_if(is_dlt_topic("topic")) / n, 6).alias("dlt_pct"))
+    m = per.select("period", F.expr(
+        "stack(3, 'failed_pct', failed_pct, 'duplicate_pct', duplicate_pct, 'dlt_pct', dlt_pct) AS (metric, value)"))
     return slo.fault_impact(m).select("metric", "period", "value", "baseline", "delta")
 
 
