@@ -115,3 +115,27 @@ def test_cancel_and_status_updates(spark):
                       (u2, json.dumps({"orderId": u2, "status": "PAYMENT_FAILED", "reason": "x"}), 2)])
     got = {r.id: (r.status, r.review_reason) for r in listeners.apply_status_updates(orders, st).collect()}
     assert got == {u1: ("FAILED", None), u2: ("PAYMENT_FAILED", "x")}
+
+
+def test_quantile_in_inf_bucket_and_groups(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 500.0), ("a", 900.0), ("b", 3.0)], "g string, v double")
+    h = metrics.latency_histogram(df, "v", ["g"], [2.0, 10.0])
+    got = {r.g: r.quantile for r in metrics.histogram_quantile(h, 0.95, ["g"]).collect()}
+    assert got["a"] == 10.0  # rank lands in +Inf: highest finite bound
+    assert got["b"] == pytest.approx(2.0 + 8.0 * 0.95)
+
+
+def test_consumer_lag_and_paging(spark):
+    from eventide.operators import orders
+
+    r = recs(spark, [("k", "v", "t", 0, o) for o in range(10)] + [("k", "v", "t", 1, o) for o in range(5)])
+    committed = spark.createDataFrame([("g", "t", 0, 4), ("g", "t", 1, 9)],
+                                      "group_id string, topic string, partition int, committed long")
+    assert metrics.consumer_lag(r, committed).collect()[0].lag == 6  # (10 - 4) + max(5 - 9, 0)
+    o = spark.createDataFrame([(i, T0 + dt.timedelta(days=i % 3)) for i in range(250)], "id long, created_at timestamp")
+    page = orders.orders_page(o, page=0, size=500).collect()
+    assert len(page) == 100  # size capped at 100
+    info = orders.orders_page_info(o, page=2, size=100).collect()[0]
+    assert (info.total_pages, info.has_next, info.has_previous) == (3, False, True)
+    top = [r.id for r in orders.recent(o, "created_at", "id", 3).collect()]
+    assert top == [248, 245, 242]
