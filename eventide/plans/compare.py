@@ -82,3 +82,21 @@ def compare(df, con, sql):
         if a != b:
             return False, f"first differing row:\n spark={a}\n duck ={b}"
     return True, f"{len(sr)} rows equal"
+
+
+_SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE", "float": "FLOAT",
+    "smallint": "SMALLINT", "tinyint": "TINYINT", "binary": "BLOB",
+}
+
+
+def type_diffs(df, con, sql) -> dict:
+    """Columns whose Spark type differs from the DuckDB twin's type."""
+    def st(t):
+        return t.upper().replace(" ", "") if t.startswith("decimal") else _SPARK_TO_DUCK.get(t, t)
+
+    s = {c: st(t) for c, t in df.dtypes}
+    rel = con.sql(sql)
+    d = {c: str(t).replace(" ", "") if str(t).startswith("DECIMAL") else str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}

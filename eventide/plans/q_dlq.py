@@ -45,7 +45,7 @@ def q_dlt_purge_count(spark, sf_dir):
 
 @query("dlt_peek", TR + f"""
 SELECT topic, "partition", "offset", rn, key, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY "partition", "offset") AS rn
+  SELECT *, CAST(row_number() OVER (PARTITION BY topic ORDER BY "partition", "offset") AS INTEGER) AS rn
   FROM topic_records WHERE {DLT_SQL}) WHERE rn <= 10""")
 def q_dlt_peek(spark, sf_dir):
     return dlq.dlt_peek(_records(spark, sf_dir), 10)

@@ -42,7 +42,7 @@ def _command_records(t, topic):
 BASE = q_saga.TRANSITIONS + f""",
 orders0 AS (SELECT order_id AS id, 'NEW' AS status, CAST(NULL AS VARCHAR) AS review_reason, created_at FROM state),
 feed AS (
-  SELECT order_id AS key, seq AS "offset", json_object('orderId', order_id, 'status', status, 'reason', reason) AS value
+  SELECT order_id AS key, seq AS "offset", CAST(json_object('orderId', order_id, 'status', status, 'reason', reason) AS VARCHAR) AS value
   FROM (
     SELECT order_id, seq,
       CASE WHEN failed_state IS NOT NULL THEN failed_state WHEN event_type = 'ShippingCompleted' THEN 'COMPLETED'
@@ -62,8 +62,8 @@ carried AS (
 cmds AS ({q_saga._commands_sql("carried", "seq")}),
 cmd_records AS (
   SELECT key, topic, seq * 10 + cmd_order AS "offset",
-         json_object('orderId', order_id, 'eventId', 'cmd-' || seq || '-' || cmd_order, 'type', envelope_type,
-                     'payload', CAST(payload AS VARCHAR)) AS value
+         CAST(json_object('orderId', order_id, 'eventId', 'cmd-' || seq || '-' || cmd_order, 'type', envelope_type,
+                     'payload', CAST(payload AS VARCHAR)) AS VARCHAR) AS value
   FROM cmds
 ),
 cmd_parsed AS (
@@ -131,7 +131,7 @@ def q_apply_cancellations(spark, sf_dir):
 
 @query("cancellation_results", BASE + """
 SELECT oid AS order_id, "offset" AS seq,
-  json_object('orderId', oid, 'compensationType', 'ORDER_CANCEL', 'success', true, 'service', 'order-api') AS value
+  CAST(json_object('orderId', oid, 'compensationType', 'ORDER_CANCEL', 'success', true, 'service', 'order-api') AS VARCHAR) AS value
 FROM cmd_parsed WHERE topic = 'order.cancel'""")
 def q_cancellation_results(spark, sf_dir):
     t, s = _ts(spark, sf_dir)
@@ -185,7 +185,7 @@ def q_payment_status_lookup(spark, sf_dir):
 
 
 @query("inventory_request_from_payment", PR + f"""
-SELECT order_id, json_object('orderId', order_id, 'items', 1) AS value FROM (
+SELECT order_id, CAST(json_object('orderId', order_id, 'items', 1) AS VARCHAR) AS value FROM (
   SELECT json_extract_string({BODY}, '$.orderId') AS order_id, json_extract_string({BODY}, '$.status') AS st
   FROM payment_records WHERE json_valid({BODY}))
 WHERE order_id IS NOT NULL AND st = 'CHARGED'""")
@@ -195,7 +195,7 @@ def q_inventory_request_from_payment(spark, sf_dir):
 
 
 @query("order_compensation", PR + f"""
-SELECT order_id, json_object('orderId', order_id, 'reason', 'PAYMENT_FAILED', 'originalStatus', st) AS value FROM (
+SELECT order_id, CAST(json_object('orderId', order_id, 'reason', 'PAYMENT_FAILED', 'originalStatus', st) AS VARCHAR) AS value FROM (
   SELECT json_extract_string({BODY}, '$.orderId') AS order_id, json_extract_string({BODY}, '$.status') AS st
   FROM payment_records WHERE json_valid({BODY}))
 WHERE order_id IS NOT NULL AND coalesce(st, '') <> 'CHARGED'""")
@@ -222,10 +222,10 @@ def q_parse_payment_result(spark, sf_dir):
 RESULTS = q_saga.TRANSITIONS.replace("WITH ", "WITH ", 1) + """,
 rr AS (
   SELECT order_id AS key, seq AS "offset", event_type,
-    json_object('orderId', order_id, 'eventId', 'ev-' || seq, 'type', event_type, 'payload', payload) AS value,
+    CAST(json_object('orderId', order_id, 'eventId', 'ev-' || seq, 'type', event_type, 'payload', payload) AS VARCHAR) AS value,
     CASE WHEN event_type LIKE 'Inventory%' THEN 'inventory.result' ELSE 'shipping.result' END AS topic
   FROM (
-    SELECT *, replace(json_object('orderId', order_id, 'status', st, 'ref', ref_id, 'reason', reason), '"ref":',
+    SELECT *, replace(CAST(json_object('orderId', order_id, 'status', st, 'ref', ref_id, 'reason', reason) AS VARCHAR), '"ref":',
                       CASE WHEN event_type LIKE 'Inventory%' THEN '"reservationId":' ELSE '"shippingId":' END) AS payload
     FROM (
       SELECT *, CASE WHEN event_type = 'InventoryReserved' THEN 'RESERVED'
@@ -352,7 +352,7 @@ req AS (
 )
 SELECT order_id,
   CASE WHEN CAST(('0x' || substr(md5(order_id), 1, 8)) AS BIGINT) % 10000 < 500 THEN 'canary' ELSE 'main' END AS channel,
-  json_object('orderId', order_id, 'amount', total, 'currency', currency) AS payment_request
+  CAST(json_object('orderId', order_id, 'amount', total, 'currency', currency) AS VARCHAR) AS payment_request
 FROM req""")
 def q_build_payment_request(spark, sf_dir):
     p = envelope.parse_order_created(tables.outbox_change_feed(_outbox(spark, sf_dir)))

@@ -73,13 +73,13 @@ FROM {src} WHERE {cond}"""
     return "\nUNION ALL\n".join([
         one(1, "inventory.release", "RELEASE", "InventoryReleaseRequested", "reservation_id",
             "failed_state = 'SHIPPING_FAILED' AND reservation_id IS NOT NULL",
-            "json_object('orderId', order_id, 'reservationId', reservation_id, 'reason', reason, 'compensationType', 'RELEASE')"),
+            "CAST(json_object('orderId', order_id, 'reservationId', reservation_id, 'reason', reason, 'compensationType', 'RELEASE') AS VARCHAR)"),
         one(2, "payment.refund", "REFUND", "PaymentRefundRequested", "payment_id",
             "failed_state IN ('INVENTORY_FAILED', 'SHIPPING_FAILED') AND payment_id IS NOT NULL",
-            "json_object('orderId', order_id, 'paymentId', payment_id, 'reason', reason, 'compensationType', 'REFUND')"),
+            "CAST(json_object('orderId', order_id, 'paymentId', payment_id, 'reason', reason, 'compensationType', 'REFUND') AS VARCHAR)"),
         one(3, "order.cancel", "CANCEL", "OrderCancellationRequested", "CAST(NULL AS VARCHAR)",
             "failed_state IS NOT NULL",
-            "json_object('orderId', order_id, 'reason', reason, 'compensationType', 'CANCEL')"),
+            "CAST(json_object('orderId', order_id, 'reason', reason, 'compensationType', 'CANCEL') AS VARCHAR)"),
     ])
 
 
@@ -109,7 +109,7 @@ def q_compensation_plan(spark, sf_dir):
 
 @query("saga_status_feed", TRANSITIONS + """
 SELECT order_id, seq, status, reason,
-       json_object('orderId', order_id, 'status', status, 'reason', reason) AS value
+       CAST(json_object('orderId', order_id, 'status', status, 'reason', reason) AS VARCHAR) AS value
 FROM (
   SELECT order_id, seq,
     CASE WHEN failed_state IS NOT NULL THEN failed_state WHEN event_type = 'ShippingCompleted' THEN 'COMPLETED'

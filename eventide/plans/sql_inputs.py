@@ -159,7 +159,7 @@ faulted AS (
          topic, "partition", "offset",
          "timestamp" + to_microseconds(CAST(floor(u_delay * (max_delay_ms + 1)) AS BIGINT) * 1000) AS "timestamp",
          u_cor < p_corrupt AS corrupted,
-         c.copy
+         CAST(c.copy AS INTEGER) AS copy
   FROM fr_draw, LATERAL (SELECT unnest(generate_series(1, CASE WHEN u_dup < p_dup THEN 2 ELSE 1 END)) AS copy) c
   WHERE NOT (u_drop < p_drop)
 )"""

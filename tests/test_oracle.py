@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from eventide.plans import ORACLE, QUERIES
-from eventide.plans.compare import compare, duck
+from eventide.plans.compare import compare, duck, type_diffs
 
 from .conftest import SF001
 
@@ -23,5 +23,7 @@ def test_contract(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, con, name):
-    ok, msg = compare(QUERIES[name](spark, SF001), con, ORACLE[name])
+    df = QUERIES[name](spark, SF001)
+    assert type_diffs(df, con, ORACLE[name]) == {}
+    ok, msg = compare(df, con, ORACLE[name])
     assert ok, msg
