@@ -84,3 +84,12 @@ def test_observed_counters(spark):
     assert obs.get == {"received": 2, "failed": 1}
     out = metrics.observe_counters(df, "c2", F.col("error_reason").isNotNull())
     assert out.count() == 2
+
+
+def test_read_write_table(spark, tmpdir_fresh):
+    from eventide.sources import tables
+
+    df = spark.createDataFrame([("a", 1, "2024-01-01"), ("b", 2, "2024-01-02")], "id string, v int, day string")
+    tables.write_table(df, f"{tmpdir_fresh}/t", partition_by=["day"])
+    back = tables.read_table(spark, f"{tmpdir_fresh}/t").where("day = '2024-01-02'")
+    assert [r.id for r in back.collect()] == ["b"]
