@@ -7,11 +7,12 @@ and only one row per (task, key) is shuffled.
 
 ``dedup_outbound_ttl`` (accept a key, suppress it for ``ttl``, accept the
 next one after that, ...) is sequential per key.  Batch form: at most one
-message per key is accepted in any ``ttl``-long bucket; acceptance in bucket
-``k`` depends only on the acceptance in bucket ``k - 1``.  The chain is
-resolved by pointer doubling over "next accepted candidate" links, i.e.
-log2(chain length) rounds of joins on unique ids; no key's rows are ever
-collected into one task.  Streaming form: ``streaming.dedup``.
+message per key is accepted in any ``ttl``-long window.  Each message's
+candidate successor (first message at or after its time + ttl) is found by
+per-key ranks, then the chain from each key's first message is resolved by
+pointer doubling, i.e. log2(chain length) rounds of joins on unique ids; no
+key's rows are ever collected into one task.  Streaming form:
+``streaming.stateful.outbound_ttl_dedup_stream``.
 """
 
 from __future__ import annotations
@@ -88,8 +89,28 @@ def _next_at_or_after(msgs: DataFrame, probes: DataFrame, bucket_us: int) -> Dat
         "_src", F.coalesce("_nxt", "_after").alias("_nxt"))
 
 
+def _next_by_rank(msgs: DataFrame, probes: DataFrame) -> DataFrame:
+    """Same result as ``_next_at_or_after`` with no time-bucket bound: the
+    successor of a probe is the message whose rank within its key equals the
+    number of the key's messages before the probe time (prefix counts over
+    range partitions, then an equi-join on (key, rank))."""
+    from .carry import count_before
+
+    rid_t = msgs.schema["_rid"].dataType
+    pts = msgs.select("_k", "_us", F.lit(0).alias("_kind"), F.col("_rid").alias("_ord"),
+                      F.col("_rid").alias("_rid"), F.lit(None).cast(probes.schema["_src"].dataType).alias("_src")
+                      ).unionByName(
+        probes.select("_k", "_us", F.lit(-1).alias("_kind"), F.lit(None).cast(rid_t).alias("_ord"),
+                      F.lit(None).cast(rid_t).alias("_rid"), "_src"))
+    # probes sort before messages of the same instant: successor time is >= probe time
+    ranked = count_before(pts, "_k", ["_us", "_kind", "_ord"], F.col("_kind") == 0, "_rank")
+    m = ranked.where(F.col("_kind") == 0).select("_k", "_rank", F.col("_rid").alias("_nxt"))
+    p = ranked.where(F.col("_kind") == -1).select("_k", "_rank", "_src")
+    return p.join(m, ["_k", "_rank"], "left").select("_src", "_nxt")
+
+
 def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600, id_col: str | None = None,
-                       max_rounds: int = 64) -> DataFrame:
+                       max_rounds: int = 64, strategy: str = "range") -> DataFrame:
     """Greedy TTL de-duplication: accept a message, suppress the same key for
     ``ttl`` (an entry expires exactly ``ttl`` after its write), accept the next
     message after that, and so on.  Returns the accepted rows.
@@ -97,7 +118,10 @@ def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
     Exact and distributed:
 
     1. ``nxt(m)``: the first message of m's key at or after ``m.ts + ttl``
-       (window over messages and probe rows, partitioned by key and bucket);
+       (``strategy="range"``, default: per-key ranks over range partitions
+       and an equi-join on (key, rank), no bound even for a retry storm of
+       one key inside one TTL; ``strategy="bucket"``: window over messages and
+       probe rows partitioned by key and TTL bucket);
     2. accepted = head, nxt(head), nxt(nxt(head)), ...  Chain membership by
        pointer doubling: round r adds the 2^r-th successors of the members
        found so far and squares the jump table (joins on unique ids), so
@@ -114,8 +138,8 @@ def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
         base = cut_lineage(base)  # pin the generated ids
     msgs = base.select(F.col(key).alias("_k"), "_us", F.col(rid).alias("_rid")).where(F.col("_k").isNotNull())
     probes = msgs.select("_k", (F.col("_us") + F.lit(ttl_us)).alias("_us"), F.col("_rid").alias("_src"))
-    jump = cut_lineage(_next_at_or_after(msgs, probes, ttl_us).select(
-        F.col("_src").alias("_rid"), F.col("_nxt").alias("_j")))
+    succ = _next_by_rank(msgs, probes) if strategy == "range" else _next_at_or_after(msgs, probes, ttl_us)
+    jump = cut_lineage(succ.select(F.col("_src").alias("_rid"), F.col("_nxt").alias("_j")))
     reach = cut_lineage(msgs.groupBy("_k").agg(F.min_by("_rid", F.struct("_us", "_rid")).alias("_rid"))
                         .select("_rid"))
     size = reach.count()

@@ -104,3 +104,17 @@ def test_canary_split(spark):
     share = faults.canary_split(df, 0.1).where("channel = 'canary'").count() / 2000
     assert 0.07 < share < 0.13
     assert faults.canary_split(df, 0.0).where("channel = 'canary'").count() == 0
+
+
+def test_ttl_strategies_agree_with_retry_storm(spark):
+    import random
+
+    rnd = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot", i, t0 + dt.timedelta(milliseconds=rnd.randrange(0, 120_000))) for i in range(1500)]
+    rows += [("hot", 5000 + i, t0 + dt.timedelta(seconds=14)) for i in range(12)]  # same-instant ties
+    rows += [(f"k{rnd.randrange(5)}", 10_000 + i, t0 + dt.timedelta(seconds=rnd.randrange(0, 900))) for i in range(300)]
+    df = spark.createDataFrame(rows, "key string, id long, ts timestamp")
+    a = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 7, id_col="id", strategy="bucket").collect()}
+    b = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 7, id_col="id", strategy="range").collect()}
+    assert a == b and len(a) > 20
