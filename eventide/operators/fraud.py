@@ -3,8 +3,9 @@ order admission, review decisions and counters.
 
 Velocity is the number of the customer's *earlier* orders whose time lies in
 the trailing window ``(t - W, t)``; orders at the same instant count as
-earlier when their id sorts first.  The count is exact and computed with
-window functions only:
+earlier when their id sorts first.  The count is exact.  By default it is a
+difference of per-customer ranks (see ``velocity_counts``); the bucketed
+form uses window functions only:
 
 * each order is kept in its time bucket ``floor(t / W)`` and copied once, as a
   ghost, into the next bucket, so every order's window lies entirely inside
@@ -37,16 +38,17 @@ def velocity_counts(
     customer: str = "customer_id",
     ts: str = "created_at",
     order_id: str = "order_id",
-    strategy: str = "bucket",
+    strategy: str = "range",
 ) -> DataFrame:
     """Add ``velocity_count``; NULL customers get 0 and are never counted.
 
-    ``strategy="bucket"`` (default): one shuffle on (customer, time bucket),
-    groups bounded by one customer's orders in two window lengths.
-    ``strategy="range"``: velocity = rank(order) - rank(probe at t - W) with
-    prefix counts over range partitions (``carry.count_before``); no group is
-    ever larger than a range, whatever the customer skew, at the cost of
-    more shuffles and one checkpoint.
+    ``strategy="range"`` (default): velocity = rank(order) - rank(probe at
+    t - W) with prefix counts over range partitions (``carry.count_before``);
+    no group is ever larger than a range, so a burst of orders from one
+    customer (the case velocity scoring exists for) is spread over tasks.
+    ``strategy="bucket"``: one shuffle on (customer, time bucket), groups
+    bounded by one customer's orders within two window lengths; cheaper when
+    no customer bursts.
     """
     if strategy == "range":
         return _velocity_by_rank(orders, window_minutes, customer, ts, order_id)
@@ -105,7 +107,7 @@ def fraud_score(
     ts: str = "created_at",
     total: str = "total",
     order_id: str = "order_id",
-    strategy: str = "bucket",
+    strategy: str = "range",
 ) -> DataFrame:
     """Score every order: the four parts, the capped score, action and reason."""
     t = F.col(total)
