@@ -21,6 +21,16 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+# One window group beyond this many rows is treated as skewed (strategy="auto").
+AUTO_MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, cols: list[Column]) -> int:
+    """Row count of the largest group of ``cols`` (one partial aggregate; only
+    the scalar reaches the driver)."""
+    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
+    return int(g["m"] or 0)
+
 
 def carry_last_before(df: DataFrame, key: str, order: str, values: dict[str, tuple[Column, Column]],
                       num_ranges: int | None = None) -> DataFrame:

@@ -110,7 +110,8 @@ def _next_by_rank(msgs: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600, id_col: str | None = None,
-                       max_rounds: int = 64, strategy: str = "range") -> DataFrame:
+                       max_rounds: int = 64, strategy: str = "auto",
+                       max_group_rows: int | None = None) -> DataFrame:
     """Greedy TTL de-duplication: accept a message, suppress the same key for
     ``ttl`` (an entry expires exactly ``ttl`` after its write), accept the next
     message after that, and so on.  Returns the accepted rows.
@@ -118,10 +119,12 @@ def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
     Exact and distributed:
 
     1. ``nxt(m)``: the first message of m's key at or after ``m.ts + ttl``
-       (``strategy="range"``, default: per-key ranks over range partitions
-       and an equi-join on (key, rank), no bound even for a retry storm of
-       one key inside one TTL; ``strategy="bucket"``: window over messages and
-       probe rows partitioned by key and TTL bucket);
+       (``strategy="range"``: per-key ranks over range partitions and an
+       equi-join on (key, rank), no bound even for a retry storm of one key
+       inside one TTL; ``strategy="bucket"``: window over messages and probe
+       rows partitioned by key and TTL bucket; ``strategy="auto"``, default:
+       bucket unless the largest (key, bucket) group exceeds
+       ``max_group_rows``);
     2. accepted = head, nxt(head), nxt(nxt(head)), ...  Chain membership by
        pointer doubling: round r adds the 2^r-th successors of the members
        found so far and squares the jump table (joins on unique ids), so
@@ -138,6 +141,11 @@ def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
         base = cut_lineage(base)  # pin the generated ids
     msgs = base.select(F.col(key).alias("_k"), "_us", F.col(rid).alias("_rid")).where(F.col("_k").isNotNull())
     probes = msgs.select("_k", (F.col("_us") + F.lit(ttl_us)).alias("_us"), F.col("_rid").alias("_src"))
+    if strategy == "auto":
+        from .carry import AUTO_MAX_GROUP_ROWS, largest_group
+
+        biggest = largest_group(msgs, [F.col("_k"), F.floor(F.col("_us") / F.lit(ttl_us))])
+        strategy = "range" if 2 * biggest > (max_group_rows or AUTO_MAX_GROUP_ROWS) else "bucket"
     succ = _next_by_rank(msgs, probes) if strategy == "range" else _next_at_or_after(msgs, probes, ttl_us)
     jump = cut_lineage(succ.select(F.col("_src").alias("_rid"), F.col("_nxt").alias("_j")))
     reach = cut_lineage(msgs.groupBy("_k").agg(F.min_by("_rid", F.struct("_us", "_rid")).alias("_rid"))

@@ -38,11 +38,16 @@ def velocity_counts(
     customer: str = "customer_id",
     ts: str = "created_at",
     order_id: str = "order_id",
-    strategy: str = "range",
+    strategy: str = "auto",
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Add ``velocity_count``; NULL customers get 0 and are never counted.
 
-    ``strategy="range"`` (default): velocity = rank(order) - rank(probe at
+    ``strategy="auto"`` (default) measures the largest (customer, window
+    bucket) group with one partial aggregate and uses ``"bucket"`` unless
+    two buckets of one customer exceed ``max_group_rows`` (default
+    ``carry.AUTO_MAX_GROUP_ROWS``), else ``"range"``.
+    ``strategy="range"``: velocity = rank(order) - rank(probe at
     t - W) with prefix counts over range partitions (``carry.count_before``);
     no group is ever larger than a range, so a burst of orders from one
     customer (the case velocity scoring exists for) is spread over tasks.
@@ -50,9 +55,16 @@ def velocity_counts(
     bounded by one customer's orders within two window lengths; cheaper when
     no customer bursts.
     """
+    w_us = int(window_minutes) * 60 * 1_000_000
+    if strategy == "auto":
+        from .carry import AUTO_MAX_GROUP_ROWS, largest_group
+
+        limit = max_group_rows or AUTO_MAX_GROUP_ROWS
+        keyed = orders.where(F.col(customer).isNotNull())
+        biggest = largest_group(keyed, [F.col(customer), F.floor(epoch_micros(orders, ts) / F.lit(w_us))])
+        strategy = "range" if 2 * biggest > limit else "bucket"
     if strategy == "range":
         return _velocity_by_rank(orders, window_minutes, customer, ts, order_id)
-    w_us = int(window_minutes) * 60 * 1_000_000
     micros = epoch_micros(orders, ts)
     # NULL customers: each row its own partition, so they never group together.
     part_key = F.coalesce(F.col(customer), F.concat(F.lit("\u0000"), F.col(order_id).cast("string")))
@@ -107,7 +119,7 @@ def fraud_score(
     ts: str = "created_at",
     total: str = "total",
     order_id: str = "order_id",
-    strategy: str = "range",
+    strategy: str = "auto",
 ) -> DataFrame:
     """Score every order: the four parts, the capped score, action and reason."""
     t = F.col(total)

@@ -97,3 +97,16 @@ def test_velocity_strategies_agree(spark):
     a = {r.order_id: r.velocity_count for r in fraud.velocity_counts(df, 60, strategy="bucket").collect()}
     b = {r.order_id: r.velocity_count for r in fraud.velocity_counts(df, 60, strategy="range").collect()}
     assert a == b and max(a.values()) > 5
+
+
+def test_auto_strategy_switches_on_skew(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 600).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.when(F.col("id") % 4 == 0, F.lit("c")).otherwise(F.lit("hot")).alias("customer_id"),
+        (F.lit(T0) + F.make_dt_interval(secs=(F.col("id") * 3).cast("double"))).alias("created_at"),
+        F.lit(10).cast("decimal(12,2)").alias("total"))
+    small = {r.order_id: r.velocity_count for r in fraud.velocity_counts(df, 60, max_group_rows=50).collect()}
+    big = {r.order_id: r.velocity_count for r in fraud.velocity_counts(df, 60).collect()}
+    assert small == big
