@@ -54,6 +54,7 @@ def histogram_quantile(buckets: DataFrame, q: float, by: list[str] | None = None
     Works on the aggregated buckets only (a few rows per group).
     """
     by = by or []
+    # without groups the window spans one histogram: len(bounds) + 1 aggregated rows
     w = Window.partitionBy(*by).orderBy("le") if by else Window.orderBy("le")
     b = (
         buckets.withColumn("_prev_le", F.lag("le").over(w))
