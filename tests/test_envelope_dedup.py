@@ -118,3 +118,18 @@ def test_ttl_strategies_agree_with_retry_storm(spark):
     a = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 7, id_col="id", strategy="bucket").collect()}
     b = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 7, id_col="id", strategy="range").collect()}
     assert a == b and len(a) > 20
+
+
+def test_canary_edges_and_outbox_feed(spark):
+    from eventide.operators import tables
+
+    df = spark.range(500).select(F.col("id").cast("string").alias("key"))
+    assert faults.canary_split(df, 1.0).where("channel = 'main'").count() == 0
+    ob = spark.createDataFrame(
+        [("i1", "o1", "OrderCreated", '{"a":1}', dt.datetime(2024, 1, 1)),
+         ("i1", "o1", "OrderCreated", '{"a":1}', dt.datetime(2024, 1, 1)),
+         ("i2", "o2", "OrderShipped", '{"b":2}', dt.datetime(2024, 1, 2))],
+        "id string, aggregate_id string, type string, payload string, occurred_at timestamp")
+    feed = {r.key: r for r in tables.outbox_change_feed(ob).collect()}
+    assert len(feed) == 2 and feed["o1"].topic == "order.created" and feed["o2"].topic == "outbox.OrderShipped"
+    assert bytes(feed["o1"].headers[0]["value"]) == b"i1"
