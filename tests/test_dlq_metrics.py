@@ -139,3 +139,14 @@ def test_consumer_lag_and_paging(spark):
     assert (info.total_pages, info.has_next, info.has_previous) == (3, False, True)
     top = [r.id for r in orders.recent(o, "created_at", "id", 3).collect()]
     assert top == [248, 245, 242]
+
+
+def test_release_counting(spark):
+    res = spark.createDataFrame([("a", "r-a"), ("b", "r-b")], "order_id string, reservation_id string")
+    msgs = _cmd(spark, [("a", env({"orderId": "a"}), 1), ("c", env({"orderId": "c", "reservationId": "r-c"}), 2),
+                        ("d", env({"orderId": "d"}), 3), ("a", env({"orderId": "a"}), 4)])
+    remaining, released, results = listeners.apply_releases(res, msgs)
+    assert [r.order_id for r in remaining.collect()] == ["b"]
+    got = {r.order_id: (r.counted, r.reservation_id) for r in released.collect()}
+    assert got == {"a": (True, "r-a"), "c": (True, "r-c"), "d": (False, None)}  # duplicate "a" skipped
+    assert results.count() == 3

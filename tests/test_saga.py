@@ -120,3 +120,17 @@ def test_direct_state_equals_transition_state(spark):
     ra = sorted(tuple(str(r[c]) for c in cols) for r in a.collect())
     rb = sorted(tuple(str(r[c]) for c in cols) for r in b.collect())
     assert ra == rb
+
+
+def test_pending_inventory_timeout_refunds_and_default_address(spark):
+    t, s, _ = run(spark, [ev("a", "OrderCreated"), ev("a", "PaymentCompleted", "p1"), ev("a", "InventoryRequested"),
+                          ev("b", "OrderCreated", addr="  "), ev("b", "ShippingRequested")])
+    state = saga.saga_current_state(t)
+    new_state, cmds = saga.stuck_pending(state, T0 + dt.timedelta(hours=2))
+    got = {r.order_id: (r.state, r.failed_state) for r in new_state.collect()}
+    assert got["a"] == ("COMPENSATING", "INVENTORY_FAILED") and got["b"] == ("COMPENSATING", "SHIPPING_FAILED")
+    c = sorted((r.order_id, r.compensation_type, r.ref_id) for r in cmds.collect())
+    assert c == [("a", "CANCEL", None), ("a", "REFUND", "p1"), ("b", "CANCEL", None)]
+    req = t.where("event_type = 'ShippingRequested'").select("order_id", "seq")
+    addr = {r.order_id: r.address for r in saga.enrich_shipping_address(req, state).collect()}
+    assert addr == {"b": "Default Address - Please Update"}
