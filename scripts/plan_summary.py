@@ -29,7 +29,9 @@ def summary(df) -> str:
             rs = re.search(r"ReadSchema: (struct<[^>]*>)", ln)
             extra = f" pushed=[{(pf.group(1) if pf else '')[:80]}] schema={(rs.group(1) if rs else '')[:100]}"
         if op.startswith("Exchange"):
-            extra = " " + ln.strip()[len("Exchange"):][:90]
+            part = re.search(r"(hashpartitioning\([^)]*\)|rangepartitioning\([^)]*\)|RoundRobinPartitioning\(\d+\)|"
+                             r"SinglePartition)", ln)
+            extra = " " + (part.group(1) if part else "")
         lines.append(f"{m.group(1)}{op}{extra}")
     return "\n".join(lines)
 
