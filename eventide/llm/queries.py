@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, chat, decontaminate, dropout, linededup, tokencount, tokenfile
+from . import bottomk, chat, decontaminate, dropout, linededup, similarity, tokencount, tokenfile
 from .common import scratch, ship
 
 ORACLE: dict[str, str] = {}
@@ -18,6 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    return similarity.groups(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_near_dedup"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, edge.y FROM reach JOIN edge ON reach.r = edge.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside occurrences of benchmark windows."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -113,4 +132,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op4_token_counts, op5_merge_dropout, op7_fingerprints, op8_token_file, op9_line_dedup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op2_near_dedup, op3_decontamination, op4_token_counts, op5_merge_dropout, op7_fingerprints, op8_token_file, op9_line_dedup, op10_chat_formatting)}
