@@ -11,17 +11,28 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventide.llm import decontaminate, dropout, linededup
+from eventide.llm import decontaminate, dropout, linededup, similarity, toxicity
 from eventide.llm.common import materialize, ship
 from eventide.llm.queries import table
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are scored toxic go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that recur across documents; every document stays."""
     ship(spark)
     return linededup.drop_repeated_lines(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    ship(spark)
+    return similarity.drop_near_duplicates(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -34,7 +45,9 @@ def subword_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
+    ("toxicity", toxicity_filter),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("decontamination", decontamination),
     ("subword_encoding", subword_encoding),
 ]

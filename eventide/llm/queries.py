@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, chat, decontaminate, dropout, linededup, similarity, tokencount, tokenfile
+from . import bottomk, chat, decontaminate, dropout, linededup, lmscore, similarity, tokencount, tokenfile, toxicity
 from .common import scratch, ship
 
 ORACLE: dict[str, str] = {}
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of all documents under a network trained on them."""
+    return lmscore.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return similarity.groups(table(spark, sf_dir, "documents"))
@@ -78,6 +83,11 @@ def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dropout.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from labels that are not held out."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k fingerprints of every text and of its edited text, compared."""
     return bottomk.edited_pairs(table(spark, sf_dir, "documents"))
@@ -132,4 +142,4 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-QUERIES = {f.__name__: f for f in (op2_near_dedup, op3_decontamination, op4_token_counts, op5_merge_dropout, op7_fingerprints, op8_token_file, op9_line_dedup, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_near_dedup, op3_decontamination, op4_token_counts, op5_merge_dropout, op6_toxicity, op7_fingerprints, op8_token_file, op9_line_dedup, op10_chat_formatting)}
