@@ -128,3 +128,6 @@ REASON_OUT_OF_STOCK = "Inventory out of stock"
 REASON_UNKNOWN_SHIPPING = "Unknown shipping status: "
 CURRENCY_DEFAULT = "USD"
 CUSTOMER_DEFAULT = "N/A"
+
+# dead-letter record header that holds the cause (fixed value)
+EXCEPTION_HEADER = "x-exception-message"

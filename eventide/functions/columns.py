@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import codes
+from .json_fields import blank
 
 UUID_REGEX = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
@@ -72,8 +73,8 @@ def saga_strategy(state: Column | str) -> Column:
 # ---- money ----------------------------------------------------------------
 
 def money(col: Column | str, precision: int = 12) -> Column:
-    """Scale 2, HALF_UP (Spark decimal rounding is HALF_UP)."""
-    return F.round(_c(col).cast(f"decimal({precision + 1},3)"), 2).cast(f"decimal({precision},2)")
+    """Scale 2, HALF_UP, in one rounding of the exact value (a double counts as its shortest decimal text)."""
+    return F.round(_c(col).cast("decimal(38,18)"), 2).cast(f"decimal({precision},2)")
 
 
 # ---- identifiers and topics -----------------------------------------------
@@ -101,7 +102,7 @@ def result_key(order_id: Column | str, payload: Column | str) -> Column:
 
 def default_address(addr: Column | str) -> Column:
     c = _c(addr)
-    return F.coalesce(F.when(F.trim(c) != "", c), F.lit(codes.DEFAULT_ADDRESS))
+    return F.coalesce(F.when(~blank(c), c), F.lit(codes.DEFAULT_ADDRESS))
 
 
 def unit_draw(key: Column | str, salt: str = "") -> Column:

@@ -44,9 +44,9 @@ def unwrap_payload(value: Column | str) -> Column:
 
 
 def blank(col: Column | str) -> Column:
-    """NULL or only whitespace."""
+    """NULL or only whitespace (of any kind)."""
     c = _c(col)
-    return c.isNull() | (F.trim(c) == "")
+    return c.isNull() | c.rlike(r"^\s*$")
 
 
 def non_blank(col: Column | str) -> Column:

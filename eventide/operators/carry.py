@@ -21,17 +21,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# One window group beyond this many rows is treated as skewed (strategy="auto").
-AUTO_MAX_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, cols: list[Column]) -> int:
-    """Row count of the largest group of ``cols`` (one partial aggregate; only
-    the scalar reaches the driver)."""
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
-    return int(g["m"] or 0)
-
-
 def carry_last_before(df: DataFrame, key: str, order: str, values: dict[str, tuple[Column, Column]],
                       num_ranges: int | None = None) -> DataFrame:
     """Add one column per ``values`` item: ``name -> (flag, value)``; the new
@@ -62,25 +51,3 @@ def carry_last_before(df: DataFrame, key: str, order: str, values: dict[str, tup
         out = out.withColumn(name, F.coalesce(F.col(f"_l_{name}"), F.col(f"_i_{name}"))["v"])
     drop = ["_rng"] + [f"_{p}_{name}" for name in values for p in ("t", "l", "i")]
     return out.drop(*drop)
-
-
-def count_before(df: DataFrame, key: str, order: list[str], flag: Column, out: str = "rank",
-                 num_ranges: int | None = None) -> DataFrame:
-    """Add ``out``: number of rows of the same key that come strictly before
-    the row in ``order`` and satisfy ``flag`` (a prefix count per key).
-
-    Same split as ``carry_last_before``: range partitions on (key, order)
-    (checkpointed), a running count inside each (key, range), plus the flagged
-    rows of the key's earlier ranges from a per-range aggregate."""
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = df.withColumn("_f", flag.cast("long"))
-    ranged = cut_lineage(tagged.repartitionByRange(n, key, *order).withColumn("_rng", F.spark_partition_id()))
-    w_in = Window.partitionBy(key, "_rng").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_lc", F.coalesce(F.sum("_f").over(w_in), F.lit(0)))
-    per = ranged.groupBy(key, "_rng").agg(F.sum("_f").alias("_pc"))
-    w_rng = Window.partitionBy(key).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    carry_in = per.select(key, "_rng", F.coalesce(F.sum("_pc").over(w_rng), F.lit(0)).alias("_ic"))
-    res = local.join(carry_in, [key, "_rng"], "left")
-    return res.withColumn(out, (F.col("_lc") + F.coalesce(F.col("_ic"), F.lit(0))).cast("bigint")).drop(
-        "_f", "_rng", "_lc", "_ic")

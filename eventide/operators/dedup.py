@@ -6,18 +6,19 @@ partial, so even a key that carries a third of all rows is reduced map-side
 and only one row per (task, key) is shuffled.
 
 ``dedup_outbound_ttl`` (accept a key, suppress it for ``ttl``, accept the
-next one after that, ...) is sequential per key.  Batch form: at most one
-message per key is accepted in any ``ttl``-long window.  Each message's
-candidate successor (first message at or after its time + ttl) is found by
-per-key ranks, then the chain from each key's first message is resolved by
-pointer doubling, i.e. log2(chain length) rounds of joins on unique ids; no
-key's rows are ever collected into one task.  Streaming form:
+next one after that, ...) is sequential per key.  A message whose predecessor
+of the same key is at least one TTL older is always accepted: it heads a run.
+Only runs of several messages need the chain head, first message a TTL later,
+and so on; it is resolved by pointer doubling over the messages of those runs,
+until nothing is added.  Neighbours are looked up in grains of ``ttl / GRAINS``
+(window groups of one key's messages in one grain) and, across grains, in one
+aggregate row per key and grain.  Streaming form:
 ``streaming.stateful.outbound_ttl_dedup_stream``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros
@@ -36,12 +37,8 @@ def dedup_first_seen(
     columns); keys in it are dropped entirely (``left_anti``).  Rows whose key
     is NULL have no idempotency key and pass through untouched.
 
-    One aggregation does both: keyed rows group by (scope, key) and keep
-    ``min_by``; each keyless row gets a unique group of its own (a
-    per-task row id, unique whatever order a retried task reads in), so even
-    a flood of identical keyless copies is never gathered into one group.
-    The input is read once (no union of two filtered copies) and the
-    aggregate stays partial (map-side combined).
+    Keyed rows are one partial aggregate (``min_by``); keyless rows bypass it,
+    so nothing depends on an id made up while the job runs.
     """
     keys = (scope_cols or []) + key_cols
     cols = df.columns
@@ -51,116 +48,83 @@ def dedup_first_seen(
     for k in key_cols:
         null_key = F.col(k).isNull() if null_key is None else (null_key | F.col(k).isNull())
     row = F.struct(*[F.col(c) for c in cols])
-    tagged = df.withColumn("_nk", F.when(null_key, F.monotonically_increasing_id()))
-    grouped = tagged.groupBy(*keys, "_nk").agg(
-        F.min_by(row, F.struct(*[F.col(c) for c in order_cols])).alias("_r"))
-    return grouped.select("_r.*")
+    grouped = df.where(~null_key).groupBy(*keys).agg(F.min_by(row, F.struct(*[F.col(c) for c in order_cols])).alias("_r"))
+    return grouped.select("_r.*").unionByName(df.where(null_key))
 
 
-def _next_at_or_after(msgs: DataFrame, probes: DataFrame, bucket_us: int) -> DataFrame:
-    """For each probe (_k, _us, _src): id of the first message of key _k with
-    time >= _us (ties by id), or NULL.
+#: grains of a TTL; divides any whole number of seconds in microseconds
+GRAINS = 64
 
-    Messages and probes are partitioned by (key, time bucket); a probe whose
-    bucket holds no later message takes the first message of the key's next
-    non-empty bucket, found on the per-(key, bucket) minima only.
-    """
-    rid_t = msgs.schema["_rid"].dataType
-    m = msgs.withColumn("_bk", F.floor(F.col("_us") / F.lit(bucket_us)))
-    p = probes.withColumn("_bk", F.floor(F.col("_us") / F.lit(bucket_us)))
-    both = p.select("_k", "_bk", "_us", F.lit(0).alias("_kind"), "_src", F.lit(None).cast(rid_t).alias("_rid")
-                    ).unionByName(
-        m.select("_k", "_bk", "_us", F.lit(1).alias("_kind"), F.lit(None).cast(p.schema["_src"].dataType)
-                 .alias("_src"), "_rid"))
-    w = (Window.partitionBy("_k", "_bk").orderBy("_us", "_kind", "_rid")
-         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    in_bucket = both.withColumn("_nxt", F.first("_rid", ignorenulls=True).over(w)).where(F.col("_kind") == 0)
-    # first message of each non-empty (key, bucket); for every probe bucket the
-    # first message of the next non-empty bucket strictly after it.  This
-    # window runs on per-bucket minima (<= 2 rows per key and bucket).
-    firsts = m.groupBy("_k", "_bk").agg(F.min_by("_rid", F.struct("_us", "_rid")).alias("_first"))
-    marks = in_bucket.select("_k", "_bk").distinct().select(
-        "_k", "_bk", F.lit(0).alias("_kind"), F.lit(None).cast(rid_t).alias("_first"))
-    fill = firsts.select("_k", "_bk", F.lit(1).alias("_kind"), "_first").unionByName(marks)
-    wf = Window.partitionBy("_k").orderBy("_bk", F.col("_kind").desc()).rowsBetween(1, Window.unboundedFollowing)
-    after = (fill.withColumn("_after", F.first("_first", ignorenulls=True).over(wf))
-             .where(F.col("_kind") == 0).select("_k", "_bk", "_after"))
-    return in_bucket.join(after, ["_k", "_bk"], "left").select(
-        "_src", F.coalesce("_nxt", "_after").alias("_nxt"))
-
-
-def _next_by_rank(msgs: DataFrame, probes: DataFrame) -> DataFrame:
-    """Same result as ``_next_at_or_after`` with no time-bucket bound: the
-    successor of a probe is the message whose rank within its key equals the
-    number of the key's messages before the probe time (prefix counts over
-    range partitions, then an equi-join on (key, rank))."""
-    from .carry import count_before
-
-    rid_t = msgs.schema["_rid"].dataType
-    pts = msgs.select("_k", "_us", F.lit(0).alias("_kind"), F.col("_rid").alias("_ord"),
-                      F.col("_rid").alias("_rid"), F.lit(None).cast(probes.schema["_src"].dataType).alias("_src")
-                      ).unionByName(
-        probes.select("_k", "_us", F.lit(-1).alias("_kind"), F.lit(None).cast(rid_t).alias("_ord"),
-                      F.lit(None).cast(rid_t).alias("_rid"), "_src"))
-    # probes sort before messages of the same instant: successor time is >= probe time
-    ranked = count_before(pts, "_k", ["_us", "_kind", "_ord"], F.col("_kind") == 0, "_rank")
-    m = ranked.where(F.col("_kind") == 0).select("_k", "_rank", F.col("_rid").alias("_nxt"))
-    p = ranked.where(F.col("_kind") == -1).select("_k", "_rank", "_src")
-    return p.join(m, ["_k", "_rank"], "left").select("_src", "_nxt")
-
-
-def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600, id_col: str | None = None,
-                       max_rounds: int = 64, strategy: str = "auto",
-                       max_group_rows: int | None = None) -> DataFrame:
+
+def _grain(us: Column, ttl_us: int) -> Column:
+    return us - F.pmod(us, F.lit(ttl_us // GRAINS))
+
+
+def _with_neighbours(msgs: DataFrame, ttl_us: int) -> DataFrame:
+    """Adds _prev and _next: times of the key's neighbouring messages, where they are less than a TTL away
+    (else NULL or a time farther away)."""
+    grains = msgs.where(F.col("_k").isNotNull()).groupBy("_k", "_g").agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+    w = Window.partitionBy("_k").orderBy("_g")
+    around = grains.select(
+        "_k", "_g", F.max("_hi").over(w.rangeBetween(-ttl_us, -1)).alias("_before"),
+        F.min("_lo").over(w.rangeBetween(1, ttl_us)).alias("_after"))
+    own = Window.partitionBy("_k", "_g").orderBy("_us", "_rid")
+    local = msgs.withColumn("_prev", F.lag("_us").over(own)).withColumn("_next", F.lead("_us").over(own))
+    out = local.join(around, ["_k", "_g"], "left")
+    return out.withColumn("_prev", F.coalesce("_prev", "_before")).withColumn("_next", F.coalesce("_next", "_after")).drop("_before", "_after")
+
+
+def _first_after(msgs: DataFrame, ttl_us: int) -> DataFrame:
+    """(_rid, _j): the key's first message at or after a TTL past each message, looked for one TTL long
+    (what comes later heads a run of its own)."""
+    none = F.lit(None).cast(msgs.schema["_rid"].dataType)
+    late = F.col("_us") + F.lit(ttl_us)
+    probes = msgs.select("_k", late.alias("_us"), _grain(late, ttl_us).alias("_g"), F.lit(0).alias("_kind"), F.col("_rid").alias("_src"), none.alias("_rid"))
+    both = probes.unionByName(msgs.select("_k", "_us", "_g", F.lit(1).alias("_kind"), none.alias("_src"), "_rid"))
+    follow = Window.partitionBy("_k", "_g").orderBy("_us", "_kind", "_rid").rowsBetween(0, Window.unboundedFollowing)
+    found = both.withColumn("_j", F.first("_rid", ignorenulls=True).over(follow)).where(F.col("_kind") == 0)
+    firsts = both.groupBy("_k", "_g").agg(F.min(F.when(F.col("_kind") == 1, F.struct("_us", "_rid"))).alias("_first"))
+    after = firsts.select("_k", "_g", F.min("_first").over(Window.partitionBy("_k").orderBy("_g").rangeBetween(1, ttl_us)).alias("_after"))
+    return found.join(after, ["_k", "_g"], "left").select(F.col("_src").alias("_rid"), F.coalesce("_j", "_after._rid").alias("_j"))
+
+
+def dedup_outbound_ttl(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
+                       id_cols: list[str] | None = None) -> DataFrame:
     """Greedy TTL de-duplication: accept a message, suppress the same key for
     ``ttl`` (an entry expires exactly ``ttl`` after its write), accept the next
-    message after that, and so on.  Returns the accepted rows.
-
-    Exact and distributed:
-
-    1. ``nxt(m)``: the first message of m's key at or after ``m.ts + ttl``
-       (``strategy="range"``: per-key ranks over range partitions and an
-       equi-join on (key, rank), no bound even for a retry storm of one key
-       inside one TTL; ``strategy="bucket"``: window over messages and probe
-       rows partitioned by key and TTL bucket; ``strategy="auto"``, default:
-       bucket unless the largest (key, bucket) group exceeds
-       ``max_group_rows``);
-    2. accepted = head, nxt(head), nxt(nxt(head)), ...  Chain membership by
-       pointer doubling: round r adds the 2^r-th successors of the members
-       found so far and squares the jump table (joins on unique ids), so
-       log2(chain length) rounds suffice.  Each round is checkpointed to the
-       shared checkpoint folder so lineage stays short.
+    message after that, and so on.  Returns the accepted rows; rows without a
+    key are all accepted.
+
+    ``id_cols`` together are unique per message and order messages of one
+    instant (default topic, partition, offset: an offset alone repeats).
+    The messages of runs, and each doubling round over them, are checkpointed
+    to the shared folder.
     """
     from ..session import cut_lineage
 
+    ids = id_cols or ["topic", "partition", "offset"]
     ttl_us = int(ttl_seconds) * 1_000_000
-    rid = id_col or "_id"
-    base = df if id_col else df.withColumn("_id", F.monotonically_increasing_id())
-    base = base.withColumn("_us", epoch_micros(df, ts))
-    if not id_col:
-        base = cut_lineage(base)  # pin the generated ids
-    msgs = base.select(F.col(key).alias("_k"), "_us", F.col(rid).alias("_rid")).where(F.col("_k").isNotNull())
-    probes = msgs.select("_k", (F.col("_us") + F.lit(ttl_us)).alias("_us"), F.col("_rid").alias("_src"))
-    if strategy == "auto":
-        from .carry import AUTO_MAX_GROUP_ROWS, largest_group
-
-        biggest = largest_group(msgs, [F.col("_k"), F.floor(F.col("_us") / F.lit(ttl_us))])
-        strategy = "range" if 2 * biggest > (max_group_rows or AUTO_MAX_GROUP_ROWS) else "bucket"
-    succ = _next_by_rank(msgs, probes) if strategy == "range" else _next_at_or_after(msgs, probes, ttl_us)
-    jump = cut_lineage(succ.select(F.col("_src").alias("_rid"), F.col("_nxt").alias("_j")))
-    reach = cut_lineage(msgs.groupBy("_k").agg(F.min_by("_rid", F.struct("_us", "_rid")).alias("_rid"))
-                        .select("_rid"))
-    size = reach.count()
-    for _ in range(max_rounds):
-        step = reach.join(jump, "_rid").where(F.col("_j").isNotNull()).select(F.col("_j").alias("_rid"))
-        grown = cut_lineage(reach.unionByName(step).distinct())
-        new_size = grown.count()  # cheap: reads the checkpoint
-        if new_size == size:
+    us = epoch_micros(df, ts)
+    base = df.withColumn("_k", F.col(key)).withColumn("_us", us).withColumn("_rid", F.struct(*ids))
+    base = base.withColumn("_g", F.when(F.col("_k").isNull(), F.xxhash64("_rid")).otherwise(_grain(F.col("_us"), ttl_us)))
+    near = _with_neighbours(base, ttl_us)
+    head = F.col("_k").isNull() | F.col("_prev").isNull() | (F.col("_prev") <= F.col("_us") - F.lit(ttl_us))
+    near = near.withColumn("_head", head)
+    alone = F.col("_head") & (F.col("_k").isNull() | F.col("_next").isNull() | (F.col("_next") >= F.col("_us") + F.lit(ttl_us)))
+    runs = cut_lineage(near.where(~alone).select("_k", "_us", "_g", "_rid", "_head"))
+    followers = runs.where(~F.col("_head")).select(F.col("_rid").alias("_j"))
+    jump = cut_lineage(_first_after(runs, ttl_us).join(followers, "_j").select("_rid", "_j"))
+    reach = runs.where("_head").select("_rid")
+    size = 0
+    while True:
+        step = reach.join(jump, "_rid").select(F.col("_j").alias("_rid"))
+        reach = cut_lineage(reach.unionByName(step).distinct())
+        grown = reach.count()  # reads the checkpoint
+        if grown == size:
             break
-        reach, size = grown, new_size
-        jump = cut_lineage(jump.alias("a").join(jump.alias("b"), F.col("a._j") == F.col("b._rid"), "left").select(
+        size = grown
+        jump = cut_lineage(jump.alias("a").join(jump.alias("b"), F.col("a._j") == F.col("b._rid")).select(
             F.col("a._rid").alias("_rid"), F.col("b._j").alias("_j")))
-    accepted = base.join(reach.select(F.col("_rid").alias(rid)), rid, "left_semi")
-    keyless = base.where(F.col(key).isNull())
-    out = accepted.unionByName(keyless)
-    return out.drop("_us", *([] if id_col else ["_id"]))
+    later = reach.join(followers.select(F.col("_j").alias("_rid")), "_rid", "left_semi").withColumn("_kept", F.lit(True))
+    out = near.join(later, "_rid", "left").where(F.col("_head") | F.col("_kept"))
+    return out.select(*df.columns)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import codes
 from ..functions.columns import dlt_origin, is_dlt_topic
 
 
@@ -77,7 +78,7 @@ def header_text(headers_col: str, name: str):
     return F.element_at(hit, 1)["value"].cast("string")
 
 
-def dlt_causes(records: DataFrame, header: str = "x-exception-message") -> DataFrame:
+def dlt_causes(records: DataFrame, header: str = codes.EXCEPTION_HEADER) -> DataFrame:
     """Dead letters grouped by the exception message header."""
     src = records.where(is_dlt_topic("topic"))
     return src.groupBy(header_text("headers", header).alias("cause")).agg(F.count(F.lit(1)).alias("cnt"))

@@ -20,7 +20,6 @@ from ..functions.json_fields import json_text
 RULE_FIELDS = ["p_drop", "p_dup", "max_delay_ms", "p_corrupt"]
 RULES_SCHEMA = "key string, p_drop double, p_dup double, max_delay_ms int, p_corrupt double"
 RULES_JSON_SCHEMA = "map<string, struct<pDrop:double, pDup:double, maxDelayMs:int, pCorrupt:double>>"
-BROADCAST_MAX_ROWS = 100_000
 
 
 def read_rules_json(df: DataFrame, col: str = "rules_json") -> DataFrame:
@@ -57,15 +56,9 @@ def merge_rules(current: DataFrame, changes: DataFrame) -> DataFrame:
     return kept_old.unionByName(new_rows)
 
 
-def _checked_broadcast(rules: DataFrame) -> DataFrame:
-    """Broadcast the rules only when they are provably small."""
-    n = rules.count()
-    return F.broadcast(rules) if n <= BROADCAST_MAX_ROWS else rules
-
-
 def resolve_fault_rule(df: DataFrame, rules: DataFrame, topic: str = "topic", type_col: Column | None = None) -> DataFrame:
     """Rule by ``topic:<t>``, else ``type:<y>``, else all zeros (whole structs)."""
-    r = _checked_broadcast(rules)
+    r = rules
     rs = lambda prefix: r.select(
         F.col("key").alias(f"_{prefix}_key"),
         F.struct(*RULE_FIELDS).alias(f"_{prefix}_rule"))

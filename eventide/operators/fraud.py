@@ -3,20 +3,19 @@ order admission, review decisions and counters.
 
 Velocity is the number of the customer's *earlier* orders whose time lies in
 the trailing window ``(t - W, t)``; orders at the same instant count as
-earlier when their id sorts first.  The count is exact.  By default it is a
-difference of per-customer ranks (see ``velocity_counts``); the bucketed
-form uses window functions only:
-
-* each order is kept in its time bucket ``floor(t / W)`` and copied once, as a
-  ghost, into the next bucket, so every order's window lies entirely inside
-  its own (customer, bucket) partition;
-* a RANGE frame of ``W - 1`` microseconds counts the partition rows in
-  ``(t - W, t]``; same-instant peers with a larger or equal id are taken off.
-
-Partitioning by (customer, bucket) instead of customer bounds one window
-group by one customer's orders within two buckets, so a very active customer
-is spread over as many tasks as it has active buckets; the data is doubled
-once and shuffled once (both windows share the partitioning).
+earlier when their id sorts first.  The count is exact and needs one plan for
+any distribution.  Time is cut into grains of ``W / GRAINS``:
+
+* whole grains between the window's two ends come from counts per
+  (customer, grain), a partial aggregate, summed by a RANGE frame over those
+  few rows;
+* within its own grain an order counts the orders before it;
+* at the window's far end it takes off the orders that have left the window:
+  each order is copied once, as a ghost, to one window length later, where it
+  meets the orders of that grain.
+
+So a window group holds one customer's orders of a single grain (and as many
+ghosts), and a busy customer is spread over as many tasks as it has grains.
 """
 
 from __future__ import annotations
@@ -32,83 +31,44 @@ def _dec(x) -> Column:
     return F.lit(x).cast("decimal(12,2)")
 
 
+#: grains of a velocity window; divides any whole number of minutes in microseconds
+GRAINS = 64
+
+
 def velocity_counts(
     orders: DataFrame,
     window_minutes: int = codes.FRAUD_VELOCITY_WINDOW_MINUTES,
     customer: str = "customer_id",
     ts: str = "created_at",
     order_id: str = "order_id",
-    strategy: str = "auto",
-    max_group_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``velocity_count``; NULL customers get 0 and are never counted.
-
-    ``strategy="auto"`` (default) measures the largest (customer, window
-    bucket) group with one partial aggregate and uses ``"bucket"`` unless
-    two buckets of one customer exceed ``max_group_rows`` (default
-    ``carry.AUTO_MAX_GROUP_ROWS``), else ``"range"``.
-    ``strategy="range"``: velocity = rank(order) - rank(probe at
-    t - W) with prefix counts over range partitions (``carry.count_before``);
-    no group is ever larger than a range, so a burst of orders from one
-    customer (the case velocity scoring exists for) is spread over tasks.
-    ``strategy="bucket"``: one shuffle on (customer, time bucket), groups
-    bounded by one customer's orders within two window lengths; cheaper when
-    no customer bursts.
-    """
+    """Add ``velocity_count``; NULL customers get 0 and are never counted."""
     w_us = int(window_minutes) * 60 * 1_000_000
-    if strategy == "auto":
-        from .carry import AUTO_MAX_GROUP_ROWS, largest_group
-
-        limit = max_group_rows or AUTO_MAX_GROUP_ROWS
-        keyed = orders.where(F.col(customer).isNotNull())
-        biggest = largest_group(keyed, [F.col(customer), F.floor(epoch_micros(orders, ts) / F.lit(w_us))])
-        strategy = "range" if 2 * biggest > limit else "bucket"
-    if strategy == "range":
-        return _velocity_by_rank(orders, window_minutes, customer, ts, order_id)
-    micros = epoch_micros(orders, ts)
-    # NULL customers: each row its own partition, so they never group together.
-    part_key = F.coalesce(F.col(customer), F.concat(F.lit("\u0000"), F.col(order_id).cast("string")))
-    base = orders.withColumn("_us", micros).withColumn("_pk", part_key)
-    base = base.withColumn("_b", F.floor(F.col("_us") / F.lit(w_us)).cast("bigint"))
-    real = base.withColumn("_real", F.lit(True))
-    ghost = base.select(
-        *[F.col(c) for c in base.columns if c != "_b"],
-        (F.col("_b") + 1).alias("_b"),
-    ).withColumn("_real", F.lit(False)).where(F.col(customer).isNotNull())
-    both = real.unionByName(ghost)
-    w_range = Window.partitionBy("_pk", "_b").orderBy("_us").rangeBetween(-(w_us - 1), 0)
-    w_peers = (
-        Window.partitionBy("_pk", "_b", "_us")
-        .orderBy(F.col(order_id))
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    )
-    counted = both.withColumn(
-        "velocity_count",
-        F.when(
-            F.col(customer).isNull(), F.lit(0).cast("bigint")
-        ).otherwise(F.count(F.lit(1)).over(w_range) - F.count(F.lit(1)).over(w_peers)),
-    )
-    return counted.where("_real").drop("_us", "_pk", "_b", "_real")
+    width = w_us // GRAINS
+    known = F.col(customer).isNotNull()
 
+    def grain(us: Column) -> Column:
+        return us - F.pmod(us, F.lit(width))
 
-def _velocity_by_rank(orders: DataFrame, window_minutes: int, customer: str, ts: str, order_id: str) -> DataFrame:
-    from .carry import count_before
-
-    w_us = int(window_minutes) * 60 * 1_000_000
     base = orders.withColumn("_us", epoch_micros(orders, ts))
-    keyed = base.where(F.col(customer).isNotNull())
-    # order rows (kind 0) and probes at t - W (kind 1, after same-instant orders)
-    pts = keyed.select(F.col(customer).alias("_c"), "_us", F.lit(0).alias("_kind"),
-                       F.col(order_id).cast("string").alias("_id")).unionByName(
-        keyed.select(F.col(customer).alias("_c"), (F.col("_us") - F.lit(w_us)).alias("_us"), F.lit(1).alias("_kind"),
-                     F.col(order_id).cast("string").alias("_id")))
-    ranked = count_before(pts, "_c", ["_us", "_kind", "_id"], F.col("_kind") == 0, "_r")
-    vel = ranked.groupBy("_id").agg(
-        (F.sum(F.when(F.col("_kind") == 0, F.col("_r"))) - F.sum(F.when(F.col("_kind") == 1, F.col("_r"))))
-        .cast("bigint").alias("velocity_count"))
-    out = base.join(vel, base[order_id].cast("string") == vel["_id"], "left").drop("_id")
-    return out.withColumn("velocity_count", F.when(F.col(customer).isNull(), F.lit(0).cast("bigint"))
-                          .otherwise(F.col("velocity_count"))).drop("_us")
+    counts = base.where(known).groupBy(customer, grain(F.col("_us")).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    whole = F.sum("_n").over(Window.partitionBy(customer).orderBy("_g").rangeBetween(-w_us, -1))
+    counts = counts.select(customer, "_g", F.coalesce(whole, F.lit(0)).alias("_whole"))
+
+    def place(real: bool, us: Column, g: Column) -> Column:
+        return F.struct(F.lit(real).alias("real"), us.alias("us"), g.alias("g"))
+
+    us = F.col("_us")
+    # orders without a customer go apart, each by its id
+    places = F.when(known, F.array(place(True, us, grain(us)), place(False, us + w_us, grain(us + w_us)))).otherwise(
+        F.array(place(True, us, F.xxhash64(order_id))))
+    both = base.withColumn("_at", F.explode(places)).withColumn("_g", F.col("_at.g"))
+    before = Window.partitionBy(customer, "_g").orderBy("_at.us", "_at.real", order_id).rowsBetween(
+        Window.unboundedPreceding, -1)
+    gained = F.coalesce(F.sum(F.when(F.col("_at.real"), 1).otherwise(-1)).over(before), F.lit(0))
+    rows = both.withColumn("_gained", gained).where("_at.real").join(counts, [customer, "_g"], "left")
+    velocity = F.when(known, F.coalesce("_whole", F.lit(0)) + F.col("_gained")).otherwise(0).cast("bigint")
+    return rows.select(*orders.columns, velocity.alias("velocity_count"))
 
 
 def fraud_score(
@@ -119,7 +79,6 @@ def fraud_score(
     ts: str = "created_at",
     total: str = "total",
     order_id: str = "order_id",
-    strategy: str = "auto",
 ) -> DataFrame:
     """Score every order: the four parts, the capped score, action and reason."""
     t = F.col(total)
@@ -140,7 +99,7 @@ def fraud_score(
     lo, hi = codes.FRAUD_OFF_HOURS
     off_score = F.when(F.hour(ts).between(lo, hi), F.lit(codes.FRAUD_OFF_HOURS_SCORE)).otherwise(F.lit(0))
 
-    scored = velocity_counts(orders, window_minutes, customer, ts, order_id, strategy).select(
+    scored = velocity_counts(orders, window_minutes, customer, ts, order_id).select(
         "*",
         value_score.alias("value_score"),
         velocity_score.alias("velocity_score"),

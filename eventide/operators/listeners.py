@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.columns import order_is_terminal, valid_uuid
-from ..functions.json_fields import with_json
+from ..functions.json_fields import blank, with_json
 from .dedup import dedup_first_seen
 
 
@@ -74,9 +74,10 @@ def apply_cancellations(orders: DataFrame, msgs: DataFrame, seq: str = "offset")
     ``Cancelled: <reason>``; results ``{orderId, ORDER_CANCEL, success, order-api}``.
     Invalid UUID or unparsable message -> success=false; blank id -> no result."""
     p = _parse_command(msgs, "order.cancel", None, seq)
-    p = p.where(~(F.col("_ok") & (F.col("_oid").isNull() | (F.trim("_oid") == ""))))
+    p = p.where(~(F.col("_ok") & blank("_oid")))
     good = p.where(F.col("_ok") & valid_uuid("_oid"))
-    cancel = good.select(F.col("_oid").alias("id"), F.col("_reason").alias("_creason"))
+    # the first message of an order decides; a later one finds it cancelled
+    cancel = good.groupBy(F.col("_oid").alias("id")).agg(F.min_by("_reason", "_seq").alias("_creason"))
     j = orders.join(cancel, "id", "left")
     hit = F.col("_creason").isNotNull() & ~order_is_terminal("status")
     new_orders = j.withColumn("review_reason", F.when(hit, F.concat(F.lit(codes.REASON_CANCEL_PREFIX),
@@ -95,7 +96,7 @@ def apply_refunds(payment_status: DataFrame, msgs: DataFrame, seq: str = "offset
     CHARGED -> REFUNDED; already REFUNDED / other / unknown -> unchanged;
     result success=true for every parsable message with an order id."""
     p = _parse_command(msgs, "payment.refund", "paymentId", seq)
-    p = p.where(~(F.col("_ok") & (F.col("_oid").isNull() | (F.trim("_oid") == ""))))
+    p = p.where(~(F.col("_ok") & blank("_oid")))
     good = p.where("_ok").select(F.col("_oid").alias("order_id"), F.lit(True).alias("_refund"))
     j = payment_status.join(good.distinct(), "order_id", "left")
     new_status = j.withColumn("status", F.when(F.col("_refund") & (F.col("status") == codes.PAYMENT_OK),
@@ -109,14 +110,16 @@ def apply_refunds(payment_status: DataFrame, msgs: DataFrame, seq: str = "offset
 
 def apply_releases(reservations: DataFrame, msgs: DataFrame,
                    seq: str = "offset") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``inventory.release``: the reservation of the order is removed; a release
-    is counted when a reservation was known or an id was given.
+    """``inventory.release``: the order's first message removes its reservation;
+    a release is counted when it removed one or an id was given.
     Returns (remaining reservations, release rows, result rows)."""
     p = _parse_command(msgs, "inventory.release", "reservationId", seq)
     p = p.where(~(F.col("_ok") & F.col("_oid").isNull()))
     good = p.where("_ok")
-    known = reservations.select(F.col("order_id").alias("_oid"), F.col("reservation_id").alias("_known"))
-    g = good.join(known, "_oid", "left")
+    known = reservations.select(F.col("order_id").alias("_oid"), F.col("reservation_id").alias("_held"))
+    first = good.groupBy("_oid").agg(F.min("_seq").alias("_first"))
+    g = good.join(first, "_oid").join(known, "_oid", "left")
+    g = g.withColumn("_known", F.when(F.col("_seq") == F.col("_first"), F.col("_held")))
     released = g.select(F.col("_oid").alias("order_id"), F.col("_seq").alias("seq"),
                         (F.col("_known").isNotNull() | F.col("_ref").isNotNull()).alias("counted"),
                         F.coalesce("_ref", "_known").alias("reservation_id"))

@@ -17,16 +17,21 @@ def _order(df: DataFrame, ts: str, key: str):
     return df.orderBy(F.col(ts).desc(), F.col(key).desc())
 
 
+def _paging(page: int, size: int) -> tuple[int, int]:
+    if int(page) < 0 or int(size) < 1:
+        raise ValueError(f"page must not be negative and size must be positive: {page}, {size}")
+    return int(page), min(int(size), MAX_PAGE_SIZE)
+
+
 def orders_page(df: DataFrame, page: int = 0, size: int = 20, ts: str = "created_at", key: str = "id") -> DataFrame:
-    """One page by created_at desc; size capped at 100 as the API does."""
-    size = max(1, min(int(size), MAX_PAGE_SIZE))
-    page = max(0, int(page))
+    """One page by created_at desc; size capped at 100 as the API does, other bad arguments are refused."""
+    page, size = _paging(page, size)
     return _order(df, ts, key).offset(page * size).limit(size)
 
 
 def orders_page_info(df: DataFrame, page: int = 0, size: int = 20) -> DataFrame:
     """Totals of the paging response: total elements/pages, hasNext, hasPrevious."""
-    size = max(1, min(int(size), MAX_PAGE_SIZE))
+    page, size = _paging(page, size)
     c = df.agg(F.count(F.lit(1)).alias("total_elements"))
     pages = F.ceil(F.col("total_elements") / F.lit(size)).cast("bigint")
     return c.select(

@@ -42,7 +42,7 @@ def counter_increase(
     frame = Window.partitionBy(*series).orderBy("_us").rangeBetween(-(us - 1), 0)
     n = F.count(F.lit(1)).over(frame)
     inc = F.coalesce(F.sum("_delta").over(frame), F.lit(0.0)) - F.coalesce(F.first("_delta").over(frame), F.lit(0.0))
-    return d.select(ts, *series, F.when(n >= 2, F.round(inc, 6)).alias("increase"))
+    return d.select(ts, *series, F.when(n >= 2, inc).alias("increase"))
 
 
 def counter_rate(
@@ -51,12 +51,12 @@ def counter_rate(
     """``rate(c[window])``: increase per second of the window."""
     secs = _interval_us(window) / 1_000_000
     inc = counter_increase(samples, window, series, ts, value)
-    return inc.select(ts, *series, F.round(F.col("increase") / F.lit(float(secs)), 6).alias("rate"))
+    return inc.select(ts, *series, (F.col("increase") / F.lit(float(secs))).alias("rate"))
 
 
 def sum_by(df: DataFrame, value: str, by: list[str], ts: str = "ts") -> DataFrame:
     """``sum by (labels) (...)`` at each evaluation time."""
-    return df.groupBy(ts, *by).agg(F.round(F.sum(value), 6).alias(value))
+    return df.groupBy(ts, *by).agg(F.sum(value).alias(value))
 
 
 def latest_points(samples: DataFrame, series: list[str], n: int = 30, ts: str = "ts") -> DataFrame:

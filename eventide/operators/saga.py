@@ -247,7 +247,8 @@ def _as_of(as_of, minutes: int) -> Column:
 
 
 def stuck_compensations(state: DataFrame, as_of, min_age_minutes: int = 5) -> tuple[DataFrame, DataFrame]:
-    """COMPENSATING sagas older than the cutoff: retry_count + 1 and re-emit
+    """COMPENSATING sagas older than the cutoff: retry_count + 1, updated_at as_of
+    (so the next sweep leaves them until they are old again), and re-emitted
     commands with ``Retry compensation attempt #n``.  Returns (state, commands)."""
     stuck = state.where(
         (F.col("state") == "COMPENSATING") & (F.col("updated_at") < _as_of(as_of, min_age_minutes)))
@@ -260,7 +261,8 @@ def stuck_compensations(state: DataFrame, as_of, min_age_minutes: int = 5) -> tu
         ["order_id", "retry_count"],
     )
     new_state = state.join(bumped.select("order_id", F.col("retry_count").alias("_rc")), "order_id", "left")
-    new_state = new_state.withColumn("retry_count", F.coalesce(F.col("_rc"), F.col("retry_count"))).drop("_rc")
+    new_state = new_state.withColumn("updated_at", F.when(F.col("_rc").isNotNull(), F.lit(as_of).cast("timestamp_ntz")).otherwise(
+        F.col("updated_at"))).withColumn("retry_count", F.coalesce(F.col("_rc"), F.col("retry_count"))).drop("_rc")
     return new_state.select(*STATE_COLUMNS), cmds
 
 

@@ -48,6 +48,17 @@ def status_count_window(
     )
 
 
+def records_of_windows(records: DataFrame, size: str, start, end, ts: str = "timestamp") -> DataFrame:
+    """Only the records whose windows of ``size`` can hold or begin at a time in [start, end].
+
+    A range of the time column itself, so it reaches the scan: a window that
+    concerns the range begins after ``start - size`` and ends by ``end + size``.
+    """
+    s, e = (F.lit(x).cast("timestamp_ntz") for x in (start, end))
+    step = F.expr(f"INTERVAL {size}")
+    return records.where((F.col(ts) > s - step) & (F.col(ts) < e + step))
+
+
 def burn_rate_expr(ok: str, bad: str) -> Column:
     """bad*100 / (ok+bad) with integer division; 0 when there is no result."""
     return F.expr(

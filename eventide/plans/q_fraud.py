@@ -99,16 +99,3 @@ SELECT count(*) FILTER (WHERE total > 1000) AS high_value,
 FROM scored""")
 def q_fraud_flag_ratio(spark, sf_dir):
     return fraud.fraud_flag_ratio(fraud.fraud_score(_orders(spark, sf_dir)))
-
-
-@query("fraud_score_bucketed", _score_sql(60) + "SELECT * FROM scored")
-def q_fraud_score_bucketed(spark, sf_dir):
-    """Same result as fraud_score, velocity by (customer, time bucket) windows."""
-    return fraud.fraud_score(_orders(spark, sf_dir), strategy="bucket")
-
-
-@query("fraud_score_ranked", _score_sql(60) + "SELECT * FROM scored")
-def q_fraud_score_ranked(spark, sf_dir):
-    """Same result as fraud_score, velocity by range-partitioned ranks (the
-    path ``strategy="auto"`` takes when one customer bursts)."""
-    return fraud.fraud_score(_orders(spark, sf_dir), strategy="range")

@@ -136,7 +136,7 @@ def q_fault_impact(spark, sf_dir):
 
 
 @query("dedup_outbound_ttl", with_(TOPIC_RECORDS) + """,
-m AS (SELECT key AS k, "offset" AS id, "timestamp" AS ts FROM topic_records),
+m AS (SELECT key AS k, {'a': topic, 'b': "partition", 'c': "offset"} AS id, "timestamp" AS ts FROM topic_records),
 nxt AS (
   SELECT a.id, arg_min(b.id, {'t': b.ts, 'i': b.id}) AS nid
   FROM m a LEFT JOIN m b ON a.k = b.k AND b.ts >= a.ts + INTERVAL 600 SECOND GROUP BY a.id
@@ -150,9 +150,9 @@ chain AS (
   ) SELECT id FROM c
 )
 SELECT key, value, topic, "partition", "offset", "timestamp" FROM topic_records
-WHERE "offset" IN (SELECT id FROM chain)""")
+WHERE key IS NULL OR {'a': topic, 'b': "partition", 'c': "offset"} IN (SELECT id FROM chain)""")
 def q_dedup_outbound_ttl(spark, sf_dir):
-    return dedup.dedup_outbound_ttl(_records(spark, sf_dir), "key", "timestamp", 600, id_col="offset")
+    return dedup.dedup_outbound_ttl(_records(spark, sf_dir), "key", "timestamp", 600)
 
 
 @query("result_key", with_(PAYMENT_RECORDS) + """
@@ -166,49 +166,3 @@ def q_result_key(spark, sf_dir):
     r = envelope.parse_envelope(dt.payment_result_records(dt.table(spark, sf_dir, "events")))
     return r.select("key", "offset", F.when(F.col("error_reason").isNull(),
                                             result_key("order_id", "payload")).alias("result_key"))
-
-
-
-@query("dedup_outbound_ttl_bucketed", with_(TOPIC_RECORDS) + """,
-m AS (SELECT key AS k, "offset" AS id, "timestamp" AS ts FROM topic_records),
-nxt AS (
-  SELECT a.id, arg_min(b.id, {'t': b.ts, 'i': b.id}) AS nid
-  FROM m a LEFT JOIN m b ON a.k = b.k AND b.ts >= a.ts + INTERVAL 600 SECOND GROUP BY a.id
-),
-heads AS (SELECT arg_min(id, {'t': ts, 'i': id}) AS id FROM m GROUP BY k),
-chain AS (
-  WITH RECURSIVE c(id) AS (
-    SELECT id FROM heads
-    UNION ALL
-    SELECT n.nid FROM c JOIN nxt n ON n.id = c.id WHERE n.nid IS NOT NULL
-  ) SELECT id FROM c
-)
-SELECT key, value, topic, "partition", "offset", "timestamp" FROM topic_records
-WHERE "offset" IN (SELECT id FROM chain)""")
-def q_dedup_outbound_ttl_bucketed(spark, sf_dir):
-    """Same result as dedup_outbound_ttl, successor lookup by (key, TTL bucket) windows."""
-    return dedup.dedup_outbound_ttl(_records(spark, sf_dir), "key", "timestamp", 600, id_col="offset",
-                                    strategy="bucket")
-
-
-@query("dedup_outbound_ttl_ranked", with_(TOPIC_RECORDS) + """,
-m AS (SELECT key AS k, "offset" AS id, "timestamp" AS ts FROM topic_records),
-nxt AS (
-  SELECT a.id, arg_min(b.id, {'t': b.ts, 'i': b.id}) AS nid
-  FROM m a LEFT JOIN m b ON a.k = b.k AND b.ts >= a.ts + INTERVAL 600 SECOND GROUP BY a.id
-),
-heads AS (SELECT arg_min(id, {'t': ts, 'i': id}) AS id FROM m GROUP BY k),
-chain AS (
-  WITH RECURSIVE c(id) AS (
-    SELECT id FROM heads
-    UNION ALL
-    SELECT n.nid FROM c JOIN nxt n ON n.id = c.id WHERE n.nid IS NOT NULL
-  ) SELECT id FROM c
-)
-SELECT key, value, topic, "partition", "offset", "timestamp" FROM topic_records
-WHERE "offset" IN (SELECT id FROM chain)""")
-def q_dedup_outbound_ttl_ranked(spark, sf_dir):
-    """Same result as dedup_outbound_ttl, successor lookup by per-key ranks
-    (the path ``strategy="auto"`` takes for a retry storm)."""
-    return dedup.dedup_outbound_ttl(_records(spark, sf_dir), "key", "timestamp", 600, id_col="offset",
-                                    strategy="range")

@@ -375,8 +375,7 @@ def q_validate_create_order(spark, sf_dir):
 
 @query("money_scale", """
 SELECT l_orderkey, l_linenumber,
-  CAST(round(CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(13,3)), 2)
-       AS DECIMAL(12,2)) AS discount_amount
+  CAST(round(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(12,2)) AS discount_amount
 FROM lineitem""")
 def q_money_scale(spark, sf_dir):
     li = dt.table(spark, sf_dir, "lineitem")
@@ -392,8 +391,9 @@ SELECT * FROM (
   FROM payment_records GROUP BY 1, 2, 3)
 WHERE status = 'CHARGED' AND window_start BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 00:00:00'""")
 def q_query_window_store(spark, sf_dir):
-    counts = status_counts.status_count_window(dt.payment_result_records(dt.table(spark, sf_dir, "events")), "1 hour")
-    return status_counts.query_window_store(counts, "CHARGED", "2024-01-10 00:00:00", "2024-01-12 00:00:00")
+    start, end = "2024-01-10 00:00:00", "2024-01-12 00:00:00"
+    records = status_counts.records_of_windows(dt.payment_result_records(dt.table(spark, sf_dir, "events")), "1 hour", start, end)
+    return status_counts.query_window_store(status_counts.status_count_window(records, "1 hour"), "CHARGED", start, end)
 
 
 @query("burn_rate_current", PR + f""",
@@ -412,5 +412,6 @@ SELECT window_start, window_end,
 FROM counts WHERE window_start <= TIMESTAMP '2024-01-15 12:34:00' AND TIMESTAMP '2024-01-15 12:34:00' < window_end
 GROUP BY 1, 2""")
 def q_burn_rate_current(spark, sf_dir):
-    counts = status_counts.status_count_window(dt.payment_result_records(dt.table(spark, sf_dir, "events")), "6 hours")
-    return status_counts.burn_rate_at(counts, "2024-01-15 12:34:00")
+    as_of = "2024-01-15 12:34:00"
+    records = status_counts.records_of_windows(dt.payment_result_records(dt.table(spark, sf_dir, "events")), "6 hours", as_of, as_of)
+    return status_counts.burn_rate_at(status_counts.status_count_window(records, "6 hours"), as_of)

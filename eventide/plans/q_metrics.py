@@ -10,7 +10,7 @@ from ..operators import faults, metrics, promql, saga
 from ..sources import driver_tables as dt
 from . import q_saga
 from .registry import query
-from .sql_inputs import COUNTER_SAMPLES, LATENCY_SAMPLES, PAYMENT_RECORDS, PAYMENT_STATUS, with_
+from .sql_inputs import COUNTER_SAMPLES, LATENCY_SAMPLES, PAYMENT_RECORDS, PAYMENT_STATUS, TOPIC_RECORDS, with_
 
 BOUNDS = metrics.default_bounds()
 _BOUNDS_SQL = ", ".join(f"CAST({b} AS DOUBLE)" for b in BOUNDS)
@@ -71,6 +71,11 @@ def q_hq50(spark, sf_dir):
     return _quantile(spark, sf_dir, 0.5)
 
 
+def _rounded(df, col):
+    """Results are compared to 6 places; rounding is the last step."""
+    return df.withColumn(col, F.round(col, 6))
+
+
 def _samples(spark, sf_dir):
     return dt.counter_samples(dt.table(spark, sf_dir, "events"))
 
@@ -84,29 +89,29 @@ d AS (
 inc AS (
   SELECT ts, metric, app,
     CASE WHEN count(*) OVER r >= 2 THEN
-      round(coalesce(sum(delta) OVER r, 0) - coalesce(first_value(delta) OVER r, 0), 6) END AS increase
+      coalesce(sum(delta) OVER r, 0) - coalesce(first_value(delta) OVER r, 0) END AS increase
   FROM d WINDOW r AS (PARTITION BY metric, app ORDER BY ts
                       RANGE BETWEEN INTERVAL 899999999 MICROSECONDS PRECEDING AND CURRENT ROW)
 )
 """
 
 
-@query("counter_increase", INCREASE_SQL + "SELECT * FROM inc")
+@query("counter_increase", INCREASE_SQL + "SELECT ts, metric, app, round(increase, 6) AS increase FROM inc")
 def q_counter_increase(spark, sf_dir):
-    return promql.counter_increase(_samples(spark, sf_dir), "15 minutes", ["metric", "app"])
+    return _rounded(promql.counter_increase(_samples(spark, sf_dir), "15 minutes", ["metric", "app"]), "increase")
 
 
 @query("counter_rate", INCREASE_SQL + "SELECT ts, metric, app, round(increase / CAST(900.0 AS DOUBLE), 6) AS rate FROM inc")
 def q_counter_rate(spark, sf_dir):
-    return promql.counter_rate(_samples(spark, sf_dir), "15 minutes", ["metric", "app"])
+    return _rounded(promql.counter_rate(_samples(spark, sf_dir), "15 minutes", ["metric", "app"]), "rate")
 
 
 @query("counter_rate_by_app", INCREASE_SQL + """
-SELECT ts, app, round(sum(round(increase / CAST(900.0 AS DOUBLE), 6)), 6) AS rate
+SELECT ts, app, round(sum(increase / CAST(900.0 AS DOUBLE)), 6) AS rate
 FROM inc GROUP BY ts, app""")
 def q_counter_rate_by_app(spark, sf_dir):
     r = promql.counter_rate(_samples(spark, sf_dir), "15 minutes", ["metric", "app"])
-    return promql.sum_by(r, "rate", ["app"])
+    return _rounded(promql.sum_by(r, "rate", ["app"]), "rate")
 
 
 @query("latest_points", with_(COUNTER_SAMPLES) + """
@@ -179,10 +184,14 @@ def q_canary_comparison(spark, sf_dir):
     return metrics.canary_comparison(c, "channel", "timestamp", payment_status("value") == codes.PAYMENT_OK, "1 hour")
 
 
-@query("slo_summary", q_saga.TRANSITIONS + """,
+SLO_AS_OF = "2024-01-15 12:34:00"
+
+
+@query("slo_summary", q_saga.TRANSITIONS.replace("WITH ", "WITH " + with_(PAYMENT_RECORDS)[5:] + "," + with_(TOPIC_RECORDS)[5:] + ",", 1) + f""",
 d AS (SELECT CAST(epoch_us(ts) - epoch_us(created_at) AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS v
-      FROM transitions WHERE event_type = 'ShippingCompleted'),
-bounds AS (SELECT unnest([""" + ", ".join(f"CAST({b} AS DOUBLE)" for b in metrics.default_bounds(0, 8)) + """]) AS le),
+      FROM transitions WHERE event_type = 'ShippingCompleted'
+        AND ts > TIMESTAMP '{SLO_AS_OF}' - INTERVAL 5 MINUTE AND ts <= TIMESTAMP '{SLO_AS_OF}'),
+bounds AS (SELECT unnest([""" + ", ".join(f"CAST({b} AS DOUBLE)" for b in metrics.default_bounds(0, 8)) + f"""]) AS le),
 hb AS (
   SELECT b.le, count(*) FILTER (WHERE v <= b.le) AS cnt FROM d, bounds b GROUP BY b.le
   UNION ALL SELECT CAST('inf' AS DOUBLE), count(v) FROM d
@@ -197,25 +206,28 @@ p95 AS (
          ELSE lower + (le - lower) * ((CAST(0.95 AS DOUBLE) * total - prev_cnt) / (cnt - prev_cnt)) END, le) AS q
   FROM hy WHERE cnt >= CAST(0.95 AS DOUBLE) * total AND total > 0
 ),
-tr AS (""" + """SELECT * FROM transitions),
-burn AS (
-  SELECT CASE WHEN count(*) FILTER (WHERE event_type = 'OrderCreated') > 0 THEN
-    CAST(trunc(100.0 * count(*) FILTER (WHERE failed_state IS NOT NULL)
-               / count(*) FILTER (WHERE event_type = 'OrderCreated')) AS BIGINT) END AS b FROM tr
+hour AS (
+  SELECT count(*) FILTER (WHERE {PAYMENT_STATUS} = 'CHARGED') AS ok, count(*) FILTER (WHERE {PAYMENT_STATUS} = 'CHARGE_FAILED') AS bad
+  FROM payment_records WHERE time_bucket(INTERVAL '1 hour', "timestamp") = time_bucket(INTERVAL '1 hour', TIMESTAMP '{SLO_AS_OF}')
 ),
-dl AS (SELECT count(*) FILTER (WHERE failed_state IS NOT NULL) AS n FROM tr)
+dl AS (SELECT count(*) AS n FROM topic_records WHERE regexp_matches(topic, '[-.](dlt|DLT)$'))
 SELECT round(coalesce((SELECT q FROM p95), 0.0), 6) AS p95_latency_ms,
        CAST(coalesce((SELECT n FROM dl), 0) AS BIGINT) AS dlt_count,
-       CAST(coalesce((SELECT b FROM burn), 0) AS BIGINT) AS slo_burn_rate_1h""")
+       CAST((SELECT CASE WHEN ok + bad = 0 THEN 0 ELSE bad * 100 // (ok + bad) END FROM hour) AS BIGINT) AS slo_burn_rate_1h""")
 def q_slo_summary(spark, sf_dir):
-    from ..operators import slo
+    """p95 saga time of the last 5 minutes, dead letters in all, burn rate of the current hour."""
+    from ..functions.columns import is_dlt_topic
+    from ..operators import slo, status_counts
 
+    events = dt.table(spark, sf_dir, "events")
+    as_of = F.lit(SLO_AS_OF).cast("timestamp_ntz")
     t = q_saga._transitions(spark, sf_dir)
-    d = saga.processing_durations(t)
+    d = saga.processing_durations(t.where((F.col("ts") > as_of - F.expr("INTERVAL 5 MINUTES")) & (F.col("ts") <= as_of)))
     h = metrics.latency_histogram(d, "duration_ms", None, metrics.default_bounds(0, 8))
     p95 = metrics.histogram_quantile(h, 0.95).select(F.round("quantile", 6).alias("quantile"))
-    dlt = t.agg(F.count_if(F.col("failed_state").isNotNull()).alias("dlt_total"))
-    burn = saga.burn_rate_cumulative(t)
+    dlt = metrics.dlt_totals(dt.topic_records(events), is_dlt_topic("topic"))
+    records = status_counts.records_of_windows(dt.payment_result_records(events), "1 hour", SLO_AS_OF, SLO_AS_OF)
+    burn = status_counts.burn_rate_at(status_counts.status_count_window(records, "1 hour"), SLO_AS_OF)
     return slo.slo_summary(p95, dlt, burn)
 
 

@@ -68,11 +68,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a private one only if unset.
 
-    On a cluster the setting is always present and is used as is.  A fresh
-    temporary directory is only made for local test sessions.
+    The setting is used as is.  A fresh temporary directory is only made for
+    sessions on a local master; on a cluster a missing setting is an error,
+    since executors do not share the driver's folders.
     """
     root = checkpoint_root(spark)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="eventide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)

@@ -1,104 +1,23 @@
-"""Custom stateful streaming operators (``applyInPandasWithState``).
+"""Custom stateful streaming operator (``applyInPandasWithState``).
 
-``saga_stream`` keeps one saga row per order in the state store (RocksDB)
-and applies the same transitions as ``operators.saga`` to each micro-batch,
-in ``seq`` order.  ``outbound_ttl_dedup_stream`` keeps the last accepted time
-per result key (one long per key).
-
-State per key is one small row, so state size grows with the number of keys,
-not with their traffic; a hot key only costs the rows it sends in a batch
-(bounded with ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``).
+``outbound_ttl_dedup_stream`` keeps the last accepted time per result key
+(one long) and a timer: once the watermark is a TTL past it the entry can
+suppress nothing any more and is removed, so the state holds the keys of the
+last TTL and of the watermark's delay.
 """
 
 from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
-
-from ..functions import codes
-
-SAGA_STATE_SCHEMA = (
-    "state string, failed_state string, payment_id string, inventory_reservation_id string, "
-    "shipping_id string, shipping_address string, failure_reason string, retry_count int, "
-    "created_at timestamp, updated_at timestamp"
-)
-SAGA_OUTPUT_SCHEMA = "order_id string, last_seq long, " + SAGA_STATE_SCHEMA
-
-_NEXT = {e: s for e, s, _ in codes.SAGA_EVENTS}
-_FAILED = {e: f for e, _, f in codes.SAGA_EVENTS if f}
-_FIELDS = ["state", "failed_state", "payment_id", "inventory_reservation_id", "shipping_id",
-           "shipping_address", "failure_reason", "retry_count", "created_at", "updated_at"]
-
-
-def _saga_step(cur, last, rows):
-    """Apply one key's rows (tuples sorted by seq) to its saga row; returns (cur, last)."""
-    for seq, ts, et, ref_id, reason, address in rows:
-        if et not in _NEXT:
-            continue
-        if cur is None:
-            if et != codes.SAGA_START_EVENT:
-                continue  # unknown order: ignored
-            cur = dict.fromkeys(_FIELDS)
-            cur.update(state=_NEXT[et], shipping_address=address, retry_count=0, created_at=ts, updated_at=ts)
-            last = seq
-            continue
-        if et == codes.SAGA_START_EVENT:
-            continue  # start is idempotent
-        cur["state"] = _NEXT[et]
-        if et in _FAILED:
-            cur["failed_state"] = _FAILED[et]
-            cur["failure_reason"] = reason
-        elif et == "PaymentCompleted":
-            cur["payment_id"] = ref_id
-        elif et == "InventoryReserved":
-            cur["inventory_reservation_id"] = ref_id
-        elif et == "ShippingCompleted":
-            cur["shipping_id"] = ref_id
-        cur["updated_at"] = ts
-        last = seq
-    return cur, last
-
-
-_IN_COLS = ["seq", "ts", "event_type", "ref_id", "reason", "shipping_address"]
-_OUT_COLS = ["order_id", "last_seq", *_FIELDS]
-
-
-def _saga_fn(key, pdfs, state):
-    """applyInPandasWithState body: state is (saga fields..., last_seq).
-
-    Plain Python over the key's few rows (column lists, one sort), one
-    output row built column-wise: the per-key cost stays small."""
-    rows = []
-    for pdf in pdfs:
-        rows.extend(zip(*(pdf[c].tolist() for c in _IN_COLS)))
-    rows.sort(key=lambda r: r[0])
-    cur, last = None, None
-    if state.exists:
-        *vals, last = state.get
-        cur = dict(zip(_FIELDS, vals))
-    cur, last = _saga_step(cur, last, rows)
-    if cur is None:
-        return
-    state.update(tuple(cur[f] for f in _FIELDS) + (int(last),))
-    out = {"order_id": [key[0]], "last_seq": [int(last)], **{f: [cur[f]] for f in _FIELDS}}
-    yield pd.DataFrame(out, columns=_OUT_COLS)
-
-
-def saga_stream_pandas(events: DataFrame) -> DataFrame:
-    """Streaming saga state machine in Python (update mode): one row per order
-    touched in a batch.  ``streams.saga_state_stream`` computes the same state
-    as a JVM streaming aggregation and is the one to use at scale.
-
-    ``applyInPandasWithState`` ships the group state with the Arrow batches
-    (no per-key round trips); state is one row per order."""
-    ev = events.select("order_id", "seq", "ts", "event_type", "ref_id", "reason", "shipping_address")
-    ev = ev.withColumn("ts", ev["ts"].cast("timestamp"))
-    return ev.groupBy("order_id").applyInPandasWithState(
-        _saga_fn, SAGA_OUTPUT_SCHEMA, SAGA_STATE_SCHEMA + ", last_seq long", "Update", "NoTimeout")
+from pyspark.sql import functions as F
 
 
 def _ttl_fn(ttl_us: int):
     def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "rid"], kind="stable")
         last = state.get[0] if state.exists else None
         keep = []
@@ -108,7 +27,8 @@ def _ttl_fn(ttl_us: int):
             if ok:
                 last = t
         state.update((int(last),))
-        out = batch[keep]
+        state.setTimeoutTimestamp(max((int(last) + ttl_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        out = batch.loc[keep, ["k", "rid", "ts_us"]]
         if len(out):
             yield out
 
@@ -116,11 +36,10 @@ def _ttl_fn(ttl_us: int):
 
 
 def outbound_ttl_dedup_stream(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
-                              id_col: str = "offset") -> DataFrame:
-    """Streaming greedy TTL de-duplication keyed by ``key`` (state: last accepted time)."""
-    from pyspark.sql import functions as F
-
-    x = df.select(F.col(key).alias("k"), F.col(id_col).alias("rid"),
-                  F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"))
+                              id_col: str = "offset", delay: str = "10 minutes") -> DataFrame:
+    """Streaming greedy TTL de-duplication keyed by ``key``; ``delay`` is the
+    watermark's and bounds how late a record may come to meet its key's entry."""
+    x = df.select(F.col(key).alias("k"), F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("event_time"))
+    x = x.withWatermark("event_time", delay).withColumn("ts_us", F.unix_micros("event_time"))
     return x.groupBy("k").applyInPandasWithState(
-        _ttl_fn(ttl_seconds * 1_000_000), "k string, rid long, ts_us long", "ts_us long", "Append", "NoTimeout")
+        _ttl_fn(ttl_seconds * 1_000_000), "k string, rid long, ts_us long", "ts_us long", "Append", "EventTimeTimeout")

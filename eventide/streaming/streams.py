@@ -22,7 +22,21 @@ from ..functions.columns import ntz_as_utc
 from ..functions.json_fields import payment_status
 from ..session import scratch_path
 
-GRACE = {"1 hour": "23 hours", "6 hours": "18 hours"}
+DAY_SECONDS = 86_400
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": DAY_SECONDS}
+
+
+def interval_seconds(text: str) -> int:
+    """Seconds of an interval such as ``6 hours`` or ``1 hour 30 minutes``."""
+    words = text.lower().split()
+    if not words or len(words) % 2:
+        raise ValueError(f"not an interval: {text!r}")
+    return sum(int(n) * UNIT_SECONDS[unit.rstrip("s")] for n, unit in zip(words[::2], words[1::2], strict=True))
+
+
+def default_grace(size: str) -> str:
+    """24 h less the window, and none for windows of a day or more."""
+    return f"{max(0, DAY_SECONDS - interval_seconds(size))} seconds"
 
 
 def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
@@ -36,7 +50,7 @@ def status_counts_stream(records: DataFrame, size: str = "1 hour", ts: str = "ti
                          grace: str | None = None) -> DataFrame:
     """Streaming tumbling counts per status (append mode emits closed windows)."""
     x = event_time(records, ts).withColumn("status", payment_status("value"))
-    x = x.withWatermark("event_time", grace or GRACE.get(size, "1 hour"))
+    x = x.withWatermark("event_time", grace or default_grace(size))
     return x.groupBy(F.window("event_time", size).alias("w"), "status").agg(F.count(F.lit(1)).alias("cnt")).select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "status", "cnt")
 
@@ -59,8 +73,9 @@ def saga_state_stream(events: DataFrame) -> DataFrame:
     return saga_state(events)
 
 
-def dedup_stream(df: DataFrame, keys: list[str], ts: str, delay: str = "10 minutes") -> DataFrame:
-    """Drop records whose keys were seen within the watermark delay."""
+def dedup_stream(df: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
+    """Drop records whose keys were seen within the watermark ``delay``; records
+    later than that are dropped as late, so it must cover the longest replay."""
     x = event_time(df, ts)
     return x.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(keys)
 

@@ -45,7 +45,7 @@ def test_ttl_greedy_chain(spark):
     secs = [0, 5, 9, 11, 15, 21]
     df = spark.createDataFrame([("k", i, t0 + dt.timedelta(seconds=s)) for i, s in enumerate(secs)],
                                "key string, id long, ts timestamp")
-    got = sorted(r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 10, id_col="id").collect())
+    got = sorted(r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 10, id_cols=["id"]).collect())
     assert [secs[i] for i in got] == [0, 11, 21]
 
 
@@ -56,7 +56,7 @@ def test_ttl_chain_brute_force(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(f"k{rnd.randrange(4)}", i, t0 + dt.timedelta(seconds=rnd.randrange(0, 3000))) for i in range(400)]
     df = spark.createDataFrame(rows, "key string, id long, ts timestamp")
-    got = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 60, id_col="id").collect()}
+    got = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 60, id_cols=["id"]).collect()}
     want = set()
     for k in {r[0] for r in rows}:
         last = None
@@ -106,18 +106,47 @@ def test_canary_split(spark):
     assert faults.canary_split(df, 0.0).where("channel = 'canary'").count() == 0
 
 
-def test_ttl_strategies_agree_with_retry_storm(spark):
+def _brute_ttl(rows, ttl):
+    """rows: (key, id, time); accepted ids."""
+    kept, last = set(), {}
+    for k, i, t in sorted(rows, key=lambda r: (r[2], r[1])):
+        if k is None or k not in last or (t - last[k]).total_seconds() >= ttl:
+            kept.add(i)
+            last[k] = t
+    return kept
+
+
+def test_ttl_retry_storm_equals_brute_force(spark):
+    """One key with most rows inside a few TTLs, ties at one instant, rows without a key."""
     import random
 
     rnd = random.Random(3)
     t0 = dt.datetime(2024, 1, 1)
     rows = [("hot", i, t0 + dt.timedelta(milliseconds=rnd.randrange(0, 120_000))) for i in range(1500)]
-    rows += [("hot", 5000 + i, t0 + dt.timedelta(seconds=14)) for i in range(12)]  # same-instant ties
+    rows += [("hot", 5000 + i, t0 + dt.timedelta(seconds=14)) for i in range(12)]
     rows += [(f"k{rnd.randrange(5)}", 10_000 + i, t0 + dt.timedelta(seconds=rnd.randrange(0, 900))) for i in range(300)]
+    rows += [(None, 20_000 + i, t0) for i in range(5)]
     df = spark.createDataFrame(rows, "key string, id long, ts timestamp")
-    a = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 7, id_col="id", strategy="bucket").collect()}
-    b = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 7, id_col="id", strategy="range").collect()}
-    assert a == b and len(a) > 20
+    assert {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 7, id_cols=["id"]).collect()} == _brute_ttl(rows, 7)
+
+
+def test_ttl_long_chain_and_spaced_messages(spark):
+    """A chain of many accepted messages, none of them dropped by a bound on rounds."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("k", i, t0 + dt.timedelta(seconds=250 * i)) for i in range(120)]
+    rows += [("far", 1000 + i, t0 + dt.timedelta(seconds=700 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "key string, id long, ts timestamp")
+    got = {r.id for r in dedup.dedup_outbound_ttl(df, "key", "ts", 600, id_cols=["id"]).collect()}
+    assert got == _brute_ttl(rows, 600) and len([i for i in got if i >= 1000]) == 40
+
+
+def test_ttl_offsets_repeat_across_partitions(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", "t", 0, 5, t0), ("b", "t", 1, 5, t0), ("a", "t", 0, 6, t0 + dt.timedelta(seconds=10)),
+            ("b", "t", 1, 6, t0 + dt.timedelta(seconds=700))]
+    df = spark.createDataFrame(rows, "key string, topic string, partition int, offset long, ts timestamp")
+    got = sorted((r.key, r.offset) for r in dedup.dedup_outbound_ttl(df, "key", "ts", 600).collect())
+    assert got == [("a", 5), ("b", 5), ("b", 6)]
 
 
 def test_canary_edges_and_outbox_feed(spark):

@@ -30,8 +30,8 @@ def test_dedup_is_idempotent(spark):
 
 def test_ttl_dedup_is_idempotent_and_spaced(spark):
     r = _records(spark, 9)
-    once = dedup.dedup_outbound_ttl(r, "key", "timestamp", 300, id_col="offset")
-    twice = dedup.dedup_outbound_ttl(once, "key", "timestamp", 300, id_col="offset")
+    once = dedup.dedup_outbound_ttl(r, "key", "timestamp", 300)
+    twice = dedup.dedup_outbound_ttl(once, "key", "timestamp", 300)
     a = sorted(x.offset for x in once.collect())
     assert a == sorted(x.offset for x in twice.collect())
     by_key = {}
