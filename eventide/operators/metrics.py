@@ -84,6 +84,25 @@ def success_rate(df: DataFrame, ok: Column, bad: Column, ts: str, size: str = "1
     )
 
 
+def trailing_success_rate(df: DataFrame, ok: Column, bad: Column, ts: str, hours: int = 24) -> DataFrame:
+    """100 * succ / max(succ + fail, 1) over the ``hours`` up to the end of each hour that has rows.
+
+    Counted per hour first (partial aggregate); the trailing sum runs over
+    those hourly rows only."""
+    g = df.groupBy(F.window(ts, "1 hour").alias("w")).agg(F.count_if(ok).alias("s"), F.count_if(bad).alias("f"))
+    at = F.unix_seconds(F.col("w.end").cast("timestamp"))
+    trail = Window.orderBy(at).rangeBetween(-(hours - 1) * 3600, 0)
+    both = g.select(F.col("w.end").alias("eval_time"), F.sum("s").over(trail).alias("succeeded"), F.sum("f").over(trail).alias("failed"))
+    rate = F.lit(100.0) * F.col("succeeded") / F.greatest(F.col("succeeded") + F.col("failed"), F.lit(1))
+    return both.withColumn("success_rate_pct", F.round(rate, 6))
+
+
+def channel_dlt_rate(records: DataFrame, channel: str, is_dead: Column) -> DataFrame:
+    """Dead letters, messages and dead-letter share of each channel."""
+    g = records.groupBy(channel).agg(F.count_if(is_dead).alias("dead"), F.count(F.lit(1)).alias("messages"))
+    return g.withColumn("dlt_rate_pct", F.round(F.lit(100.0) * F.col("dead") / F.col("messages"), 6))
+
+
 def availability(df: DataFrame, ok: Column, ts: str, size: str = "1 minute") -> DataFrame:
     """100 * successful / total per window."""
     g = df.groupBy(F.window(ts, size).alias("w")).agg(

@@ -292,6 +292,16 @@ def stuck_pending(state: DataFrame, as_of, min_age_minutes: int = 10) -> tuple[D
     return new_state, cmds
 
 
+def stuck_pending_feed(state: DataFrame, as_of, min_age_minutes: int = 10) -> DataFrame:
+    """``order.status.update`` rows of the pending sagas that time out, as of any failure."""
+    stuck = state.where(
+        F.col("state").isin(*codes.SAGA_PENDING_STATES) & (F.col("updated_at") < _as_of(as_of, min_age_minutes)))
+    out = stuck.select("order_id", case_map("state", PENDING_TO_FAILED).alias("status"),
+                       F.format_string(codes.REASON_TIMEOUT, F.col("state")).alias("reason"))
+    return out.withColumn("value", F.to_json(F.struct(
+        F.col("order_id").alias("orderId"), "status", "reason"), {"ignoreNullFields": "false"}))
+
+
 def enrich_shipping_address(requests: DataFrame, state: DataFrame) -> DataFrame:
     """Shipping requests get the saga's address, or the default placeholder."""
     from ..functions.columns import default_address
