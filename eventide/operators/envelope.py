@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.columns import valid_uuid
-from ..functions.json_fields import blank, is_json, json_text, non_blank, unwrap_payload, with_json
+from ..functions.json_fields import blank, is_json, non_blank, with_json
 
 
 def _c(c):
@@ -72,7 +72,7 @@ def split_quarantine(df: DataFrame, error_col: str = "error_reason") -> tuple[Da
     """(good, quarantined) by the error column; both are lazy filters of one plan.
 
     Persist ``df`` (or write it once) before using both halves when the input
-    is expensive; ``streaming.sinks.write_split`` does that per micro-batch.
+    is expensive; ``streaming.sinks.split_writer`` does that per micro-batch.
     """
     bad = F.col(error_col).isNotNull()
     return df.where(~bad), df.where(bad)
@@ -84,22 +84,19 @@ def parse_order_created(df: DataFrame, value: str = "value") -> DataFrame:
     orderId required (blank -> error), total -> 0.0, currency -> USD,
     customerId -> N/A, shippingAddress -> NULL.
     """
-    body = F.when(is_json(value), unwrap_payload(value))
-    body_ok = body.isNotNull() & is_json(body)
-    oid = json_text(body, "orderId")
-    total = F.coalesce(json_text(body, "total").try_cast("double"), F.lit(0.0))
-    out = df.select(
+    x = _with_unwrapped(df, value, ["orderId", "total", "currency", "customerId", "shippingAddress"])
+    oid = F.col("_b.orderId")
+    return _drop_tmp(x.select(
         "*",
         oid.alias("order_id"),
-        total.alias("total"),
-        F.coalesce(json_text(body, "currency"), F.lit(codes.CURRENCY_DEFAULT)).alias("currency"),
-        F.coalesce(json_text(body, "customerId"), F.lit(codes.CUSTOMER_DEFAULT)).alias("customer_id"),
-        json_text(body, "shippingAddress").alias("shipping_address"),
-        F.when(~body_ok, F.lit("Failed to parse order.created"))
+        F.coalesce(F.col("_b.total").try_cast("double"), F.lit(0.0)).alias("total"),
+        F.coalesce(F.col("_b.currency"), F.lit(codes.CURRENCY_DEFAULT)).alias("currency"),
+        F.coalesce(F.col("_b.customerId"), F.lit(codes.CUSTOMER_DEFAULT)).alias("customer_id"),
+        F.col("_b.shippingAddress").alias("shipping_address"),
+        F.when(~F.col("_b_ok"), F.lit("Failed to parse order.created"))
         .when(blank(oid), F.lit("Missing orderId"))
         .alias("error_reason"),
-    )
-    return out
+    ))
 
 
 def build_payment_request(df: DataFrame) -> DataFrame:
@@ -119,6 +116,14 @@ def _with_body(df: DataFrame, value: str, fields: list[str]) -> DataFrame:
     return with_json(x, "_body", fields, "_b")
 
 
+def _with_unwrapped(df: DataFrame, value: str, fields: list[str]) -> DataFrame:
+    """The payload (text or object) if the message has one, else the message
+    itself, parsed once: ``_b`` / ``_b_ok``."""
+    x = with_json(df, value, ["payload"], "_env")
+    x = x.withColumn("_body", F.when(F.col("_env_ok"), F.coalesce(F.col("_env.payload"), F.col(value))))
+    return with_json(x, "_body", fields, "_b")
+
+
 def _drop_tmp(x: DataFrame) -> DataFrame:
     return x.drop("_env", "_env_ok", "_body", "_b", "_b_ok")
 
@@ -183,14 +188,14 @@ def parse_status_update(df: DataFrame, value: str = "value") -> DataFrame:
     """Bare ``{orderId,status,reason}``; order id must be a UUID."""
     from ..functions.columns import map_status_update
 
-    oid = F.when(is_json(value), json_text(value, "orderId"))
-    st = F.when(is_json(value), json_text(value, "status"))
-    return df.select(
-        "*",
+    x = with_json(df, value, ["orderId", "status", "reason"], "_b")
+    oid, st = F.col("_b.orderId"), F.col("_b.status")
+    return x.select(
+        *df.columns,
         oid.alias("order_id"),
         map_status_update(st).alias("new_status"),
-        F.when(is_json(value), json_text(value, "reason")).alias("reason"),
-        F.when(~is_json(value), F.lit("Invalid JSON"))
+        F.col("_b.reason").alias("reason"),
+        F.when(~F.col("_b_ok"), F.lit("Invalid JSON"))
         .when(oid.isNull() | st.isNull(), F.lit("Invalid status update message"))
         .when(~valid_uuid(oid), F.lit("Invalid UUID format")).alias("error_reason"),
     )
@@ -198,24 +203,24 @@ def parse_status_update(df: DataFrame, value: str = "value") -> DataFrame:
 
 def validate_inventory_request(df: DataFrame, value: str = "value") -> DataFrame:
     """items default 1 and must be > 0."""
-    body = F.when(is_json(value), unwrap_payload(value))
-    items = F.coalesce(json_text(body, "items").try_cast("int"), F.lit(1))
-    return df.select(
-        "*", json_text(body, "orderId").alias("order_id"), items.alias("items"),
-        F.when(body.isNull(), F.lit("Invalid JSON"))
+    x = _with_unwrapped(df, value, ["orderId", "items"])
+    items = F.coalesce(F.col("_b.items").try_cast("int"), F.lit(1))
+    return _drop_tmp(x.select(
+        "*", F.col("_b.orderId").alias("order_id"), items.alias("items"),
+        F.when(~F.col("_b_ok"), F.lit("Invalid JSON"))
         .when(items <= 0, F.lit("Invalid items count")).alias("error_reason"),
-    )
+    ))
 
 
 def validate_shipping_request(df: DataFrame, value: str = "value") -> DataFrame:
     """address must be present, not blank and not ``UNKNOWN``."""
-    body = F.when(is_json(value), unwrap_payload(value))
-    addr = json_text(body, "address")
-    return df.select(
-        "*", json_text(body, "orderId").alias("order_id"), addr.alias("address"),
-        F.when(body.isNull(), F.lit("Invalid JSON"))
+    x = _with_unwrapped(df, value, ["orderId", "address"])
+    addr = F.col("_b.address")
+    return _drop_tmp(x.select(
+        "*", F.col("_b.orderId").alias("order_id"), addr.alias("address"),
+        F.when(~F.col("_b_ok"), F.lit("Invalid JSON"))
         .when(blank(addr) | (addr == "UNKNOWN"), F.lit("Invalid address")).alias("error_reason"),
-    )
+    ))
 
 
 def validate_create_order(df: DataFrame) -> DataFrame:
