@@ -3,12 +3,6 @@
 Every list below is stated once, in the reference's natural order.
 """
 
-# --- fixed values: order status enum (13 values, declaration order) -------
-ORDER_STATUSES = [
-    "NEW", "PENDING_REVIEW", "APPROVED", "REJECTED", "PAID", "ALLOCATED",
-    "SHIPPED", "COMPLETED", "CANCELLED", "PAYMENT_FAILED", "INVENTORY_FAILED",
-    "SHIPPING_FAILED", "FAILED",
-]
 # --- fixed values: terminal order statuses -------------------------------
 ORDER_TERMINAL = [
     "COMPLETED", "CANCELLED", "FAILED", "REJECTED",
@@ -65,13 +59,7 @@ SAGA_START_EVENT = "OrderCreated"
 TOPIC_PAYMENT_REFUND = "payment.refund"
 TOPIC_INVENTORY_RELEASE = "inventory.release"
 TOPIC_ORDER_CANCEL = "order.cancel"
-TOPIC_STATUS_UPDATE = "order.status.update"
-TOPIC_PAYMENT_REQUESTED = "payment.requested"
-TOPIC_PAYMENT_CANARY = "payment.requested.canary"
-TOPIC_ORDER_CREATED = "order.created"
 TOPIC_PAYMENT_RESULT = "payment.result"
-TOPIC_INVENTORY_REQUESTED = "inventory.requested"
-TOPIC_COMPENSATION_RESULT = "compensation.result"
 COMPENSATION_REFUND = "REFUND"
 COMPENSATION_RELEASE = "RELEASE"
 COMPENSATION_CANCEL = "CANCEL"
@@ -116,14 +104,9 @@ DEFAULT_ADDRESS = "Default Address - Please Update"
 DEFAULT_REJECT_REASON = "Rejected during manual review"
 
 # --- fixed values: dead-letter topic suffixes (case-exact) ----------------
-DLT_SUFFIXES = ["-dlt", "-DLT", ".DLT", ".dlt"]
 DLT_SUFFIX_REGEX = r"(-dlt|-DLT|\.DLT|\.dlt)$"
 
-# --- fixed values: SLO objectives ------------------------------------------
-SLO_P95_MS = 2000
-SLO_AVAILABILITY_PCT = 99.5
-SLO_DLT_PCT = 0.3
-SLO_FLAGGED_PCT = 95.0
+# --- fixed values: further texts and defaults -------------------------------
 REASON_OUT_OF_STOCK = "Inventory out of stock"
 REASON_UNKNOWN_SHIPPING = "Unknown shipping status: "
 CURRENCY_DEFAULT = "USD"

@@ -119,3 +119,12 @@ def label_periods(df: DataFrame, ts: str, fault_start, fault_end) -> DataFrame:
     e = F.lit(fault_end).cast("timestamp_ntz")
     return df.withColumn(
         "period", F.when(F.col(ts) < s, "before").when(F.col(ts) < e, "during").otherwise("after"))
+
+
+def merge_channels(channels: dict[str, DataFrame], columns: list[str], out: str = "channel") -> DataFrame:
+    """One record set from several (e.g. a topic and its canary), each row marked with its channel."""
+    merged = None
+    for name, records in channels.items():
+        part = records.select(*columns, F.lit(name).alias(out))
+        merged = part if merged is None else merged.unionByName(part)
+    return merged

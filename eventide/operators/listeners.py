@@ -4,7 +4,9 @@ Every ``apply_*`` is: de-duplicate by the listener's idempotency key, reduce
 the messages to one per entity with aggregates (map-side combined), join the
 current state on the key, and decide with ``CASE``.  Each returns the new
 state table and the emitted result rows, so the caller can write both (an
-upsert of the state and an append to the result topic).
+upsert of the state and an append to the result topic), and then add
+``processed_keys`` to the idempotency store that it passes as ``seen``: the
+same messages again change nothing and emit nothing.
 """
 
 from __future__ import annotations
@@ -50,10 +52,16 @@ def apply_status_updates(orders: DataFrame, msgs: DataFrame, seq: str = "offset"
         "review_reason", F.coalesce("_rs", "review_reason")).drop("_st", "_rs")
 
 
-def _parse_command(msgs: DataFrame, scope: str, ref_field: str | None, seq: str):
-    """Dedup by ``scope:key`` (first record wins) and parse the payload."""
-    scoped = msgs.withColumn("_scope", F.lit(scope))
-    first = dedup_first_seen(scoped, ["key"], [seq], ["_scope"])
+def processed_keys(msgs: DataFrame, scope: str) -> DataFrame:
+    """The (scope, key) rows to add to the idempotency store once a listener's outputs are written."""
+    return msgs.where(F.col("key").isNotNull()).select(F.lit(scope).alias("scope"), "key").distinct()
+
+
+def _parse_command(msgs: DataFrame, scope: str, ref_field: str | None, seq: str, seen: DataFrame | None):
+    """Dedup by ``scope:key`` (first record wins; keys in the store ``seen``
+    (scope, key) are skipped) and parse the payload."""
+    scoped = msgs.withColumn("scope", F.lit(scope))
+    first = dedup_first_seen(scoped, ["key"], [seq], ["scope"], seen)
     fields = ["orderId", "reason"] + ([ref_field] if ref_field else [])
     x = with_json(first, "value", ["payload"], "_env")
     x = x.withColumn("_payload", F.when(F.col("_env_ok"), F.coalesce(F.col("_env.payload"), F.lit("{}"))))
@@ -69,11 +77,11 @@ def _parse_command(msgs: DataFrame, scope: str, ref_field: str | None, seq: str)
     return x.select(*cols)
 
 
-def apply_cancellations(orders: DataFrame, msgs: DataFrame, seq: str = "offset") -> tuple[DataFrame, DataFrame]:
+def apply_cancellations(orders: DataFrame, msgs: DataFrame, seq: str = "offset", seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``order.cancel``: non-terminal orders become CANCELLED with
     ``Cancelled: <reason>``; results ``{orderId, ORDER_CANCEL, success, order-api}``.
     Invalid UUID or unparsable message -> success=false; blank id -> no result."""
-    p = _parse_command(msgs, "order.cancel", None, seq)
+    p = _parse_command(msgs, "order.cancel", None, seq, seen)
     p = p.where(~(F.col("_ok") & blank("_oid")))
     good = p.where(F.col("_ok") & valid_uuid("_oid"))
     # the first message of an order decides; a later one finds it cancelled
@@ -91,11 +99,11 @@ def apply_cancellations(orders: DataFrame, msgs: DataFrame, seq: str = "offset")
     return new_orders, results
 
 
-def apply_refunds(payment_status: DataFrame, msgs: DataFrame, seq: str = "offset") -> tuple[DataFrame, DataFrame]:
+def apply_refunds(payment_status: DataFrame, msgs: DataFrame, seq: str = "offset", seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``payment.refund`` against the current payment status per order:
     CHARGED -> REFUNDED; already REFUNDED / other / unknown -> unchanged;
     result success=true for every parsable message with an order id."""
-    p = _parse_command(msgs, "payment.refund", "paymentId", seq)
+    p = _parse_command(msgs, "payment.refund", "paymentId", seq, seen)
     p = p.where(~(F.col("_ok") & blank("_oid")))
     good = p.where("_ok").select(F.col("_oid").alias("order_id"), F.lit(True).alias("_refund"))
     j = payment_status.join(good.distinct(), "order_id", "left")
@@ -108,12 +116,12 @@ def apply_refunds(payment_status: DataFrame, msgs: DataFrame, seq: str = "offset
     return new_status, results
 
 
-def apply_releases(reservations: DataFrame, msgs: DataFrame,
-                   seq: str = "offset") -> tuple[DataFrame, DataFrame, DataFrame]:
+def apply_releases(reservations: DataFrame, msgs: DataFrame, seq: str = "offset",
+                   seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``inventory.release``: the order's first message removes its reservation;
     a release is counted when it removed one or an id was given.
     Returns (remaining reservations, release rows, result rows)."""
-    p = _parse_command(msgs, "inventory.release", "reservationId", seq)
+    p = _parse_command(msgs, "inventory.release", "reservationId", seq, seen)
     p = p.where(~(F.col("_ok") & F.col("_oid").isNull()))
     good = p.where("_ok")
     known = reservations.select(F.col("order_id").alias("_oid"), F.col("reservation_id").alias("_held"))

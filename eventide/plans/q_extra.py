@@ -8,14 +8,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import ntz_as_utc
 from ..operators import envelope, listeners, saga
-from ..operators.faults import canary_split
+from ..operators.faults import merge_channels
 from ..sources import driver_tables as dt
 from ..streaming import streams
 from ..session import scratch_path
 from . import q_listeners, q_saga, q_status
 from .registry import query
-from .sql_inputs import PAYMENT_RECORDS, PAYMENT_STATUS, with_
+from .sql_inputs import PAYMENT_RECORDS, PAYMENT_STATUS, TOPIC_RECORDS, with_
 
 
 @query("build_envelope", q_listeners.BASE + """
@@ -71,15 +72,13 @@ def q_validate_shipping_request(spark, sf_dir):
     return v.select("order_id", "seq", "address", "error_reason")
 
 
-@query("merge_channels", PR + """
-SELECT key, CASE WHEN CAST(('0x' || substr(md5(key), 1, 8)) AS BIGINT) % 10000 < 1000 THEN 'canary' ELSE 'main' END
-       AS channel, topic
-FROM payment_records""")
+@query("merge_channels", with_(PAYMENT_RECORDS, TOPIC_RECORDS) + """
+SELECT key, topic, 'results' AS channel FROM payment_records
+UNION ALL SELECT key, topic, 'topics' AS channel FROM topic_records""")
 def q_merge_channels(spark, sf_dir):
-    r = canary_split(dt.payment_result_records(dt.table(spark, sf_dir, "events")), 0.1)
-    main = r.where(F.col("channel") == "main").select("key", "topic")
-    canary = r.where(F.col("channel") == "canary").select("key", "topic")
-    return main.withColumn("channel", F.lit("main")).unionByName(canary.withColumn("channel", F.lit("canary")))
+    """Two record sets, payment results and the other topics, as one."""
+    events = dt.table(spark, sf_dir, "events")
+    return merge_channels({"results": dt.payment_result_records(events), "topics": dt.topic_records(events)}, ["key", "topic"])
 
 
 def _fresh(spark, name):
@@ -101,6 +100,23 @@ def q_status_count_stream(spark, sf_dir):
     return log.groupBy("status").agg(F.max_by("cnt", "batch_id").alias("cnt"))
 
 
+@query("status_count_1h_stream", PR + f"""
+SELECT time_bucket(INTERVAL '1 hour', "timestamp") AS window_start, time_bucket(INTERVAL '1 hour', "timestamp") + INTERVAL '1 hour' AS window_end,
+       status, count(*) AS cnt FROM (SELECT "timestamp", {PAYMENT_STATUS} AS status FROM payment_records) GROUP BY 1, 2, 3""")
+def q_status_count_1h_stream(spark, sf_dir):
+    """Tumbling counts by the streaming topology (watermark of 24 h less the
+    window; update mode): the latest changelog row of each window and status.
+    All files are one micro-batch here, so no record comes late."""
+    base = _fresh(spark, "status_count_1h_stream")
+    recs = q_status._records(spark, sf_dir).withColumn("timestamp", ntz_as_utc("timestamp"))
+    recs.write.parquet(f"{base}/src")
+    src = spark.readStream.schema(recs.schema).parquet(f"{base}/src")
+    out = streams.run_available_now(streams.status_counts_stream(src, "1 hour"), "sc1h", mode="update", root=base)
+    log = spark.read.parquet(out).groupBy("window_start", "window_end", "status").agg(F.max_by("cnt", "batch_id").alias("cnt"))
+    utc = lambda c: F.to_timestamp_ntz(F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss"))
+    return log.select(utc("window_start").alias("window_start"), utc("window_end").alias("window_end"), "status", "cnt")
+
+
 @query("saga_stream", q_saga.TRANSITIONS + """
 SELECT order_id, state, failed_state, payment_id, inventory_reservation_id, shipping_id, shipping_address,
        failure_reason, retry_count FROM state""")

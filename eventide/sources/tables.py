@@ -21,13 +21,14 @@ def read_table(
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
     """Load a table; filters and projections applied later are pushed into the
-    file scan or the JDBC query."""
+    file scan or the JDBC query.  A JDBC read needs a numeric column, its bounds
+    and a number of partitions: without them it would be one task."""
     if jdbc_url:
-        if partition_column and bounds and num_partitions:
-            return spark.read.jdbc(jdbc_url, table, column=partition_column, lowerBound=bounds[0],
-                                   upperBound=bounds[1], numPartitions=num_partitions,
-                                   properties=properties or {})
-        return spark.read.jdbc(jdbc_url, table, properties=properties or {})
+        if not (partition_column and bounds and num_partitions):
+            raise ValueError("a JDBC read needs partition_column, bounds and num_partitions")
+        return spark.read.jdbc(jdbc_url, table, column=partition_column, lowerBound=bounds[0],
+                               upperBound=bounds[1], numPartitions=num_partitions,
+                               properties=properties or {})
     return spark.read.format(fmt).load(path)
 
 

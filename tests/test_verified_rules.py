@@ -120,3 +120,23 @@ def test_each_kind_of_error_occurs(spark, name):
     rows = QUERIES[name](spark, SF01).groupBy("error_reason").agg(F.count("*").alias("n")).collect()
     seen = {part for r in rows if r.error_reason for part in r.error_reason.split("; ")}
     assert seen == KINDS[name] and any(r.error_reason is None for r in rows)
+
+
+def test_the_same_commands_again_change_nothing(spark):
+    table = spark.createDataFrame([(OID + "6", "NEW", None), (OID + "7", "NEW", None)], "id string, status string, review_reason string")
+    paid = spark.createDataFrame([(OID + "6", "CHARGED")], "order_id string, status string")
+    held = spark.createDataFrame([(OID + "6", "res-1")], "order_id string, reservation_id string")
+    msgs = spark.createDataFrame([_command("k1", 1, OID + "6", "first"), _command("k2", 2, OID + "7")], "key string, offset long, value string")
+    for scope, apply, state in (("order.cancel", listeners.apply_cancellations, table), ("payment.refund", listeners.apply_refunds, paid), ("inventory.release", listeners.apply_releases, held)):
+        first = apply(state, msgs)
+        store = listeners.processed_keys(msgs, scope)
+        again = apply(first[0], msgs, seen=store)
+        assert sorted(map(tuple, again[0].collect())) == sorted(map(tuple, first[0].collect()))
+        assert all(x.count() == 0 for x in again[1:]) and first[-1].count() == 2
+
+
+def test_jdbc_reads_must_be_partitioned(spark):
+    from eventide.sources.tables import read_table
+
+    with pytest.raises(ValueError):
+        read_table(spark, jdbc_url="jdbc:none", table="t")
