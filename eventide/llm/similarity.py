@@ -12,13 +12,16 @@ white space, A-Z as a-z; a text of fewer words is one shingle of them all).
    once.  ``BANDS`` bands of ``BINS / BANDS`` coordinates give bucket keys; a
    pair at the threshold of 0.75 shares no bucket with probability 5e-6.
 3. *Exact checks.*  In each bucket all classes are compared to one leader on
-   their full sets, and the links found are contracted to components.  Of the
-   buckets that still hold several components, all pairs across components
-   are compared: at most ``PAIR_LIMIT`` classes directly; in larger buckets
-   those that share one of their rarest shingles (rarest within the bucket;
-   as many as any pair at the threshold must share one of), which loses no
-   pair.  Pairs within one component need no check, so copies are not
-   expanded into pairs.
+   their full sets, and the links found are contracted to components.  Buckets
+   that still hold several components get another leader, ``ROUNDS`` times in
+   all.  What is then left is decided between components: those that meet in
+   a bucket are compared, all members of the smaller one to all of the larger,
+   in blocks (an index of a block's shingles, probed by the other side), so
+   pairs are never rows.  Components meet directly in buckets of at most
+   ``MEET_LIMIT`` of them; in larger ones if members share one of their rarest
+   shingles (rarest within the bucket; as many as any pair at the threshold
+   must share one of), which loses no pair.  Within one component nothing is
+   compared, so copies are not expanded into pairs.
 4. *Components* by alternating large-star and small-star steps.
 
 Defined cases: a text without words (or null) has an empty set and links with
@@ -41,9 +44,11 @@ SHINGLE = 5
 #: a link needs 100 * intersection >= 75 * union
 PERCENT = 75
 BINS, BANDS = 128, 32
-PAIR_LIMIT = 64
-#: classes that one task compares to a copy of their leader
+MEET_LIMIT = 64
+ROUNDS = 3
+#: classes that one task compares to a copy of their leader, or to a block of others
 STAR_ROWS = 256
+BLOCK_ROWS = 256
 _VALUES = byte_values(2)
 _MASK = np.uint64((1 << 57) - 1)
 _FULL = np.uint64((1 << 64) - 1)
@@ -176,7 +181,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     A leader with many partners goes out once for each STAR_ROWS of them.
     """
-    load = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("parts"))
+    load = materialize(pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("parts")), "load")
     dealt = pairs.join(load, "a").select("a", F.pmod(F.xxhash64("b", "b1"), "parts").cast("int").alias("part"), "a1", "b", "b1")
     members = dealt.join(texts, dealt["b"] == texts["node"]).select("a", "part", F.lit(True).alias("member"), "a1", "b", "b1", "text")
     null = F.lit(None).cast("bigint")
@@ -187,13 +192,72 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(_compare, "a bigint, b bigint")
 
 
-def node_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Texts of the classes that some pair names."""
-    need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def node_texts(docs: DataFrame, *nodes: DataFrame) -> DataFrame:
+    """(node, text) of the classes that the first columns of ``nodes`` name."""
+    need = nodes[0].select(F.col(nodes[0].columns[0]).alias("node"))
+    for more in nodes[1:]:
+        need = need.unionByName(more.select(F.col(more.columns[0]).alias("node")))
+    need = need.distinct()
     own = text_columns(docs)
     return own.join(need, own["doc_id"] == need["node"]).select("node", "text")
 
 
+def _compare_blocks(batches):
+    """Rows come by target, block and part, the block of query texts first; links go out."""
+    at, index, queries = None, None, []
+    for batch in batches:
+        target, block, part, member, node = (batch.column(c).to_pylist() for c in ("target", "block", "part", "member", "node"))
+        left, right = [], []
+        for k, _, s in _sets(batch):
+            if (target[k], block[k], part[k]) != at:
+                at, index, queries = (target[k], block[k], part[k]), None, []
+            if not member[k]:
+                queries.append((node[k], s))
+                continue
+            if not queries:
+                continue
+            if index is None:
+                size = np.array([len(q) for _, q in queries])
+                h, owner = np.concatenate([q for _, q in queries]), np.repeat(np.arange(len(queries)), size)
+                order = np.argsort(h)
+                index = (h[order], owner[order], size, [q for q, _ in queries])
+            h, owner, size, names = index
+            lo, hi = np.searchsorted(h, s, "left"), np.searchsorted(h, s, "right")
+            n = hi - lo
+            hits = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            shared = np.bincount(owner[hits], minlength=len(size))
+            for q in np.flatnonzero(100 * shared >= PERCENT * (size + len(s) - shared)).tolist():
+                left.append(node[k])
+                right.append(names[q])
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+
+def linked_components(meets: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between the members of components that meet.
+
+    ``meets``: (p, q) pairs of components; ``members``: (node, component).
+    The larger component of a pair is the target; its members are dealt into
+    parts, the members of all components that it meets into blocks, and each
+    part sees each block.
+    """
+    sizes = materialize(members.groupBy("component").agg(F.count("*").alias("size")), "sizes")
+    p, q = (sizes.select(F.col("component").alias(c), F.struct(F.col("size").alias("n"), F.col("component").alias("c")).alias(f"{c}s")) for c in ("p", "q"))
+    both = meets.join(p, "p").join(q, "q").select(F.greatest("ps", "qs").alias("big"), F.least("ps", "qs").alias("small"))
+    aims = materialize(both.select(F.col("big.c").alias("target"), F.col("small.c").alias("component"), F.col("big.n").alias("size"), F.col("small.n").alias("n")), "aims")
+    shape = materialize(aims.groupBy("target").agg(
+        F.ceil(F.sum("n") / BLOCK_ROWS).cast("int").alias("blocks"), F.ceil(F.max("size") / BLOCK_ROWS).cast("int").alias("parts")
+    ), "shape")
+    texts = materialize(node_texts(docs, members.join(aims.select("component").unionByName(aims.select(F.col("target").alias("component"))).distinct(), "component").select("node")), "texts")
+    own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    ask = aims.join(members, "component").join(shape, "target").select("target", own("blocks").alias("block"), "parts", "node")
+    ask = ask.select("target", "block", each("parts").alias("part"), F.lit(False).alias("member"), "node")
+    given = shape.join(members, shape["target"] == members["component"]).select("target", own("parts").alias("part"), "blocks", "node")
+    given = given.select("target", each("blocks").alias("block"), "part", F.lit(True).alias("member"), "node")
+    rows = ask.unionByName(given).join(texts, "node").repartition("target", "block", "part").sortWithinPartitions("target", "block", "part", "member")
+    return rows.mapInArrow(_compare_blocks, "a bigint, b bigint")
+
+
 # ------------------------------------------------------------------- components
 
 
@@ -240,12 +304,13 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(pick("x", "y").alias("a"), pick("x1", "y1").alias("a1"), pick("y", "x").alias("b"), pick("y1", "x1").alias("b1")).distinct()
 
 
-def _across(rows: DataFrame, *key: str) -> DataFrame:
-    """Pairs of classes with equal keys in different components."""
-    x = rows.select(*key, F.col("node").alias("x"), F.col("c1").alias("x1"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-    y = rows.select(*key, F.col("node").alias("y"), F.col("c1").alias("y1"), F.col("n").alias("yn"), F.col("component").alias("yc"))
-    met = x.join(y, list(key)).where((F.col("xc") < F.col("yc")) & _alike_sizes("xn", "yn"))
-    return met.select("x", "x1", "y", "y1")
+def _meeting(rows: DataFrame, *key: str) -> DataFrame:
+    """Pairs (p, q) of components that have a key in common and sizes of sets that can link."""
+    held = rows.groupBy(*key, "component").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    x = held.select(*key, F.col("component").alias("p"), F.col("lo").alias("pl"), F.col("hi").alias("ph"))
+    y = held.select(*key, F.col("component").alias("q"), F.col("lo").alias("ql"), F.col("hi").alias("qh"))
+    fits = (100 * F.col("ph") >= PERCENT * F.col("ql")) & (100 * F.col("qh") >= PERCENT * F.col("pl"))
+    return x.join(y, list(key)).where((F.col("p") < F.col("q")) & fits).select("p", "q")
 
 
 def _shingle_rows(batches):
@@ -256,21 +321,18 @@ def _shingle_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array([node[k]] * n, pa.int64()), pa.array([own] * n, pa.int64()), pa.array(s.view(np.int64))], names=["node", "c1", "shingle"])
 
 
-def _rare_shares(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs across components that share one of their rarest shingles within a bucket."""
-    need = rows.select("node").distinct()
-    own = text_columns(docs)
-    texts = own.join(need, own["doc_id"] == need["node"]).select("node", "text")
-    shingles = texts.mapInArrow(_shingle_rows, "node bigint, c1 bigint, shingle bigint").distinct()
+def _rare_meeting(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs of components whose members share one of their rarest shingles within a bucket."""
+    shingles = node_texts(docs, rows.select("node")).mapInArrow(_shingle_rows, "node bigint, c1 bigint, shingle bigint").distinct()
     every = materialize(rows.join(shingles, ["node", "c1"]), "bucket-shingles")
-    common = every.groupBy("key", "shingle").agg(F.count("*").alias("df"))
+    common = materialize(every.groupBy("key", "shingle").agg(F.count("*").alias("df")), "common")
     rarest = Window.partitionBy("key", "node", "c1").orderBy("df", "shingle")
     short = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
     prefix = every.join(common, ["key", "shingle"]).withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= short)
-    return _across(prefix, "key", "shingle")
+    return _meeting(prefix, "key", "shingle")
 
 
-def groups(docs: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
+def groups(docs: DataFrame, meet_limit: int = MEET_LIMIT, rounds: int = ROUNDS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     signed = materialize(sign(docs), "signed")
     classes = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("c1", "c2").agg(
@@ -278,26 +340,35 @@ def groups(docs: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     )
     classes = materialize(classes, "classes")
     spread = classes.select("node", "c1", "n", F.explode("bands").alias("key"))
-    lead = F.min(F.struct(F.xxhash64("c1").alias("by"), F.col("node").alias("x"), F.col("c1").alias("x1"), F.col("n").alias("xn")))
-    buckets = spread.groupBy("key").agg(F.count("*").alias("size"), lead.alias("lead")).where(F.col("size") > 1)
-    members = materialize(spread.join(buckets, "key").select("key", "node", "c1", "n", "size", "lead.x", "lead.x1", "lead.xn"), "members")
-
-    other = (F.col("node") != F.col("x")) | (F.col("c1") != F.col("x1"))
-    stars = members.where(other & _alike_sizes("n", "xn")).select("x", "x1", F.col("node").alias("y"), F.col("c1").alias("y1"))
-    stars = materialize(_ordered(stars), "stars")
-    links = materialize(verified(stars, materialize(node_texts(docs, stars), "texts")), "links")
-    found = materialize(components(links), "components")
-
-    placed = members.select("key", "node", "c1", "n", "size").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi")).select("key")
-    rest = materialize(placed.join(mixed, "key"), "rest")
-    pairs = _across(rest.where(F.col("size") <= pair_limit), "key")
-    large = rest.where(F.col("size") > pair_limit)
+    shared = spread.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1).select("key")
+    # classes that share a bucket with another one; from round to round, of the buckets that hold several components
+    rest = materialize(spread.join(shared, "key").withColumn("component", F.col("node")), "members")
+
+    links, done, found = None, None, None
+    for turn in range(rounds):
+        lead = F.min(F.struct(F.xxhash64("c1", F.lit(turn)).alias("by"), F.col("node").alias("x"), F.col("c1").alias("x1"), F.col("n").alias("xn"), F.col("component").alias("xc")))
+        leaders = rest.groupBy("key").agg(lead.alias("lead")).select("key", "lead.*")
+        other = (F.col("component") != F.col("xc")) | ((F.col("node") == F.col("x")) & (F.col("c1") != F.col("x1")))
+        stars = rest.join(leaders, "key").where(other & _alike_sizes("n", "xn")).select("x", "x1", F.col("node").alias("y"), F.col("c1").alias("y1"))
+        stars = _ordered(stars)
+        if done is not None:
+            stars = stars.join(done, ["a", "a1", "b", "b1"], "left_anti")
+        stars = materialize(stars, "stars")
+        new = materialize(verified(stars, materialize(node_texts(docs, stars.select("a"), stars.select("b")), "texts")), "links")
+        links, done = (new, stars) if links is None else (links.unionByName(new), done.unionByName(stars))
+        if turn and new.isEmpty():
+            break
+        found = materialize(components(links), "components")
+        rest = _mixed(rest, found)
+    counted = rest.join(rest.groupBy("key").agg(F.count_distinct("component").alias("held")), "key")
+    meets = _meeting(counted.where(F.col("held") <= meet_limit), "key")
+    large = materialize(counted.where(F.col("held") > meet_limit).drop("held"), "large")
     if not large.isEmpty():
-        pairs = pairs.unionByName(_rare_shares(large, docs))
-    more = materialize(_ordered(pairs).join(stars, ["a", "a1", "b", "b1"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        late = materialize(verified(more, materialize(node_texts(docs, more), "texts")), "links")
+        meets = meets.unionByName(_rare_meeting(large, docs))
+    meets = materialize(meets.distinct(), "meets")
+    if not meets.isEmpty():
+        members = materialize(rest.select("node", "component").distinct(), "nodes")
+        late = materialize(linked_components(meets, members, docs), "links")
         if not late.isEmpty():
             found = materialize(components(links.unionByName(late)), "components")
 
@@ -308,6 +379,13 @@ def groups(docs: DataFrame, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _mixed(rest: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, with their components as found."""
+    placed = rest.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi")).select("key")
+    return materialize(placed.join(mixed, "key"), "mixed")
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) with one row of each group: that of its smallest doc_id.
 

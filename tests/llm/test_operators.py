@@ -111,8 +111,8 @@ def test_near_duplicates_equal_brute_force(spark, docs, nothing):
     )
 
 
-@pytest.mark.parametrize("limit", [1, 64])
-def test_chains_and_mixed_buckets(spark, limit):
+@pytest.mark.parametrize("limit, rounds", [(1, 1), (64, 1), (64, 3)])
+def test_chains_and_mixed_buckets(spark, limit, rounds):
     """Drifting copies: neighbours are linked, the ends are not; also with every mixed bucket taken as large."""
     rng = np.random.default_rng(5)
     vocab = [f"w{i}" for i in range(3000)]
@@ -123,7 +123,7 @@ def test_chains_and_mixed_buckets(spark, limit):
             rows.append((at, " ".join(text)))
             at += 1
             text[int(rng.integers(60))] = str(rng.choice(vocab))
-    got = similarity.groups(make(spark, rows), pair_limit=limit).collect()
+    got = similarity.groups(make(spark, rows), meet_limit=limit, rounds=rounds).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(rows)
 
 
@@ -186,9 +186,11 @@ def test_matches_name_their_places(spark, docs):
     items = spark.createDataFrame(ITEMS[:1], "item_id bigint, text string")
     m = decontaminate.find_matches(docs.where("doc_id = 5"), items).first().matches
     assert [tuple(x) for x in m] == [("1", 0, 0, 13)]
-    left = decontaminate.drop_contaminated(docs, items)
-    assert left.columns == docs.columns
-    assert ids(left) == Counter({k: v for k, v in IDS.items() if k not in (3, 5, 9, None)} | {})
+    more = spark.createDataFrame([*ITEMS[:1], (77, "this very line of more than forty code points comes up again")], "item_id bigint, text string")
+    for table, block, gone in ((items, 1 << 20, {3, 5, 9}), (more, 40, {3, 5, 9, 14, 15, 16, 17, 18, 2})):
+        left = decontaminate.drop_contaminated(docs, table, block_chars=block)
+        assert left.columns == docs.columns
+        assert ids(left) == Counter({k: v for k, v in IDS.items() if k not in gone} | {None: 1})
 
 
 # ---------------------------------------------------------------------- tokens
