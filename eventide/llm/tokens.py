@@ -5,17 +5,29 @@ a new pre-token in the byte-level and word-end vocabularies used here, so a
 text may be cut before such spaces and its parts encoded on their own.  Parts
 recur, so each worker keeps what the library gave for a part; the memory is
 bounded by ``MEMO_PARTS``.
+
+New parts go to the library many at a time, as one text, where the vocabulary
+shows where a part begins: a byte-level one begins each part with a piece that
+starts with the space, and has no such piece elsewhere in a part.  There a
+mark at the end of a part, after a letter, is a pre-token of its own too, so
+``word`` and ``word,`` cost one encoding.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from itertools import chain
 
 import numpy as np
 
-MEMO_PARTS = 300_000
+MEMO_PARTS = 600_000
+#: parts that the library gets as one text
+JOINED = 2048
+SPACE = "\u0120"
+#: after a letter, each of these begins a pre-token of a byte-level vocabulary
+MARKS = frozenset(",.;:!?")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _OPEN: dict[tuple, PartEncoder] = {}
 
@@ -31,9 +43,17 @@ class PartEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.count_only = count_only
-        # after a space; at the start of a text
+        how = json.loads(self.library.to_str())
+        plain = how["normalizer"] is None and (how["pre_tokenizer"] or {}).get("type") == "ByteLevel" and how["pre_tokenizer"].get("use_regex")
+        #: of each id, whether its piece starts with the space
+        self.begins = None
+        if plain:
+            self.begins = np.zeros(self.library.get_vocab_size(with_added_tokens=True), dtype=bool)
+            self.begins[[i for t, i in self.library.get_vocab(with_added_tokens=True).items() if t.startswith(SPACE)]] = True
         self.memo: dict[str, object] = {}
         self.odd: object = -(1 << 60) if count_only else 0
+        #: what a mark gives when no space is before it
+        self.tails = dict(zip(MARKS, self.direct(list(MARKS)), strict=True)) if plain else {}
 
     def direct(self, texts: list[str]) -> list:
         got = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -43,18 +63,36 @@ class PartEncoder:
         ends = np.cumsum([0] + [4 * len(e) for e in got]).tolist()
         return [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
-    def learn(self, parts: list[str]) -> None:
-        if len(self.memo) + len(parts) > MEMO_PARTS:
+    def joined(self, parts: list[str]) -> list:
+        """Ids of each part after a space, all encoded as one text."""
+        ids = np.array(self.library.encode_batch_fast([" " + " ".join(parts)], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = np.flatnonzero(self.begins[ids])
+        if len(at) != len(parts):  # some part holds a space of another kind
+            return self.direct([" " + p for p in parts])
+        if self.count_only:
+            return np.diff(np.append(at, len(ids))).tolist()
+        flat, at = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+        return [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def learn(self, parts: list[str]) -> dict:
+        """What the library gives for new parts after a space; the worker keeps up to MEMO_PARTS of them."""
+        # a part with white space at an end: the space before it, or the next one, may not be a cut
+        new = {p: self.odd for p in parts if not p or p.strip() is not p}
+        plain = [p for p in parts if p not in new] if new else parts
+        marked = {p: p[:-1] for p in plain if p[-1] in MARKS and len(p) > 1 and p[-2].isalpha()} if self.tails else {}
+        if marked:
+            words = {p for p in plain if p not in marked}
+            words.update(w for w in marked.values() if w not in self.memo)
+            plain = list(words)
+        for i in range(0, len(plain), JOINED):
+            part = plain[i : i + JOINED]
+            new.update(zip(part, self.direct([" " + p for p in part]) if self.begins is None else self.joined(part), strict=True))
+        for p, w in marked.items():
+            new[p] = (new[w] if w in new else self.memo[w]) + self.tails[p[-1]]
+        if len(self.memo) + len(new) > MEMO_PARTS:
             self.memo.clear()
-        plain = []
-        for p in parts:
-            if not p or p[0].isspace() or p[-1].isspace():
-                self.memo[p] = self.odd  # the space before it, or the next one, may not be a cut
-            else:
-                plain.append(p)
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            self.memo.update(zip(part, self.direct([" " + p for p in part]), strict=True))
+        self.memo.update(new)
+        return new
 
     def whole(self, text: str):
         """One text cut at the sure places only, without the memo."""
@@ -65,21 +103,25 @@ class PartEncoder:
     def encode(self, texts: list[str]) -> list:
         """What the library gives for each text."""
         parts = [t.split(" ") for t in texts]
-        get = self.memo.get
-        missing = {p for own in parts for p in own[1:] if p not in self.memo}
+        get, missing = self.memo.get, set()
+        found = []
+        for own in parts:
+            found.append(got := list(map(get, own[1:])))
+            if None in got:
+                missing.update(p for p, x in zip(own[1:], got, strict=True) if x is None)
         if missing:
-            self.learn(list(missing))
-            if len(missing) > MEMO_PARTS // 2:  # a very long text; what it needed may be gone again
-                missing = {p for own in parts for p in own[1:] if p not in self.memo}
+            new = self.learn(list(missing))
+            for k, got in enumerate(found):
+                if None in got:
+                    found[k] = [new[p] if x is None else x for p, x in zip(parts[k][1:], got, strict=True)]
         heads = self.direct([own[0] for own in parts])
         out = []
-        for text, own, head in zip(texts, parts, heads, strict=True):
+        for text, own, got, head in zip(texts, parts, found, heads, strict=True):
             if len(own) == 1:
                 out.append(head)
                 continue
             # an empty head, or one that ends in white space, is no place to cut either
-            got = None if not own[0] or own[0][-1].isspace() else list(map(get, own[1:]))
-            if got is None or self.odd in got or None in got:
+            if not own[0] or own[0][-1].isspace() or self.odd in got:
                 out.append(self.whole(text))
             else:
                 out.append(head + sum(got) if self.count_only else head + b"".join(got))
