@@ -161,3 +161,11 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
 def text_columns(docs: DataFrame, *more: str) -> DataFrame:
     """Only the columns an operator reads, whatever else the table holds."""
     return docs.select("doc_id", "text", *more)
+
+
+def fresh_name(docs: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name

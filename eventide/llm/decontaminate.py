@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, byte_values, materialize, text_columns, text_slices
+from .common import ALNUM, Words, byte_values, fresh_name, materialize, text_columns, text_slices
 
 WINDOW = 10
 #: items are looked up in blocks of about this many characters, so that what is broadcast stays bounded
@@ -196,6 +196,17 @@ def _scan(items: Items, window: int, with_matches: bool):
     return run
 
 
+def item_blocks(benchmark: DataFrame, window: int, block_chars: int):
+    """Yields (items of a block, number of blocks); a block holds about ``block_chars`` characters."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    chars = items.agg(F.sum(F.length("text") + F.length("item_id"))).first()[0] or 0
+    blocks = max(1, -(-chars // block_chars))
+    for k in range(blocks):
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        got = own.collect()  # at most one block
+        yield Items([r[0] for r in got], [r[1] for r in got], window), blocks
+
+
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: doc_id, n_words, hits, items, longest, matches.
 
@@ -208,16 +219,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
     The items are taken in as many blocks as their measured size needs; only
     one block is in memory at a time.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    chars = items.agg(F.sum(F.length("text") + F.length("item_id"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
-    rows = text_columns(docs)
-    parts = []
-    for k in range(blocks):
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        got = own.collect()  # at most one block, about block_chars characters
-        part = rows.mapInArrow(_scan(Items([r[0] for r in got], [r[1] for r in got], window), window, blocks == 1), _OUT)
+    rows, blocks, parts = text_columns(docs), 0, []
+    for items, blocks in item_blocks(benchmark, window, block_chars):
+        part = rows.mapInArrow(_scan(items, window, blocks == 1), _OUT)
         parts.append(part if blocks == 1 else materialize(part, "matches"))
     if blocks == 1:
         out = parts[0]
@@ -257,12 +261,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that hold a window of an item; rows without a doc_id stay or go by the same rule.
+def _flag(items: Items):
+    """Sets the last column where a row's text holds a window of the block's items."""
+
+    def run(batches):
+        for batch in batches:
+            flags = np.array(batch.column(batch.num_columns - 1).to_pylist(), dtype=bool)
+            for i, j, data, off in text_slices(batch, "text", SHARD_BYTES):
+                w = Words(data, off, ALNUM, _VALUES)
+                flags[i + w.doc[shard_matches(w, items)[1]]] = True
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(flags)], names=batch.schema.names)
+
+    return run
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` (all columns) without the rows whose text holds a window of an item.
 
-    The ids of affected documents are few against the corpus, so the join
-    keeps only the documents not among them; where one doc_id stands for
-    several texts, the id goes as soon as one of them is affected.
+    One narrow pass for each block of items; with several blocks the rows are
+    written between the passes, so that one block is in memory at a time.
     """
-    bad = contamination(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    mark = fresh_name(docs, "contaminated")
+    out = docs.withColumn(mark, F.lit(False))
+    for k, (items, _) in enumerate(item_blocks(benchmark, window, block_chars)):
+        if k:
+            out = materialize(out, "flagged")
+        out = out.mapInArrow(_flag(items), out.schema)
+    return out.where(~F.col(mark)).select(*[F.col(f"`{c}`") for c in docs.columns])

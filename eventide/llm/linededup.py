@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, text_columns
+from .common import fresh_name, materialize, mix, text_columns
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: lines of one shard, on average
@@ -258,14 +258,6 @@ def kept_text(text: Column, dropped: Column) -> Column:
     return F.when(dropped.isNull(), text).otherwise(F.array_join(lines, "\n"))
 
 
-def fresh_name(docs: DataFrame, name: str) -> str:
-    """``name``, or a longer one that no column of ``docs`` has."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` (all columns) with the repeated lines taken out of ``text``; other columns as they were."""
     mark = fresh_name(docs, "dropped")
