@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_columns
+from .common import materialize, text_columns
 from .tokens import encoder, text_groups
 
 LIMIT = 2048
@@ -78,6 +78,7 @@ def fill_cache(docs: DataFrame, tokenizer_path: str, cache_path: str, squeeze: b
 def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, squeeze: bool = True) -> DataFrame:
     """Per document: doc_id, n_bytes (UTF-8), n_tokens, by way of the cache."""
     fill_cache(docs, tokenizer_path, cache_path, squeeze)
-    cache = read_cache(docs.sparkSession, cache_path, tokenizer_version(tokenizer_path))
+    # written apart, so that the join below it can split the rows of a frequent text
+    cache = materialize(read_cache(docs.sparkSession, cache_path, tokenizer_version(tokenizer_path)), "counts")
     rows = text_columns(docs).select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"), digest(normalised(F.col("text"), squeeze)).alias("digest"))
     return rows.join(cache, "digest").select("doc_id", "n_bytes", "n_tokens")
