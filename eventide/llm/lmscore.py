@@ -37,7 +37,7 @@ SIZE = WORDS + RARE
 CLASSES = SIZE // CLASS
 REACH, DIM = 2, 16
 MASK, BATCH, RATE, SEED = 0.15, 2048, 0.15, 11
-FAN_IN = 32
+FAN_IN = 8
 #: distinct words that a task holds before it hands on their counts
 HELD_WORDS = 1 << 20
 _VALUES = byte_values(5)
