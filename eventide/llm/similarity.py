@@ -45,10 +45,10 @@ SHINGLE = 5
 PERCENT = 75
 BINS, BANDS = 128, 32
 MEET_LIMIT = 64
-ROUNDS = 3
+ROUNDS = 2
 #: classes that one task compares to a copy of their leader, or to a block of others
 STAR_ROWS = 256
-BLOCK_ROWS = 256
+BLOCK_ROWS = 1024
 _VALUES = byte_values(2)
 _MASK = np.uint64((1 << 57) - 1)
 _FULL = np.uint64((1 << 64) - 1)
@@ -192,12 +192,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(_compare, "a bigint, b bigint")
 
 
-def node_texts(docs: DataFrame, *nodes: DataFrame) -> DataFrame:
-    """(node, text) of the classes that the first columns of ``nodes`` name."""
-    need = nodes[0].select(F.col(nodes[0].columns[0]).alias("node"))
-    for more in nodes[1:]:
-        need = need.unionByName(more.select(F.col(more.columns[0]).alias("node")))
-    need = need.distinct()
+def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the classes in ``nodes``; the one step that moves the documents' texts."""
+    need = nodes.select("node").distinct()
     own = text_columns(docs)
     return own.join(need, own["doc_id"] == need["node"]).select("node", "text")
 
@@ -232,7 +229,7 @@ def _compare_blocks(batches):
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def linked_components(meets: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+def linked_components(meets: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between the members of components that meet.
 
     ``meets``: (p, q) pairs of components; ``members``: (node, component).
@@ -247,7 +244,6 @@ def linked_components(meets: DataFrame, members: DataFrame, docs: DataFrame) ->
     shape = materialize(aims.groupBy("target").agg(
         F.ceil(F.sum("n") / BLOCK_ROWS).cast("int").alias("blocks"), F.ceil(F.max("size") / BLOCK_ROWS).cast("int").alias("parts")
     ), "shape")
-    texts = materialize(node_texts(docs, members.join(aims.select("component").unionByName(aims.select(F.col("target").alias("component"))).distinct(), "component").select("node")), "texts")
     own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     ask = aims.join(members, "component").join(shape, "target").select("target", own("blocks").alias("block"), "parts", "node")
@@ -321,9 +317,9 @@ def _shingle_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array([node[k]] * n, pa.int64()), pa.array([own] * n, pa.int64()), pa.array(s.view(np.int64))], names=["node", "c1", "shingle"])
 
 
-def _rare_meeting(rows: DataFrame, docs: DataFrame) -> DataFrame:
+def _rare_meeting(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of components whose members share one of their rarest shingles within a bucket."""
-    shingles = node_texts(docs, rows.select("node")).mapInArrow(_shingle_rows, "node bigint, c1 bigint, shingle bigint").distinct()
+    shingles = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_shingle_rows, "node bigint, c1 bigint, shingle bigint").distinct()
     every = materialize(rows.join(shingles, ["node", "c1"]), "bucket-shingles")
     common = materialize(every.groupBy("key", "shingle").agg(F.count("*").alias("df")), "common")
     rarest = Window.partitionBy("key", "node", "c1").orderBy("df", "shingle")
@@ -344,6 +340,7 @@ def groups(docs: DataFrame, meet_limit: int = MEET_LIMIT, rounds: int = ROUNDS)
     # classes that share a bucket with another one; from round to round, of the buckets that hold several components
     rest = materialize(spread.join(shared, "key").withColumn("component", F.col("node")), "members")
 
+    texts = materialize(node_texts(docs, rest), "texts")
     links, done, found = None, None, None
     for turn in range(rounds):
         lead = F.min(F.struct(F.xxhash64("c1", F.lit(turn)).alias("by"), F.col("node").alias("x"), F.col("c1").alias("x1"), F.col("n").alias("xn"), F.col("component").alias("xc")))
@@ -354,7 +351,7 @@ def groups(docs: DataFrame, meet_limit: int = MEET_LIMIT, rounds: int = ROUNDS)
         if done is not None:
             stars = stars.join(done, ["a", "a1", "b", "b1"], "left_anti")
         stars = materialize(stars, "stars")
-        new = materialize(verified(stars, materialize(node_texts(docs, stars.select("a"), stars.select("b")), "texts")), "links")
+        new = materialize(verified(stars, texts), "links")
         links, done = (new, stars) if links is None else (links.unionByName(new), done.unionByName(stars))
         if turn and new.isEmpty():
             break
@@ -364,11 +361,11 @@ def groups(docs: DataFrame, meet_limit: int = MEET_LIMIT, rounds: int = ROUNDS)
     meets = _meeting(counted.where(F.col("held") <= meet_limit), "key")
     large = materialize(counted.where(F.col("held") > meet_limit).drop("held"), "large")
     if not large.isEmpty():
-        meets = meets.unionByName(_rare_meeting(large, docs))
+        meets = meets.unionByName(_rare_meeting(large, texts))
     meets = materialize(meets.distinct(), "meets")
     if not meets.isEmpty():
         members = materialize(rest.select("node", "component").distinct(), "nodes")
-        late = materialize(linked_components(meets, members, docs), "links")
+        late = materialize(linked_components(meets, members, texts), "links")
         if not late.isEmpty():
             found = materialize(components(links.unionByName(late)), "components")
 
