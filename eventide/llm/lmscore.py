@@ -2,8 +2,9 @@
 
 Tokens are words (runs without white space, A-Z as a-z).  The ``WORDS`` most
 frequent words of the corpus, counted over all documents, have ids of their
-own; the others share ``RARE`` ids by hash, so a rare word is scored as the
-group that it falls into.
+own; the others share ``RARE`` ids by hash.  The network gives a rare word's
+group, and the word has its share of the group: its count over the group's,
+from the counts of all distinct words.
 
 The network sees ``REACH`` words on either side of a place, never the word
 itself: h = tanh(sum over offsets of D_o * E[word at o] + b).  The word's
@@ -16,6 +17,8 @@ partition from the same start (Adagrad), and the tasks' parameters are
 averaged, weighted by their places, in rounds of ``FAN_IN`` to one.
 
 A document's score is the sum over all its words of log p(word | both sides).
+The counts of rare words are joined to the documents' rare words by hash, and
+their logarithms summed in units of 1 / ``UNIT``, so the order does not matter.
 
 Defined cases: a null text, or one without words, has 0 tokens, a score of 0.0
 and a mean of 0.0; repeated rows are trained on and scored each; words beyond
@@ -40,6 +43,8 @@ MASK, BATCH, RATE, SEED = 0.15, 2048, 0.15, 11
 FAN_IN = 8
 #: distinct words that a task holds before it hands on their counts
 HELD_WORDS = 1 << 20
+#: steps of a natural logarithm in the sums of word counts
+UNIT = 1 << 24
 _VALUES = byte_values(5)
 _OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
 #: parameters by name, in the order of the flat vector
@@ -96,6 +101,8 @@ class Vocabulary:
         n[: len(counts)] = counts
         n[WORDS:] = rest
         self.share = (n + 0.5) / (n + 0.5).sum()
+        #: log of the words counted in each group of rare words
+        self.group = np.log(np.maximum(rest, 1))
 
     def ids(self, h: np.ndarray) -> np.ndarray:
         rare = (WORDS + (h >> np.uint64(40)) % np.uint64(RARE)).astype(np.int32)
@@ -105,9 +112,8 @@ class Vocabulary:
         return np.where(self.known[at] == h, self.id[at], rare)
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
+def vocabulary(counts: DataFrame) -> Vocabulary:
     """The most frequent words (ties by hash), and the counts of the groups of rare words."""
-    counts = materialize(word_counts(docs), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     group = F.pmod(F.shiftrightunsigned("word", 40), F.lit(RARE)).cast("int")
     rest = np.zeros(RARE)
@@ -272,17 +278,27 @@ def train(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
 
 
 def _score(vocab: Vocabulary, flat: np.ndarray):
+    """Scores in which a rare word counts as found once; ``rare``: hashes of the rare words."""
+
     def run(batches):
         p = unflatten(flat)
         for batch in batches:
             for i, j, data, off in text_slices(batch, "text"):
                 w = Words(data, off, NON_SPACE, _VALUES)
-                seq, at = places(w, vocab.ids(w.hash))
-                total = np.bincount(w.doc, weights=log_probabilities(p, seq, at), minlength=j - i)
+                own = vocab.ids(w.hash)
+                seq, at = places(w, own)
+                log_p = log_probabilities(p, seq, at).astype(np.float64)
+                rare = np.flatnonzero(own >= WORDS)
+                log_p[rare] -= vocab.group[own[rare] - WORDS]
+                total = np.bincount(w.doc, weights=log_p, minlength=j - i)
                 n = np.diff(w.first)
+                ends = np.searchsorted(rare, w.first).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), pa.array(n, pa.int64()), pa.array(total), pa.array(total / np.maximum(n, 1))],
-                    names=["doc_id", "n_tokens", "score", "mean_score"],
+                    [
+                        batch.column("doc_id").slice(i, j - i), pa.array(n, pa.int64()), pa.array(total), pa.array(total / np.maximum(n, 1)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(w.hash[rare].view(np.int64))),
+                    ],
+                    names=["doc_id", "n_tokens", "score", "mean_score", "rare"],
                 )
 
     return run
@@ -290,6 +306,16 @@ def _score(vocab: Vocabulary, flat: np.ndarray):
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_tokens, score (summed log p), mean_score."""
-    vocab = vocabulary(docs)
+    counts = materialize(word_counts(docs), "word-counts")
+    vocab = vocabulary(counts)
     flat = train(docs, vocab)
-    return text_columns(docs).mapInArrow(_score(vocab, flat), "doc_id bigint, n_tokens bigint, score double, mean_score double")
+    schema = "doc_id bigint, n_tokens bigint, score double, mean_score double, rare array<bigint>"
+    scored = text_columns(docs).mapInArrow(_score(vocab, flat), schema)
+    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    # a word found once adds log 1
+    logs = counts.where("n > 1").select("word", F.round(F.log("n") * UNIT).cast("bigint").alias("log_n"))
+    added = scored.select("row", F.explode("rare").alias("word")).join(logs, "word").groupBy("row").agg(F.sum("log_n").alias("log_n"))
+    score = F.col("score") + F.coalesce("log_n", F.lit(0)) / UNIT
+    return scored.drop("mean_score").join(added, "row", "left").select(
+        "doc_id", "n_tokens", score.alias("score"), (score / F.greatest("n_tokens", F.lit(1))).alias("mean_score")
+    )

@@ -70,6 +70,40 @@ def test_lm_gradient_and_training():
     assert np.exp(lmscore.log_probabilities(p, seq, np.arange(lmscore.SIZE) * 8 + 3).astype(float)).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_lm_gives_every_rare_word_its_own_probability(spark, monkeypatch):
+    monkeypatch.setattr(lmscore, "train", lambda docs, vocab: lmscore.start(vocab.share))
+    often = [(k, " ".join(f"common{(137 * k + i) % 5000}" for i in range(1000))) for k in range(40)]
+    # words that no document of the others has, each a different number of times
+    rare = [(100 + n, " ".join([f"seldom{n}"] * n)) for n in (1, 2, 5)]
+    docs = make(spark, [*often, *rare])
+    words = {r.word: r.n for r in lmscore.word_counts(docs).collect()}
+    assert len(words) > lmscore.WORDS
+    vocab = lmscore.vocabulary(lmscore.word_counts(docs))
+    known = set(vocab.known.view(np.int64).tolist())
+    group, word = Counter(), {}
+    for h, n in words.items():
+        if h not in known:
+            g = int(vocab.ids(np.array([h]).view(np.uint64))[0])
+            group[g] += n
+            word[h] = (g, n)
+    flat = lmscore.start(vocab.share)
+    p = lmscore.unflatten(flat)
+    got = {r.doc_id: r for r in lmscore.pseudo_likelihood(docs).collect()}
+    assert len(got) == 43
+    for i, t in [*often[:3], *rare]:
+        w = lmscore.Words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), lmscore.NON_SPACE, lmscore._VALUES)
+        want = lmscore.log_probabilities(p, *lmscore.places(w, vocab.ids(w.hash))).astype(float).sum()
+        for h in w.hash.view(np.int64).tolist():
+            if h in word:
+                want += np.log(word[h][1] / group[word[h][0]])
+        assert got[i].score == pytest.approx(want, rel=1e-6) and got[i].mean_score == pytest.approx(want / len(w.hash), rel=1e-6)
+    # the shares of a group's words add up to the group
+    total = Counter()
+    for g, n in word.values():
+        total[g] += n / np.exp(vocab.group[g - lmscore.WORDS])
+    assert all(x == pytest.approx(1) for x in total.values())
+
+
 # --------------------------------------------------------------- near duplicates
 
 
