@@ -142,7 +142,7 @@ def shard_matches(w: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.nd
     return query, place[spot], common_prefix(train, spot, items.words, items.start[query], items.left[query])
 
 
-def _scan(items: Items, window: int, with_matches: bool):
+def _scan(items: Items, window: int, with_digest: bool):
     def run(batches):
         schema = None
         for batch in batches:
@@ -171,7 +171,7 @@ def _scan(items: Items, window: int, with_matches: bool):
                         if f < l:
                             spans[d] += [f - int(w.first[d]), l - int(w.first[d])]
                 found: list = [[] for _ in range(rows)]
-                if with_matches and len(query):
+                if len(query):
                     # only matches that cannot be extended to the left
                     known = {}
                     for q, p, n in sorted(zip(query.tolist(), word.tolist(), longest.tolist(), strict=True), key=lambda x: x[1]):
@@ -183,7 +183,7 @@ def _scan(items: Items, window: int, with_matches: bool):
                 texts = batch.column("text").slice(i, rows)
                 columns = {
                     "doc_id": doc_id.slice(i, rows),
-                    "digest": pa.array([hashlib.md5(b"" if t is None else t.encode()).digest() for t in texts.to_pylist()] if not with_matches else [None] * rows, pa.binary()),
+                    "digest": pa.array([hashlib.md5(b"" if t is None else t.encode()).digest() for t in texts.to_pylist()] if with_digest else [None] * rows, pa.binary()),
                     "n_words": pa.array(np.diff(w.first), pa.int64()),
                     "hits": pa.array(spans, pa.list_(pa.int64())),
                     "items": pa.array(names, pa.list_(pa.string())),
@@ -213,16 +213,15 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
     ``hits``: begin and end (exclusive) of each stretch of hit words, as flat
     pairs; ``items``: ids of the items with a window in the document, sorted
     as strings; ``longest``: words of the longest verbatim match; ``matches``:
-    the matches that cannot be extended, with their places (in the form of
-    several blocks: of each block).
+    the matches that cannot be extended, with their places, sorted.
 
     The items are taken in as many blocks as their measured size needs; only
     one block is in memory at a time.
     """
     rows, blocks, parts = text_columns(docs), 0, []
     for items, blocks in item_blocks(benchmark, window, block_chars):
-        part = rows.mapInArrow(_scan(items, window, blocks == 1), _OUT)
-        parts.append(part if blocks == 1 else materialize(part, "matches"))
+        part = rows.mapInArrow(_scan(items, window, blocks > 1), _OUT)
+        parts.append(part if blocks == 1 else materialize(part, "matches").withColumn("block", F.lit(len(parts))))
     if blocks == 1:
         out = parts[0]
     else:
@@ -232,12 +231,12 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bl
         for part in parts[1:]:
             every = every.unionByName(part)
         # equal rows give equal results, so each (doc_id, text) is merged once and joined to its rows
-        merged = every.dropDuplicates(["doc_id", "digest", "hits", "items", "longest"]).groupBy(key.alias("_id"), F.col("digest").alias("_digest")).agg(
+        merged = every.dropDuplicates(["block", "doc_id", "digest"]).groupBy(key.alias("_id"), F.col("digest").alias("_digest")).agg(
             F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
             F.max("longest").alias("longest"), F.flatten(F.collect_list("matches")).alias("matches"),
         )
         out = out.join(merged, (key == F.col("_id")) & (F.col("digest") == F.col("_digest")))
-    return out.select("doc_id", "n_words", "hits", F.array_sort(F.array_distinct("items")).alias("items"), "longest", "matches")
+    return out.select("doc_id", "n_words", "hits", F.array_sort(F.array_distinct("items")).alias("items"), "longest", F.array_sort("matches").alias("matches"))
 
 
 def hit_count(hits: Column) -> Column:

@@ -227,6 +227,19 @@ def test_matches_name_their_places(spark, docs):
         assert ids(left) == Counter({k: v for k, v in IDS.items() if k not in gone} | {None: 1})
 
 
+def test_matches_are_the_same_in_blocks(spark, docs):
+    # one id with two texts, which give the same hits in some document but not the same places in the item
+    items = spark.createDataFrame([*ITEMS, (8, "fox jumps over"), (8, "and a fox jumps over"), (8, "the fox jumps over")], "item_id bigint, text string")
+    small = docs.where("doc_id is null or doc_id <> 13")
+
+    def matches(block):
+        return Counter((r.doc_id, r.n_words, tuple(r["items"]), r.longest, tuple(map(tuple, r.matches))) for r in decontaminate.find_matches(small, items, 3, block).collect())
+
+    one = matches(1 << 20)
+    assert sum(bool(k[4]) for k in one) > 5
+    assert matches(40) == one
+
+
 # ---------------------------------------------------------------------- tokens
 
 
