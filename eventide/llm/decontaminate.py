@@ -197,10 +197,15 @@ def _scan(items: Items, window: int, with_digest: bool):
 
 
 def item_blocks(benchmark: DataFrame, window: int, block_chars: int):
-    """Yields (items of a block, number of blocks); a block holds about ``block_chars`` characters."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    """Yields (items of a block, number of blocks); a block holds about ``block_chars`` characters.
+
+    Repeated items are taken once: all copies would land in one block.
+    """
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["item_id", "text"])
     chars = items.agg(F.sum(F.length("text") + F.length("item_id"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
+    if blocks > 1:
+        items = materialize(items, "items")
     for k in range(blocks):
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         got = own.collect()  # at most one block

@@ -240,6 +240,14 @@ def test_matches_are_the_same_in_blocks(spark, docs):
     assert matches(40) == one
 
 
+def test_copies_of_an_item_are_taken_once(spark, docs):
+    copies = spark.createDataFrame([*ITEMS, *[(1, ITEMS[0][1])] * 50, *[(None, "old stone walls")] * 50], "item_id bigint, text string")
+    small = docs.where("doc_id is null or doc_id <> 13")
+    got = [(i.ids, n) for i, n in decontaminate.item_blocks(copies, 10, 200)]
+    assert len(got) == got[0][1] == 2 and Counter(x for i, _ in got for x in i) == Counter("" if i is None else str(i) for i, _ in ITEMS)
+    assert Counter(tuple(r) for r in decontaminate.contamination(small, copies).collect()) == brute_hits([r for r in ROWS if r[0] != 13], ITEMS)
+
+
 # ---------------------------------------------------------------------- tokens
 
 
