@@ -8,15 +8,21 @@ chunks (``▁`` and what follows) that are segmented on their own.
 
 Segmentation of a chunk keeps an agenda of adjacent pairs that form a piece,
 best score first, then leftmost.  Each pair taken from the agenda is skipped
-for good when a keyed hash of (seed, variant, chunk, place and length of the
-pair) falls below ``dropout``; else it is merged and its new neighbours join
-the agenda.  The chunks of a document take ``variants`` variants in turn,
-beginning with one that its doc_id gives, so equal words get different
-segmentations, and the same seed gives the same ids again.
-
-All chunks that a worker has not met are segmented side by side in numpy: in
-each round every chunk takes one pair from its agenda.  Chunks longer than
-``WIDE`` characters go one at a time by a heap.
+for good with probability ``dropout``; else it is merged and its new
+neighbours join the agenda.  Every occurrence of a chunk has draws of its own,
+from a keyed hash of (seed, doc_id, text, place of the chunk in the text), so
+equal words get different segmentations, and the same seed gives the same ids
+again.  The draws are the gaps between skips (geometric): one where none of
+the pairs taken is skipped.
+
+A segmentation depends only on the chunk and on which pairs were skipped (the
+first, second, ... taken), so a worker keeps what it has met by both: the plain
+segmentation with how many pairs it takes, and below it, by the number of the
+next skip, the segmentation with that skip, and so on.  An occurrence goes
+down until its next skip lies beyond the pairs taken.  Segmentations that a
+worker has not met are made side by side in numpy: in each round every chunk
+takes one pair from its agenda.  Chunks longer than ``WIDE`` characters go one
+at a time by a heap, each occurrence anew.
 
 Decoding joins the pieces' bytes and drops the first space: it returns the
 very text that was encoded.
@@ -24,7 +30,7 @@ very text that was encoded.
 Defined cases: a null text counts as empty; an empty text has no ids and
 decodes to an empty text; a ``▁`` of the text itself is written in byte
 pieces, so it comes back; control strings in a text are ordinary characters;
-a null doc_id takes the first variant; repeated rows get the same ids; an
+a null doc_id is a key like any other; repeated rows get the same ids; an
 empty table gives no rows; other columns are not read.
 """
 
@@ -44,11 +50,15 @@ from pyspark.sql import types as T
 from .common import mix, text_columns
 from .tokens import text_groups
 
-DROPOUT, SEED, VARIANTS = 0.1, 17, 4
+DROPOUT, SEED = 0.1, 17
 WIDE = 64
+#: segmentations that a worker keeps
 MEMO_CHUNKS = 800_000
 MARK = "▁"
 _NONE = np.int32(1 << 30)
+#: a skip that never comes
+_NEVER = 1 << 40
+_ODD = 0x9E3779B97F4A7C15
 _PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 _OPEN: dict[tuple, Codec] = {}
 
@@ -72,9 +82,12 @@ def _table(left: np.ndarray, right: np.ndarray, rank: np.ndarray, merged: np.nda
 
 
 class Codec:
-    """A vocabulary with encode and decode for batches of texts."""
+    """A vocabulary with encode and decode for batches of texts.
+
+    ``variants`` is not read: the number of segmentations has no bound.
+    """
 
-    def __init__(self, path: str, dropout: float, seed: int, variants: int):
+    def __init__(self, path: str, dropout: float, seed: int, variants: int | None = None):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -119,10 +132,10 @@ class Codec:
         for p, i in self.ids.items():
             if len(p) == 1:
                 self.of[ord(p)] = i
-        self.limit = np.uint64(min(int(dropout * 2**64), 2**64 - 1))
-        self.variants = variants
-        self.keys = [xxhash.xxh64_intdigest(f"{seed}/{v}".encode()) for v in range(variants)]
-        self.memo: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        # log of a draw times this is the number of pairs until the next skip
+        self.scale = None if dropout <= 0 else 0.0 if dropout >= 1 else 1 / np.log1p(-dropout)
+        self.key = np.uint64(xxhash.xxh64_intdigest(str(seed).encode()))
+        self._forget()
 
     # ---------------------------------------------------------------- segmentation
 
@@ -145,22 +158,22 @@ class Codec:
                 ids += [self.byte_ids[b] for b in chr(s - self.n).encode()]
         return np.array(ids, dtype="<u2").tobytes()
 
-    def _skip(self, base: np.ndarray, place: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Keyed hash of the pair at ``place`` (character) over ``length`` characters."""
-        return mix(base + (place.astype(np.uint64) << np.uint64(20)) + length.astype(np.uint64)) < self.limit
-
-    def _base(self, sym: np.ndarray, variant: int) -> np.ndarray:
-        """Keyed hash of each chunk, from its characters' ids."""
-        base = np.full(len(sym), self.keys[variant], dtype=np.uint64)
-        for k in range(sym.shape[1] - 1):
-            here = sym[:, k] >= 0
-            base = np.where(here, mix(base + sym[:, k].astype(np.uint64)), base)
-        return base
-
-    def segment_one(self, chunk: str, variant: int) -> bytes:
-        """One chunk by a heap."""
-        rows = self._symbols([chunk])
-        sym, base = rows[0, :-1].tolist(), self._base(rows, variant)
+    def _base(self, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Key of the draws for each occurrence."""
+        return mix(mix(keys + self.key) + places * np.uint64(_ODD))
+
+    def _gap(self, base: np.ndarray, nth: int) -> np.ndarray:
+        """Pairs that are not skipped before the ``nth`` skip (after the one before)."""
+        if self.scale is None:
+            return np.full(len(base), _NEVER)
+        u = ((mix(base + np.uint64((nth + 1) * _ODD % (1 << 64))) >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53
+        return (np.log(u) * self.scale).astype(np.int64)
+
+    def segment_one(self, chunk: str, key: int, place: int = 0) -> bytes:
+        """One occurrence of a chunk by a heap."""
+        sym = self._symbols([chunk])[0, :-1].tolist()
+        base = self._base(np.array([key], np.uint64), np.array([place], np.uint64))
+        taken, skips, due = 0, 0, int(self._gap(base, 0)[0])
         n = len(sym)
         size, nxt, prev = [1] * n, list(range(1, n + 1)), list(range(-1, n - 1))
         agenda: list = []
@@ -177,7 +190,10 @@ class Codec:
             j = nxt[i] if size[i] == a else n
             if j >= n or size[j] != b or size[i] == 0:
                 continue  # one of the two has been merged since
-            if self.limit and self._skip(base, np.array([i]), np.array([a + b]))[0]:
+            taken += 1
+            if taken > due:
+                skips += 1
+                due = taken + int(self._gap(base, skips)[0])
                 continue
             sym[i], size[i], size[j], nxt[i] = merged, a + b, 0, nxt[j]
             if nxt[i] < n:
@@ -204,12 +220,16 @@ class Codec:
                 break
         return rank, merged
 
-    def segment(self, chunks: list[str], variant: int) -> list[bytes]:
-        """Many short chunks, side by side: in each round each takes one pair from its agenda."""
+    def _merge(self, chunks: list[str], skips: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """Many short chunks, side by side: in each round each takes one pair from its agenda.
+
+        ``skips``: of each chunk, the rounds that skip, ascending, closed by
+        -1.  Returns the ids and the numbers of pairs taken.
+        """
         count = len(chunks)
         sym = self._symbols(chunks)
         width = sym.shape[1]
-        base = self._base(sym, variant)
+        taken, used = np.zeros(count, dtype=np.int16), np.zeros(count, dtype=np.int16)
         size = (sym >= 0).astype(np.int16)
         nxt = np.tile(np.arange(1, width + 1, dtype=np.int16), (count, 1))
         prev = np.tile(np.arange(-1, width - 1, dtype=np.int16), (count, 1))
@@ -217,16 +237,19 @@ class Codec:
         merged = np.zeros((count, width), dtype=np.int32)
         r, c = np.nonzero(sym[:, 1:] >= 0)
         rank[r, c], merged[r, c] = self._look(sym[r, c], sym[r, c + 1])
-        live = np.arange(count)
+        live, nth = np.arange(count), 0
         while len(live):
             i = np.argmin(rank[live], axis=1)
             go = rank[live, i] < _NONE
+            taken[live[~go]] = nth
             live, i = live[go], i[go]
             if not len(live):
                 break
             j = nxt[live, i]
             total = size[live, i] + size[live, j]
-            skip = self._skip(base[live], i, total) if self.limit else np.zeros(len(live), bool)
+            skip = skips[live, used[live]] == nth
+            nth += 1
+            used[live[skip]] += 1
             rank[live[skip], i[skip]] = _NONE
             r, i, j, total = live[~skip], i[~skip], j[~skip], total[~skip]
             sym[r, i], size[r, i], size[r, j], sym[r, j] = merged[r, i], total, 0, -1
@@ -254,25 +277,79 @@ class Codec:
             at = e
         for r in np.flatnonzero((sym >= self.n).any(axis=1)).tolist():
             out[r] = self._out(sym[r, keep[r]].tolist())
-        return out
-
-    def learn(self, chunks: list[str], variant: int) -> dict[str, bytes]:
-        """Segmentations of new chunks; the worker keeps up to MEMO_CHUNKS of them."""
-        new = {"": b""}
-        chunks = sorted((c for c in chunks if c), key=len)
+        return out, taken
+
+    def _forget(self):
+        """Nothing is kept; the empty chunk is node 0."""
+        self.plain: dict[str, int] = {"": 0}
+        #: node below a node (times 256, plus the number of the skipped pair)
+        self.below: dict[int, int] = {}
+        self.ids_of, self.taken = [b""], np.zeros(1 << 12, dtype=np.int16)
+        self.parent, self.skip = np.full(1 << 12, -1, dtype=np.int32), np.zeros(1 << 12, dtype=np.int16)
+
+    def _skips(self, node: int) -> list[int]:
+        out: list[int] = []
+        while self.parent[node] >= 0:
+            out.append(int(self.skip[node]))
+            node = int(self.parent[node])
+        return out[::-1]
+
+    def _learn(self, chunks: list[str], parents: list[int], skip: list[int]) -> list[int]:
+        """Nodes of chunks, each with the skips of its parent (-1: none) and one more."""
+        first, n = len(self.ids_of), len(chunks)
+        if first + n > len(self.taken):
+            more = max(first + n - len(self.taken), len(self.taken))
+            self.taken, self.parent, self.skip = (np.concatenate((x, np.full(more, fill, x.dtype))) for x, fill in ((self.taken, 0), (self.parent, -1), (self.skip, 0)))
+        self.ids_of += [b""] * n
+        self.parent[first : first + n], self.skip[first : first + n] = parents, skip
+        order = sorted(range(n), key=lambda k: len(chunks[k]))
         at = 0
-        while at < len(chunks) and len(chunks[at]) <= WIDE:
+        while at < n:
             # chunks of like length together, about 60,000 characters at a time
-            upto = at + max(1, 60_000 // (len(chunks[at]) + 4))
-            part = [c for c in chunks[at:upto] if len(c) <= WIDE]
-            new.update(zip(part, self.segment(part, variant), strict=True))
+            part = order[at : at + max(1, 60_000 // (len(chunks[order[at]]) + 4))]
             at += len(part)
-        for c in chunks[at:]:
-            new[c] = self.segment_one(c, variant)
-        if len(self.memo[variant]) + len(new) > MEMO_CHUNKS // self.variants:
-            self.memo[variant].clear()
-        self.memo[variant].update(new)
-        return new
+            paths = [self._skips(first + k) for k in part]
+            skips = np.full((len(part), max(map(len, paths)) + 1), -1, dtype=np.int16)
+            for row, path in zip(skips, paths, strict=True):
+                row[: len(path)] = path
+            ids, taken = self._merge([chunks[k] for k in part], skips)
+            for k, x in zip(part, ids, strict=True):
+                self.ids_of[first + k] = x
+            self.taken[first + np.array(part)] = taken
+        return list(range(first, first + n))
+
+    def _occurrences(self, chunks: list[str], base: np.ndarray) -> list[bytes]:
+        """Ids of each occurrence of short chunks under its draws."""
+        if len(self.ids_of) > MEMO_CHUNKS:
+            self._forget()
+        found = list(map(self.plain.get, chunks))
+        if None in found:
+            missing = list({c: None for c, x in zip(chunks, found, strict=True) if x is None})
+            self.plain.update(zip(missing, self._learn(missing, [-1] * len(missing), [0] * len(missing)), strict=True))
+            found = list(map(self.plain.__getitem__, chunks))
+        node = np.array(found, dtype=np.int64)
+        due, nth = self._gap(base, 0), 0
+        live = np.flatnonzero(due < self.taken[node])
+        due = due[live]
+        while len(live):
+            keys = (node[live] * 256 + due).tolist()
+            found = list(map(self.below.get, keys))
+            if None in found:
+                missing = {key: k for k, (key, x) in enumerate(zip(keys, found, strict=True)) if x is None}
+                own = [chunks[live[k]] for k in missing.values()]
+                self.below.update(zip(missing, self._learn(own, [key >> 8 for key in missing], [key & 255 for key in missing]), strict=True))
+                found = list(map(self.below.__getitem__, keys))
+            node[live] = found
+            nth += 1
+            due = due + 1 + self._gap(base[live], nth)
+            go = due < self.taken[node[live]]
+            live, due = live[go], due[go]
+        return list(map(self.ids_of.__getitem__, node.tolist()))
+
+    def segment(self, chunks: list[str], key: int, places: np.ndarray | None = None) -> list[bytes]:
+        """Short chunks that occur at ``places`` (0) of a text with a key."""
+        places = np.zeros(len(chunks), np.uint64) if places is None else places
+        return self._occurrences(chunks, self._base(np.full(len(chunks), key, np.uint64), places))
 
     # -------------------------------------------------------------------- texts
 
@@ -288,9 +365,8 @@ class Codec:
             return _PART.findall(MARK + text.replace(" ", MARK))
         return (MARK + text.replace(" ", " " + MARK).replace("\n", " \n ")).split(" ")
 
-    def encode(self, texts: list[str], first: list[int]) -> list[bytes]:
-        """Ids of each text (16-bit bytes); ``first``: the variant of its first chunk."""
-        v = self.variants
+    def encode(self, texts: list[str], keys: list[int]) -> list[bytes]:
+        """Ids of each text (16-bit bytes); ``keys``: what the draws of each text come from."""
         parts, plans = [], []
         for t in texts:
             if MARK in t:  # the text's own marks part it; each is written in byte pieces
@@ -307,20 +383,19 @@ class Codec:
             else:
                 plans.append(None)
             parts.append(self.chunks(t) if plans[-1] is None else [c for c in plans[-1] if c is not None])
-        found: list = [[None] * len(own) for own in parts]
-        for k in range(v):
-            get, missing = self.memo[k].get, set()
-            for own, got, f in zip(parts, found, first, strict=True):
-                at = (k - f) % v
-                got[at::v] = part = list(map(get, own[at::v]))
-                if None in part:
-                    missing.update(c for c, x in zip(own[at::v], part, strict=True) if x is None)
-            if missing:
-                new = self.learn(list(missing), k)
-                for own, got, f in zip(parts, found, first, strict=True):
-                    at = (k - f) % v
-                    if None in (part := got[at::v]):
-                        got[at::v] = [new[c] if x is None else x for c, x in zip(own[at::v], part, strict=True)]
+        size = np.array([len(own) for own in parts], dtype=np.int64)
+        ends = np.cumsum(size)
+        flat = [c for own in parts for c in own]
+        place = np.arange(len(flat), dtype=np.int64) - np.repeat(ends - size, size)
+        text = np.repeat(np.array(keys, dtype=np.uint64), size)
+        long = [k for k, c in enumerate(flat) if len(c) > WIDE]
+        apart = [self.segment_one(flat[k], int(text[k]), int(place[k])) for k in long]
+        for k in long:
+            flat[k] = ""
+        coded = self._occurrences(flat, self._base(text, place.astype(np.uint64)))
+        for k, x in zip(long, apart, strict=True):
+            coded[k] = x
+        found = [coded[e - n : e] for e, n in zip(ends.tolist(), size.tolist(), strict=True)]
         mark = np.array([self.byte_ids[b] for b in MARK.encode()], dtype="<u2").tobytes()
         out = []
         for got, plan in zip(found, plans, strict=True):
@@ -340,26 +415,27 @@ class Codec:
         return [data[a + 1 : b] for a, b in zip(at, at[1:], strict=False)]
 
 
-def codec(path: str, dropout: float, seed: int, variants: int) -> Codec:
-    key = (path, dropout, seed, variants)
+def codec(path: str, dropout: float, seed: int) -> Codec:
+    key = (path, dropout, seed)
     if key not in _OPEN:
-        _OPEN[key] = Codec(path, dropout, seed, variants)
+        _OPEN[key] = Codec(path, dropout, seed)
     return _OPEN[key]
 
 
-def _first_variant(ids: list, seed: int, variants: int) -> list[int]:
-    return [0 if i is None else xxhash.xxh64_intdigest(str(i).encode(), seed) % variants for i in ids]
+def text_keys(ids: list, texts: list[str]) -> list[int]:
+    """Keys of rows by doc_id and text."""
+    return [xxhash.xxh64_intdigest(t.encode(), xxhash.xxh64_intdigest(str(i).encode())) for i, t in zip(ids, texts, strict=True)]
 
 
-def _encode(path: str, dropout: float, seed: int, variants: int):
+def _encode(path: str, dropout: float, seed: int):
     def run(batches):
-        c = codec(path, dropout, seed, variants)
+        c = codec(path, dropout, seed)
         for batch in batches:
             doc_ids, done = batch.column("doc_id"), 0
             for texts in text_groups(batch.column("text").to_pylist()):
                 n = len(texts)
                 own = doc_ids.slice(done, n)
-                coded = c.encode(texts, _first_variant(own.to_pylist(), seed, variants))
+                coded = c.encode(texts, text_keys(own.to_pylist(), texts))
                 size = np.array([len(x) // 2 for x in coded], dtype=np.int64)
                 ids = np.frombuffer(b"".join(coded), dtype="<u2").astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(ids))
@@ -369,14 +445,14 @@ def _encode(path: str, dropout: float, seed: int, variants: int):
     return run
 
 
-def encode(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """Per document: doc_id, n_tokens, ids."""
-    return text_columns(docs).mapInArrow(_encode(model_path, dropout, seed, variants), "doc_id bigint, n_tokens bigint, ids array<int>")
+    return text_columns(docs).mapInArrow(_encode(model_path, dropout, seed), "doc_id bigint, n_tokens bigint, ids array<int>")
 
 
 def _decode(path: str):
     def run(batches):
-        c = codec(path, 0.0, 0, 1)
+        c = codec(path, 0.0, 0)
         for batch in batches:
             lists = batch.column("ids")
             off = lists.offsets.to_numpy().astype(np.int64)
@@ -393,15 +469,15 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.mapInArrow(_decode(model_path), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
-def _round_trip(path: str, dropout: float, seed: int, variants: int):
+def _round_trip(path: str, dropout: float, seed: int):
     def run(batches):
-        c = codec(path, dropout, seed, variants)
+        c = codec(path, dropout, seed)
         for batch in batches:
             ids, done = batch.column("doc_id"), 0
             for texts in text_groups(batch.column("text").to_pylist()):
                 n = len(texts)
                 own = ids.slice(done, n)
-                coded = c.encode(texts, _first_variant(own.to_pylist(), seed, variants))
+                coded = c.encode(texts, text_keys(own.to_pylist(), texts))
                 size = np.array([len(x) // 2 for x in coded], dtype=np.int64)
                 flat = np.frombuffer(b"".join(coded), dtype="<u2")
                 back = c.decode(flat.astype(np.int64), np.cumsum(size))
@@ -417,10 +493,10 @@ def _round_trip(path: str, dropout: float, seed: int, variants: int):
     return run
 
 
-def round_trip(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def round_trip(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256 (ids as little-endian 16-bit), decoded_sha256, lossless."""
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, lossless boolean"
-    return text_columns(docs).mapInArrow(_round_trip(model_path, dropout, seed, variants), schema)
+    return text_columns(docs).mapInArrow(_round_trip(model_path, dropout, seed), schema)
 
 
 def encoded_report(docs: DataFrame, model_path: str) -> DataFrame:

@@ -335,6 +335,45 @@ def test_codec_against_the_library_and_the_heap():
     assert [x.decode() for x in varied.decode(np.frombuffer(b"".join(coded), "<u2").astype(np.int64), ends)] == texts
 
 
+def drawn(pairs, symbols, rng, dropout=0.1):
+    """Merge dropout by the book: symbols as (id, begin, end)."""
+    now, gone = [(s, k, k + 1) for k, s in enumerate(symbols)], set()
+    while True:
+        best = min(((pairs[a[0], b[0]], k) for k, (a, b) in enumerate(zip(now, now[1:], strict=False)) if (a[0], b[0]) in pairs and (a[1], b[1], b[2]) not in gone), default=None)
+        if best is None:
+            return [x[0] for x in now]
+        (_, merged), k = best
+        if rng.random() < dropout:
+            gone.add((now[k][1], now[k + 1][1], now[k + 1][2]))
+        else:
+            now[k : k + 2] = [(merged, now[k][1], now[k + 1][2])]
+
+
+def test_every_occurrence_has_its_own_draws():
+    """Over documents, within one and without doc_ids, a chunk's segmentations are as frequent as the method has them."""
+    import random
+
+    plain, varied, rng = dropout.Codec(PIECE, 0.0, 1), dropout.Codec(PIECE, 0.1, 7), random.Random(3)
+    n = 4000
+    for word in ("a", "of", "the", "people", "information"):
+        chunk = dropout.MARK + word
+        symbols = plain._symbols([chunk])[0, :-1].tolist()
+        want = Counter(np.array(drawn(plain.pairs, symbols, rng), "<u2").tobytes() for _ in range(n))
+        across = varied.encode([word] * n, dropout.text_keys(range(n), [word] * n))
+        within = varied.segment([chunk] * n, 5, np.arange(n, dtype=np.uint64))
+        for got in (Counter(across), Counter(within)):
+            for x in want | got:
+                p = (want[x] + got[x]) / (2 * n)
+                assert abs(want[x] - got[x]) < 5 * (2 * n * p * (1 - p)) ** 0.5 + 5
+        assert within == [varied.segment_one(chunk, 5, k) for k in range(n)]
+        best = plain.segment([chunk], 0)[0]
+        assert 0.02 < 1 - Counter(across)[best] / n < 0.75
+    # more segmentations than a few turns of variants can give
+    assert len(set(across)) > 20
+    # documents without a doc_id differ by text
+    assert len(set(dropout.text_keys([None, None, 1, 1], ["a", "b", "a", "a"]))) == 3
+
+
 # -------------------------------------------------------------------- toxicity
 
 
