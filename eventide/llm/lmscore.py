@@ -11,8 +11,8 @@ itself: h = tanh(sum over offsets of D_o * E[word at o] + b).  The word's
 probability is that of its class (ids in runs of ``CLASS``, by frequency)
 times that of the word within its class, both softmax over h.
 
-Training masks a share ``MASK`` of all places of every document (by a hash of
-word and place) and predicts them.  Each task trains in numpy on its own
+Training predicts every place of every document; no masking is needed, as the
+network never sees the word itself.  Each task trains in numpy on its own
 partition from the same start (Adagrad), and the tasks' parameters are
 averaged, weighted by their places, in rounds of ``FAN_IN`` to one.
 
@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, byte_values, materialize, mix, text_columns, text_slices
+from .common import NON_SPACE, Words, byte_values, materialize, text_columns, text_slices
 
 WORDS, RARE, CLASS = 3968, 128, 64
 SIZE = WORDS + RARE
 CLASSES = SIZE // CLASS
 REACH, DIM = 2, 16
-MASK, BATCH, RATE, SEED = 0.15, 2048, 0.15, 11
+BATCH, RATE, SEED = 2048, 0.15, 11
 FAN_IN = 8
 #: distinct words that a task holds before it hands on their counts
 HELD_WORDS = 1 << 20
@@ -230,20 +230,17 @@ def _train(vocab: Vocabulary, flat: np.ndarray):
     def run(batches):
         theta = flat.copy()
         p, power, seen = unflatten(theta), np.full(len(theta), 1e-6, dtype=np.float32), 0
-        limit = np.uint64(int(MASK * 2**64))
 
         for batch in batches:
             for _, _, data, off in text_slices(batch, "text"):
                 w = Words(data, off, NON_SPACE, _VALUES)
                 seq, at = places(w, vocab.ids(w.hash))
-                nth = (np.arange(len(at)) - w.first[w.doc]).astype(np.uint64)
-                masked = at[mix(w.hash + nth * np.uint64(0x9E3779B97F4A7C15)) < limit]
-                for part in np.array_split(masked, max(1, -(-len(masked) // BATCH))):
+                for part in np.array_split(at, max(1, -(-len(at) // BATCH))):
                     if len(part):
                         g = gradient(p, seq, part)
                         power += g * g
                         theta += RATE * g / np.sqrt(power)
-                seen += len(masked)
+                seen += len(at)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([theta.tobytes()], pa.binary())], names=["weight", "theta"])
 

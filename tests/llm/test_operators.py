@@ -70,6 +70,21 @@ def test_lm_gradient_and_training():
     assert np.exp(lmscore.log_probabilities(p, seq, np.arange(lmscore.SIZE) * 8 + 3).astype(float)).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_lm_trains_on_every_place(monkeypatch):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 1, 2, None, 3], "text": ["a b c " * 900, "a b c " * 900, "header one", None, "header two"]})
+    c = next(lmscore._count([batch]))
+    vocab = lmscore.Vocabulary(c["word"].to_pylist(), c["n"].to_pylist(), np.zeros(lmscore.RARE))
+    seen, gradient = [], lmscore.gradient
+    monkeypatch.setattr(lmscore, "gradient", lambda p, seq, at: seen.append(at) or gradient(p, seq, at))
+    trained = next(lmscore._train(vocab, lmscore.start(vocab.share))([batch]))
+    assert trained["weight"].to_pylist() == [5404]
+    outside = lmscore.REACH * 6
+    places = np.concatenate(seen)
+    assert len(places) == len(set(places.tolist())) == 5404 and places.max() < 5404 + outside
+
+
 def test_lm_gives_every_rare_word_its_own_probability(spark, monkeypatch):
     monkeypatch.setattr(lmscore, "train", lambda docs, vocab: lmscore.start(vocab.share))
     often = [(k, " ".join(f"common{(137 * k + i) % 5000}" for i in range(1000))) for k in range(40)]
