@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, chat, decontaminate, dropout, linededup, lmscore, similarity, tokencount, tokenfile, toxicity
+from . import bottomk, chat, decontaminate, dropout, linededup, lmscore, periodic, similarity, tokencount, tokenfile, toxicity, variants
 from .common import scratch, ship
 
 ORACLE: dict[str, str] = {}
@@ -142,4 +144,33 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_near_dedup, op3_decontamination, op4_token_counts, op5_merge_dropout, op6_toxicity, op7_fingerprints, op8_token_file, op9_line_dedup, op10_chat_formatting)}
+
+def misspell(doc_id: str | None, run: str) -> str:
+    """Takes one letter out of some runs, by a hash of document and run."""
+    h = zlib.crc32(f"{doc_id or ''}:{run}".encode())
+    k = h % len(run)
+    return run if h % 199 else run[:k] + run[k + 1 :]
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents (some misspelt on purpose) with their near words, forms and roots."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), misspell)
+
+
+def repeat_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Makes the tail of some documents periodic, by a hash of doc_id (none without one)."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document (some made periodic on purpose)."""
+    return periodic.run_report(periodic.periodic_runs(table(spark, sf_dir, "documents"), repeat_tail))
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_near_dedup, op3_decontamination, op4_token_counts, op5_merge_dropout, op6_toxicity, op7_fingerprints, op8_token_file, op9_line_dedup, op10_chat_formatting, op12_spelling_variants, op13_periodic_runs)}
