@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, chat, decontaminate, dropout, linededup, lmscore, periodic, similarity, tokencount, tokenfile, toxicity, variants
+from . import bottomk, chat, decontaminate, dropout, licenses, linededup, lmscore, periodic, similarity, tokencount, tokenfile, toxicity, variants
 from .common import scratch, ship
 
 ORACLE: dict[str, str] = {}
@@ -145,6 +145,34 @@ FROM e GROUP BY conv_id
 """
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and detections of the signature rules in all documents."""
+    return licenses.license_report(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+_RULE_ROWS = ",\n  ".join(f"({k}, '{label}', {level}, ' {word} ', '{pattern}')" for k, label, level, word, pattern in licenses.rules())
+ORACLE["op11_license_scan"] = f"""
+WITH r(rule, label, level, gate, pattern) AS (VALUES
+  {_RULE_ROWS}),
+d AS (SELECT row_number() OVER () AS id, doc_id, regexp_replace({LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', '  ', 'g') AS parted FROM documents),
+t AS (SELECT id, doc_id, ' ' || trim(parted, ' ') || ' ' AS spaced, CASE WHEN trim(parted, ' ') = '' THEN 0 ELSE len(string_split(trim(parted, ' '), '  ')) END AS n_words FROM d),
+m AS (SELECT id, rule, label, level, string_split(trim(regexp_replace(spaced, pattern, ' ' || chr(1) || '\\1 ', 'g'), ' '), '  ') AS w, regexp_extract_all(spaced, pattern, 1) AS hits
+  FROM t JOIN r ON contains(spaced, gate)),
+p AS (SELECT id, rule, label, level, unnest(list_filter(generate_series(1, len(w)), lambda i: starts_with(w[i], chr(1)))) - 1 AS s, unnest(hits) AS hit FROM m WHERE len(hits) > 0),
+x AS (SELECT id, rule, label, level, s, s + len(string_split(hit, '  ')) - 1 AS e FROM p),
+kept AS (SELECT * FROM x a WHERE rule >= 0 AND NOT EXISTS (SELECT 1 FROM x b WHERE b.id = a.id AND b.rule >= 0 AND b.rule <> a.rule AND (
+    (b.s <= a.s AND b.e >= a.e AND b.level >= a.level AND (b.s < a.s OR b.e > a.e OR b.level > a.level OR b.rule < a.rule))
+    OR (b.s >= a.s AND b.e <= a.e AND b.level > a.level)))),
+b AS (SELECT id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM x WHERE rule < 0 GROUP BY id),
+l AS (SELECT id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(CASE WHEN rule < 0 THEN 2 ELSE level END) AS top, count(*) FILTER (WHERE rule >= 0) AS n
+  FROM (SELECT id, label, level, rule FROM kept UNION ALL SELECT id, label, level, rule FROM x WHERE rule < 0) GROUP BY id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(CASE top {" ".join(f"WHEN {k} THEN {v}" for k, v in licenses.CONFIDENCE.items())} ELSE 0 END AS DOUBLE) AS score,
+  CAST(coalesce(n, 0) AS BIGINT) AS n_detections
+FROM t LEFT JOIN b USING (id) LEFT JOIN l USING (id)
+"""
+
+
 def misspell(doc_id: str | None, run: str) -> str:
     """Takes one letter out of some runs, by a hash of document and run."""
     h = zlib.crc32(f"{doc_id or ''}:{run}".encode())
@@ -173,4 +201,4 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_report(periodic.periodic_runs(table(spark, sf_dir, "documents"), repeat_tail))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_near_dedup, op3_decontamination, op4_token_counts, op5_merge_dropout, op6_toxicity, op7_fingerprints, op8_token_file, op9_line_dedup, op10_chat_formatting, op12_spelling_variants, op13_periodic_runs)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_near_dedup, op3_decontamination, op4_token_counts, op5_merge_dropout, op6_toxicity, op7_fingerprints, op8_token_file, op9_line_dedup, op10_chat_formatting, op11_license_scan, op12_spelling_variants, op13_periodic_runs)}
