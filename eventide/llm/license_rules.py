@@ -11,7 +11,7 @@ address, 2 a name, 1 a mention.
 RULES = r"""
 mit 4 permission permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
 mit 4 license spdx license identifier mit
-mit 4 license (licensed|released|distributed|available|published) under (the )?(terms of the )?mit licen[cs]e
+mit 4 license (licensed|released|distributed|available|published) under (the )?(terms of the )?mit license
 mit 3 licenses opensource org licenses mit
 mit 3 license mit license mit
 mit 2 license mit license

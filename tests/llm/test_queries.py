@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, name):
 def test_registered():
     names = set(entry.queries())
     assert {"pipeline", *queries.QUERIES} <= names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
 
 
 def test_held_out_accuracy(spark):
