@@ -102,6 +102,8 @@ REASON_SHIPPING_FAILED = "Shipping failed"
 REASON_UNKNOWN_INVENTORY = "Unknown inventory status: "
 DEFAULT_ADDRESS = "Default Address - Please Update"
 DEFAULT_REJECT_REASON = "Rejected during manual review"
+ERROR_ORDER_NOT_FOUND = "Order not found: "
+ERROR_CANNOT_APPROVE = "Cannot approve order in status: "
 
 # --- fixed values: dead-letter topic suffixes (case-exact) ----------------
 DLT_SUFFIX_REGEX = r"(-dlt|-DLT|\.DLT|\.dlt)$"

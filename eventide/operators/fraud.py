@@ -169,48 +169,60 @@ def outbox_rows(orders: DataFrame, at: str) -> DataFrame:
     )
 
 
-def apply_review_decisions(orders: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Apply approve/reject decisions (order_id, decision, reason, ts).
+def _numbered(decisions: DataFrame) -> DataFrame:
+    """Decisions with an id each; equal rows without one are told apart by number."""
+    if "decision_id" in decisions.columns:
+        return decisions
+    same = Window.partitionBy("order_id", "ts", "decision", "reason").orderBy(F.lit(1))
+    return decisions.withColumn("decision_id", F.concat_ws(":", "decision", F.format_string("%012d", F.row_number().over(same)), "reason"))
+
 
-    Approve is legal only as the first decision of an order in PENDING_REVIEW;
-    reject is legal from any state (default reason).  The per-order outcome is
-    reduced with aggregates, so a flood of decisions for one order is combined
-    map-side.  Returns (orders, outbox, rejected_decisions).
+def apply_review_decisions(orders: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Apply approve/reject decisions (order_id, decision, reason, ts, decision_id) one after the other.
+
+    The decisions of an order take effect by (ts, decision_id); the id tells
+    decisions of one instant apart.  An approval is legal if the order is in
+    PENDING_REVIEW at that time; a rejection is legal from any status (default
+    reason).  Since the first decision ends PENDING_REVIEW either way, only an
+    order's first decision can be a legal approval, and the status at any time
+    follows from the first decision and the first rejection: both are partial
+    aggregates, so a flood of decisions for one order is combined map-side and
+    no order's decisions form a window group.
+
+    Returns (orders, outbox, refused): refused decisions carry the error with
+    the status at their time, or that there is no such order.
     """
-    first = F.min_by(F.col("decision"), F.struct("ts", "decision"))
+    decisions = _numbered(decisions)
+    at = F.struct("ts", "decision_id")
+    reject = F.col("decision") == "REJECT"
     per = decisions.groupBy("order_id").agg(
-        first.alias("_first"),
-        F.min("ts").alias("_first_ts"),
-        F.count_if(F.col("decision") == "REJECT").alias("_n_reject"),
-        F.max_by(F.coalesce(F.col("reason"), F.lit(codes.DEFAULT_REJECT_REASON)),
-                 F.when(F.col("decision") == "REJECT", F.struct("ts"))).alias("_reject_reason"),
+        F.min(F.struct("ts", "decision_id", "decision")).alias("_first"),
+        F.min(F.when(reject, at)).alias("_rejected"),
+        F.max_by(F.struct(F.coalesce(F.col("reason"), F.lit(codes.DEFAULT_REJECT_REASON)).alias("v")), F.when(reject, at))["v"].alias("_reject_reason"),
     )
-    j = orders.join(per, orders["id"] == per["order_id"], "left").drop("order_id")
-    approved = (F.col("status") == "PENDING_REVIEW") & (F.col("_first") == "APPROVE")
-    new_status = (
-        F.when(F.col("_n_reject") > 0, F.lit("REJECTED"))
-        .when(approved, F.lit("APPROVED"))
-        .otherwise(F.col("status"))
+    approved = (F.col("status") == "PENDING_REVIEW") & (F.col("_first.decision") == "APPROVE")
+    j = orders.join(per.withColumnRenamed("order_id", "_order_id"), orders["id"] == F.col("_order_id"), "left").drop("_order_id")
+    out = (
+        j.withColumn("_approved", F.coalesce(approved, F.lit(False)))
+        .withColumn("review_reason", F.when(F.col("_rejected").isNotNull(), F.col("_reject_reason")).otherwise(F.col("review_reason")))
+        .withColumn("status", F.when(F.col("_rejected").isNotNull(), "REJECTED").when(F.col("_approved"), "APPROVED").otherwise(F.col("status")))
+        .withColumn("_at", F.col("_first.ts"))
     )
-    new_reason = F.when(F.col("_n_reject") > 0, F.col("_reject_reason")).otherwise(F.col("review_reason"))
-    out = j.withColumn("_approved", approved).withColumn("status", new_status).withColumn(
-        "review_reason", new_reason)
-    outbox = outbox_rows(out.where("_approved"), "_first_ts")
-    orders_out = out.drop("_first", "_first_ts", "_n_reject", "_reject_reason", "_approved")
-    # illegal approvals: every approve except a legal first one
-    st = orders.select(F.col("id").alias("order_id"), F.col("status").alias("_status"))
-    w_first = decisions.join(per.select("order_id", "_first_ts"), "order_id")
-    rejected = (
-        w_first.join(st, "order_id", "left")
-        .where(
-            (F.col("decision") == "APPROVE")
-            & ~((F.col("ts") == F.col("_first_ts")) & (F.coalesce(F.col("_status"), F.lit("")) == "PENDING_REVIEW"))
-        )
-        .select("order_id", "decision", "ts",
-                F.concat(F.lit("Cannot approve order in status: "),
-                         F.coalesce(F.col("_status"), F.lit("NOT_FOUND"))).alias("error_reason"))
+    outbox = outbox_rows(out.where("_approved"), "_at")
+    orders_out = out.select(*orders.columns)
+
+    known = per.join(orders.select(F.col("id").alias("order_id"), "status"), "order_id", "left")
+    now = (
+        F.when(F.col("_rejected") < at, F.lit("REJECTED"))
+        .when((F.struct(F.col("_first.ts").alias("ts"), F.col("_first.decision_id").alias("decision_id")) < at) & approved, F.lit("APPROVED"))
+        .otherwise(F.col("status"))
     )
-    return orders_out, outbox, rejected
+    refused = decisions.join(known, "order_id").select(
+        "order_id", "decision", "ts", "decision_id",
+        F.when(F.col("status").isNull(), F.concat(F.lit(codes.ERROR_ORDER_NOT_FOUND), F.col("order_id")))
+        .when(~reject & (now != "PENDING_REVIEW"), F.concat(F.lit(codes.ERROR_CANNOT_APPROVE), now)).alias("error_reason"),
+    ).where(F.col("error_reason").isNotNull())
+    return orders_out, outbox, refused
 
 
 def fraud_counters(scored: DataFrame) -> DataFrame:

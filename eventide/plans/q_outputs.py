@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_dlt_topic
-from ..operators import faults, fraud, listeners, metrics, saga
+from ..operators import faults, listeners, metrics, saga
 from ..sources import driver_tables as dt
-from . import q_fraud, q_listeners, q_orders, q_saga
+from . import q_listeners, q_saga
 from .registry import query
 from .sql_inputs import TOPIC_RECORDS, with_
 
@@ -48,44 +48,6 @@ def q_reservations_remaining(spark, sf_dir):
     return _releases(spark, sf_dir)[0]
 
 
-REVIEW_SQL = q_fraud._score_sql(1440) + """,
-decisions AS (
-  SELECT order_id, CASE WHEN total >= 5000 THEN 'REJECT' ELSE 'APPROVE' END AS decision, created_at + INTERVAL 1 HOUR AS ts
-  FROM scored WHERE action = 'REVIEW'
-  UNION ALL SELECT order_id, 'APPROVE', created_at + INTERVAL 2 HOUR FROM scored WHERE action = 'REVIEW' AND total >= 5000
-)
-"""
-
-
-def _reviewed(spark, sf_dir):
-    """Pending orders get a decision after an hour; those rejected are (wrongly) approved an hour later."""
-    orders, _ = q_orders._admitted(spark, sf_dir)
-    pending = orders.where(F.col("status") == "PENDING_REVIEW")
-    big = F.col("total") >= F.lit(5000).cast("decimal(12,2)")
-
-    def made(decision, hours):
-        return F.struct(decision.alias("decision"), (F.col("created_at") + F.expr(f"INTERVAL {hours} HOUR")).alias("ts"))
-
-    first = made(F.when(big, F.lit("REJECT")).otherwise(F.lit("APPROVE")), 1)
-    each = F.explode(F.when(big, F.array(first, made(F.lit("APPROVE"), 2))).otherwise(F.array(first)))
-    decisions = pending.select(F.col("id").alias("order_id"), each.alias("_d")).select(
-        "order_id", "_d.decision", F.lit(None).cast("string").alias("reason"), "_d.ts")
-    return fraud.apply_review_decisions(orders, decisions)
-
-
-@query("review_outbox", REVIEW_SQL + """
-SELECT order_id AS aggregate_id, 'OrderCreated' AS type, d.ts AS occurred_at
-FROM scored JOIN decisions d USING (order_id) WHERE d.decision = 'APPROVE' AND total < 5000""")
-def q_review_outbox(spark, sf_dir):
-    return _reviewed(spark, sf_dir)[1].select("aggregate_id", "type", "occurred_at")
-
-
-@query("review_rejected", REVIEW_SQL + """
-SELECT order_id, decision, d.ts AS ts FROM scored JOIN decisions d USING (order_id) WHERE d.decision = 'APPROVE' AND total >= 5000""")
-def q_review_rejected(spark, sf_dir):
-    return _reviewed(spark, sf_dir)[2].select("order_id", "decision", "ts")
-
-
 @query("stuck_compensations_state", q_saga.TRANSITIONS + f"""
 SELECT order_id, state, failed_state, payment_id, inventory_reservation_id, shipping_id, shipping_address, failure_reason,
   CAST(retry_count + CASE WHEN stuck THEN 1 ELSE 0 END AS INTEGER) AS retry_count, created_at,

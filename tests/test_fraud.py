@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from eventide.operators import fraud
 
 T0 = dt.datetime(2024, 1, 1, 12, 0)
@@ -84,6 +86,38 @@ def test_admission_and_review(spark):
     assert [r.order_id for r in rej.collect()] == ["0"]
 
 
+def test_review_decisions_one_after_the_other(spark):
+    """Ties, late approvals, missing orders: against a loop over the decisions in order."""
+    import random
+
+    rnd = random.Random(4)
+    orders = [(str(i), rnd.choice(["PENDING_REVIEW", "PENDING_REVIEW", "NEW", "REJECTED"])) for i in range(60)]
+    made = [(str(rnd.randrange(70)), rnd.choice(["APPROVE", "APPROVE", "REJECT"]), rnd.choice([None, "why", "other"]),
+             T0 + dt.timedelta(hours=rnd.randrange(3)), f"d{k:04d}") for k in range(300)]
+    odf = spark.createDataFrame([(i, "c", Decimal("5.00"), T0, None, s, None) for i, s in orders],
+                                "id string, customer_id string, total decimal(12,2), created_at timestamp, review_reason string, status string, shipping_address string")
+    ddf = spark.createDataFrame(made, "order_id string, decision string, reason string, ts timestamp, decision_id string")
+    status, reason, sent, refused = dict(orders), {}, {}, {}
+    for i, decision, why, ts, did in sorted(made, key=lambda d: (d[3], d[4])):
+        if i not in status:
+            refused[did] = f"Order not found: {i}"
+        elif decision == "REJECT":
+            status[i], reason[i] = "REJECTED", why or "Rejected during manual review"
+        elif status[i] == "PENDING_REVIEW":
+            status[i], sent[i] = "APPROVED", ts
+        else:
+            refused[did] = f"Cannot approve order in status: {status[i]}"
+    o, outbox, ref = fraud.apply_review_decisions(odf, ddf)
+    assert {r.id: (r.status, r.review_reason) for r in o.collect()} == {i: (s, reason.get(i)) for i, s in status.items()}
+    assert {r.aggregate_id: r.occurred_at for r in outbox.collect()} == sent and outbox.count() == len(sent)
+    assert {r.decision_id: r.error_reason for r in ref.collect()} == refused
+    # equal decisions without ids: one is legal, the others are refused
+    twice = spark.createDataFrame([("p", "APPROVE", None, T0)] * 3, "order_id string, decision string, reason string, ts timestamp")
+    one = odf.limit(1).withColumn("id", F.lit("p")).withColumn("status", F.lit("PENDING_REVIEW"))
+    _, outbox, ref = fraud.apply_review_decisions(one, twice)
+    assert outbox.count() == 1 and [r.error_reason for r in ref.collect()] == ["Cannot approve order in status: APPROVED"] * 2
+
+
 def _brute_velocity(rows, minutes):
     """rows: (order_id, customer, time)."""
     out = {}
