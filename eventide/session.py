@@ -30,6 +30,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no call site per column: plans are built by thousands of small calls
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # remove reliable-checkpoint files once the checkpointed data is unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
