@@ -71,13 +71,16 @@ def q_order_admission(spark, sf_dir):
     return orders
 
 
-@query("order_outbox", _score_sql(1440) + """
+ORDER_OUTBOX_SQL = _score_sql(1440) + """
 SELECT md5(order_id || ':OrderCreated:' || CAST(epoch_us(created_at) AS VARCHAR)) AS id,
        order_id AS aggregate_id, 'Order' AS aggregate_type, 'OrderCreated' AS type,
        '{"orderId":"' || order_id || '","total":' || CAST(CAST(total AS DOUBLE) AS VARCHAR)
          || ',"currency":"USD","customerId":"' || customer_id || '","shippingAddress":null}' AS payload,
        created_at AS occurred_at
-FROM scored WHERE action = 'APPROVE'""")
+FROM scored WHERE action = 'APPROVE'"""
+
+
+@query("order_outbox", ORDER_OUTBOX_SQL)
 def q_order_outbox(spark, sf_dir):
     _, outbox = fraud.order_admission(fraud.fraud_score(_orders(spark, sf_dir), window_minutes=1440))
     return outbox

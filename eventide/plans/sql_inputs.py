@@ -55,7 +55,7 @@ saga_events AS (
            WHEN 'signup' THEN 'OrderCreated'
            WHEN 'click' THEN 'PaymentCompleted'
            WHEN 'view' THEN CASE WHEN event_id % 2 = 0 THEN 'InventoryReserved' ELSE 'InventoryRequested' END
-           WHEN 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN 'ShippingCompleted' ELSE 'ShippingRequested' END
+           WHEN 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN 'ShippingCompleted' WHEN event_id % 5 = 1 THEN 'CompensationCompleted' ELSE 'ShippingRequested' END
            WHEN 'error' THEN CASE event_id % 3 WHEN 0 THEN 'PaymentFailed' WHEN 1 THEN 'InventoryFailed'
                                                ELSE 'ShippingFailed' END
          END AS event_type,

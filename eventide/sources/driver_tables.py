@@ -96,7 +96,7 @@ def saga_events(events: DataFrame) -> DataFrame:
 
     signup -> OrderCreated; click -> PaymentCompleted; view ->
     InventoryReserved / InventoryRequested (even / odd id); purchase ->
-    ShippingCompleted / ShippingRequested; error -> Payment-, Inventory- or
+    ShippingCompleted / ShippingRequested (every fifth id CompensationCompleted); error -> Payment-, Inventory- or
     ShippingFailed by ``event_id % 3``.  ``seq`` is the event id.
     """
     et, eid = F.col("event_type"), F.col("event_id")
@@ -105,7 +105,7 @@ def saga_events(events: DataFrame) -> DataFrame:
         F.when(et == "signup", "OrderCreated")
         .when(et == "click", "PaymentCompleted")
         .when(et == "view", F.when(even, "InventoryReserved").otherwise("InventoryRequested"))
-        .when(et == "purchase", F.when(even, "ShippingCompleted").otherwise("ShippingRequested"))
+        .when(et == "purchase", F.when(even, "ShippingCompleted").when(eid % 5 == 1, "CompensationCompleted").otherwise("ShippingRequested"))
         .when(et == "error",
               F.when(eid % 3 == 0, "PaymentFailed")
               .when(eid % 3 == 1, "InventoryFailed")
