@@ -6,8 +6,12 @@ samples in ``(t - w, t]`` are taken, a drop in value is a counter reset (the
 post-reset value counts as the increase), and the result is the sum of the
 deltas after the first sample in the range; fewer than two samples give NULL.
 
-Samples are already aggregates (one per series per scrape interval), so the
-per-series RANGE window holds ``w / scrape`` rows at most per frame.
+A series is cut into time blocks of BLOCK windows.  A block also gets the
+samples of the last window before it, as ghosts: the frame of any sample lies
+within its block and the ghosts, and the only delta of a frame that would need
+an earlier sample is the first one, which the increase leaves out.  So a
+series with a third of all samples is many window groups, and a reset at the
+end of a block is seen like any other.
 """
 
 from __future__ import annotations
@@ -24,13 +28,8 @@ def _interval_us(window: str) -> int:
     return int(n) * mult * 1_000_000
 
 
-def with_deltas(samples: DataFrame, series: list[str], ts: str = "ts", value: str = "value") -> DataFrame:
-    """Reset-aware delta to the previous sample of the same series."""
-    w = Window.partitionBy(*series).orderBy(ts)
-    prev = F.lag(value).over(w)
-    delta = F.when(prev.isNull(), F.lit(None).cast("double")).when(
-        F.col(value) < prev, F.col(value)).otherwise(F.col(value) - prev)
-    return samples.withColumn("_delta", delta.cast("double"))
+#: windows in a block of a series; one more comes along as ghosts
+BLOCK = 8
 
 
 def counter_increase(
@@ -38,11 +37,18 @@ def counter_increase(
 ) -> DataFrame:
     """``increase(c[window])`` evaluated at every sample: (ts, series..., increase)."""
     us = _interval_us(window)
-    d = with_deltas(samples, series, ts, value).withColumn("_us", epoch_micros(samples, ts))
-    frame = Window.partitionBy(*series).orderBy("_us").rangeBetween(-(us - 1), 0)
+    placed = samples.withColumn("_us", epoch_micros(samples, ts))
+    own = F.floor(F.col("_us") / F.lit(BLOCK * us)).cast("bigint")
+    last = F.pmod(F.col("_us"), F.lit(BLOCK * us)) >= F.lit((BLOCK - 1) * us)
+    placed = placed.withColumn("_own", own).withColumn("_block", F.explode(F.when(last, F.array(own, own + 1)).otherwise(F.array(own))))
+    before = F.lag(value).over(Window.partitionBy(*series, "_block").orderBy("_us"))
+    delta = F.when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before).cast("double")
+    placed = placed.withColumn("_delta", delta)
+    frame = Window.partitionBy(*series, "_block").orderBy("_us").rangeBetween(-(us - 1), 0)
     n = F.count(F.lit(1)).over(frame)
     inc = F.coalesce(F.sum("_delta").over(frame), F.lit(0.0)) - F.coalesce(F.first("_delta").over(frame), F.lit(0.0))
-    return d.select(ts, *series, F.when(n >= 2, inc).alias("increase"))
+    found = placed.withColumn("increase", F.when(n >= 2, inc)).where(F.col("_block") == F.col("_own"))
+    return found.select(ts, *series, "increase")
 
 
 def counter_rate(

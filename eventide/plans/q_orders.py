@@ -24,6 +24,11 @@ def q_orders_page(spark, sf_dir):
     return o.orders_page(_orders(spark, sf_dir), page=3, size=20)
 
 
+@query("orders_page_deep", OT + "SELECT * FROM order_table ORDER BY created_at DESC, id DESC LIMIT 50 OFFSET 1250")
+def q_orders_page_deep(spark, sf_dir):
+    return o.orders_page(_orders(spark, sf_dir), 25, 50)
+
+
 @query("orders_page_info", OT + """
 SELECT 3 AS page, 20 AS size, count(*) AS total_elements, CAST(ceil(count(*) / 20) AS BIGINT) AS total_pages,
        4 < CAST(ceil(count(*) / 20) AS BIGINT) AS has_next, true AS has_previous FROM order_table""")

@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import ntz_as_utc
 from ..functions.json_fields import payment_status
 from ..operators import promql
 from ..session import scratch_path
@@ -21,10 +22,11 @@ from ..streaming.layers import UpsertedTable
 from ..streaming.metrics_table import MetricsTable
 from ..streaming.outbox import OutboxFeed
 from ..streaming.saga_timers import saga_timers_stream
+from ..streaming.stateful import outbound_ttl_dedup_stream
 from ..streaming.window_store import WindowStore
-from . import q_fraud, q_orders, q_saga, q_status
+from . import q_fraud, q_hygiene, q_orders, q_saga, q_status
 from .q_metrics import _rounded
-from .registry import query
+from .registry import ORACLE, query
 from .sql_inputs import PAYMENT_RECORDS, PAYMENT_STATUS, with_
 
 ORIGIN, BLOCK_DAYS, BLOCKS = "2024-01-01 00:00:00", 8, 4
@@ -212,6 +214,22 @@ def q_exported_counter_rate(spark, sf_dir):
     return _rounded(promql.counter_rate(_metrics(spark, sf_dir), "10 days", ["metric", "app"]), "rate")
 
 
+# -------------------------------------------------------------- TTL dedup
+
+
+@query("dedup_outbound_ttl_stream", "SELECT key AS k, topic, \"partition\", \"offset\", epoch_us(\"timestamp\") AS ts_us FROM (" + ORACLE["dedup_outbound_ttl"] + ")")
+def q_dedup_outbound_ttl_stream(spark, sf_dir):
+    """The batch operator's result, by keyed state over several micro-batches."""
+    base = _fresh(spark, "ttl_dedup")
+    recs = q_hygiene._records(spark, sf_dir).select("key", "topic", "partition", "offset", ntz_as_utc("timestamp").alias("at"), "timestamp")
+
+    def take(source):
+        return outbound_ttl_dedup_stream(source, "key", "at", 600).writeStream.format("parquet").option("path", f"{base}/out")
+
+    _run_blocks(recs, base, _block(F.col("timestamp")), take)
+    return spark.read.parquet(f"{base}/out")
+
+
 # ------------------------------------------------------------ saga timers
 
 DELAY_MS = 60_000
@@ -261,9 +279,9 @@ def _timers(spark, sf_dir):
         def write(batch, k):
             batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={k}")
 
-        return saga_timers_stream(source).writeStream.outputMode("update").foreachBatch(write)
+        return saga_timers_stream(source, "at").writeStream.outputMode("update").foreachBatch(write)
 
-    _run_blocks(ev.withColumn("ts", F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")), base, _block(F.col("ts").cast("timestamp_ntz")), take)
+    _run_blocks(ev.withColumn("at", ntz_as_utc("ts")), base, _block(F.col("ts")), take)
     return spark.read.parquet(f"{base}/out")
 
 

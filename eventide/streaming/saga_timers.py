@@ -123,7 +123,7 @@ def _step(key, frames: Iterator[pd.DataFrame], state):
         if at is not None:
             state.setTimeoutTimestamp(max(at // 1000 + 1, state.getCurrentWatermarkMs() + 1))
     if rows:
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in OUT.split(", ")])
+        yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in (f.split()[0] for f in OUT.split(", "))})
 
 
 def saga_timers_stream(events: DataFrame, ts: str = "ts", delay: str = "1 minute") -> DataFrame:

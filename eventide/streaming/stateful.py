@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_NO_KEY = "\x00"
+
+
 def _ttl_fn(ttl_us: int):
     def fn(key, pdfs, state):
         if state.hasTimedOut:
             state.remove()
             return
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "rid"], kind="stable")
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "topic", "partition", "offset"], kind="stable")
         last = state.get[0] if state.exists else None
         keep = []
         for t in batch["ts_us"].tolist():
@@ -28,18 +31,26 @@ def _ttl_fn(ttl_us: int):
                 last = t
         state.update((int(last),))
         state.setTimeoutTimestamp(max((int(last) + ttl_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        out = batch.loc[keep, ["k", "rid", "ts_us"]]
+        out = batch.loc[keep, ["k", "topic", "partition", "offset", "ts_us"]]
         if len(out):
             yield out
 
     return fn
 
 
-def outbound_ttl_dedup_stream(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600,
-                              id_col: str = "offset", delay: str = "10 minutes") -> DataFrame:
+def outbound_ttl_dedup_stream(df: DataFrame, key: str, ts: str, ttl_seconds: int = 600, delay: str = "10 minutes") -> DataFrame:
     """Streaming greedy TTL de-duplication keyed by ``key``; ``delay`` is the
-    watermark's and bounds how late a record may come to meet its key's entry."""
-    x = df.select(F.col(key).alias("k"), F.col(id_col).alias("rid"), F.col(ts).cast("timestamp").alias("event_time"))
+    watermark's and bounds how late a record may come to meet its key's entry.
+
+    A message's id is (topic, partition, offset), which also orders messages of
+    one instant, as in the batch operator; topics without these columns get
+    empty ones."""
+    kinds = {"topic": "string", "partition": "int", "offset": "bigint"}
+    ids = [(F.col(c) if c in df.columns else F.lit("" if t == "string" else 0)).cast(t).alias(c) for c, t in kinds.items()]
+    x = df.select(F.col(key).cast("string").alias("k"), *ids, F.col(ts).cast("timestamp").alias("event_time"))
+    # messages without a key are all accepted: each is a key of its own
+    x = x.withColumn("k", F.coalesce("k", F.concat_ws(_NO_KEY, F.lit(""), *kinds)))
     x = x.withWatermark("event_time", delay).withColumn("ts_us", F.unix_micros("event_time"))
-    return x.groupBy("k").applyInPandasWithState(
-        _ttl_fn(ttl_seconds * 1_000_000), "k string, rid long, ts_us long", "ts_us long", "Append", "EventTimeTimeout")
+    out = x.groupBy("k").applyInPandasWithState(
+        _ttl_fn(ttl_seconds * 1_000_000), "k string, topic string, partition int, offset bigint, ts_us bigint", "ts_us long", "Append", "EventTimeTimeout")
+    return out.withColumn("k", F.when(~F.startswith("k", F.lit(_NO_KEY)), F.col("k")))

@@ -75,8 +75,8 @@ def test_ttl_dedup_stream_equals_batch(spark, tmpdir_fresh):
     stream = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
     out = streams.run_available_now(stateful.outbound_ttl_dedup_stream(stream, "key", "timestamp", 600, delay="1 hour"),
                                     "ttl", root=f"{tmpdir_fresh}/q")
-    got = {r.rid for r in spark.read.parquet(out).collect()}
-    want = {r.offset for r in dedup.dedup_outbound_ttl(recs, "key", "timestamp", 600).collect()}
+    got = {(r.topic, r.partition, r.offset) for r in spark.read.parquet(out).collect()}
+    want = {(r.topic, r.partition, r.offset) for r in dedup.dedup_outbound_ttl(recs, "key", "timestamp", 600).collect()}
     assert got == want
 
 
