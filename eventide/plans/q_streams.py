@@ -237,7 +237,7 @@ TIMERS_SQL = q_saga.TRANSITIONS.rstrip() + f""",
 fin AS (SELECT order_id, min(seq) AS last_seq FROM transitions WHERE state IN ('COMPLETED', 'COMPENSATED') GROUP BY order_id),
 tr AS (SELECT t.* FROM transitions t LEFT JOIN fin USING (order_id) WHERE seq <= coalesce(last_seq, seq)),
 placed AS (SELECT *, least({BLOCKS - 1}, (date_diff('hour', TIMESTAMP '{ORIGIN}', date_trunc('hour', ts)) // 24) // {BLOCK_DAYS}) AS block FROM known),
-mark AS (SELECT block, max(epoch_ms(max(ts))) OVER (ORDER BY block) - {DELAY_MS} AS ms FROM placed GROUP BY block),
+mark AS (SELECT block, max(epoch_us(max(ts)) // 1000) OVER (ORDER BY block) - {DELAY_MS} AS ms FROM placed GROUP BY block),
 s AS (
   SELECT order_id, arg_max(state, seq) AS state, arg_max(seq, seq) AS seq, max(ts) AS ts,
     arg_max_null(failed_state, seq) FILTER (WHERE failed_state IS NOT NULL) AS failed_state,
