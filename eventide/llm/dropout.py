@@ -499,7 +499,21 @@ def round_trip(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed:
     return text_columns(docs).mapInArrow(_round_trip(model_path, dropout, seed), schema)
 
 
-def encoded_report(docs: DataFrame, model_path: str) -> DataFrame:
-    """Per document the ids and whether they decode to its text: doc_id, n_tokens, ids, decoded_sha256."""
-    back = decode(encode(docs, model_path), model_path)
-    return back.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+def _encoded(path: str, dropout: float, seed: int):
+    """Encodes and decodes in one pass, so a task has one worker with one codec."""
+    run = _encode(path, dropout, seed)
+
+    def both(batches):
+        for batch in run(batches):
+            lists = batch.column("ids")
+            off = lists.offsets.to_numpy().astype(np.int64)
+            flat = lists.values.to_numpy()[off[0] : off[-1]].astype(np.int64)
+            back = codec(path, dropout, seed).decode(flat, off[1:] - off[0])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([hashlib.sha256(x).hexdigest() for x in back])], names=[*batch.schema.names, "decoded_sha256"])
+
+    return both
+
+
+def encoded_report(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+    """Per document the ids and the digest of the text they decode to: doc_id, n_tokens, ids, decoded_sha256."""
+    return text_columns(docs).mapInArrow(_encoded(model_path, dropout, seed), "doc_id bigint, n_tokens bigint, ids array<int>, decoded_sha256 string")
