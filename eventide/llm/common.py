@@ -16,6 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.session import scratch_path
@@ -80,6 +81,17 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
         i = j
 
 
+def row_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of slices of about ``limit`` bytes of a string column (one longer text is a slice)."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    end = np.cumsum(size, dtype=np.int64)
+    i = 0
+    while i < len(end):
+        j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + limit, side="right")))
+        yield i, j
+        i = j
+
+
 # ---------------------------------------------------------------------- hashing
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, materialize, mix, text_columns
+from .common import fresh_name, materialize, mix, row_slices, text_columns
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: lines of one shard, on average
@@ -54,18 +54,20 @@ def line_hash(line: bytes, min_chars: int) -> bytes | None:
 
 def _line_hashes(min_chars: int):
     def run(batches):
-        for batch in batches:
-            texts, ids = batch.column("text"), batch.column("doc_id").to_pylist()
-            out, owner = bytearray(), []
-            for k, t in enumerate(texts):
-                t = t.as_py()
-                if not t:
-                    continue
-                own = {h for line in t.encode().split(b"\n") if len(line) >= min_chars and (h := line_hash(line, min_chars))}
-                out += b"".join(own)
-                owner += [ids[k] if ids[k] is not None else _NULL_ID] * len(own)
-            h = np.frombuffer(bytes(out), dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(owner, pa.int64())], names=["h1", "h2", "doc_id"])
+        for whole in batches:
+            for i, j in row_slices(whole.column("text")):
+                batch = whole.slice(i, j - i)
+                ids = batch.column("doc_id").to_pylist()
+                out, owner = bytearray(), []
+                for k, t in enumerate(batch.column("text")):
+                    t = t.as_py()
+                    if not t:
+                        continue
+                    own = {h for line in t.encode().split(b"\n") if len(line) >= min_chars and (h := line_hash(line, min_chars))}
+                    out += b"".join(own)
+                    owner += [ids[k] if ids[k] is not None else _NULL_ID] * len(own)
+                h = np.frombuffer(bytes(out), dtype=np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(owner, pa.int64())], names=["h1", "h2", "doc_id"])
 
     return run
 
@@ -198,29 +200,33 @@ def _drop(shared, shards: int, min_chars: int, id_at: int, text_at: int):
             _PROBES.clear()
             _PROBES[key] = Probe(shared.value, shards)
         probe = _PROBES[key]
-        for batch in batches:
-            ids = batch.column(id_at).to_pylist()
-            texts = batch.column(text_at)
-            found, where, owner = bytearray(), [], []
-            for k, t in enumerate(texts):
-                t = t.as_py()
-                if not t or len(t) < min_chars:
-                    continue
-                me = ids[k] if ids[k] is not None else _NULL_ID
-                for n, line in enumerate(t.encode().split(b"\n")):
-                    if len(line) >= min_chars and (h := line_hash(line, min_chars)):
-                        found += h
-                        where.append((k, n))
-                        owner.append(me)
-            h = np.frombuffer(bytes(found), dtype=np.int64).reshape(-1, 2)
-            last = probe.last(h[:, 0].copy(), h[:, 1].copy())
-            drop = batch.column(batch.num_columns - 1).to_pylist()
-            gone = np.flatnonzero((last != _NOWHERE) & (last != np.array(owner, dtype=np.int64)))
-            for x in gone.tolist():
-                k, n = where[x]
-                drop[k] = drop[k] or []
-                drop[k].append(n)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(drop, pa.list_(pa.int32()))], names=batch.schema.names)
+        for whole in batches:
+            for i, j in row_slices(whole.column(text_at)):
+                yield mark(probe, whole.slice(i, j - i))
+
+    def mark(probe, batch):
+        ids = batch.column(id_at).to_pylist()
+        texts = batch.column(text_at)
+        found, where, owner = bytearray(), [], []
+        for k, t in enumerate(texts):
+            t = t.as_py()
+            if not t or len(t) < min_chars:
+                continue
+            me = ids[k] if ids[k] is not None else _NULL_ID
+            for n, line in enumerate(t.encode().split(b"\n")):
+                if len(line) >= min_chars and (h := line_hash(line, min_chars)):
+                    found += h
+                    where.append((k, n))
+                    owner.append(me)
+        h = np.frombuffer(bytes(found), dtype=np.int64).reshape(-1, 2)
+        last = probe.last(h[:, 0].copy(), h[:, 1].copy())
+        drop = batch.column(batch.num_columns - 1).to_pylist()
+        gone = np.flatnonzero((last != _NOWHERE) & (last != np.array(owner, dtype=np.int64)))
+        for x in gone.tolist():
+            k, n = where[x]
+            drop[k] = drop[k] or []
+            drop[k].append(n)
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(drop, pa.list_(pa.int32()))], names=batch.schema.names)
 
     return run
 
