@@ -6,7 +6,7 @@ generator and thread sleeps.  Here a fault is a deterministic function of
 the record identity (md5 draws with a seed), applied to a whole table at
 once: drop = filter, corrupt = ``substring``, duplicate = ``explode`` of a
 two-element sequence, delay = timestamp shift.  The rules table is tiny
-(one row per configured topic/type) and is broadcast behind a size check.
+(one row per configured topic/type); how it is joined is left to AQE.
 """
 
 from __future__ import annotations

@@ -36,19 +36,19 @@ def _fresh(spark, name):
     return scratch_path(spark, "queries", f"{name}-{uuid.uuid4().hex}")
 
 
-def _block(at):
+def _block(at, days=BLOCK_DAYS, blocks=BLOCKS):
     """The block that a time of arrival belongs to."""
-    days = F.timestamp_diff("DAY", F.lit(ORIGIN).cast("timestamp_ntz"), at)
-    return F.least(F.lit(BLOCKS - 1), F.floor(days / BLOCK_DAYS)).cast("int")
+    passed = F.timestamp_diff("DAY", F.lit(ORIGIN).cast("timestamp_ntz"), at)
+    return F.least(F.lit(blocks - 1), F.floor(passed / days)).cast("int")
 
 
-def _run_blocks(rows, base, block, take):
+def _run_blocks(rows, base, block, take, blocks=BLOCKS):
     """Writes block after block; ``take(source)`` gives a started-to-be writer for each run."""
     spark = rows.sparkSession
     placed = rows.withColumn("block", block)
     placed.write.partitionBy("block").parquet(f"{base}/blocks")
     stored = spark.read.schema(placed.schema).parquet(f"{base}/blocks")
-    for k in range(BLOCKS):
+    for k in range(blocks):
         stored.where(F.col("block") == k).write.mode("append").parquet(f"{base}/src")
         source = spark.readStream.schema(placed.schema).parquet(f"{base}/src")
         take(source).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
@@ -232,11 +232,11 @@ def q_dedup_outbound_ttl_stream(spark, sf_dir):
 
 # ------------------------------------------------------------ saga timers
 
-DELAY_MS = 60_000
+DELAY_MS, HALVES, HALF_DAYS = 60_000, 2, 16
 TIMERS_SQL = q_saga.TRANSITIONS.rstrip() + f""",
 fin AS (SELECT order_id, min(seq) AS last_seq FROM transitions WHERE state IN ('COMPLETED', 'COMPENSATED') GROUP BY order_id),
 tr AS (SELECT t.* FROM transitions t LEFT JOIN fin USING (order_id) WHERE seq <= coalesce(last_seq, seq)),
-placed AS (SELECT *, least({BLOCKS - 1}, (date_diff('hour', TIMESTAMP '{ORIGIN}', date_trunc('hour', ts)) // 24) // {BLOCK_DAYS}) AS block FROM known),
+placed AS (SELECT *, least({HALVES - 1}, (date_diff('hour', TIMESTAMP '{ORIGIN}', date_trunc('hour', ts)) // 24) // {HALF_DAYS}) AS block FROM known),
 mark AS (SELECT block, max(epoch_us(max(ts)) // 1000) OVER (ORDER BY block) - {DELAY_MS} AS ms FROM placed GROUP BY block),
 s AS (
   SELECT order_id, arg_max(state, seq) AS state, arg_max(seq, seq) AS seq, max(ts) AS ts,
@@ -253,7 +253,7 @@ own AS (
   FROM s JOIN (SELECT DISTINCT order_id, seq, block FROM placed) p USING (order_id, seq)
 ),
 fired AS (
-  SELECT own.*, CASE WHEN minutes IS NULL THEN 0 ELSE ({BLOCKS - 1} - own.block)
+  SELECT own.*, CASE WHEN minutes IS NULL THEN 0 ELSE ({HALVES - 1} - own.block)
       + CASE WHEN epoch_us(ts) // 1000 + minutes * 60000 + 1 < mark.ms THEN 1 ELSE 0 END END AS fires,
     (SELECT max(ms) FROM mark) AS last_ms
   FROM own JOIN mark USING (block)
@@ -271,7 +271,7 @@ ended AS (
 
 
 def _timers(spark, sf_dir):
-    """Each block's sagas meet the sweep at its own end (by the watermark) and those of all later blocks."""
+    """Each half's sagas meet the sweep at its own end (by the watermark) and that of the later half."""
     base = _fresh(spark, "saga_timers")
     ev = q_saga._events(spark, sf_dir).select("order_id", "seq", "ts", "event_type", "ref_id", "reason")
 
@@ -281,7 +281,7 @@ def _timers(spark, sf_dir):
 
         return saga_timers_stream(source, "at").writeStream.outputMode("update").foreachBatch(write)
 
-    _run_blocks(ev.withColumn("at", ntz_as_utc("ts")), base, _block(F.col("ts")), take)
+    _run_blocks(ev.withColumn("at", ntz_as_utc("ts")), base, _block(F.col("ts"), HALF_DAYS, HALVES), take, HALVES)
     return spark.read.parquet(f"{base}/out")
 
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ FINISHED = ("COMPLETED", "COMPENSATED")
 ID_EVENTS = {"PaymentCompleted": "payment_id", "InventoryReserved": "reservation_id", "ShippingCompleted": "shipping_id"}
 OUT = ("order_id string, n bigint, kind string, at_us bigint, state string, failed_state string, payment_id string, reservation_id string, "
        "shipping_id string, failure_reason string, retry_count int, topic string, type string, ref_id string, status string")
+_COLUMNS = pd.Index([f.split()[0] for f in OUT.split(", ")])
 _STATE, _FAILED, _TIMED_OUT = dict(EVENT_STATE), dict(EVENT_FAILED), dict(PENDING_TO_FAILED)
 
 
@@ -102,7 +104,7 @@ def _step(key, frames: Iterator[pd.DataFrame], state):
         saga["at_us"] = state.getCurrentWatermarkMs() * 1000
         emit(sent)
     else:
-        events = sorted((e for f in frames for e in f[["seq", "at_us", "event_type", "ref_id", "reason"]].itertuples(index=False, name=None)), key=lambda e: e[0])
+        events = sorted((e for f in frames for e in zip(*(f[c].tolist() for c in ("seq", "at_us", "event_type", "ref_id", "reason")))), key=lambda e: e[0])
         for seq, at_us, event_type, ref_id, reason in events:
             start = event_type == codes.SAGA_START_EVENT
             if saga is None and start:
@@ -123,7 +125,10 @@ def _step(key, frames: Iterator[pd.DataFrame], state):
         if at is not None:
             state.setTimeoutTimestamp(max(at // 1000 + 1, state.getCurrentWatermarkMs() + 1))
     if rows:
-        yield pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in (f.split()[0] for f in OUT.split(", "))})
+        cells = np.empty((len(rows), len(_COLUMNS)), dtype=object)  # one block; nothing is inferred
+        for k, r in enumerate(rows):
+            cells[k] = [r.get(c) for c in _COLUMNS]
+        yield pd.DataFrame(cells, columns=_COLUMNS, copy=False)
 
 
 def saga_timers_stream(events: DataFrame, ts: str = "ts", delay: str = "1 minute") -> DataFrame:
