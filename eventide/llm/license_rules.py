@@ -107,7 +107,7 @@ bsd-2-clause 2 license (simplified bsd|freebsd) license
 bsd-3-clause 4 license spdx license identifier bsd 3 clause
 bsd-3-clause 4 endorse neither the name of (the )?([^ ]+ ){0,6}nor the names of its contributors may be used to endorse or promote products derived from this software
 bsd-3-clause 3 license (3|three) clause bsd license
-bsd-3-clause 3 license bsd 3 clause ((new|revised) )*license
+bsd-3-clause 3 license bsd 3 clause ((new|revised) ){0,2}license
 bsd-3-clause 2 license (new|modified|revised) bsd license
 bsd-4-clause 4 license spdx license identifier bsd 4 clause
 bsd-4-clause 3 license (4|four) clause bsd license
