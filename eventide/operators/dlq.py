@@ -75,7 +75,7 @@ def dlt_purge_count(records: DataFrame) -> DataFrame:
 def header_text(headers_col: str, name: str):
     """Text of the first header called ``name`` (NULL if absent)."""
     hit = F.filter(F.col(headers_col), lambda h: h["key"] == F.lit(name))
-    return F.element_at(hit, 1)["value"].cast("string")
+    return F.try_element_at(hit, F.lit(1))["value"].cast("string")
 
 
 def dlt_causes(records: DataFrame, header: str = codes.EXCEPTION_HEADER) -> DataFrame:

@@ -138,6 +138,34 @@ def apply_releases(reservations: DataFrame, msgs: DataFrame, seq: str = "offset"
     return remaining, released, results
 
 
+def compensation_counters(msgs: DataFrame, service: str, scope: str, applied: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """received / duplicate / applied of a compensation consumer, in one row.
+
+    A message is a duplicate when its key came before (in ``msgs``, or in the
+    store ``seen`` of (scope, key)); ``applied`` has one row per refund or
+    release that took effect."""
+    keys = msgs.where(F.col("key").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    if seen is not None:
+        keys = keys.join(seen.where(F.col("scope") == scope).select("key").distinct().withColumn("_old", F.lit(1)), "key", "left")
+    else:
+        keys = keys.withColumn("_old", F.lit(None).cast("int"))
+    again = keys.agg(F.coalesce(F.sum(F.col("n") - F.when(F.col("_old").isNull(), 1).otherwise(0)), F.lit(0)).alias("n"))
+    parts = [(msgs.agg(F.count(F.lit(1)).alias("n")), "received"), (again, "duplicate"), (applied.agg(F.count(F.lit(1)).alias("n")), "applied")]
+    rows = None
+    for df, name in parts:
+        row = df.select(F.lit(name).alias("counter"), F.col("n").cast("bigint").alias("n"))
+        rows = row if rows is None else rows.unionByName(row)
+    sums = [F.sum(F.when(F.col("counter") == name, F.col("n"))).alias(name) for _, name in parts]
+    return rows.agg(*sums).select(F.lit(service).alias("service"), *[name for _, name in parts])
+
+
+def applied_refunds(payment_status: DataFrame, msgs: DataFrame, seq: str = "offset", seen: DataFrame | None = None) -> DataFrame:
+    """Orders whose payment a refund message turns from CHARGED to REFUNDED: (order_id)."""
+    p = _parse_command(msgs, "payment.refund", "paymentId", seq, seen)
+    asked = p.where(F.col("_ok") & ~blank("_oid")).select(F.col("_oid").alias("order_id")).distinct()
+    return payment_status.where(F.col("status") == codes.PAYMENT_OK).select("order_id").join(asked, "order_id", "left_semi")
+
+
 def _result_fields(results: DataFrame, fields: list[str]) -> DataFrame:
     """Envelope and payload of result messages, each parsed once (``_b``)."""
     x = with_json(results, "value", ["payload"], "_env")

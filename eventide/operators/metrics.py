@@ -44,14 +44,15 @@ def latency_histogram(
     return g.select(*by, F.inline(arr))
 
 
-def histogram_quantile(buckets: DataFrame, q: float, by: list[str] | None = None) -> DataFrame:
-    """PromQL ``histogram_quantile`` over cumulative buckets ``(by..., le, cnt)``.
+def histogram_quantiles(buckets: DataFrame, quantiles: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """PromQL ``histogram_quantile`` over cumulative buckets ``(by..., le, cnt)``, one column per asked quantile.
 
     rank = q * count(+Inf); the first bucket whose cumulative count reaches
     the rank is interpolated linearly between its lower bound (previous ``le``,
     0 for the first bucket) and its ``le``.  A rank in the ``+Inf`` bucket
     returns the highest finite bound; an empty histogram gives NULL.
-    Works on the aggregated buckets only (a few rows per group).
+    Works on the aggregated buckets only (a few rows per group), all
+    quantiles in one pass over them.
     """
     by = by or []
     # without groups the window spans one histogram: len(bounds) + 1 aggregated rows
@@ -61,16 +62,24 @@ def histogram_quantile(buckets: DataFrame, q: float, by: list[str] | None = None
         .withColumn("_prev_cnt", F.coalesce(F.lag("cnt").over(w), F.lit(0)))
         .withColumn("_total", F.max(F.when(F.col("le") == F.lit(INF), F.col("cnt"))).over(
             Window.partitionBy(*by) if by else Window.partitionBy()))
+        .where(F.col("_total") > 0)
     )
-    rank = F.lit(float(q)) * F.col("_total")
     lower = F.when(F.col("_prev_le").isNull() & (F.col("le") > 0), F.lit(0.0)).otherwise(F.col("_prev_le"))
-    interp = lower + (F.col("le") - lower) * F.try_divide(rank - F.col("_prev_cnt"), F.col("cnt") - F.col("_prev_cnt"))
-    val = F.when(F.col("le") == F.lit(INF), F.col("_prev_le")).when(
-        F.col("_prev_le").isNull() & (F.col("le") <= 0), F.col("le")).otherwise(interp)
-    hit = b.where((F.col("cnt") >= rank) & (F.col("_total") > 0)).select(*by, "le", val.alias("_v"))
-    first_hit = hit.groupBy(*by).agg(F.min_by("_v", "le").alias("quantile")) if by else hit.agg(
-        F.min_by("_v", "le").alias("quantile"))
-    return first_hit
+
+    def first_hit(q: float) -> Column:
+        rank = F.lit(float(q)) * F.col("_total")
+        interp = lower + (F.col("le") - lower) * F.try_divide(rank - F.col("_prev_cnt"), F.col("cnt") - F.col("_prev_cnt"))
+        val = F.when(F.col("le") == F.lit(INF), F.col("_prev_le")).when(
+            F.col("_prev_le").isNull() & (F.col("le") <= 0), F.col("le")).otherwise(interp)
+        return F.min_by(val, F.when(F.col("cnt") >= rank, F.col("le")))
+
+    found = [first_hit(q).alias(name) for name, q in quantiles.items()]
+    return b.groupBy(*by).agg(*found) if by else b.agg(*found)
+
+
+def histogram_quantile(buckets: DataFrame, q: float, by: list[str] | None = None) -> DataFrame:
+    """One quantile of ``histogram_quantiles``, as column ``quantile``."""
+    return histogram_quantiles(buckets, {"quantile": q}, by)
 
 
 def success_rate(df: DataFrame, ok: Column, bad: Column, ts: str, size: str = "1 day") -> DataFrame:
@@ -143,6 +152,35 @@ def message_counters(records: DataFrame, service: str, message_id: Column, faile
                     "failed")
 
 
+def consumer_counters(records: DataFrame, service: str, key: str, order: list[str], failed: Column, seen: DataFrame | None = None) -> DataFrame:
+    """received / processed / duplicate / failed of each idempotent consumer.
+
+    A consumer marks a record's key before it looks at the message: the first
+    record of a key (by ``order``) that the store ``seen`` (``service``, ``key``)
+    does not know is handled, and is processed or failed; every other record
+    of the key is a duplicate, whether or not the first one failed.  Records
+    without a key are each handled.
+
+    One partial aggregate per (consumer, key), the store joined to its rows,
+    then one per consumer: a key with a third of all records is combined where
+    it is read.
+    """
+    bad = F.coalesce(failed, F.lit(False)).alias("_bad")
+    rows = records.select(F.col(service).alias("service"), F.col(key).alias("_key"), bad, *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)])
+    place = F.struct(*[F.col(f"_o{k}") for k in range(len(order))], F.col("_bad"))
+    keyed = rows.where(F.col("_key").isNotNull()).groupBy("service", "_key").agg(F.count(F.lit(1)).alias("n"), F.min_by("_bad", place).alias("_bad"))
+    if seen is not None:
+        store = seen.select(F.col(service).alias("service"), F.col(key).alias("_key")).distinct().withColumn("_old", F.lit(True))
+        keyed = keyed.join(store, ["service", "_key"], "left")
+    else:
+        keyed = keyed.withColumn("_old", F.lit(None).cast("boolean"))
+    fresh = F.col("_old").isNull()
+    keyed = keyed.select("service", "n", fresh.cast("long").alias("first"), (fresh & F.col("_bad")).cast("long").alias("bad"))
+    keyless = rows.where(F.col("_key").isNull()).select("service", F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("first"), F.col("_bad").cast("long").alias("bad"))
+    total = keyed.unionByName(keyless).groupBy("service").agg(F.sum("n").alias("received"), F.sum("first").alias("first"), F.sum("bad").alias("failed"))
+    return total.select("service", "received", (F.col("first") - F.col("failed")).alias("processed"), (F.col("received") - F.col("first")).alias("duplicate"), "failed")
+
+
 def consumer_lag(records: DataFrame, committed: DataFrame) -> DataFrame:
     """sum over partitions of max(end offset - committed, 0), by topic.
 
@@ -171,6 +209,27 @@ def canary_comparison(df: DataFrame, channel: str, ts: str, ok: Column, size: st
     )
 
 
+def trailing_share(df: DataFrame, channel: str, ts: str, main: str = "main", canary: str = "canary", minutes: int = 5) -> DataFrame:
+    """Rates of two channels and the canary's share over the ``minutes`` before each whole minute.
+
+    Counted per minute and channel first; each of those few rows then adds to
+    the ``minutes`` evaluation times whose range [t - minutes, t) holds it.  So
+    there is no window over a channel's whole history.  Evaluation times whose
+    range is empty give no row.
+    """
+    per_minute = df.groupBy(F.window(ts, "1 minute").alias("w"), F.col(channel).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    times = F.array(*[F.col("w.start") + F.expr(f"INTERVAL {k} MINUTES") for k in range(1, minutes + 1)])
+    spread = per_minute.select(F.explode(times).alias("eval_time"), "c", "n")
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("c") == name, F.col("n"))), F.lit(0))
+
+    g = spread.groupBy("eval_time").agg(total(main).alias("main"), total(canary).alias("canary"))
+    secs = F.lit(minutes * 60)
+    return g.select("eval_time", "main", "canary", F.round(F.col("main") / secs, 6).alias("main_rate"), F.round(F.col("canary") / secs, 6).alias("canary_rate"),
+                    F.round(F.try_divide(F.lit(100.0) * F.col("canary"), F.col("main") + F.col("canary")), 6).alias("canary_share_pct"))
+
+
 def observe_counters(df: DataFrame, name: str, failed: Column) -> DataFrame:
     """Attach received/failed counters to a DataFrame (``DataFrame.observe``).
 

@@ -221,11 +221,54 @@ def burn_rate_cumulative(transitions: DataFrame) -> DataFrame:
     )
 
 
-def processing_durations(transitions: DataFrame) -> DataFrame:
+def _millis(df: DataFrame, later: str, earlier: str) -> Column:
+    return (epoch_micros(df, later) - epoch_micros(df, earlier)).cast("double") / F.lit(1000.0).cast("double")
+
+
+def processing_durations(transitions: DataFrame, keep: tuple[str, ...] = ("order_id", "seq")) -> DataFrame:
     """Saga processing time created -> completed, in milliseconds."""
     done = transitions.where(F.col("event_type") == "ShippingCompleted")
-    ms = (epoch_micros(done, "ts") - epoch_micros(done, "created_at")).cast("double") / F.lit(1000.0).cast("double")
-    return done.select("order_id", "seq", ms.alias("duration_ms"))
+    return done.select(*keep, _millis(done, "ts", "created_at").alias("duration_ms"))
+
+
+def recent_durations(events: DataFrame, since, until) -> DataFrame:
+    """``processing_durations`` of the sagas completed in (since, until], from the event log.
+
+    Only the completions of that range are taken (the range reaches the scan),
+    and only the starts of their orders are aggregated; no other event moves."""
+    s, u = (F.lit(x).cast("timestamp_ntz") if not isinstance(x, Column) else x for x in (since, until))
+    done = events.where((F.col("ts") > s) & (F.col("ts") <= u)).where(F.col("event_type") == "ShippingCompleted").select("order_id", "seq", "ts")
+    started = events.where(F.col("event_type") == codes.SAGA_START_EVENT).select("order_id", "seq", "ts")
+    own = started.join(done.select("order_id").distinct(), "order_id", "left_semi")
+    first = own.groupBy("order_id").agg(F.min("seq").alias("_start"), F.min_by("ts", "seq").alias("created_at"))
+    j = done.join(first, "order_id").where(F.col("seq") > F.col("_start"))
+    return j.select("order_id", "seq", _millis(j, "ts", "created_at").alias("duration_ms"))
+
+
+#: service -> events that ask it for something, events that answer
+STAGES = {
+    "payment-svc": (["OrderCreated"], ["PaymentCompleted", "PaymentFailed"]),
+    "inventory-svc": (["PaymentCompleted", "InventoryRequested"], ["InventoryReserved", "InventoryFailed"]),
+    "shipping-svc": (["InventoryReserved", "ShippingRequested"], ["ShippingCompleted", "ShippingFailed"]),
+}
+
+
+def stage_durations(transitions: DataFrame) -> DataFrame:
+    """How long each service took for a message: (order_id, seq, service, duration_ms).
+
+    From the order's latest request to the service to the service's answer; an
+    answer without an earlier request, or that is dated before it, is left out.
+    The latest request is carried along ranges (``carry_last_before``), so a hot
+    order is split over tasks."""
+    et = F.col("event_type")
+    asked = {f"_at{k}": (et.isin(*ask), F.col("ts")) for k, (ask, _) in enumerate(STAGES.values())}
+    t = carry_last_before(transitions.select("order_id", "seq", "ts", "event_type"), "order_id", "seq", asked)
+    service, since = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+    for k, (name, (_, answers)) in enumerate(STAGES.items()):
+        service = F.when(et.isin(*answers), F.lit(name)).otherwise(service)
+        since = F.when(et.isin(*answers), F.col(f"_at{k}")).otherwise(since)
+    t = t.withColumn("service", service).withColumn("_since", since).where(F.col("_since") <= F.col("ts"))
+    return t.select("order_id", "seq", "service", _millis(t, "ts", "_since").alias("duration_ms"))
 
 
 # ---- scheduled sweeps over the state table (explicit as_of, no wall clock) ----

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 def slo_summary(p95: DataFrame | None, dlt: DataFrame | None, burn: DataFrame | None) -> DataFrame:
     """Inputs: one-row frames with ``quantile`` / ``dlt_total`` / ``burn_rate``."""
     parts = []
-    spark = next(d for d in (p95, dlt, burn) if d is not None).sparkSession
-    schema = "p95_latency_ms double, dlt_count bigint, slo_burn_rate_1h bigint"
     if p95 is not None:
         parts.append(p95.select(F.col("quantile").cast("double").alias("p95_latency_ms"),
                                 F.lit(None).cast("bigint").alias("dlt_count"),
@@ -28,8 +26,8 @@ def slo_summary(p95: DataFrame | None, dlt: DataFrame | None, burn: DataFrame |
         parts.append(burn.select(F.lit(None).cast("double").alias("p95_latency_ms"),
                                  F.lit(None).cast("bigint").alias("dlt_count"),
                                  F.col("burn_rate").cast("bigint").alias("slo_burn_rate_1h")))
-    u = spark.createDataFrame([], schema)
-    for p in parts:
+    u = parts[0]
+    for p in parts[1:]:
         u = u.unionByName(p)
     return u.agg(
         F.coalesce(F.max("p95_latency_ms"), F.lit(0.0)).alias("p95_latency_ms"),

@@ -102,6 +102,31 @@ def q_message_counters(spark, sf_dir):
     return metrics.message_counters(p, "topic", F.col("event_id"), F.col("error_reason").isNotNull())
 
 
+#: topic -> consumer group that reads it; dead letters have none
+CONSUMERS = {"order.created": "orchestrator", "payment.requested": "payment-svc", "inventory.requested": "inventory-svc", "payment.result": "orchestrator-payment"}
+STORE_CUT = "2024-01-03 00:00:00"
+
+
+@query("consumer_counters", PARSED + """,
+own AS (SELECT *, CASE topic """ + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in CONSUMERS.items()) + f""" END AS service FROM parsed),
+old AS (SELECT DISTINCT service, key FROM own WHERE "timestamp" < TIMESTAMP '{STORE_CUT}'),
+fresh AS (SELECT o.*, row_number() OVER (PARTITION BY o.service, o.key ORDER BY o."timestamp", copy, "offset") = 1 AND old.key IS NULL AS handled
+          FROM own o LEFT JOIN old ON old.service = o.service AND old.key = o.key
+          WHERE o.service IS NOT NULL AND o."timestamp" >= TIMESTAMP '{STORE_CUT}')
+SELECT service, count(*) AS received, count(*) FILTER (WHERE handled AND error_reason IS NULL) AS processed,
+       count(*) FILTER (WHERE NOT handled) AS duplicate, count(*) FILTER (WHERE handled AND error_reason IS NOT NULL) AS failed
+FROM fresh GROUP BY service""")
+def q_consumer_counters(spark, sf_dir):
+    """Counters of each idempotent consumer against the keys that an earlier run put into its store."""
+    service = F.lit(None).cast("string")
+    for topic, name in CONSUMERS.items():
+        service = F.when(F.col("topic") == topic, F.lit(name)).otherwise(service)
+    own = _parsed(spark, sf_dir).withColumn("service", service).where(F.col("service").isNotNull())
+    cut = F.lit(STORE_CUT).cast("timestamp_ntz")
+    return metrics.consumer_counters(own.where(F.col("timestamp") >= cut), "service", "key", ["timestamp", "copy", "offset"],
+                                     F.col("error_reason").isNotNull(), own.where(F.col("timestamp") < cut))
+
+
 @query("fault_impact", PARSED + """,
 lab AS (
   SELECT *, CASE WHEN "timestamp" < TIMESTAMP '2024-01-10 00:00:00' THEN 'before'

@@ -357,12 +357,7 @@ FROM req""")
 def q_build_payment_request(spark, sf_dir):
     p = envelope.parse_order_created(tables.outbox_change_feed(_outbox(spark, sf_dir)))
     r = envelope.build_payment_request(p)
-    c = canary_split(r, 0.05, "order_id")
-    main = c.where(F.col("channel") == "main")
-    canary = c.where(F.col("channel") == "canary")
-    merged = main.select("order_id", "payment_request", F.lit("main").alias("channel")).unionByName(
-        canary.select("order_id", "payment_request", F.lit("canary").alias("channel")))
-    return merged
+    return canary_split(r, 0.05, "order_id").select("order_id", "payment_request", "channel")
 
 
 @query("validate_create_order", q_fraud._score_sql(60) + """

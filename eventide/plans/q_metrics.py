@@ -221,8 +221,7 @@ def q_slo_summary(spark, sf_dir):
 
     events = dt.table(spark, sf_dir, "events")
     as_of = F.lit(SLO_AS_OF).cast("timestamp_ntz")
-    t = q_saga._transitions(spark, sf_dir)
-    d = saga.processing_durations(t.where((F.col("ts") > as_of - F.expr("INTERVAL 5 MINUTES")) & (F.col("ts") <= as_of)))
+    d = saga.recent_durations(dt.saga_events(events), as_of - F.expr("INTERVAL 5 MINUTES"), as_of)
     h = metrics.latency_histogram(d, "duration_ms", None, metrics.default_bounds(0, 8))
     p95 = metrics.histogram_quantile(h, 0.95).select(F.round("quantile", 6).alias("quantile"))
     dlt = metrics.dlt_totals(dt.topic_records(events), is_dlt_topic("topic"))
@@ -269,6 +268,98 @@ def q_canary_latency(spark, sf_dir):
     d = saga.processing_durations(q_saga._transitions(spark, sf_dir))
     c = faults.canary_split(d, 0.1, "order_id")
     h = metrics.latency_histogram(c, "duration_ms", ["channel"], _CB)
-    p50 = metrics.histogram_quantile(h, 0.5, ["channel"]).select("channel", F.round("quantile", 6).alias("p50_ms"))
-    p95 = metrics.histogram_quantile(h, 0.95, ["channel"]).select("channel", F.round("quantile", 6).alias("p95_ms"))
-    return p50.join(p95, "channel")
+    return _both(metrics.histogram_quantiles(h, P50_P95, ["channel"]), "channel")
+
+
+P50_P95 = {"p50_ms": 0.5, "p95_ms": 0.95}
+
+
+def _both(df, *keys):
+    return df.select(*keys, *[F.round(c, 6).alias(c) for c in P50_P95])
+
+
+@query("canary_latency_windows", q_saga.TRANSITIONS + """,
+dur AS (
+  SELECT {'w': time_bucket(INTERVAL '6 hours', ts),
+          'c': CASE WHEN CAST(('0x' || substr(md5(order_id), 1, 8)) AS BIGINT) % 10000 < 1000 THEN 'canary' ELSE 'main' END} AS grp,
+         CAST(epoch_us(ts) - epoch_us(created_at) AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS v
+  FROM transitions WHERE event_type = 'ShippingCompleted'
+),""" + _hq_sql("dur", "grp", 0.5, _CB, "p50") + "," + _hq_sql("dur", "grp", 0.95, _CB, "p95") + """
+SELECT grp.w AS window_start, grp.c AS channel, p50.q AS p50_ms, p95.q AS p95_ms FROM p50 JOIN p95 USING (grp)""")
+def q_canary_latency_windows(spark, sf_dir):
+    """Completion latency p50/p95 per window and channel, both from one histogram pass."""
+    d = saga.processing_durations(q_saga._transitions(spark, sf_dir), ("order_id", "ts"))
+    c = faults.canary_split(d, 0.1, "order_id").withColumn("window_start", F.window("ts", "6 hours")["start"])
+    h = metrics.latency_histogram(c, "duration_ms", ["window_start", "channel"], _CB)
+    return _both(metrics.histogram_quantiles(h, P50_P95, ["window_start", "channel"]), "window_start", "channel")
+
+
+@query("canary_share_5m", CANARY_SQL + """,
+m AS (SELECT time_bucket(INTERVAL '1 minute', "timestamp") AS w, channel, count(*) AS n FROM canary GROUP BY 1, 2),
+e AS (SELECT w + INTERVAL 1 MINUTE * k AS eval_time, channel, n FROM m, (SELECT unnest(generate_series(1, 5)) AS k))
+SELECT eval_time, CAST(coalesce(sum(n) FILTER (WHERE channel = 'main'), 0) AS BIGINT) AS main,
+       CAST(coalesce(sum(n) FILTER (WHERE channel = 'canary'), 0) AS BIGINT) AS canary,
+       round(coalesce(sum(n) FILTER (WHERE channel = 'main'), 0) / CAST(300 AS DOUBLE), 6) AS main_rate,
+       round(coalesce(sum(n) FILTER (WHERE channel = 'canary'), 0) / CAST(300 AS DOUBLE), 6) AS canary_rate,
+       round(100.0 * coalesce(sum(n) FILTER (WHERE channel = 'canary'), 0) / CAST(sum(n) AS DOUBLE), 6) AS canary_share_pct
+FROM e GROUP BY eval_time""")
+def q_canary_share_5m(spark, sf_dir):
+    """Request rates of the channels and the canary's share over the last 5 minutes, minute by minute."""
+    return metrics.trailing_share(_canary(spark, sf_dir), "channel", "timestamp")
+
+
+GRID_SQL = INCREASE_SQL.rstrip() + """,
+t AS (SELECT unnest(generate_series(date_trunc('day', min(ts)), max(ts) + INTERVAL 2 DAY, INTERVAL 6 HOUR)) AS e FROM d),
+grid AS (
+  SELECT e AS ts, metric, app, (coalesce(sum(delta), 0) - coalesce(arg_min_null(delta, d.ts), 0)) / CAST(86400.0 AS DOUBLE) AS rate
+  FROM t JOIN d ON d.ts > e - INTERVAL 24 HOUR AND d.ts <= e GROUP BY e, metric, app HAVING count(*) >= 2
+)
+"""
+
+
+@query("counter_rate_grid", GRID_SQL + "SELECT ts, metric, app, round(rate, 9) AS rate FROM grid")
+def q_counter_rate_grid(spark, sf_dir):
+    """Daily rates at every sixth hour, the same times for all series."""
+    return _grid(spark, sf_dir).withColumn("rate", F.round("rate", 9))
+
+
+def _grid(spark, sf_dir):
+    return promql.counter_rate_grid(_samples(spark, sf_dir), "24 hours", "6 hours", ["metric", "app"])
+
+
+@query("success_rate_of_rates", GRID_SQL + """,
+r AS (SELECT ts, app, max(rate) FILTER (WHERE metric = 'events_purchase_total') AS ok, max(rate) FILTER (WHERE metric = 'events_error_total') AS bad
+      FROM grid WHERE metric IN ('events_purchase_total', 'events_error_total') GROUP BY ts, app)
+SELECT ts, round(100.0 * sum(ok) / greatest(sum(ok + bad), CAST(1e-9 AS DOUBLE)), 6) AS success_rate_pct
+FROM r GROUP BY ts HAVING sum(ok) IS NOT NULL AND sum(ok + bad) IS NOT NULL""")
+def q_success_rate_of_rates(spark, sf_dir):
+    """The rate form of the success rate, over counter samples, with the floor under the denominator."""
+    return _rounded(promql.success_rate_of_rates(_grid(spark, sf_dir), "events_purchase_total", "events_error_total", ["app"]), "success_rate_pct")
+
+
+_STAGE_CASES = {
+    "payment-svc": ("'OrderCreated'", "'PaymentCompleted', 'PaymentFailed'"),
+    "inventory-svc": ("'PaymentCompleted', 'InventoryRequested'", "'InventoryReserved', 'InventoryFailed'"),
+    "shipping-svc": ("'InventoryReserved', 'ShippingRequested'", "'ShippingCompleted', 'ShippingFailed'"),
+}
+STAGE_SQL = q_saga.TRANSITIONS + ",\nstage AS (" + " UNION ALL ".join(f"""
+  SELECT order_id, seq, '{name}' AS service, CAST(epoch_us(ts) - epoch_us(since) AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS v FROM (
+    SELECT *, last_value(CASE WHEN event_type IN ({ask}) THEN ts END IGNORE NULLS)
+      OVER (PARTITION BY order_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS since FROM transitions)
+  WHERE event_type IN ({answer}) AND since <= ts""" for name, (ask, answer) in _STAGE_CASES.items()) + ")"
+
+
+@query("stage_durations", STAGE_SQL + "SELECT order_id, seq, service, v AS duration_ms FROM stage")
+def q_stage_durations(spark, sf_dir):
+    return saga.stage_durations(q_saga._transitions(spark, sf_dir))
+
+
+@query("message_processing_time", STAGE_SQL + ",\ncounts AS (SELECT service, count(*) AS messages FROM stage GROUP BY service),"
+       + _hq_sql("stage", "service", 0.5, _CB, "p50") + "," + _hq_sql("stage", "service", 0.95, _CB, "p95") + """
+SELECT service, messages, p50.q AS p50_ms, p95.q AS p95_ms FROM counts JOIN p50 USING (service) JOIN p95 USING (service)""")
+def q_message_processing_time(spark, sf_dir):
+    """Handling time of each service's messages: their number, p50 and p95 (bucketed), from one histogram."""
+    h = metrics.latency_histogram(saga.stage_durations(q_saga._transitions(spark, sf_dir)), "duration_ms", ["service"], _CB)
+    counted = metrics.histogram_quantiles(h, P50_P95, ["service"])
+    total = h.where(F.col("le") == F.lit(metrics.INF)).select("service", F.col("cnt").alias("messages"))
+    return _both(counted.join(total, "service"), "service", "messages")

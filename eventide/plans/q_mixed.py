@@ -31,6 +31,16 @@ def _messages(spark, sf_dir):
     return dt.mixed_messages(dt.table(spark, sf_dir, "events"))
 
 
+@query("parse_payment_result_mixed", BASE + f"""
+SELECT "offset", {_get("body", "orderId")} AS order_id, coalesce({_get("body", "status")}, 'UNKNOWN') AS status, {_get("body", "paymentId")} AS payment_id,
+  coalesce({_get("body", "reason")}, 'Payment declined') AS reason, upper(coalesce({_get("body", "status")}, 'UNKNOWN')) = 'CHARGED' AS success,
+  CASE WHEN body IS NULL THEN 'Failed to parse payment.result' WHEN {_blank(_get("body", "orderId"))} THEN 'Missing orderId' END AS error_reason
+FROM m""")
+def q_parse_payment_result_mixed(spark, sf_dir):
+    p = envelope.parse_payment_result(_messages(spark, sf_dir))
+    return p.select("offset", "order_id", "status", "payment_id", "reason", "success", "error_reason")
+
+
 @query("parse_inventory_result_mixed", BASE + f"""
 SELECT "offset", {_get("doc", "orderId")} AS order_id, coalesce({_get("body", "status")}, '') AS status,
   CASE WHEN body IS NULL THEN 'Failed to parse inventory.result' WHEN {_blank(_get("doc", "orderId"))} THEN 'Missing orderId' END AS error_reason

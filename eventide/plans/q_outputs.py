@@ -48,6 +48,31 @@ def q_reservations_remaining(spark, sf_dir):
     return _releases(spark, sf_dir)[0]
 
 
+@query("compensation_counters", q_listeners.BASE + """,
+delivered AS (SELECT * FROM cmd_records UNION ALL SELECT * FROM cmd_records WHERE ("offset" // 10) % 4 = 0),
+n AS (SELECT topic, count(*) AS received, count(*) - count(DISTINCT key) AS duplicate FROM delivered GROUP BY topic),
+refunded AS (SELECT count(*) AS n FROM (SELECT DISTINCT oid FROM cmd_parsed WHERE topic = 'payment.refund') JOIN state ON order_id = oid WHERE payment_id IS NOT NULL),
+freed AS (SELECT count(*) AS n FROM cmd_parsed LEFT JOIN state ON order_id = oid
+          WHERE topic = 'inventory.release' AND (res_ref IS NOT NULL OR inventory_reservation_id IS NOT NULL))
+SELECT 'payment-svc-refund' AS service, received, duplicate, (SELECT n FROM refunded) AS applied FROM n WHERE topic = 'payment.refund'
+UNION ALL
+SELECT 'inventory-svc-release' AS service, received, duplicate, (SELECT n FROM freed) AS applied FROM n WHERE topic = 'inventory.release'""")
+def q_compensation_counters(spark, sf_dir):
+    """Refund and release counters; some commands are delivered twice."""
+    t, s = q_listeners._ts(spark, sf_dir)
+
+    def delivered(topic):
+        sent = q_listeners._command_records(t, topic)
+        return sent.unionByName(sent.where(F.floor(F.col("offset") / 10) % 4 == 0))
+
+    refunds, releases = delivered("payment.refund"), delivered("inventory.release")
+    held = s.where(F.col("inventory_reservation_id").isNotNull()).select("order_id", F.col("inventory_reservation_id").alias("reservation_id"))
+    freed = listeners.apply_releases(held, releases)[1].where("counted")
+    refunded = listeners.applied_refunds(q_listeners._payment_status(s), refunds)
+    return listeners.compensation_counters(refunds, "payment-svc-refund", "payment.refund", refunded).unionByName(
+        listeners.compensation_counters(releases, "inventory-svc-release", "inventory.release", freed))
+
+
 @query("stuck_compensations_state", q_saga.TRANSITIONS + f"""
 SELECT order_id, state, failed_state, payment_id, inventory_reservation_id, shipping_id, shipping_address, failure_reason,
   CAST(retry_count + CASE WHEN stuck THEN 1 ELSE 0 END AS INTEGER) AS retry_count, created_at,

@@ -166,15 +166,15 @@ faulted AS (
 
 MIXED_MESSAGES = """
 mixed_ids AS (
-  SELECT event_id, CASE event_id % 16 WHEN 1 THEN '"not-a-uuid"' WHEN 2 THEN '" \\t"' WHEN 3 THEN 'null'
+  SELECT event_id, event_type, user_id, value AS v, CASE event_id % 16 WHEN 1 THEN '"not-a-uuid"' WHEN 2 THEN '" \\t"' WHEN 3 THEN 'null'
     ELSE '"' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) || '"' END AS oid
-  FROM (SELECT event_id, md5(CAST(event_id AS VARCHAR)) AS h FROM events)
+  FROM (SELECT *, md5(CAST(event_id AS VARCHAR)) AS h FROM events)
 ),
 mixed_bodies AS (
-  SELECT event_id, oid, '{"orderId":' || oid || ',"status":' || CASE event_id % 8 WHEN 0 THEN '"RESERVED"' WHEN 1 THEN '"OUT_OF_STOCK"' WHEN 2 THEN '"BACKORDER"' WHEN 3 THEN '"DELIVERED"' WHEN 4 THEN '"FAILED"' WHEN 5 THEN '"COMPLETED"' WHEN 6 THEN '"PAYMENT_FAILED"' ELSE 'null' END || ',"items":' || CASE event_id % 5 WHEN 0 THEN '0' WHEN 1 THEN '3' WHEN 2 THEN '-1' WHEN 3 THEN '"x"' ELSE 'null' END
-    || ',"address":' || CASE event_id % 4 WHEN 0 THEN '"12 Main St"' WHEN 1 THEN '"UNKNOWN"' WHEN 2 THEN '"  "' ELSE 'null' END || ',"reason":' || CASE event_id % 3 WHEN 0 THEN '"late"' ELSE 'null' END
-    || ',"total":' || CASE event_id % 6 WHEN 0 THEN '12.5' WHEN 1 THEN '0' WHEN 2 THEN '"abc"' WHEN 3 THEN '0.01' WHEN 5 THEN '-3' ELSE 'null' END || ',"currency":' || CASE event_id % 3 WHEN 0 THEN '"EUR"' WHEN 1 THEN '" "' ELSE 'null' END
-    || ',"customerId":' || CASE event_id % 7 WHEN 0 THEN '"c-1"' WHEN 1 THEN '""' WHEN 3 THEN '"c-2"' WHEN 4 THEN '"c-3"' WHEN 5 THEN '"c-4"' WHEN 6 THEN '"c-5"' ELSE 'null' END || '}' AS body
+  SELECT event_id, oid, '{"orderId":' || oid || ',"status":' || CASE event_id % 10 WHEN 0 THEN '"RESERVED"' WHEN 1 THEN '"OUT_OF_STOCK"' WHEN 2 THEN '"BACKORDER"' WHEN 3 THEN '"DELIVERED"' WHEN 4 THEN '"FAILED"' WHEN 5 THEN '"COMPLETED"' WHEN 6 THEN '"PAYMENT_FAILED"' WHEN 8 THEN '"CHARGED"' WHEN 9 THEN '"charged"' ELSE 'null' END || ',"paymentId":' || CASE event_id % 4 WHEN 0 THEN '"pay-' || user_id || '"' ELSE 'null' END || ',"items":' || CASE event_id % 5 WHEN 0 THEN '0' WHEN 1 THEN '3' WHEN 2 THEN '-1' WHEN 3 THEN '"x"' ELSE 'null' END
+    || ',"address":' || CASE event_id % 4 WHEN 0 THEN '"12 Main St"' WHEN 1 THEN '"UNKNOWN"' WHEN 2 THEN '"  "' ELSE 'null' END || ',"reason":' || CASE event_id % 3 WHEN 0 THEN '"' || event_type || '"' ELSE 'null' END
+    || ',"total":' || CASE event_id % 6 WHEN 0 THEN CAST(CAST(v AS DECIMAL(12,2)) AS VARCHAR) WHEN 1 THEN '0' WHEN 2 THEN '"abc"' WHEN 3 THEN '0.01' WHEN 5 THEN '-3' ELSE 'null' END || ',"currency":' || CASE event_id % 3 WHEN 0 THEN '"EUR"' WHEN 1 THEN '" "' ELSE 'null' END
+    || ',"customerId":' || CASE event_id % 3 WHEN 0 THEN '"c-' || user_id || '"' WHEN 1 THEN '""' ELSE 'null' END || '}' AS body
   FROM mixed_ids
 ),
 mixed_messages AS (

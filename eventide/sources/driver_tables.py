@@ -264,28 +264,30 @@ def result_records(saga_events: DataFrame) -> DataFrame:
 def mixed_messages(events: DataFrame) -> DataFrame:
     """One message per event (offset, value), many of them faulty in one way or another:
     ids that are no UUID, blank or missing; unknown or missing statuses; items, addresses,
-    totals, currencies and customers missing or out of range; payloads as text, as an
+    totals, currencies and customers missing or out of range (the good ones are the event's
+    value, user and type); payloads as text, as an
     object, unparsable or absent; truncated documents."""
     n = F.col("event_id")
 
-    def pick(by: int, *values: str | None):
+    def pick(by: int, *values: str | F.Column | None):
         """The value for ``event_id % by`` as JSON text (null where there is none)."""
         out = F.when(F.lit(False), F.lit(""))
         for k, v in enumerate(values):
-            out = out.when(n % by == k, F.lit("null" if v is None else v))
+            out = out.when(n % by == k, F.lit("null" if v is None else v) if not isinstance(v, F.Column) else v)
         return out.otherwise(F.lit("null"))
 
     uuid = F.concat(F.lit('"'), uuid_from("event_id"), F.lit('"'))
     oid = F.when(n % 16 == 1, F.lit('"not-a-uuid"')).when(n % 16 == 2, F.lit('" \\t"')).when(n % 16 == 3, F.lit("null")).otherwise(uuid)
     body = F.concat(
         F.lit('{"orderId":'), oid,
-        F.lit(',"status":'), pick(8, '"RESERVED"', '"OUT_OF_STOCK"', '"BACKORDER"', '"DELIVERED"', '"FAILED"', '"COMPLETED"', '"PAYMENT_FAILED"', None),
+        F.lit(',"status":'), pick(10, '"RESERVED"', '"OUT_OF_STOCK"', '"BACKORDER"', '"DELIVERED"', '"FAILED"', '"COMPLETED"', '"PAYMENT_FAILED"', None, '"CHARGED"', '"charged"'),
+        F.lit(',"paymentId":'), pick(4, F.concat(F.lit('"pay-'), F.col("user_id").cast("string"), F.lit('"')), None),
         F.lit(',"items":'), pick(5, "0", "3", "-1", '"x"', None),
         F.lit(',"address":'), pick(4, '"12 Main St"', '"UNKNOWN"', '"  "', None),
-        F.lit(',"reason":'), pick(3, '"late"', None),
-        F.lit(',"total":'), pick(6, "12.5", "0", '"abc"', "0.01", None, "-3"),
+        F.lit(',"reason":'), pick(3, F.concat(F.lit('"'), F.col("event_type"), F.lit('"')), None),
+        F.lit(',"total":'), pick(6, F.col("value").cast("decimal(12,2)").cast("string"), "0", '"abc"', "0.01", None, "-3"),
         F.lit(',"currency":'), pick(3, '"EUR"', '" "', None),
-        F.lit(',"customerId":'), pick(7, '"c-1"', '""', None, '"c-2"', '"c-3"', '"c-4"', '"c-5"'), F.lit("}"))
+        F.lit(',"customerId":'), pick(3, F.concat(F.lit('"c-'), F.col("user_id").cast("string"), F.lit('"')), '""', None), F.lit("}"))
     text = F.replace(F.replace(body, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     value = (
         F.when(n % 13 == 4, F.substring(body, 1, 20))

@@ -84,17 +84,21 @@ def read_topic_stream(
 
 
 def to_records(df: DataFrame, topic, key: str = "key", value: str = "value") -> DataFrame:
-    """Project rows to producer records; ``topic`` is a name or a column."""
+    """Project rows to producer records; ``topic`` is a name or a column.
+
+    Headers, partition, offset and timestamp go along where the rows have them
+    (``write_topic`` gives Kafka those that a producer may set)."""
     t = F.lit(topic) if isinstance(topic, str) else topic
     cols = [F.col(key).cast("string").alias("key"), F.col(value).cast("string").alias("value"), t.alias("topic")]
-    if "headers" in df.columns:
-        cols.append(F.col("headers"))
-    return df.select(*cols)
+    return df.select(*cols, *[c for c in ("headers", "partition", "offset", "timestamp") if c in df.columns])
 
 
 def write_topic(df: DataFrame, bootstrap: str | None = None, path: str | None = None, mode: str = "append") -> None:
-    """Produce keyed records; the target topic is chosen per record (``topic`` column)."""
+    """Produce keyed records; the target topic is chosen per record (``topic`` column).
+
+    Kafka numbers and stamps the records itself; a record folder keeps the
+    offset and time that the rows bring."""
     if bootstrap:
-        df.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save()
+        df.drop("offset", "timestamp").write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save()
         return
     df.write.mode(mode).partitionBy("topic").parquet(path)

@@ -20,8 +20,8 @@ def _recs(spark, rows):
 def test_topic_roundtrip_files(spark, tmpdir_fresh):
     r = _recs(spark, [("k", "v1", "a", 0, 0, T0), ("k", "v2", "b", 0, 1, T0)])
     out_recs = topics.to_records(r, F.col("topic"))
-    assert out_recs.columns == ["key", "value", "topic", "headers"]
-    topics.write_topic(r, path=f"{tmpdir_fresh}/t")
+    assert out_recs.columns == ["key", "value", "topic", "headers", "partition", "offset", "timestamp"]
+    topics.write_topic(out_recs, path=f"{tmpdir_fresh}/t")
     back = topics.read_topic_batch(spark, ["a"], path=f"{tmpdir_fresh}/t")
     assert [x.value for x in back.collect()] == ["v1"]
     s = topics.read_topic_stream(spark, ["b"], path=f"{tmpdir_fresh}/t")
@@ -33,11 +33,13 @@ def test_late_records_are_dropped(spark, tmpdir_fresh):
     ok = '{"payload":{"status":"CHARGED"}}'
     first = spark.createDataFrame([("k", ok, "p", 0, 0, T0 + dt.timedelta(days=3))], REC)
     late = spark.createDataFrame([("k", ok, "p", 0, 1, T0), ("k", ok, "p", 0, 2, T0 + dt.timedelta(days=5))], REC)
+    # lateness is judged by the watermark of the batch before, so one more batch on time comes between
+    between = spark.createDataFrame([("k", ok, "p", 0, 3, T0 + dt.timedelta(days=3, hours=1))], REC)
     src = f"{tmpdir_fresh}/src"
-    first.write.parquet(src + "/1")
     import time
-    time.sleep(1.1)
-    late.write.parquet(src + "/2")
+    for k, batch in enumerate((first, between, late)):
+        batch.coalesce(1).write.parquet(f"{src}/{k}")
+        time.sleep(1.1)
     stream = spark.readStream.schema(first.schema).option("maxFilesPerTrigger", 1).parquet(src + "/*")
     out = streams.run_available_now(streams.status_counts_stream(stream, "1 hour"), "late", root=f"{tmpdir_fresh}/q")
     starts = {r.window_start for r in spark.read.parquet(out).collect()}

@@ -105,6 +105,7 @@ def test_dead_letters_carry_their_cause(spark, tmpdir_fresh):
 
 
 KINDS = {
+    "parse_payment_result_mixed": {"Failed to parse payment.result", "Missing orderId"},
     "parse_inventory_result_mixed": {"Failed to parse inventory.result", "Missing orderId"},
     "parse_shipping_result_mixed": {"Failed to parse shipping.result", "Missing orderId"},
     "parse_status_update_mixed": {"Invalid JSON", "Invalid status update message", "Invalid UUID format"},
