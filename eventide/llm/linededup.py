@@ -3,16 +3,22 @@
 1. Every line of at least ``min_chars`` code points becomes a 128-bit hash of
    its key; partial aggregation counts the documents that hold it and keeps
    the largest doc_id among them.
-2. The lines found in at least ``min_docs`` documents are dealt into shards
-   by their hash.  Each shard is one minimal perfect hash function (levels of
-   bit arrays; a line's level is the first one where nothing else of its shard
-   meets it) that indexes three compact arrays: the second half of the hash as
-   fingerprint, the count and the largest doc_id.
+2. All distinct lines are dealt into shards by their hash.  Each shard is one
+   minimal perfect hash function (levels of bit arrays; a line's level is the
+   first one where nothing else of its shard meets it) that indexes two compact
+   arrays: a 16-bit fingerprint and the count, in the narrowest type that holds
+   the shard's largest.  Lines of at least ``min_docs`` also have an entry with
+   the largest doc_id.
 3. The documents probe the arrays of broadcast blocks of shards, line by
-   line, and drop what the rule names.  No line is joined.
+   line: the count read there decides, and the largest doc_id says which
+   document keeps its lines.  No line is joined.
 
-A block holds shards of at most ``block_bytes``; if the arrays need more,
-the documents pass over several blocks, one after the other.
+A line costs some 3.5 bytes of arrays.  A block holds shards of at most
+``block_bytes``; if the arrays need more, the documents pass over several
+blocks, one after the other.  Every line that the documents probe has been
+indexed, so the hash gives each its own place and the result does not rest on
+the short fingerprint; that one only tells apart lines from elsewhere (all but
+1 in 65,536).
 
 Defined cases: a null or empty text is one empty line; white space at both
 ends and the case of A-Z do not tell lines apart; a line that one document
@@ -36,9 +42,9 @@ from .common import fresh_name, materialize, mix, row_slices, text_columns
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: lines of one shard, on average
-SHARD_LINES = 1 << 16
+SHARD_LINES = 1 << 18
 #: bytes of arrays that are broadcast at a time
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 128 << 20
 _BLANK = b" \t\n\x0b\x0c\r"
 _NULL_ID = -(1 << 63)
 _NOWHERE = (1 << 63) - 1
@@ -81,87 +87,125 @@ def line_counts(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 # ------------------------------------------------------------ perfect hash of a shard
 
 
-def _slot(h: np.ndarray, level: int, size: int) -> np.ndarray:
+def _slot(h1: np.ndarray, h2: np.ndarray, level: int, size: int) -> np.ndarray:
+    """Place at a level; the halves of the hash take turns, so lines that agree in one half part at the next level."""
+    h = h2 if level % 2 else h1
     return mix(h + np.uint64(0x9E3779B97F4A7C15 * (level + 1) & 0xFFFFFFFFFFFFFFFF)) % np.uint64(size)
 
 
-def build_shard(h1: np.ndarray, h2: np.ndarray, count: np.ndarray, last: np.ndarray) -> bytes:
+def _fingerprint(h2: np.ndarray) -> np.ndarray:
+    return (h2.view(np.uint64) >> np.uint64(48)).astype(np.uint16)
+
+
+_COUNT_TYPES = (np.uint8, np.uint16, np.uint32, np.uint64)
+
+
+def build_shard(h1: np.ndarray, h2: np.ndarray, count: np.ndarray, last: np.ndarray, min_docs: int) -> bytes:
     """Levels of bit arrays and the arrays they index, as one block of bytes."""
-    left, taken = h1.view(np.uint64).copy(), []
-    while len(left):
-        size = max(64, 2 * len(left) + 63 & ~63)
-        slot = _slot(left, len(taken), size)
-        n = np.bincount(slot.astype(np.int64), minlength=size)
-        alone = n[slot.astype(np.int64)] == 1
+    a, b, taken = h1.view(np.uint64), h2.view(np.uint64), []
+    while len(a):
+        size = max(64, 2 * len(a) + 63 & ~63)
+        slot = _slot(a, b, len(taken), size).astype(np.int64)
+        alone = np.bincount(slot, minlength=size)[slot] == 1
         bits = np.zeros(size, dtype=np.uint8)
-        bits[slot[alone].astype(np.int64)] = 1
-        taken.append(bits)
-        left = left[~alone]
-    head = np.array([len(taken), len(h1), *(len(b) for b in taken)], dtype=np.int64)
-    levels = b"".join(np.packbits(b).tobytes() for b in taken)
-    shard = Shard(head.tobytes() + levels + b"\0" * 24 * len(h1))
-    at = shard.index(h1.view(np.uint64))
-    arrays = [np.empty(len(h1), dtype=np.int64) for _ in range(3)]
-    for a, v in zip(arrays, (h2, count, last), strict=True):
-        a[at] = v
-    return head.tobytes() + levels + b"".join(a.tobytes() for a in arrays)
+        bits[slot[alone]] = 1
+        taken.append(np.packbits(bits, bitorder="little"))
+        a, b = a[~alone], b[~alone]
+    most = int(count.max(initial=0))
+    width = next(k for k, t in enumerate(_COUNT_TYPES) if most <= np.iinfo(t).max)
+    often = count >= min_docs
+    head = np.array([len(taken), len(h1), int(often.sum()), width, min_docs, *(8 * len(x) for x in taken)], dtype=np.int64).tobytes()
+    levels = b"".join(x.tobytes() for x in taken)
+    n = len(h1)
+    blank = b"\0" * (8 * int(often.sum()) + n * (2 + (1 << width)))
+    at = Shard(head + levels + blank).index(h1, h2)
+    fingerprints, counts = np.empty(n, dtype=np.uint16), np.empty(n, dtype=_COUNT_TYPES[width])
+    fingerprints[at], counts[at] = _fingerprint(h2), count
+    by_place = np.argsort(at[often])
+    return head + levels + last[often][by_place].tobytes() + counts.tobytes() + fingerprints.tobytes()
 
 
 class Shard:
     """A built shard: ``index`` of hashes (in range for any hash) and the arrays."""
 
     def __init__(self, data: bytes):
-        levels, n = (int(x) for x in np.frombuffer(data, np.int64, 2))
-        self.sizes = [int(x) for x in np.frombuffer(data, np.int64, levels, 16)]
-        at, base = 16 + 8 * levels, 0
-        self.bits, self.ranks = [], []
+        levels, self.n, n_often, width, self.min_docs = (int(x) for x in np.frombuffer(data, np.int64, 5))
+        self.sizes = [int(x) for x in np.frombuffer(data, np.int64, levels, 40)]
+        at, base = 40 + 8 * levels, 0
+        self.words, self.ranks = [], []
         for size in self.sizes:
-            bits = np.unpackbits(np.frombuffer(data, np.uint8, size // 8, at))
-            self.bits.append(bits)
-            self.ranks.append((base + np.cumsum(bits, dtype=np.int64) - bits).astype(np.uint32))
-            base += int(bits.sum())
+            words = np.frombuffer(data, np.uint64, size // 64, at)
+            ones = np.bitwise_count(words).astype(np.int64)
+            self.words.append(words)
+            self.ranks.append((base + np.cumsum(ones) - ones).astype(np.uint32))
+            base += int(ones.sum())
             at += size // 8
-        self.n = n
-        self.fingerprint, self.count, self.last = (np.frombuffer(data, np.int64, n, at + 8 * n * k) for k in range(3))
-
-    def index(self, h: np.ndarray) -> np.ndarray:
+        kind = _COUNT_TYPES[width]
+        self.lasts = np.frombuffer(data, np.int64, n_often, at)
+        # what follows need not begin at a multiple of its width
+        self.count = np.frombuffer(data[at + 8 * n_often : at + 8 * n_often + self.n * (1 << width)], kind)
+        self.fingerprint = np.frombuffer(data[at + 8 * n_often + self.n * (1 << width) :], np.uint16)
+        #: places of the lines of at least min_docs, in order; ``lasts`` has their largest doc_ids
+        self.often = np.flatnonzero(self.count >= self.min_docs)
+
+    def index(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """The place of each hash; -1 for one that is met at no level (it is not in the shard)."""
-        out = np.full(len(h), -1, dtype=np.int64)
-        left = np.arange(len(h))
+        out = np.full(len(h1), -1, dtype=np.int64)
+        left, a, b = np.arange(len(h1)), h1.view(np.uint64), h2.view(np.uint64)
         for level, size in enumerate(self.sizes):
-            slot = _slot(h[left], level, size).astype(np.int64)
-            hit = self.bits[level][slot] == 1
-            out[left[hit]] = self.ranks[level][slot[hit]]
-            left = left[~hit]
+            slot = _slot(a, b, level, size)
+            word, bit = (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63))
+            held = self.words[level][word]
+            hit = (held & bit) != 0
+            below = np.bitwise_count(held[hit] & (bit[hit] - np.uint64(1))).astype(np.int64)
+            out[left[hit]] = self.ranks[level][word[hit]].astype(np.int64) + below
+            left, a, b = left[~hit], a[~hit], b[~hit]
+            if not len(left):
+                break
         return out
 
+    def counts(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Documents that hold each line (0: not in the shard) and its largest doc_id if they are min_docs or more."""
+        at = self.index(h1, h2)
+        known = at >= 0
+        known[known] = self.fingerprint[at[known]] == _fingerprint(h2[known])
+        count, last = np.zeros(len(h1), dtype=np.int64), np.full(len(h1), _NOWHERE, dtype=np.int64)
+        count[known] = self.count[at[known]]
+        often = count >= self.min_docs
+        last[often] = self.lasts[np.searchsorted(self.often, at[often])]
+        return count, last
+
 
-def _build(batches):
+def _build(min_docs: int):
     """Rows come sorted by shard; one row for each shard goes out."""
-    shard, parts = None, []
-
-    def flush():
-        cols = [np.concatenate([p[k] for p in parts]) for k in range(4)]
-        data = build_shard(*cols)
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([data], pa.binary()), pa.array([len(data)], pa.int64())], names=["shard", "data", "n_bytes"])
-
-    for batch in batches:
-        s = batch.column("shard").to_numpy(zero_copy_only=False)
-        cols = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("h1", "h2", "n_docs", "last")]
-        for run in np.split(np.arange(len(s)), np.flatnonzero(np.diff(s)) + 1) if len(s) else ():
-            if parts and s[run[0]] != shard:
-                yield flush()
-                parts = []
-            shard = int(s[run[0]])
-            parts.append([c[run] for c in cols])
-    if parts:
-        yield flush()
-
-
-def build_shards(repeated: DataFrame, shards: int) -> DataFrame:
+
+    def run(batches):
+        shard, parts = None, []
+
+        def flush():
+            cols = [np.concatenate([p[k] for p in parts]) for k in range(4)]
+            data = build_shard(*cols, min_docs)
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([data], pa.binary()), pa.array([len(data)], pa.int64())], names=["shard", "data", "n_bytes"])
+
+        for batch in batches:
+            s = batch.column("shard").to_numpy(zero_copy_only=False)
+            cols = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("h1", "h2", "n_docs", "last")]
+            for own in np.split(np.arange(len(s)), np.flatnonzero(np.diff(s)) + 1) if len(s) else ():
+                if parts and s[own[0]] != shard:
+                    yield flush()
+                    parts = []
+                shard = int(s[own[0]])
+                parts.append([c[own] for c in cols])
+        if parts:
+            yield flush()
+
+    return run
+
+
+def build_shards(lines: DataFrame, shards: int, min_docs: int) -> DataFrame:
     """Rows (shard, data, n_bytes), one for each shard that has lines; a line's shard is its hash modulo ``shards``."""
-    dealt = repeated.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("bigint"))
-    return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(_build, "shard bigint, data binary, n_bytes bigint")
+    dealt = lines.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("bigint"))
+    return dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_build(min_docs), "shard bigint, data binary, n_bytes bigint")
 
 
 class Probe:
@@ -171,7 +215,7 @@ class Probe:
         self.data, self.shards, self.open = data, shards, {}
 
     def last(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        """Largest doc_id of each line that is in the arrays; else one above all."""
+        """Largest doc_id of each line whose count is min_docs or more; for any other, or one of another block, a value above all."""
         out = np.full(len(h1), _NOWHERE, dtype=np.int64)
         shard = np.mod(h2, self.shards)
         for s in np.unique(shard).tolist():
@@ -180,10 +224,7 @@ class Probe:
             if s not in self.open:
                 self.open[s] = Shard(self.data[s])
             own = np.flatnonzero(shard == s)
-            at = self.open[s].index(h1[own].view(np.uint64))
-            found = at >= 0
-            found[found] = self.open[s].fingerprint[at[found]] == h2[own][found]
-            out[own[found]] = self.open[s].last[at[found]]
+            out[own] = self.open[s].counts(h1[own], h2[own])[1]
         return out
 
 
@@ -236,9 +277,9 @@ def dropped_lines(
 ) -> DataFrame:
     """``docs`` with a last column ``column``: 0-based numbers of the lines to drop (null: none)."""
     spark = docs.sparkSession
-    repeated = materialize(line_counts(docs, min_chars).where(F.col("n_docs") >= min_docs), "lines")
-    shards = max(1, -(-repeated.count() // shard_lines))
-    built = materialize(build_shards(repeated, shards), "shards")
+    lines = materialize(line_counts(docs, min_chars), "lines")
+    shards = max(1, -(-lines.count() // shard_lines))
+    built = materialize(build_shards(lines, shards, min_docs), "shards")
     # ranges of shards that fit a block; one row for each shard_lines lines comes by
     blocks, room = [[0, -1]], block_bytes
     for shard, size in built.select("shard", "n_bytes").orderBy("shard").toLocalIterator():

@@ -495,7 +495,7 @@ def test_many_shards_and_blocks(spark):
     lines = [f"line number {k} with enough characters to be counted {'é' * (k % 5)}" for k in range(300)]
     rows = [(i, "\n".join(rng.choice(lines, 12).tolist())) for i in range(200)]
     table = make(spark, rows)
-    marked = linededup.dropped_lines(table, "gone", shard_lines=20, block_bytes=1500)
+    marked = linededup.dropped_lines(table, "gone", shard_lines=20, block_bytes=600)
     want = brute_lines(rows)
     got = Counter()
     for r in marked.collect():
@@ -508,10 +508,22 @@ def test_many_shards_and_blocks(spark):
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(0)
     h = rng.integers(-(1 << 62), 1 << 62, (5000, 2))
-    shard = linededup.Shard(linededup.build_shard(h[:, 0].copy(), h[:, 1].copy(), np.arange(5000), np.arange(5000) * 7))
-    at = shard.index(h[:, 0].copy().view(np.uint64))
-    assert sorted(at.tolist()) == list(range(5000))
-    assert (shard.fingerprint[at] == h[:, 1]).all() and (shard.count[at] == np.arange(5000)).all() and (shard.last[at] == np.arange(5000) * 7).all()
+    h1, h2 = h[:, 0].copy(), h[:, 1].copy()
+    h1[:50] = h1[0]  # lines that agree in one half of the hash
+    h2[50:90] = h2[50]
+    for most in (200, 5000, 70_000, 1 << 40):
+        count = np.arange(5000) % 7 + 1
+        count[17] = most
+        shard = linededup.Shard(linededup.build_shard(h1, h2, count, np.arange(5000) * 7, 5))
+        assert sorted(shard.index(h1, h2).tolist()) == list(range(5000))
+        got, last = shard.counts(h1, h2)
+        assert (got == count).all()
+        assert (last == np.where(count >= 5, np.arange(5000) * 7, linededup._NOWHERE)).all()
+    strange = rng.integers(-(1 << 62), 1 << 62, (5000, 2))
+    assert (shard.counts(strange[:, 0].copy(), strange[:, 1].copy())[0] > 0).sum() < 20
+    empty = linededup.Shard(linededup.build_shard(*(np.zeros(0, dtype=np.int64) for _ in range(4)), 5))
+    assert empty.counts(h1[:3], h2[:3])[0].tolist() == [0, 0, 0]
+    assert len(linededup.build_shard(h1, h2, count * 0 + 1, count, 5)) < 4 * 5000
     assert LINE  # used by the fixtures
 
 
