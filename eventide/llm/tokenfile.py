@@ -77,14 +77,14 @@ def read_tokens(spark: SparkSession, path: str, wanted: Column | None = None) ->
     return df if wanted is None else df.where(wanted)
 
 
-def with_start(rows: DataFrame) -> DataFrame:
+def with_start(rows: DataFrame, metadata: DataFrame) -> DataFrame:
     """Adds ``start``: the ids of all documents before this one.
 
     A running sum within each shard, plus the totals of the shards before it
-    (one row per shard).
+    (one row per shard), which come from the file's short columns alone.
     """
     before = Window.partitionBy("shard").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    shards = rows.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
+    shards = metadata.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     shards = shards.select("shard", F.coalesce(F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     return rows.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).join(shards, "shard").withColumn("start", F.col("start") + F.col("offset")).drop("offset")
 
@@ -101,4 +101,4 @@ def _crc(batches):
 def token_report(spark: SparkSession, path: str) -> DataFrame:
     """Per document of a token file: doc_id, start, n_tokens, ids_crc32."""
     rows = read_tokens(spark, path).mapInArrow(_crc, "doc_id bigint, shard int, seq bigint, n_tokens bigint, ids_crc32 bigint")
-    return with_start(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_start(rows, read_metadata(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
