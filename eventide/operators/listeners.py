@@ -144,19 +144,17 @@ def compensation_counters(msgs: DataFrame, service: str, scope: str, applied: Da
     A message is a duplicate when its key came before (in ``msgs``, or in the
     store ``seen`` of (scope, key)); ``applied`` has one row per refund or
     release that took effect."""
-    keys = msgs.where(F.col("key").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    keys = msgs.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     if seen is not None:
         keys = keys.join(seen.where(F.col("scope") == scope).select("key").distinct().withColumn("_old", F.lit(1)), "key", "left")
     else:
         keys = keys.withColumn("_old", F.lit(None).cast("int"))
-    again = keys.agg(F.coalesce(F.sum(F.col("n") - F.when(F.col("_old").isNull(), 1).otherwise(0)), F.lit(0)).alias("n"))
-    parts = [(msgs.agg(F.count(F.lit(1)).alias("n")), "received"), (again, "duplicate"), (applied.agg(F.count(F.lit(1)).alias("n")), "applied")]
-    rows = None
-    for df, name in parts:
-        row = df.select(F.lit(name).alias("counter"), F.col("n").cast("bigint").alias("n"))
-        rows = row if rows is None else rows.unionByName(row)
-    sums = [F.sum(F.when(F.col("counter") == name, F.col("n"))).alias(name) for _, name in parts]
-    return rows.agg(*sums).select(F.lit(service).alias("service"), *[name for _, name in parts])
+    again = F.when(F.col("key").isNull(), 0).otherwise(F.col("n") - F.when(F.col("_old").isNull(), 1).otherwise(0))
+    counted = keys.agg(F.sum("n").alias("received"), F.sum(again).alias("duplicate")).withColumn("applied", F.lit(0).cast("bigint"))
+    took = applied.agg(F.count(F.lit(1)).alias("applied")).select(
+        F.lit(0).cast("bigint").alias("received"), F.lit(0).cast("bigint").alias("duplicate"), "applied")
+    total = counted.unionByName(took).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("received", "duplicate", "applied")])
+    return total.select(F.lit(service).alias("service"), "received", "duplicate", "applied")
 
 
 def applied_refunds(payment_status: DataFrame, msgs: DataFrame, seq: str = "offset", seen: DataFrame | None = None) -> DataFrame:

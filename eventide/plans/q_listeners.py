@@ -17,6 +17,9 @@ UUID_RE = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA
 TERMINAL = "('COMPLETED', 'CANCELLED', 'FAILED', 'REJECTED', 'PAYMENT_FAILED', 'INVENTORY_FAILED', 'SHIPPING_FAILED')"
 
 
+LOST_COMMAND = '{"orderId":"none","payload":{"reason":"lost"}}'
+
+
 def _ts(spark, sf_dir):
     return q_saga._transitions(spark, sf_dir), q_saga._state(spark, sf_dir)
 
@@ -36,7 +39,9 @@ def _command_records(t, topic):
         cmds.withColumn("event_id", F.concat(F.lit("cmd-"), F.col("seq").cast("string"), F.lit("-"),
                                              F.col("cmd_order").cast("string"))),
         "order_id", "event_id", "envelope_type", "payload", out="value")
-    return env.select("key", "value", "topic", (F.col("seq") * 10 + F.col("cmd_order")).alias("offset"))
+    # some commands arrive cut off, some without an order id
+    value = F.when(F.col("seq") % 13 == 0, F.substring("value", 1, 20)).when(F.col("seq") % 17 == 0, F.lit(LOST_COMMAND)).otherwise(F.col("value"))
+    return env.select("key", value.alias("value"), "topic", (F.col("seq") * 10 + F.col("cmd_order")).alias("offset"))
 
 
 BASE = q_saga.TRANSITIONS + f""",
@@ -66,15 +71,19 @@ cmd_records AS (
                      'payload', CAST(payload AS VARCHAR)) AS VARCHAR) AS value
   FROM cmds
 ),
+cmd_delivered AS (
+  SELECT key, topic, "offset", CASE WHEN ("offset" // 10) % 13 = 0 THEN substr(value, 1, 20)
+                                    WHEN ("offset" // 10) % 17 = 0 THEN '{LOST_COMMAND}' ELSE value END AS value
+  FROM cmd_records
+),
+cmd_body AS (SELECT *, CASE WHEN json_valid(value) THEN json_extract_string(value, '$.payload') END AS body FROM cmd_delivered),
 cmd_parsed AS (
   SELECT * FROM (
-    SELECT key, topic, "offset",
-      json_extract_string(json_extract_string(value, '$.payload'), '$.orderId') AS oid,
-      coalesce(json_extract_string(json_extract_string(value, '$.payload'), '$.reason'), 'Saga compensation') AS reason,
-      json_extract_string(json_extract_string(value, '$.payload'), '$.paymentId') AS pay_ref,
-      json_extract_string(json_extract_string(value, '$.payload'), '$.reservationId') AS res_ref,
+    SELECT key, topic, "offset", body IS NOT NULL AS ok, json_extract_string(body, '$.orderId') AS oid,
+      coalesce(json_extract_string(body, '$.reason'), 'Saga compensation') AS reason,
+      json_extract_string(body, '$.paymentId') AS pay_ref, json_extract_string(body, '$.reservationId') AS res_ref,
       row_number() OVER (PARTITION BY topic, key ORDER BY "offset") AS rn
-    FROM cmd_records) WHERE rn = 1
+    FROM cmd_body) WHERE rn = 1
 )
 """
 
@@ -130,9 +139,9 @@ def q_apply_cancellations(spark, sf_dir):
 
 
 @query("cancellation_results", BASE + """
-SELECT oid AS order_id, "offset" AS seq,
-  CAST(json_object('orderId', oid, 'compensationType', 'ORDER_CANCEL', 'success', true, 'service', 'order-api') AS VARCHAR) AS value
-FROM cmd_parsed WHERE topic = 'order.cancel'""")
+SELECT CASE WHEN ok THEN oid ELSE key END AS order_id, "offset" AS seq,
+  CAST(json_object('orderId', CASE WHEN ok THEN oid ELSE key END, 'compensationType', 'ORDER_CANCEL', 'success', ok, 'service', 'order-api') AS VARCHAR) AS value
+FROM cmd_parsed WHERE topic = 'order.cancel' AND NOT (ok AND oid IS NULL)""")
 def q_cancellation_results(spark, sf_dir):
     t, s = _ts(spark, sf_dir)
     _, results = listeners.apply_cancellations(_orders(s), _command_records(t, "order.cancel"))
@@ -159,7 +168,7 @@ def q_apply_refunds(spark, sf_dir):
 @query("apply_releases", BASE + """,
 res AS (SELECT order_id, inventory_reservation_id AS reservation_id FROM state
         WHERE inventory_reservation_id IS NOT NULL),
-rl AS (SELECT oid, "offset", res_ref FROM cmd_parsed WHERE topic = 'inventory.release')
+rl AS (SELECT oid, "offset", res_ref FROM cmd_parsed WHERE topic = 'inventory.release' AND oid IS NOT NULL)
 SELECT rl.oid AS order_id, rl."offset" AS seq, (res.reservation_id IS NOT NULL OR rl.res_ref IS NOT NULL) AS counted,
        coalesce(rl.res_ref, res.reservation_id) AS reservation_id
 FROM rl LEFT JOIN res ON res.order_id = rl.oid""")

@@ -16,9 +16,9 @@ AS_OF = q_saga.AS_OF
 
 def _result_sql(topic: str, ctype: str, service: str) -> str:
     return f"""
-SELECT oid AS order_id, "offset" AS seq,
-  CAST(json_object('orderId', oid, 'compensationType', '{ctype}', 'success', true, 'service', '{service}') AS VARCHAR) AS value
-FROM cmd_parsed WHERE topic = '{topic}'"""
+SELECT CASE WHEN ok THEN oid ELSE key END AS order_id, "offset" AS seq,
+  CAST(json_object('orderId', CASE WHEN ok THEN oid ELSE key END, 'compensationType', '{ctype}', 'success', ok, 'service', '{service}') AS VARCHAR) AS value
+FROM cmd_parsed WHERE topic = '{topic}' AND NOT (ok AND oid IS NULL)"""
 
 
 @query("refund_results", q_listeners.BASE + _result_sql("payment.refund", "PAYMENT_REFUND", "payment-svc"))

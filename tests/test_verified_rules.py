@@ -141,3 +141,9 @@ def test_jdbc_reads_must_be_partitioned(spark):
 
     with pytest.raises(ValueError):
         read_table(spark, jdbc_url="jdbc:none", table="t")
+
+
+@pytest.mark.parametrize("name", ["refund_results", "cancellation_results"])
+def test_results_of_commands_succeed_and_fail(spark, name):
+    rows = QUERIES[name](spark, SF01).select(F.get_json_object("value", "$.success").alias("ok")).distinct().collect()
+    assert {r.ok for r in rows} == {"true", "false"}
