@@ -142,7 +142,7 @@ def shard_matches(w: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.nd
     return query, place[spot], common_prefix(train, spot, items.words, items.start[query], items.left[query])
 
 
-def _scan(items: Items, window: int, with_digest: bool):
+def _scan(items: Items, window: int, with_digest: bool, with_matches: bool):
     def run(batches):
         schema = None
         for batch in batches:
@@ -171,7 +171,7 @@ def _scan(items: Items, window: int, with_digest: bool):
                         if f < l:
                             spans[d] += [f - int(w.first[d]), l - int(w.first[d])]
                 found: list = [[] for _ in range(rows)]
-                if len(query):
+                if with_matches and len(query):
                     # only matches that cannot be extended to the left
                     known = {}
                     for q, p, n in sorted(zip(query.tolist(), word.tolist(), longest.tolist(), strict=True), key=lambda x: x[1]):
@@ -212,20 +212,21 @@ def item_blocks(benchmark: DataFrame, window: int, block_chars: int):
         yield Items([r[0] for r in got], [r[1] for r in got], window), blocks
 
 
-def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, with_matches: bool = True) -> DataFrame:
     """One row per document: doc_id, n_words, hits, items, longest, matches.
 
     ``hits``: begin and end (exclusive) of each stretch of hit words, as flat
     pairs; ``items``: ids of the items with a window in the document, sorted
     as strings; ``longest``: words of the longest verbatim match; ``matches``:
-    the matches that cannot be extended, with their places, sorted.
+    the matches that cannot be extended, with their places, sorted (one entry
+    for each, so they are made only ``with_matches``; else the list is empty).
 
     The items are taken in as many blocks as their measured size needs; only
     one block is in memory at a time.
     """
     rows, blocks, parts = text_columns(docs), 0, []
     for items, blocks in item_blocks(benchmark, window, block_chars):
-        part = rows.mapInArrow(_scan(items, window, blocks > 1), _OUT)
+        part = rows.mapInArrow(_scan(items, window, blocks > 1, with_matches), _OUT)
         parts.append(part if blocks == 1 else materialize(part, "matches").withColumn("block", F.lit(len(parts))))
     if blocks == 1:
         out = parts[0]
@@ -257,7 +258,7 @@ def hit_count(hits: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest."""
-    m = find_matches(docs, benchmark, window, block_chars)
+    m = find_matches(docs, benchmark, window, block_chars, with_matches=False)
     n = hit_count(F.col("hits"))
     return m.select(
         "doc_id", "n_words", n.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
