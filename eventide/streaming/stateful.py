@@ -3,17 +3,34 @@
 ``outbound_ttl_dedup_stream`` keeps the last accepted time per result key
 (one long) and a timer: once the watermark is a TTL past it the entry can
 suppress nothing any more and is removed, so the state holds the keys of the
-last TTL and of the watermark's delay.
+last TTL and of the watermark's delay.  Messages go in and out as JSON: a
+pandas column for every field of every key costs far more than the check.
 """
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 _NO_KEY = "\x00"
+_OUT = "k:string,topic:string,partition:int,offset:bigint,ts_us:bigint"
+_CELL = pd.Index(["kept"])
+
+
+def watermarked_micros(df: DataFrame, ts: str, delay: str) -> DataFrame:
+    """``df`` with a watermark on TIMESTAMP ``ts``, which then holds microseconds: of all columns a zoned time is
+    the dearest to make in pandas.  The watermark goes with the column's metadata, which a change of type would drop."""
+    marked = df.withWatermark(ts, delay)
+    micros = F.unix_micros(ts).alias(ts, metadata=marked.schema[ts].metadata)
+    return marked.select(*(micros if c == ts else F.col(c) for c in marked.columns))
+
+
+def _order(message: dict) -> tuple:
+    return tuple((message.get(c) is None, message.get(c)) for c in ("ts_us", "topic", "partition", "offset"))
 
 
 def _ttl_fn(ttl_us: int):
@@ -21,19 +38,18 @@ def _ttl_fn(ttl_us: int):
         if state.hasTimedOut:
             state.remove()
             return
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_us", "topic", "partition", "offset"], kind="stable")
+        batch = [json.loads(m) for pdf in pdfs for m in pdf["message"].tolist()]
         last = state.get[0] if state.exists else None
         keep = []
-        for t in batch["ts_us"].tolist():
-            ok = last is None or t >= last + ttl_us
-            keep.append(ok)
-            if ok:
+        for m in sorted(batch, key=_order) if len(batch) > 1 else batch:
+            t = m.get("ts_us")
+            if last is None or (t is not None and t >= last + ttl_us):
+                keep.append({"k": key[0], **m})
                 last = t
         state.update((int(last),))
         state.setTimeoutTimestamp(max((int(last) + ttl_us) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        out = batch.loc[keep, ["k", "topic", "partition", "offset", "ts_us"]]
-        if len(out):
-            yield out
+        if keep:
+            yield pd.DataFrame(np.array([[json.dumps(keep)]], dtype=object), columns=_CELL, copy=False)
 
     return fn
 
@@ -50,7 +66,8 @@ def outbound_ttl_dedup_stream(df: DataFrame, key: str, ts: str, ttl_seconds: int
     x = df.select(F.col(key).cast("string").alias("k"), *ids, F.col(ts).cast("timestamp").alias("event_time"))
     # messages without a key are all accepted: each is a key of its own
     x = x.withColumn("k", F.coalesce("k", F.concat_ws(_NO_KEY, F.lit(""), *kinds)))
-    x = x.withWatermark("event_time", delay).withColumn("ts_us", F.unix_micros("event_time"))
-    out = x.groupBy("k").applyInPandasWithState(
-        _ttl_fn(ttl_seconds * 1_000_000), "k string, topic string, partition int, offset bigint, ts_us bigint", "ts_us long", "Append", "EventTimeTimeout")
+    message = F.to_json(F.struct(*kinds, F.unix_micros("event_time").alias("ts_us")))
+    x = watermarked_micros(x.select("k", message.alias("message"), "event_time"), "event_time", delay)
+    out = x.groupBy("k").applyInPandasWithState(_ttl_fn(ttl_seconds * 1_000_000), "kept string", "ts_us long", "Append", "EventTimeTimeout")
+    out = out.select(F.inline(F.from_json("kept", f"array<struct<{_OUT}>>")))
     return out.withColumn("k", F.when(~F.startswith("k", F.lit(_NO_KEY)), F.col("k")))

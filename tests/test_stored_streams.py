@@ -15,6 +15,7 @@ from eventide.streaming.layers import UpsertedTable
 from eventide.streaming.metrics_table import MetricsTable
 from eventide.streaming.outbox import OutboxFeed
 from eventide.streaming.saga_timers import apply_event, due, fire_timer, saga_timers_stream
+from eventide.streaming.stateful import outbound_ttl_dedup_stream
 from eventide.streaming.window_store import WindowStore
 
 T0 = dt.datetime(2024, 1, 1)
@@ -158,6 +159,38 @@ def test_saga_state_shrinks_when_sagas_finish(spark, tmpdir_fresh):
     assert [(r.order_id, r.status) for r in rows] == [("a", "COMPLETED"), ("b", "PAYMENT_FAILED"), ("b", "CANCELLED")]
 
 
+def _run(spark, df, base, mode):
+    def write(batch, n):
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch_id={n}")
+
+    df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/cp").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def _sent_to_python(df):
+    """Columns that Spark turns into pandas for every key."""
+    plan = df._jdf.queryExecution().analyzed()
+    while "FlatMapGroupsInPandasWithState" not in plan.nodeName():
+        plan = plan.children().head()
+    return plan.children().head().output().size()
+
+
+ODD = 'q"uo\\te\n\u00e9\U0001f600\x01'
+
+
+def test_ttl_messages_go_to_python_as_one_column(spark, tmpdir_fresh):
+    schema = "key string, topic string, partition int, offset bigint, ts timestamp"
+    files = [[(ODD, ODD, 0, 2, 0), (ODD, ODD, 0, 1, 0), (ODD, None, 1, 3, 600), (None, "t", 0, 4, 0), (None, "t", 0, 5, 0)], [("z", "t", 0, 6, 7200)],
+             [(ODD, "t", 0, 7, 1200), (ODD, "t", 0, 8, 7100)]]  # offset 7 comes after the watermark
+    for k, rows in enumerate(files):
+        spark.createDataFrame([(*r[:4], T0 + dt.timedelta(seconds=r[4])) for r in rows], schema).coalesce(1).write.mode("append").parquet(f"{tmpdir_fresh}/src")
+        stream = outbound_ttl_dedup_stream(spark.readStream.schema(schema).parquet(f"{tmpdir_fresh}/src"), "key", "ts")
+        assert _sent_to_python(stream) <= 4
+        out = _run(spark, stream, tmpdir_fresh, "append")
+    got = [(r.k, r.topic, r.partition, r.offset) for r in out.orderBy("offset").collect()]
+    assert got == [(ODD, ODD, 0, 1), (ODD, None, 1, 3), (None, "t", 0, 4), (None, "t", 0, 5), ("z", "t", 0, 6), (ODD, "t", 0, 8)]
+
+
 def test_counters_by_blocks_equal_one_window(spark):
     """One series holds most samples and is cut into many blocks; resets fall on block ends too."""
     rnd, rows, value = random.Random(3), [], 0
