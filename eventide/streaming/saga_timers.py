@@ -17,6 +17,10 @@ it holds the running ones; later events of a finished order are ignored.
 
 Rows that come out: kind ``state`` (the saga after the change), ``command``
 and ``status`` (update for the order's service), numbered in order per order.
+
+Spark makes a pandas column of every column of every order, whatever it holds,
+which costs more than the moves.  So events go to ``_step`` as JSON, and the
+rows of a call come back as one JSON array that Spark parses.
 """
 
 from __future__ import annotations
@@ -31,13 +35,15 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..operators.saga import EVENT_FAILED, EVENT_STATE, PENDING_TO_FAILED
+from .stateful import watermarked_micros
 
 PENDING_MINUTES, RETRY_MINUTES = 10, 5
 FINISHED = ("COMPLETED", "COMPENSATED")
 ID_EVENTS = {"PaymentCompleted": "payment_id", "InventoryReserved": "reservation_id", "ShippingCompleted": "shipping_id"}
 OUT = ("order_id string, n bigint, kind string, at_us bigint, state string, failed_state string, payment_id string, reservation_id string, "
        "shipping_id string, failure_reason string, retry_count int, topic string, type string, ref_id string, status string")
-_COLUMNS = pd.Index([f.split()[0] for f in OUT.split(", ")])
+_ROWS = "array<struct<%s>>" % OUT.replace(" ", ":").replace(",:", ",")
+_CELL = pd.Index(["rows"])
 _STATE, _FAILED, _TIMED_OUT = dict(EVENT_STATE), dict(EVENT_FAILED), dict(PENDING_TO_FAILED)
 
 
@@ -104,8 +110,9 @@ def _step(key, frames: Iterator[pd.DataFrame], state):
         saga["at_us"] = state.getCurrentWatermarkMs() * 1000
         emit(sent)
     else:
-        events = sorted((e for f in frames for e in zip(*(f[c].tolist() for c in ("seq", "at_us", "event_type", "ref_id", "reason")))), key=lambda e: e[0])
-        for seq, at_us, event_type, ref_id, reason in events:
+        events = [json.loads(e) for f in frames for e in f["event"].tolist()]
+        for e in sorted(events, key=lambda e: (e.get("seq") is None, e.get("seq"))):
+            event_type, ref_id, reason = e["event_type"], e.get("ref_id"), e.get("reason")
             start = event_type == codes.SAGA_START_EVENT
             if saga is None and start:
                 saga = {"state": None, "failed_state": None, "payment_id": None, "reservation_id": None, "shipping_id": None,
@@ -113,7 +120,7 @@ def _step(key, frames: Iterator[pd.DataFrame], state):
             elif saga is None or start or saga["state"] in FINISHED:
                 continue
             sent = apply_event(saga, event_type, ref_id if isinstance(ref_id, str) else None, reason if isinstance(reason, str) else None)
-            saga["at_us"] = int(at_us)
+            saga["at_us"] = int(e["at_us"])
             emit(sent)
     if saga is None:
         return
@@ -125,14 +132,13 @@ def _step(key, frames: Iterator[pd.DataFrame], state):
         if at is not None:
             state.setTimeoutTimestamp(max(at // 1000 + 1, state.getCurrentWatermarkMs() + 1))
     if rows:
-        cells = np.empty((len(rows), len(_COLUMNS)), dtype=object)  # one block; nothing is inferred
-        for k, r in enumerate(rows):
-            cells[k] = [r.get(c) for c in _COLUMNS]
-        yield pd.DataFrame(cells, columns=_COLUMNS, copy=False)
+        yield pd.DataFrame(np.array([[json.dumps(rows)]], dtype=object), columns=_CELL, copy=False)
 
 
 def saga_timers_stream(events: DataFrame, ts: str = "ts", delay: str = "1 minute") -> DataFrame:
     """Events (order_id, seq, ts, event_type, ref_id, reason) to the rows of all changes."""
     known = events.where(F.col("event_type").isin(*_STATE)).withColumn("event_time", F.col(ts).cast("timestamp"))
-    keyed = known.withWatermark("event_time", delay).select("order_id", "seq", "event_type", "ref_id", "reason", "event_time", F.unix_micros("event_time").alias("at_us"))
-    return keyed.groupBy("order_id").applyInPandasWithState(_step, OUT, "saga string", "Update", "EventTimeTimeout")
+    event = F.to_json(F.struct("seq", F.unix_micros("event_time").alias("at_us"), "event_type", "ref_id", "reason"))
+    keyed = watermarked_micros(known.select("order_id", event.alias("event"), "event_time"), "event_time", delay)
+    rows = keyed.groupBy("order_id").applyInPandasWithState(_step, "rows string", "saga string", "Update", "EventTimeTimeout")
+    return rows.select(F.inline(F.from_json("rows", _ROWS)))

@@ -178,6 +178,21 @@ def _sent_to_python(df):
 ODD = 'q"uo\\te\n\u00e9\U0001f600\x01'
 
 
+def test_saga_events_go_to_python_as_one_column(spark, tmpdir_fresh):
+    schema = "order_id string, seq bigint, ts timestamp, event_type string, ref_id string, reason string"
+    at = [T0 + dt.timedelta(minutes=m) for m in (0, 1, 90)]
+    rows = [(ODD, 2, at[1], "PaymentFailed", None, ODD), (ODD, 1, at[0], "OrderCreated", None, None), ("b", None, at[2], "OrderCreated", None, None)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmpdir_fresh}/src")
+    stream = saga_timers_stream(spark.readStream.schema(schema).parquet(f"{tmpdir_fresh}/src"))
+    assert _sent_to_python(stream) <= 4  # the key (twice), the event, its time
+    got = _run(spark, stream, tmpdir_fresh, "update").orderBy("order_id", "n").collect()
+    mine = [(r.kind, r.state, r.failure_reason, r.retry_count, r.type) for r in got if r.order_id == ODD]
+    retry = "Retry compensation attempt #1"
+    assert mine == [("state", "PAYMENT_PENDING", None, 0, None), ("status", None, ODD, None, None), ("command", None, ODD, None, "CANCEL"),
+                    ("state", "COMPENSATING", ODD, 0, None), ("command", None, retry, None, "CANCEL"), ("state", "COMPENSATING", ODD, 1, None)]
+    assert {r.at_us for r in got if r.order_id == "b"} == {int((at[2] - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000}
+
+
 def test_ttl_messages_go_to_python_as_one_column(spark, tmpdir_fresh):
     schema = "key string, topic string, partition int, offset bigint, ts timestamp"
     files = [[(ODD, ODD, 0, 2, 0), (ODD, ODD, 0, 1, 0), (ODD, None, 1, 3, 600), (None, "t", 0, 4, 0), (None, "t", 0, 5, 0)], [("z", "t", 0, 6, 7200)],
