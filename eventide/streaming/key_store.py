@@ -12,13 +12,15 @@ commits its keys, so a crash in between gives the same rows again.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_first_seen
 from .layers import LAYER, PART, LayeredTable
 
-#: bits of a page, as bitmap_construct_agg has them; bits per key, and of them set for each
+#: bits of a page (positions fit 16 bits with a sign); bits per key, and of them set for each
 PAGE_BITS, KEY_BITS, HASHES = 32_768, 32, 8
 
 
@@ -30,6 +32,29 @@ def _bits(key: list[str]) -> Column:
     return F.array(*(F.pmod(F.xxhash64(*key, F.lit(k)), F.lit(PAGE_BITS)) for k in range(HASHES)))
 
 
+def _build_pages(batches):
+    """Pages from rows of keys (part, pages, page, positions); all rows of a page come to one task."""
+    row_of: dict[tuple, int] = {}
+    held = np.zeros((64, PAGE_BITS // 8), dtype=np.uint8)
+    for batch in batches:
+        part = batch.column(PART).dictionary_encode()
+        page = batch.column("page").to_numpy()
+        names, pages = part.dictionary.to_pylist(), batch.column("pages").to_numpy()
+        code = part.indices.to_numpy().astype(np.int64) << 40 | page
+        found, first, place = np.unique(code, return_index=True, return_inverse=True)
+        rows = [row_of.setdefault((names[c >> 40], int(pages[k]), c & ((1 << 40) - 1)), len(row_of)) for c, k in zip(found.tolist(), first.tolist(), strict=True)]
+        if len(row_of) > len(held):
+            held = np.concatenate((held, np.zeros((max(len(held), len(row_of) - len(held)), held.shape[1]), dtype=np.uint8)))
+        at = batch.column("at").flatten().to_numpy().astype(np.int64)
+        row = np.repeat(np.array(rows, dtype=np.int64)[place], HASHES)
+        np.bitwise_or.at(held, (row, at >> 3), (1 << (at & 7)).astype(np.uint8))
+    names = list(row_of)
+    for i in range(0, len(names), 256):
+        part, pages, page = zip(*names[i : i + 256], strict=True)
+        bits = [held[k].tobytes() for k in range(i, i + len(part))]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(pages, pa.int32()), pa.array(page, pa.int64()), pa.array(bits, pa.binary())], names=[PART, "pages", "page", "bits"])
+
+
 def _is_set(bits: Column, at: Column) -> Column:
     byte = F.conv(F.hex(F.substring(bits, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     return F.call_function("mod", F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1
@@ -48,9 +73,10 @@ class KeyStore(LayeredTable):
         parts = super()._write(rows, layer)
         keys = self._scan({p: [layer] for p in parts})
         sizes = keys.groupBy(PART).agg(F.ceil(F.count("*") * KEY_BITS / PAGE_BITS).cast("int").alias("pages"))
-        placed = keys.join(sizes, PART).select(PART, "pages", _page(self.key, F.col("pages")).alias("page"), F.explode(_bits(self.key)).alias("at"))
-        # a bitmap position counts from 1 within the bucket's 32768
-        pages = placed.groupBy(PART, "pages", "page").agg(F.bitmap_construct_agg("at").alias("bits"))
+        at = _bits(self.key).cast("array<smallint>").alias("at")
+        placed = keys.join(sizes, PART).select(PART, "pages", _page(self.key, F.col("pages")).alias("page"), at)
+        # bitmap_construct_agg would sort a row for every bit, by an aggregate that has no hash form
+        pages = placed.repartition(PART, "page").mapInArrow(_build_pages, f"{PART} string, pages int, page bigint, bits binary")
         pages.withColumn(LAYER, F.lit(layer)).write.mode("overwrite").parquet(f"{self.folder.path}/bloom/{layer}")
         return parts
 

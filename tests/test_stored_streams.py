@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import orders, promql
 from eventide.sources import driver_tables as tables
-from eventide.streaming import streams
+from eventide.streaming import key_store, streams
 from eventide.streaming.key_store import KeyStore
 from eventide.streaming.layers import UpsertedTable
 from eventide.streaming.metrics_table import MetricsTable
@@ -67,6 +67,19 @@ def test_key_store_finds_replays_of_any_age(spark, tmpdir_fresh):
     assert new.count() == 0 and n_read == 0
 
 
+def test_bloom_pages_are_those_of_the_bitmap_aggregate(spark, tmpdir_fresh):
+    store = KeyStore(spark, f"{tmpdir_fresh}/k", ["c", "id"], buckets=3)
+    rows = spark.range(20_000).select(F.concat(F.lit("c"), F.col("id") % 3).alias("c"), F.concat(F.lit("id"), "id").alias("id"), F.lit(1).alias("n"))
+    store.consume(rows.unionByName(rows), 0, ["n"])
+    pages = spark.read.parquet(f"{tmpdir_fresh}/k/keys/bloom/*")
+    held = spark.read.option("basePath", f"{tmpdir_fresh}/k/keys/data").parquet(f"{tmpdir_fresh}/k/keys/data").select("c", "id", "part")
+    at = held.join(pages.select("part", "pages").distinct(), "part").select(
+        "part", "pages", key_store._page(store.key, F.col("pages")).alias("page"), F.explode(key_store._bits(store.key)).alias("at"))
+    want = at.groupBy("part", "pages", "page").agg(F.bitmap_construct_agg("at").alias("bits"))
+    assert held.count() == 20_000 and pages.count() > 15
+    assert sorted(map(tuple, pages.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
 def _records(spark, rows):
     value = lambda s: json.dumps({"payload": {"status": s}})
     return spark.createDataFrame([(T0 + dt.timedelta(hours=h), value(s)) for h, s in rows], "timestamp timestamp_ntz, value string")
