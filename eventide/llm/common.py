@@ -58,6 +58,20 @@ def ship(spark: SparkSession) -> None:
     sc._eventide_shipped = True
 
 
+def released(run):
+    """``run`` (batches to batches), which at its end gives the memory that Arrow keeps back to the system.
+
+    Workers live on from stage to stage, and what theirs keep is missing to the
+    JVM while it joins and sorts.
+    """
+
+    def tidy(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidy
+
+
 # ------------------------------------------------------------------ text slices
 
 

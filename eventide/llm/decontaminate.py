@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, byte_values, fresh_name, materialize, text_columns, text_slices
+from .common import ALNUM, Words, byte_values, fresh_name, materialize, released, text_columns, text_slices
 
 WINDOW = 10
 #: items are looked up in blocks of about this many characters, so that what is broadcast stays bounded
@@ -291,5 +291,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     for k, (items, _) in enumerate(item_blocks(benchmark, window, block_chars)):
         if k:
             out = materialize(out, "flagged")
-        out = out.mapInArrow(_flag(items), out.schema)
+        out = out.mapInArrow(released(_flag(items)), out.schema)
     return out.where(~F.col(mark)).select(*[F.col(f"`{c}`") for c in docs.columns])

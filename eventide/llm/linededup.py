@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, materialize, mix, row_slices, text_columns
+from .common import fresh_name, materialize, mix, released, row_slices, text_columns
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: lines of one shard, on average
@@ -80,7 +80,7 @@ def _line_hashes(min_chars: int):
 
 def line_counts(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Distinct lines: h1, h2 (halves of the hash), n_docs, last (largest doc_id)."""
-    lines = text_columns(docs).mapInArrow(_line_hashes(min_chars), "h1 bigint, h2 bigint, doc_id bigint")
+    lines = text_columns(docs).mapInArrow(released(_line_hashes(min_chars)), "h1 bigint, h2 bigint, doc_id bigint")
     return lines.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last"))
 
 
@@ -205,7 +205,7 @@ def _build(min_docs: int):
 def build_shards(lines: DataFrame, shards: int, min_docs: int) -> DataFrame:
     """Rows (shard, data, n_bytes), one for each shard that has lines; a line's shard is its hash modulo ``shards``."""
     dealt = lines.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("bigint"))
-    return dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_build(min_docs), "shard bigint, data binary, n_bytes bigint")
+    return dealt.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(released(_build(min_docs)), "shard bigint, data binary, n_bytes bigint")
 
 
 class Probe:
@@ -295,7 +295,7 @@ def dropped_lines(
         shared = spark.sparkContext.broadcast({r[0]: bytes(r[1]) for r in own})
         if k:
             out = materialize(out, "probed")  # one block in a worker's memory at a time
-        out = out.mapInArrow(_drop(shared, shards, min_chars, at("doc_id"), at("text")), out.schema)
+        out = out.mapInArrow(released(_drop(shared, shards, min_chars, at("doc_id"), at("text"))), out.schema)
     return out
 
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, _powers, byte_values, grams, materialize, mix, text_columns, text_slices
+from .common import NON_SPACE, Words, _powers, byte_values, grams, materialize, mix, released, text_columns, text_slices
 
 SHINGLE = 5
 #: a link needs 100 * intersection >= 75 * union
@@ -142,7 +142,7 @@ def _sign(batches):
 
 def sign(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, c1 and c2 (hashes of the word sequence), n_shingles, bands."""
-    return text_columns(docs).mapInArrow(_sign, "doc_id bigint, c1 bigint, c2 bigint, n_shingles bigint, bands array<bigint>")
+    return text_columns(docs).mapInArrow(released(_sign), "doc_id bigint, c1 bigint, c2 bigint, n_shingles bigint, bands array<bigint>")
 
 
 # ----------------------------------------------------------------- exact checks
@@ -189,7 +189,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), null.alias("a1"), null.alias("b"), null.alias("b1"), "text"
     )
     rows = leaders.unionByName(members).repartition("a", "part").sortWithinPartitions("a", "part", "member")
-    return rows.mapInArrow(_compare, "a bigint, b bigint")
+    return rows.mapInArrow(released(_compare), "a bigint, b bigint")
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ def linked_components(meets: DataFrame, members: DataFrame, texts: DataFrame) ->
     given = shape.join(members, shape["target"] == members["component"]).select("target", own("parts").alias("part"), "blocks", "node")
     given = given.select("target", each("blocks").alias("block"), "part", F.lit(True).alias("member"), "node")
     rows = ask.unionByName(given).join(texts, "node").repartition("target", "block", "part").sortWithinPartitions("target", "block", "part", "member")
-    return rows.mapInArrow(_compare_blocks, "a bigint, b bigint")
+    return rows.mapInArrow(released(_compare_blocks), "a bigint, b bigint")
 
 
 # ------------------------------------------------------------------- components
@@ -319,7 +319,7 @@ def _shingle_rows(batches):
 
 def _rare_meeting(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of components whose members share one of their rarest shingles within a bucket."""
-    shingles = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(_shingle_rows, "node bigint, c1 bigint, shingle bigint").distinct()
+    shingles = texts.join(rows.select("node").distinct(), "node", "left_semi").mapInArrow(released(_shingle_rows), "node bigint, c1 bigint, shingle bigint").distinct()
     every = materialize(rows.join(shingles, ["node", "c1"]), "bucket-shingles")
     common = materialize(every.groupBy("key", "shingle").agg(F.count("*").alias("df")), "common")
     rarest = Window.partitionBy("key", "node", "c1").orderBy("df", "shingle")

@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -226,7 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, samp
 def score_column(model: Model | None, text: Column) -> Column:
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([score(model, t) for t in texts], dtype="float64")
+        out = pd.Series([score(model, t) for t in texts], dtype="float64")
+        pa.default_memory_pool().release_unused()  # what batches before this one held; the worker lives on
+        return out
 
     return scored(text)
 

@@ -552,3 +552,25 @@ def test_chat_parts(spark):
     told = "as\"<sis\nx\nassistant\n" + "y" * 5000 + "\n"
     assert report[None].turns_sha256 == hashlib.sha256(told.encode()).hexdigest()
     assert chat.format_chat(df.limit(0)).count() == 0
+
+
+def test_workers_give_back_what_arrow_keeps():
+    import pyarrow as pa
+
+    from eventide.llm.common import released
+
+    def held():
+        return int(next(x for x in open("/proc/self/status") if x.startswith("VmRSS")).split()[1]) // 1024
+
+    def copies(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_pylist())], names=["t"])
+
+    rows = pa.RecordBatch.from_arrays([pa.array(["x" * 2000] * 20_000)], names=["t"])
+    for _ in copies([rows]):  # what the interpreter itself keeps
+        pass
+    del _
+    pool, before = pa.default_memory_pool(), held()
+    grown = [pool.bytes_allocated()]
+    assert [b.num_rows for b in released(copies)([rows] * 3)] == [20_000] * 3
+    assert pool.bytes_allocated() == grown[0] and held() < before + 60
