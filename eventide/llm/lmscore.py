@@ -52,6 +52,7 @@ SHAPES = {
     "E": (SIZE + 1, DIM), "D": (len(_OFFSETS), DIM), "b": (DIM,),
     "C": (CLASSES, DIM), "c": (CLASSES,), "W": (SIZE, DIM), "w": (SIZE,),
 }
+PARAMETERS = sum(int(np.prod(s)) for s in SHAPES.values())
 
 
 # ------------------------------------------------------------------ vocabulary
@@ -163,73 +164,88 @@ def log_probabilities(p: dict[str, np.ndarray], seq: np.ndarray, at: np.ndarray,
     out = np.empty(len(at), dtype=np.float32)
     for a in range(0, len(at), rows):
         here = at[a : a + rows]
-        h = np.tanh(sum(s[seq[here + o]] for s, o in zip(shifted, _OFFSETS, strict=True)) + p["b"])
+        h = np.tanh(sum(s.take(seq[here + o], axis=0) for s, o in zip(shifted, _OFFSETS, strict=True)) + p["b"])
         out[a : a + rows] = _log_p(p, h, seq[here])[0]
     return out
 
 
-def _log_p(p, h, target):
-    """log p of targets, the softmaxes over classes and (by class) over their words."""
-    cls = target // CLASS
-    logit = h @ p["C"].T + p["c"]
-    picked = logit[np.arange(len(h)), cls]
-    e = np.exp(logit)
-    total = e.sum(axis=1)
-    out = picked - np.log(total)
+def _log_p(p, h, target, learn: bool = False):
+    """log p of targets, the softmaxes over classes and (places sorted by class) over their words.
+
+    A class has a product of its own; the rest is done for all places at once.
+    """
+    cls, every = target // CLASS, np.arange(len(h))
+    soft = h @ p["C"].T
+    soft += p["c"]
+    out = soft[every, cls]
+    np.exp(soft, out=soft)
+    total = soft.sum(axis=1)
+    out -= np.log(total)
     order = np.argsort(cls.astype(np.uint8), kind="stable")
-    edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    words = []
-    for k in np.flatnonzero(np.diff(edge)).tolist():
-        rows = order[edge[k] : edge[k + 1]]
-        own = slice(k * CLASS, (k + 1) * CLASS)
-        logit = h[rows] @ p["W"][own].T + p["w"][own]
-        inner = target[rows] - k * CLASS
-        ew = np.exp(logit)
-        tw = ew.sum(axis=1)
-        out[rows] += logit[np.arange(len(rows)), inner] - np.log(tw)
-        words.append((k, rows, inner, ew / tw[:, None]))
-    return out, e / total[:, None], words, cls
-
-
-def _scatter(index: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
-    """Sum of ``values`` (one row each) by ``index``."""
-    order = np.argsort(index, kind="stable")
-    index, values = index[order], values[order]
+    by_class = cls[order]
+    edge = np.searchsorted(by_class, np.arange(CLASSES + 1)).tolist()
+    runs = [(slice(k * CLASS, (k + 1) * CLASS), slice(edge[k], edge[k + 1])) for k in range(CLASSES) if edge[k] < edge[k + 1]]
+    sides, inner = h.take(order, axis=0), target[order] - by_class * CLASS
+    words = np.empty((len(h), CLASS), dtype=h.dtype)
+    for own, rows in runs:
+        part = words[rows]
+        np.matmul(sides[rows], p["W"][own].T, out=part)
+        part += p["w"][own]
+    picked = words[every, inner]
+    np.exp(words, out=words)
+    within = words.sum(axis=1)
+    out[order] += picked - np.log(within)
+    if learn:
+        soft /= total[:, None]
+        words /= within[:, None]
+    return out, soft, words, (cls, order, runs, sides, inner)
+
+
+def _scatter(index: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
+    """Sums of ``values`` (one row each) by ``index`` into ``out``, which holds zeros."""
+    order = np.argsort(index.astype(np.uint16), kind="stable")
+    index, values = index[order], values.take(order, axis=0)
     first = np.flatnonzero(np.concatenate(([True], index[1:] != index[:-1])))
-    out = np.zeros((rows, values.shape[1]), dtype=np.float32)
     out[index[first]] = np.add.reduceat(values, first, axis=0)
-    return out
 
 
 def gradient(p: dict[str, np.ndarray], seq: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Gradient of the mean log p of the words at ``at``, flat."""
     context = [seq[at + o] for o in _OFFSETS]
-    x = [p["E"][c] for c in context]
+    x = [p["E"].take(c, axis=0) for c in context]
     h = np.tanh(sum(v * d for v, d in zip(x, p["D"], strict=True)) + p["b"])
-    _, soft, words, cls = _log_p(p, h, seq[at])
-    g = {k: np.zeros(s, dtype=np.float32) for k, s in SHAPES.items() if k not in "E"}
-    soft = -soft
-    soft[np.arange(len(at)), cls] += 1
-    g["C"], g["c"] = soft.T @ h, soft.sum(axis=0)
+    _, soft, words, (cls, order, runs, sides, inner) = _log_p(p, h, seq[at], learn=True)
+    flat, every = np.zeros(PARAMETERS, dtype=np.float32), np.arange(len(at))
+    g = unflatten(flat)
+    np.negative(soft, out=soft)
+    soft[every, cls] += 1
+    g["C"][:], g["c"][:] = soft.T @ h, soft.sum(axis=0)
     dh = soft @ p["C"]
-    for k, rows, inner, s in words:
-        own = slice(k * CLASS, (k + 1) * CLASS)
-        s = -s
-        s[np.arange(len(rows)), inner] += 1
-        g["W"][own], g["w"][own] = s.T @ h[rows], s.sum(axis=0)
-        dh[rows] += s @ p["W"][own]
+    np.negative(words, out=words)
+    words[every, inner] += 1
+    back = np.empty_like(sides)
+    for own, rows in runs:
+        s = words[rows]
+        np.matmul(s.T, sides[rows], out=g["W"][own])
+        np.add.reduce(s, axis=0, out=g["w"][own])
+        np.matmul(s, p["W"][own], out=back[rows])
+    place = np.empty_like(order)
+    place[order] = every
+    dh += back.take(place, axis=0)
     dh *= 1 - h * h
-    g["b"] = dh.sum(axis=0)
+    g["b"][:] = dh.sum(axis=0)
     for k, v in enumerate(x):
         g["D"][k] = (dh * v).sum(axis=0)
-    g["E"] = _scatter(np.concatenate(context), np.concatenate([dh * d for d in p["D"]]), SIZE + 1)
-    return np.concatenate([g[k].ravel() for k in SHAPES]) / len(at)
+    _scatter(np.concatenate(context), np.concatenate([dh * d for d in p["D"]]), g["E"])
+    flat /= len(at)
+    return flat
 
 
 def _train(vocab: Vocabulary, flat: np.ndarray):
     def run(batches):
         theta = flat.copy()
         p, power, seen = unflatten(theta), np.full(len(theta), 1e-6, dtype=np.float32), 0
+        root = np.empty_like(power)
 
         for batch in batches:
             for _, _, data, off in text_slices(batch, "text"):
@@ -238,8 +254,9 @@ def _train(vocab: Vocabulary, flat: np.ndarray):
                 for part in np.array_split(at, max(1, -(-len(at) // BATCH))):
                     if len(part):
                         g = gradient(p, seq, part)
-                        power += g * g
-                        theta += RATE * g / np.sqrt(power)
+                        power += np.multiply(g, g, out=root)
+                        g *= RATE
+                        theta += np.divide(g, np.sqrt(power, out=root), out=root)
                 seen += len(at)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([theta.tobytes()], pa.binary())], names=["weight", "theta"])
