@@ -39,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -286,37 +287,44 @@ class Codec:
         self.below: dict[int, int] = {}
         self.ids_of, self.taken = [b""], np.zeros(1 << 12, dtype=np.int16)
         self.parent, self.skip = np.full(1 << 12, -1, dtype=np.int32), np.zeros(1 << 12, dtype=np.int16)
+        self.depth = np.zeros(1 << 12, dtype=np.int16)
+
+    def _skips(self, nodes: np.ndarray) -> np.ndarray:
+        """The skips of each node, one row each, closed by -1."""
+        depth = self.depth[nodes]
+        out = np.full((len(nodes), int(depth.max()) + 1), -1, dtype=np.int16)
+        rows = np.flatnonzero(depth)
+        while len(rows):
+            depth[rows] -= 1
+            out[rows, depth[rows]] = self.skip[nodes[rows]]
+            nodes[rows] = self.parent[nodes[rows]]
+            rows = rows[depth[rows] > 0]
+        return out
 
-    def _skips(self, node: int) -> list[int]:
-        out: list[int] = []
-        while self.parent[node] >= 0:
-            out.append(int(self.skip[node]))
-            node = int(self.parent[node])
-        return out[::-1]
-
-    def _learn(self, chunks: list[str], parents: list[int], skip: list[int]) -> list[int]:
+    def _learn(self, chunks: list[str], parents: np.ndarray, skip: np.ndarray) -> np.ndarray:
         """Nodes of chunks, each with the skips of its parent (-1: none) and one more."""
         first, n = len(self.ids_of), len(chunks)
         if first + n > len(self.taken):
             more = max(first + n - len(self.taken), len(self.taken))
-            self.taken, self.parent, self.skip = (np.concatenate((x, np.full(more, fill, x.dtype))) for x, fill in ((self.taken, 0), (self.parent, -1), (self.skip, 0)))
-        self.ids_of += [b""] * n
-        self.parent[first : first + n], self.skip[first : first + n] = parents, skip
-        order = sorted(range(n), key=lambda k: len(chunks[k]))
-        at = 0
+            self.taken, self.parent, self.skip, self.depth = (
+                np.concatenate((x, np.full(more, fill, x.dtype))) for x, fill in ((self.taken, 0), (self.parent, -1), (self.skip, 0), (self.depth, 0))
+            )
+        # chunks of like length together, about 60,000 characters at a time
+        size = np.fromiter(map(len, chunks), np.int64, n)
+        order = np.argsort(size, kind="stable")
+        own = slice(first, first + n)
+        self.parent[own], self.skip[own] = parents[order], skip[order]
+        self.depth[own] = np.where(parents[order] < 0, 0, self.depth[parents[order]] + 1)
+        chunks, size, at = [chunks[k] for k in order.tolist()], size[order], 0
         while at < n:
-            # chunks of like length together, about 60,000 characters at a time
-            part = order[at : at + max(1, 60_000 // (len(chunks[order[at]]) + 4))]
-            at += len(part)
-            paths = [self._skips(first + k) for k in part]
-            skips = np.full((len(part), max(map(len, paths)) + 1), -1, dtype=np.int16)
-            for row, path in zip(skips, paths, strict=True):
-                row[: len(path)] = path
-            ids, taken = self._merge([chunks[k] for k in part], skips)
-            for k, x in zip(part, ids, strict=True):
-                self.ids_of[first + k] = x
-            self.taken[first + np.array(part)] = taken
-        return list(range(first, first + n))
+            end = min(n, at + max(1, 60_000 // (int(size[at]) + 4)))
+            ids, taken = self._merge(chunks[at:end], self._skips(np.arange(first + at, first + end)))
+            self.ids_of += ids
+            self.taken[first + at : first + end] = taken
+            at = end
+        out = np.empty(n, dtype=np.int64)
+        out[order] = np.arange(first, first + n)
+        return out
 
     def _occurrences(self, chunks: list[str], base: np.ndarray) -> list[bytes]:
         """Ids of each occurrence of short chunks under its draws."""
@@ -324,25 +332,27 @@ class Codec:
             self._forget()
         found = list(map(self.plain.get, chunks))
         if None in found:
-            missing = list({c: None for c, x in zip(chunks, found, strict=True) if x is None})
-            self.plain.update(zip(missing, self._learn(missing, [-1] * len(missing), [0] * len(missing)), strict=True))
+            missing = list({c for c, x in zip(chunks, found, strict=True) if x is None})
+            none = np.full(len(missing), -1)
+            self.plain.update(zip(missing, self._learn(missing, none, none).tolist(), strict=True))
             found = list(map(self.plain.__getitem__, chunks))
         node = np.array(found, dtype=np.int64)
         due, nth = self._gap(base, 0), 0
         live = np.flatnonzero(due < self.taken[node])
         due = due[live]
         while len(live):
-            keys = (node[live] * 256 + due).tolist()
-            found = list(map(self.below.get, keys))
-            if None in found:
-                missing = {key: k for k, (key, x) in enumerate(zip(keys, found, strict=True)) if x is None}
-                own = [chunks[live[k]] for k in missing.values()]
-                self.below.update(zip(missing, self._learn(own, [key >> 8 for key in missing], [key & 255 for key in missing]), strict=True))
-                found = list(map(self.below.__getitem__, keys))
-            node[live] = found
+            keys = node[live] * 256 + due
+            below = np.fromiter(map(self.below.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
+            new = np.flatnonzero(below < 0)
+            if len(new):
+                missing, at, of = np.unique(keys[new], return_index=True, return_inverse=True)
+                nodes = self._learn([chunks[k] for k in live[new[at]].tolist()], missing >> 8, missing & 255)
+                self.below.update(zip(missing.tolist(), nodes.tolist(), strict=True))
+                below[new] = nodes[of]
+            node[live] = below
             nth += 1
             due = due + 1 + self._gap(base[live], nth)
-            go = due < self.taken[node[live]]
+            go = due < self.taken[below]
             live, due = live[go], due[go]
         return list(map(self.ids_of.__getitem__, node.tolist()))
 

@@ -6,9 +6,10 @@ import cProfile
 import pstats
 
 import numpy as np
+import public_tokenizers
 import pytest
 
-from eventide.llm import lmscore
+from eventide.llm import dropout, lmscore
 
 
 def calls(run) -> int:
@@ -34,3 +35,24 @@ def test_lm_gradient_makes_few_calls_a_class():
         s[np.arange(len(rows)), seq[at][rows] % lmscore.CLASS] += 1
         want[own] = s.T @ h[rows] / len(at)
     assert lmscore.unflatten(lmscore.gradient(p, seq, at))["W"] == pytest.approx(want, abs=1e-7)
+
+
+def test_dropout_learns_segmentations_in_bulk():
+    c = dropout.Codec(public_tokenizers.path("piece_bpe_32k.model"), 0.3, 5)
+    rng = np.random.default_rng(4)
+    letters = np.array(list("etaoinshrdlu"))
+    words = ["".join(rng.choice(letters, n)) for n in rng.integers(3, 12, 4000)]
+    text, got = " ".join(words), []
+    made = calls(lambda: got.extend(c.encode([text], [77])))
+    learnt = len(c.ids_of)
+    assert learnt > 8000 and made < 4 * learnt
+    # each node has its parent's skips and its own, and any order of learning gives the same ids
+    nodes = np.array([learnt - 1, 1])
+    path = c._skips(nodes.copy())[0]
+    assert path[c.depth[learnt - 1] - 1] == c.skip[learnt - 1] and path[c.depth[learnt - 1]] == -1
+    other = dropout.Codec(public_tokenizers.path("piece_bpe_32k.model"), 0.3, 5)
+    for k in range(3600, -1, -400):
+        other.encode([" ".join(words[k : k + 400])], [1])
+    assert other.encode([text], [77]) == got
+    chunks = c.chunks(text)
+    assert b"".join(c.segment_one(x, 77, k) for k, x in enumerate(chunks)) == got[0]
