@@ -23,8 +23,10 @@ from itertools import chain
 import numpy as np
 
 MEMO_PARTS = 600_000
+#: characters of parts that go first when these are too many
+LONG = 10
 #: parts that the library gets as one text
-JOINED = 2048
+JOINED = 8192
 SPACE = "\u0120"
 #: after a letter, each of these begins a pre-token of a byte-level vocabulary
 MARKS = frozenset(",.;:!?")
@@ -52,6 +54,8 @@ class PartEncoder:
             self.begins[[i for t, i in self.library.get_vocab(with_added_tokens=True).items() if t.startswith(SPACE)]] = True
         self.memo: dict[str, object] = {}
         self.odd: object = -(1 << 60) if count_only else 0
+        #: whether any part was odd so far
+        self.odds = False
         #: what a mark gives when no space is before it
         self.tails = dict(zip(MARKS, self.direct(list(MARKS)), strict=True)) if plain else {}
 
@@ -78,6 +82,7 @@ class PartEncoder:
         """What the library gives for new parts after a space; the worker keeps up to MEMO_PARTS of them."""
         # a part with white space at an end: the space before it, or the next one, may not be a cut
         new = {p: self.odd for p in parts if not p or p.strip() is not p}
+        self.odds = self.odds or bool(new)
         plain = [p for p in parts if p not in new] if new else parts
         marked = {p: p[:-1] for p in plain if p[-1] in MARKS and len(p) > 1 and p[-2].isalpha()} if self.tails else {}
         if marked:
@@ -90,7 +95,10 @@ class PartEncoder:
         for p, w in marked.items():
             new[p] = (new[w] if w in new else self.memo[w]) + self.tails[p[-1]]
         if len(self.memo) + len(new) > MEMO_PARTS:
-            self.memo.clear()
+            # long parts recur least
+            self.memo = {p: x for p, x in self.memo.items() if len(p) < LONG}
+            if len(self.memo) + len(new) > MEMO_PARTS:
+                self.memo.clear()
         self.memo.update(new)
         return new
 
@@ -102,29 +110,29 @@ class PartEncoder:
 
     def encode(self, texts: list[str]) -> list:
         """What the library gives for each text."""
-        parts = [t.split(" ") for t in texts]
-        get, missing = self.memo.get, set()
-        found = []
-        for own in parts:
-            found.append(got := list(map(get, own[1:])))
-            if None in got:
-                missing.update(p for p, x in zip(own[1:], got, strict=True) if x is None)
+        heads, flat, ends = [], [], [0]
+        for t in texts:
+            own = t.split(" ")
+            heads.append(own[0])
+            flat += own[1:]
+            ends.append(len(flat))
+        got = list(map(self.memo.get, flat))
+        missing = [k for k, x in enumerate(got) if x is None]
         if missing:
-            new = self.learn(list(missing))
-            for k, got in enumerate(found):
-                if None in got:
-                    found[k] = [new[p] if x is None else x for p, x in zip(parts[k][1:], got, strict=True)]
-        heads = self.direct([own[0] for own in parts])
+            names = [flat[k] for k in missing]
+            new = self.learn(list(set(names)))
+            for k, p in zip(missing, names, strict=True):
+                got[k] = new[p]
+        coded = self.direct(heads)
         out = []
-        for text, own, got, head in zip(texts, parts, found, heads, strict=True):
-            if len(own) == 1:
-                out.append(head)
-                continue
+        for text, head, ids, a, b in zip(texts, heads, coded, ends, ends[1:], strict=False):
+            if a == b:
+                out.append(ids)
             # an empty head, or one that ends in white space, is no place to cut either
-            if not own[0] or own[0][-1].isspace() or self.odd in got:
+            elif not head or head[-1].isspace() or (self.odds and self.odd in got[a:b]):
                 out.append(self.whole(text))
             else:
-                out.append(head + sum(got) if self.count_only else head + b"".join(got))
+                out.append(ids + (sum(got[a:b]) if self.count_only else b"".join(got[a:b])))
         return out
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from eventide.llm import dropout, lmscore
+from eventide.llm import dropout, lmscore, tokens
 
 
 def calls(run) -> int:
@@ -56,3 +56,18 @@ def test_dropout_learns_segmentations_in_bulk():
     assert other.encode([text], [77]) == got
     chunks = c.chunks(text)
     assert b"".join(c.segment_one(x, 77, k) for k, x in enumerate(chunks)) == got[0]
+
+
+def test_part_encoder_keeps_short_parts_when_full(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PARTS", 100)
+    e = tokens.PartEncoder(public_tokenizers.path("byte_bpe_50k.json"), False)
+    often = "so the cat sat on the mat, and that was that"
+    texts = [often, *(" ".join(["head", *(f"longlonglong{n}x{k}" for n in range(40)), "the", " ", "end\n", "a.\nB", ""]) for k in range(6)), "", " the", "the ", "a  b", "one"]
+    plain = [np.array(x.ids, "<u4").tobytes() for x in e.library.encode_batch(texts, add_special_tokens=False)]
+    assert [e.encode([t])[0] for t in texts] == plain and e.encode(texts) == plain
+    e.memo.clear()
+    for t in texts[:3]:
+        e.encode([t])
+    # these 40 and 40 long parts do not fit with what was there; the short ones stay
+    e.encode([texts[3]])
+    assert {"the", "cat", "mat,"} <= set(e.memo) and len(e.memo) <= 100
