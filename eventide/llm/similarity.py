@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, _powers, byte_values, grams, materialize, mix, released, text_columns, text_slices
+from .common import NON_SPACE, Words, _powers, byte_values, fresh_name, grams, materialize, mix, released, text_columns, text_slices
 
 SHINGLE = 5
 #: a link needs 100 * intersection >= 75 * union
@@ -49,6 +49,8 @@ ROUNDS = 2
 #: classes that one task compares to a copy of their leader, or to a block of others
 STAR_ROWS = 256
 BLOCK_ROWS = 1024
+#: ids to each map of 2^15 bits
+IDS_PER_MAP = 2048
 _VALUES = byte_values(2)
 _MASK = np.uint64((1 << 57) - 1)
 _FULL = np.uint64((1 << 64) - 1)
@@ -192,10 +194,28 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(released(_compare), "a bigint, b bigint")
 
 
+def parted(rows: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``column`` may be among ``ids`` (one column, each once), and the others, which surely are not.
+
+    Each id sets one bit of a map for its hash; the maps (two bytes an id) go
+    to all tasks, so rows are told apart where they are read, and only those
+    that may be among the ids need a shuffle.
+    """
+    maps = max(1, -(-ids.count() // IDS_PER_MAP))
+    number, bits, may = (fresh_name(rows, x) for x in ("_map", "_bits", "_may"))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(maps))
+    bit = lambda c: F.shiftrightunsigned(F.xxhash64(c), 49)
+    table = ids.groupBy(place(ids.columns[0]).alias(number)).agg(F.bitmap_construct_agg(bit(ids.columns[0])).alias(bits))
+    both = rows.join(F.broadcast(table), place(rows[column]) == F.col(number), "left")
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.shiftright(bit(column), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    both = both.withColumn(may, F.coalesce(F.getbit(byte, F.pmod(bit(column), F.lit(8)).cast("int")) == 1, F.lit(False))).drop(number, bits)
+    return both.where(F.col(may)).drop(may), both.where(~F.col(may)).drop(may)
+
+
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, text) of the classes in ``nodes``; the one step that moves the documents' texts."""
-    need = nodes.select("node").distinct()
-    own = text_columns(docs)
+    need = materialize(nodes.select("node").distinct(), "need")
+    own, _ = parted(text_columns(docs), "doc_id", need)
     return own.join(need, own["doc_id"] == need["node"]).select("node", "text")
 
 
@@ -389,8 +409,9 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Of rows that repeat that doc_id one stays; rows without a doc_id all stay.
     """
     rows = materialize(groups(docs).select(F.col("doc_id").alias("_id"), "kept"), "groups")
-    gone = rows.where(~F.col("kept")).select("_id").distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    gone = materialize(rows.where(~F.col("kept")).select("_id").distinct(), "gone")
+    may, left = parted(docs, "doc_id", gone)
+    left = left.unionByName(may.join(gone, may["doc_id"] == gone["_id"], "left_anti"))
     again = rows.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("_id")
     if again.isEmpty():
         return left

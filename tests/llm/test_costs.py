@@ -9,7 +9,9 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from eventide.llm import dropout, lmscore, tokens
+from eventide.llm import dropout, lmscore, similarity, tokens
+
+from .conftest import ROWS, make
 
 
 def calls(run) -> int:
@@ -71,3 +73,30 @@ def test_part_encoder_keeps_short_parts_when_full(monkeypatch):
     # these 40 and 40 long parts do not fit with what was there; the short ones stay
     e.encode([texts[3]])
     assert {"the", "cat", "mat,"} <= set(e.memo) and len(e.memo) <= 100
+
+
+def test_near_dedup_shuffles_only_rows_that_may_match(spark):
+    docs = make(spark, [(None, "x"), (None, None), *((k // 2 * 7919 - 40_000, f"text {k}") for k in range(6000))])
+    ids = spark.createDataFrame([(k * 7919 - 40_000,) for k in range(0, 3000, 300)] + [(5,)], "id bigint")
+    may, others = similarity.parted(docs, "doc_id", ids)
+    found, rest = ([(r.doc_id, r.text) for r in x.collect()] for x in (may, others))
+    assert sorted(found + rest, key=str) == sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    wanted = {r.id for r in ids.collect()}
+    assert wanted - {5} <= {i for i, _ in found} and not wanted & {i for i, _ in rest} and len(found) < 100
+    assert may.columns == others.columns == docs.columns
+    none, every = similarity.parted(docs, "doc_id", ids.limit(0))
+    assert none.isEmpty() and every.count() == 6002
+
+
+def test_near_dedup_leaves_other_rows_where_they_are(spark, capsys):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = similarity.drop_near_duplicates(make(spark, [r for r in ROWS if r[0] != 3]))
+        left.explain()
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    kept = plan[plan.index("Union") :].split("SortMergeJoin")[0]
+    assert "BroadcastHashJoin" in kept and "Exchange hashpartitioning(doc_id" not in kept
+    assert "LeftAnti" in plan
