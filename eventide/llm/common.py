@@ -7,6 +7,8 @@ memory is bounded by ``SLICE_BYTES`` (or by one single longer text).
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -22,6 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from eventide.session import scratch_path
 
 SLICE_BYTES = 1 << 20
+#: bytes of an Arrow batch in the pipeline (Spark counts rows, and 10,000 documents can be 64 MB in the JVM and again in Python)
+BATCH_BYTES = 4 << 20
+#: what operators keep in a worker from task to task, by operator
+_KEPT: dict[str, dict] = {}
 
 
 # --------------------------------------------------------------- scratch tables
@@ -58,16 +64,45 @@ def ship(spark: SparkSession) -> None:
     sc._eventide_shipped = True
 
 
-def released(run):
-    """``run`` (batches to batches), which at its end gives the memory that Arrow keeps back to the system.
+def small_batches(spark: SparkSession) -> None:
+    """From now on Spark's Arrow batches end at BATCH_BYTES, however long the rows are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def kept(operator: str) -> dict:
+    """The dictionary in which an operator keeps things in a worker from task to task."""
+    return _KEPT.setdefault(operator, {})
+
+
+def release() -> None:
+    """Give the memory that Arrow and the C library hold free back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def make_room(operator: str = "") -> None:
+    """A task of ``operator`` begins: what other operators kept in this worker goes."""
+    others = [x for name, x in _KEPT.items() if name != operator and x]
+    for x in others:
+        x.clear()
+    if others:
+        gc.collect()
+        release()
+
+
+def released(run, operator: str = ""):
+    """``run`` (batches to batches) that begins with what ``operator`` kept alone and at its end gives free memory back.
 
     Workers live on from stage to stage, and what theirs keep is missing to the
     JVM while it joins and sorts.
     """
 
     def tidy(batches):
+        make_room(operator)
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        release()
 
     return tidy
 

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, released, text_columns
+from .common import kept, mix, released, text_columns
 from .tokens import text_groups
 
 DROPOUT, SEED = 0.1, 17
@@ -61,7 +61,7 @@ _NONE = np.int32(1 << 30)
 _NEVER = 1 << 40
 _ODD = 0x9E3779B97F4A7C15
 _PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
-_OPEN: dict[tuple, Codec] = {}
+_OPEN: dict[tuple, Codec] = kept("dropout")
 
 
 def _table(left: np.ndarray, right: np.ndarray, rank: np.ndarray, merged: np.ndarray):
@@ -526,4 +526,4 @@ def _encoded(path: str, dropout: float, seed: int):
 
 def encoded_report(docs: DataFrame, model_path: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """Per document the ids and the digest of the text they decode to: doc_id, n_tokens, ids, decoded_sha256."""
-    return text_columns(docs).mapInArrow(released(_encoded(model_path, dropout, seed)), "doc_id bigint, n_tokens bigint, ids array<int>, decoded_sha256 string")
+    return text_columns(docs).mapInArrow(released(_encoded(model_path, dropout, seed), "dropout"), "doc_id bigint, n_tokens bigint, ids array<int>, decoded_sha256 string")

@@ -22,6 +22,8 @@ from itertools import chain
 
 import numpy as np
 
+from .common import kept
+
 MEMO_PARTS = 600_000
 #: characters of parts that go first when these are too many
 LONG = 10
@@ -31,7 +33,7 @@ SPACE = "\u0120"
 #: after a letter, each of these begins a pre-token of a byte-level vocabulary
 MARKS = frozenset(",.;:!?")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-_OPEN: dict[tuple, PartEncoder] = {}
+_OPEN: dict[tuple, PartEncoder] = kept("tokens")
 
 
 class PartEncoder:

@@ -36,12 +36,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_columns
+from .common import kept, make_room, materialize, release, text_columns
 
 THRESHOLD = 0.7
 SAMPLE_DOCS, SAMPLE_CHARS = 3000, 12_000_000
@@ -56,7 +55,7 @@ EXCESS = 4.0
 #: each third document of the sample, by hash, calibrates
 _CALIBRATE = 3
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_OPEN: dict[bytes, tuple] = {}
+_OPEN: dict[bytes, tuple] = kept("toxicity")
 
 
 @dataclass(frozen=True)
@@ -227,8 +226,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, samp
 def score_column(model: Model | None, text: Column) -> Column:
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
+        make_room("toxicity")
         out = pd.Series([score(model, t) for t in texts], dtype="float64")
-        pa.default_memory_pool().release_unused()  # what batches before this one held; the worker lives on
+        release()  # what batches before this one held; the worker lives on
         return out
 
     return scored(text)

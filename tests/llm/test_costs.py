@@ -7,9 +7,10 @@ import pstats
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from eventide.llm import dropout, lmscore, similarity, tokens
+from eventide.llm import common, dropout, lmscore, similarity, tokens
 
 from .conftest import ROWS, make
 
@@ -100,3 +101,30 @@ def test_near_dedup_leaves_other_rows_where_they_are(spark, capsys):
     kept = plan[plan.index("Union") :].split("SortMergeJoin")[0]
     assert "BroadcastHashJoin" in kept and "Exchange hashpartitioning(doc_id" not in kept
     assert "LeftAnti" in plan
+
+
+def test_workers_keep_only_what_their_operator_needs():
+    for name in ("one", "two"):
+        common.kept(name)["memo"] = {k: str(k) for k in range(1000)}
+    seen = []
+    run = common.released(lambda batches: (seen.append((len(common.kept("one")), len(common.kept("two")))) or b for b in batches), "two")
+    assert list(run([1, 2])) == [1, 2] and seen == [(0, 1)] * 2
+    assert list(common.released(iter)([])) == [] and not common.kept("two")
+    assert dropout._OPEN is common.kept("dropout") and tokens._OPEN is common.kept("tokens")
+
+
+def test_small_batches_bound_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    rows = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "repeat('x', 10000) AS text")
+    try:
+        common.small_batches(spark)
+        got = [r.n for r in rows.mapInArrow(sizes, "n bigint").collect()]
+    finally:
+        spark.conf.set(key, old)
+    assert len(got) >= 4 and max(got) < 2 * common.BATCH_BYTES and sum(got) >= 20_000_000
