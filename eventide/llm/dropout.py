@@ -39,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from itertools import repeat
 
 import numpy as np
@@ -64,10 +65,10 @@ _PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
 _OPEN: dict[tuple, Codec] = kept("dropout")
 
 
-def _table(left: np.ndarray, right: np.ndarray, rank: np.ndarray, merged: np.ndarray):
-    """Pairs of ids as an open-addressed table: keys, ranks and merged ids."""
+def _table(left: np.ndarray, right: np.ndarray, rank: np.ndarray):
+    """Pairs of ids as an open-addressed table: keys, ranks and the longest search."""
     size = 1 << int(4 * len(left) + 1).bit_length()
-    keys, ranks, out = np.full(size, -1, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int32)
+    keys, ranks = np.full(size, -1, np.int64), np.full(size, _NONE, np.int32)
     code = (left.astype(np.int64) << 32) | right
     todo, step = np.arange(len(code)), 0
     slot = (mix(code.view(np.uint64)) & np.uint64(size - 1)).astype(np.int64)
@@ -77,9 +78,23 @@ def _table(left: np.ndarray, right: np.ndarray, rank: np.ndarray, merged: np.nda
         first = np.zeros(len(todo), dtype=bool)
         first[np.unique(at, return_index=True)[1]] = True
         take = free & first
-        keys[at[take]], ranks[at[take]], out[at[take]] = code[todo[take]], rank[todo[take]], merged[todo[take]]
+        keys[at[take]], ranks[at[take]] = code[todo[take]], rank[todo[take]]
         todo, step = todo[~take], step + 1
-    return keys, ranks, out, step
+    return keys, ranks, step
+
+
+def _distinct(parts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The distinct parts as they first come up, and the number of each part among them."""
+    code = pa.array(parts, pa.string()).dictionary_encode().indices.to_numpy()
+    # numbers are given in order, so a part is new where its number is the largest so far
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(code), prepend=-1))
+    return list(map(parts.__getitem__, first.tolist())), code
+
+
+def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Runs of 16-bit ids that end at ``ends``, as bytes."""
+    raw, at = ids.tobytes(), [0, *(2 * ends).tolist()]
+    return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 class Codec:
@@ -126,7 +141,9 @@ class Codec:
                 if a is not None and b is not None:
                     left.append(a), right.append(b), rank.append(order[i]), merged.append(i)
         self.pairs = {(a, b): (r, m) for a, b, r, m in zip(left, right, rank, merged, strict=True)}
-        self.table = _table(*(np.array(x, dtype=np.int64) for x in (left, right, rank, merged)))
+        self.table = _table(*(np.array(x, dtype=np.int64) for x in (left, right, rank)))
+        #: the piece of each rank
+        self.piece = np.array(sorted(order, key=order.__getitem__), dtype=np.int32)
         self.n = n
         # a character's id; one without a piece is n + its code point
         self.of = np.arange(n, n + 0x110000, dtype=np.int32)
@@ -136,6 +153,7 @@ class Codec:
         # log of a draw times this is the number of pairs until the next skip
         self.scale = None if dropout <= 0 else 0.0 if dropout >= 1 else 1 / np.log1p(-dropout)
         self.key = np.uint64(xxhash.xxh64_intdigest(str(seed).encode()))
+        _distinct([])  # Arrow loads pandas with its first array
         self._forget()
 
     # ---------------------------------------------------------------- segmentation
@@ -204,88 +222,90 @@ class Codec:
             offer(i)
         return self._out([s for s, k in zip(sym, size, strict=True) if k])
 
-    def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank (or none) and merged id of pairs."""
-        keys, ranks, out, steps = self.table
+    def _look(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks (or none) of pairs."""
+        keys, ranks, steps = self.table
         code = (left.astype(np.int64) << 32) | right
         slot = (mix(code.view(np.uint64)) & np.uint64(len(keys) - 1)).astype(np.int64)
-        rank, merged = np.full(len(code), _NONE, np.int32), np.zeros(len(code), np.int32)
-        left_over = np.arange(len(code))
-        for step in range(steps):
+        found = keys[slot]
+        rank = np.where(found == code, ranks[slot], _NONE)
+        left_over = np.flatnonzero((found != code) & (found >= 0))
+        for step in range(1, steps):
+            if not len(left_over):
+                break
             at = (slot[left_over] + step) & (len(keys) - 1)
             found = keys[at]
             hit = found == code[left_over]
-            rank[left_over[hit]], merged[left_over[hit]] = ranks[at[hit]], out[at[hit]]
+            rank[left_over[hit]] = ranks[at[hit]]
             left_over = left_over[~hit & (found >= 0)]
-            if not len(left_over):
-                break
-        return rank, merged
+        return rank
 
-    def _merge(self, chunks: list[str], skips: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    def _merge(self, chunks: list[str], skips: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Many short chunks, side by side: in each round each takes one pair from its agenda.
 
         ``skips``: of each chunk, the rounds that skip, ascending, closed by
-        -1.  Returns the ids and the numbers of pairs taken.
+        -1.  Returns the ids, how many each chunk has and the numbers of pairs taken.
         """
         count = len(chunks)
-        sym = self._symbols(chunks)
-        width = sym.shape[1]
-        taken, used = np.zeros(count, dtype=np.int16), np.zeros(count, dtype=np.int16)
-        size = (sym >= 0).astype(np.int16)
-        nxt = np.tile(np.arange(1, width + 1, dtype=np.int16), (count, 1))
-        prev = np.tile(np.arange(-1, width - 1, dtype=np.int16), (count, 1))
-        rank = np.full((count, width), _NONE, dtype=np.int32)
-        merged = np.zeros((count, width), dtype=np.int32)
-        r, c = np.nonzero(sym[:, 1:] >= 0)
-        rank[r, c], merged[r, c] = self._look(sym[r, c], sym[r, c + 1])
+        rows = self._symbols(chunks)
+        width = rows.shape[1]
+        # places count through all rows; each row ends with a -1, which also parts it from the next one
+        sym, end = rows.ravel(), rows.size
+        taken = np.zeros(count, dtype=np.int16)
+        nxt, prev = np.arange(1, end + 1), np.arange(-1, end - 1)
+        rank = np.full(end, _NONE, dtype=np.int32)
+        ranks = rank.reshape(count, width)
+        pair = np.flatnonzero(sym[1:] >= 0)
+        pair = pair[sym[pair] >= 0]
+        rank[pair] = self._look(sym[pair], sym[pair + 1])
+        skips, depth = skips.ravel(), skips.shape[1]
+        turn = np.arange(count) * depth
         live, nth = np.arange(count), 0
         while len(live):
-            i = np.argmin(rank[live], axis=1)
-            go = rank[live, i] < _NONE
-            taken[live[~go]] = nth
-            live, i = live[go], i[go]
-            if not len(live):
-                break
-            j = nxt[live, i]
-            total = size[live, i] + size[live, j]
-            skip = skips[live, used[live]] == nth
+            at = live * width + np.argmin(ranks if len(live) == count else ranks[live], axis=1)
+            go = rank[at] < _NONE
+            if not go.all():
+                taken[live[~go]] = nth
+                live, at = live[go], at[go]
+                if not len(live):
+                    break
+            skip = skips[turn[live]] == nth
             nth += 1
-            used[live[skip]] += 1
-            rank[live[skip], i[skip]] = _NONE
-            r, i, j, total = live[~skip], i[~skip], j[~skip], total[~skip]
-            sym[r, i], size[r, i], size[r, j], sym[r, j] = merged[r, i], total, 0, -1
-            rank[r, j] = _NONE
-            k = nxt[r, j]
-            nxt[r, i] = k
-            inside = k < width
-            prev[r[inside], k[inside]] = i[inside]
+            if skip.any():
+                turn[live[skip]] += 1
+                rank[at[skip]] = _NONE
+                at = at[~skip]
+            j = nxt[at]
+            k = nxt[j]
+            whole = self.piece[rank[at]]
+            sym[at], sym[j], rank[j], nxt[at], prev[k] = whole, -1, _NONE, k, at
             # the pairs with the new symbol
-            k = np.minimum(k, width - 1)
-            right = sym[r, k]
-            has = inside & (right >= 0)
-            rank[r, i] = _NONE
-            rank[r[has], i[has]], merged[r[has], i[has]] = self._look(sym[r[has], i[has]], right[has])
-            p = prev[r, i]
-            has = p >= 0
-            r, p, i = r[has], p[has], i[has]
-            rank[r, p], merged[r, p] = self._look(sym[r, p], sym[r, i])
+            p = prev[at]
+            left, right, both = np.concatenate((whole, sym[p])), np.concatenate((sym[k], whole)), np.concatenate((at, p))
+            rank[both] = _NONE
+            has = (left | right) >= 0
+            rank[both[has]] = self._look(left[has], right[has])
         # symbols in order; characters without a piece are rare
-        keep = size > 0
-        flat, ends = sym[keep], np.cumsum(keep.sum(axis=1)).tolist()
-        raw, out, at = flat.astype("<u2").tobytes(), [], 0
-        for e in ends:
-            out.append(raw[2 * at : 2 * e])
-            at = e
-        for r in np.flatnonzero((sym >= self.n).any(axis=1)).tolist():
-            out[r] = self._out(sym[r, keep[r]].tolist())
-        return out, taken
+        keep = sym >= 0
+        flat, held = sym[keep], keep.reshape(count, width).sum(axis=1)
+        ids, odd = flat.astype("<u2"), np.flatnonzero(flat >= self.n)
+        if len(odd):
+            of = np.searchsorted(np.cumsum(held), odd, side="right")
+            written = [np.frombuffer(self._out([s]), dtype="<u2") for s in flat[odd].tolist()]
+            cut = np.split(ids, np.stack((odd, odd + 1), axis=1).ravel())
+            cut[1::2] = written
+            ids = np.concatenate(cut)
+            np.add.at(held, of, [len(x) - 1 for x in written])
+        return ids, held, taken
 
     def _forget(self):
         """Nothing is kept; the empty chunk is node 0."""
         self.plain: dict[str, int] = {"": 0}
         #: node below a node (times 256, plus the number of the skipped pair)
         self.below: dict[int, int] = {}
-        self.ids_of, self.taken = [b""], np.zeros(1 << 12, dtype=np.int16)
+        #: ids of all nodes, one after the other (16-bit bytes), and where each node's end
+        self.ids, self.ids_of = bytearray(), array("q", [0])
+        self.taken = np.zeros(1 << 12, dtype=np.int16)
         self.parent, self.skip = np.full(1 << 12, -1, dtype=np.int32), np.zeros(1 << 12, dtype=np.int16)
         self.depth = np.zeros(1 << 12, dtype=np.int16)
 
@@ -318,25 +338,27 @@ class Codec:
         chunks, size, at = [chunks[k] for k in order.tolist()], size[order], 0
         while at < n:
             end = min(n, at + max(1, 60_000 // (int(size[at]) + 4)))
-            ids, taken = self._merge(chunks[at:end], self._skips(np.arange(first + at, first + end)))
-            self.ids_of += ids
+            ids, held, taken = self._merge(chunks[at:end], self._skips(np.arange(first + at, first + end)))
+            self.ids_of.frombytes((np.cumsum(held) + self.ids_of[-1]).astype(np.int64).tobytes())
+            self.ids += ids.tobytes()
             self.taken[first + at : first + end] = taken
             at = end
         out = np.empty(n, dtype=np.int64)
         out[order] = np.arange(first, first + n)
         return out
 
-    def _occurrences(self, chunks: list[str], base: np.ndarray) -> list[bytes]:
-        """Ids of each occurrence of short chunks under its draws."""
+    def _occurrences(self, chunks: list[str], base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all occurrences of short chunks under their draws, one after the other, and how many each has."""
         if len(self.ids_of) > MEMO_CHUNKS:
             self._forget()
-        found = list(map(self.plain.get, chunks))
-        if None in found:
-            missing = list({c for c, x in zip(chunks, found, strict=True) if x is None})
-            none = np.full(len(missing), -1)
-            self.plain.update(zip(missing, self._learn(missing, none, none).tolist(), strict=True))
-            found = list(map(self.plain.__getitem__, chunks))
-        node = np.array(found, dtype=np.int64)
+        names, code = _distinct(chunks)
+        found = np.fromiter(map(self.plain.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            missing, none = [names[k] for k in new.tolist()], np.full(len(new), -1)
+            found[new] = self._learn(missing, none, none)
+            self.plain.update(zip(missing, found[new].tolist(), strict=True))
+        node = found[code]
         due, nth = self._gap(base, 0), 0
         live = np.flatnonzero(due < self.taken[node])
         due = due[live]
@@ -346,7 +368,7 @@ class Codec:
             new = np.flatnonzero(below < 0)
             if len(new):
                 missing, at, of = np.unique(keys[new], return_index=True, return_inverse=True)
-                nodes = self._learn([chunks[k] for k in live[new[at]].tolist()], missing >> 8, missing & 255)
+                nodes = self._learn([names[k] for k in code[live[new[at]]].tolist()], missing >> 8, missing & 255)
                 self.below.update(zip(missing.tolist(), nodes.tolist(), strict=True))
                 below[new] = nodes[of]
             node[live] = below
@@ -354,12 +376,18 @@ class Codec:
             due = due + 1 + self._gap(base[live], nth)
             go = due < self.taken[below]
             live, due = live[go], due[go]
-        return list(map(self.ids_of.__getitem__, node.tolist()))
+        ends = np.frombuffer(self.ids_of, dtype=np.int64)
+        first = ends[np.maximum(node - 1, 0)]
+        size = ends[node] - first
+        total = np.cumsum(size)
+        at = np.repeat(first - (total - size), size) + np.arange(int(total[-1]) if len(total) else 0)
+        return np.frombuffer(self.ids, dtype="<u2")[at], size
 
     def segment(self, chunks: list[str], key: int, places: np.ndarray | None = None) -> list[bytes]:
         """Short chunks that occur at ``places`` (0) of a text with a key."""
         places = np.zeros(len(chunks), np.uint64) if places is None else places
-        return self._occurrences(chunks, self._base(np.full(len(chunks), key, np.uint64), places))
+        ids, size = self._occurrences(chunks, self._base(np.full(len(chunks), key, np.uint64), places))
+        return _cut(ids, np.cumsum(size))
 
     # -------------------------------------------------------------------- texts
 
@@ -398,21 +426,21 @@ class Codec:
         flat = [c for own in parts for c in own]
         place = np.arange(len(flat), dtype=np.int64) - np.repeat(ends - size, size)
         text = np.repeat(np.array(keys, dtype=np.uint64), size)
-        long = [k for k, c in enumerate(flat) if len(c) > WIDE]
-        apart = [self.segment_one(flat[k], int(text[k]), int(place[k])) for k in long]
+        long = [k for k, n in enumerate(map(len, flat)) if n > WIDE]
+        apart = {k: self.segment_one(flat[k], int(text[k]), int(place[k])) for k in long}
         for k in long:
             flat[k] = ""
-        coded = self._occurrences(flat, self._base(text, place.astype(np.uint64)))
-        for k, x in zip(long, apart, strict=True):
-            coded[k] = x
-        found = [coded[e - n : e] for e, n in zip(ends.tolist(), size.tolist(), strict=True)]
+        ids, held = self._occurrences(flat, self._base(text, place.astype(np.uint64)))
+        stop = np.concatenate(([0], np.cumsum(held)))
+        out = _cut(ids, stop[ends])
+        # texts with long chunks or marks of their own are put together chunk by chunk
         mark = np.array([self.byte_ids[b] for b in MARK.encode()], dtype="<u2").tobytes()
-        out = []
-        for got, plan in zip(found, plans, strict=True):
-            if plan is not None:
-                it = iter(got)
-                got = [mark if c is None else next(it) for c in plan]
-            out.append(b"".join(got))
+        parted = {t for t, plan in enumerate(plans) if plan is not None} | set(np.searchsorted(ends, long, side="right").tolist())
+        for t in parted:
+            a, b = int(ends[t] - size[t]), int(ends[t])
+            got = _cut(ids[stop[a] : stop[b]], stop[a + 1 : b + 1] - stop[a])
+            it = iter([apart.get(k, x) for k, x in enumerate(got, a)])
+            out[t] = b"".join(it if plans[t] is None else [mark if c is None else next(it) for c in plans[t]])
         return out
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:

@@ -103,6 +103,23 @@ def test_near_dedup_leaves_other_rows_where_they_are(spark, capsys):
     assert "LeftAnti" in plan
 
 
+def test_dropout_keeps_numbers_rather_than_objects():
+    c = dropout.Codec(public_tokenizers.path("piece_bpe_32k.model"), 0.1, 5)
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("etaoinshrdlu"), n)) for n in rng.integers(3, 12, 300)]
+    odd = "▁a \U0001f984\U0001f984b ▁" + "y" * 100
+    texts = [" ".join(words * 40), "", odd, " ".join(words[:50]), odd + "\nq"]
+    got = c.encode(texts, [1, 2, 3, 4, 5])
+    # each occurrence is a number in an array, not a call
+    assert calls(lambda: c.encode(texts, [1, 2, 3, 4, 5])) < 6000 and c.encode(texts, [1, 2, 3, 4, 5]) == got
+    assert [c.encode([t], [k])[0] for k, t in enumerate(texts, 1)] == got
+    ids = np.frombuffer(b"".join(got), dtype="<u2").astype(np.int64)
+    assert c.decode(ids, np.cumsum([len(x) // 2 for x in got])) == [t.encode() for t in texts]
+    assert len(c.ids) == 2 * c.ids_of[-1] and c.ids_of.itemsize == 8
+    for k in range(0, 300, 7):
+        assert c.segment([f"▁{words[k]}"], 9, np.array([k], np.uint64)) == [c.segment_one(f"▁{words[k]}", 9, k)]
+
+
 def test_workers_keep_only_what_their_operator_needs():
     for name in ("one", "two"):
         common.kept(name)["memo"] = {k: str(k) for k in range(1000)}
