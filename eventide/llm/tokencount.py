@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, text_columns
-from .tokens import encoder, text_groups
+from .tokens import GROUP, encoder, text_groups
 
 LIMIT = 2048
 CACHE = "version string, digest binary, n_tokens bigint"
@@ -59,7 +59,7 @@ def _count(path: str):
     def run(batches):
         count = encoder(path, True)
         for batch in batches:
-            sizes = [n for run in text_groups(batch.column("content").to_pylist()) for n in count.encode(run)]
+            sizes = [n for run in text_groups(batch.column("content").to_pylist(), GROUP) for n in count.encode(run)]
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(sizes, pa.int64())], names=["digest", "n_tokens"])
 
     return run

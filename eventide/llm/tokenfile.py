@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import text_columns
-from .tokens import encoder, text_groups
+from .tokens import GROUP, encoder, text_groups
 
 END_ID = 2
 SHARD_BYTES = 24 << 20
@@ -38,7 +38,7 @@ def _encode(path: str, end_id: int):
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             done = 0
-            for texts in text_groups(batch.column("text").to_pylist()):
+            for texts in text_groups(batch.column("text").to_pylist(), GROUP):
                 coded = [x + end for x in encode.encode(texts)]
                 size = np.array([len(x) // 4 for x in coded], dtype=np.int64)
                 ids = np.frombuffer(b"".join(coded), dtype="<i4")

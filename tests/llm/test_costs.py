@@ -76,6 +76,42 @@ def test_part_encoder_keeps_short_parts_when_full(monkeypatch):
     assert {"the", "cat", "mat,"} <= set(e.memo) and len(e.memo) <= 100
 
 
+class Counted(dict):
+    """A dictionary that counts what is asked of it."""
+
+    asked = 0
+
+    def get(self, key):
+        self.asked += 1
+        return super().get(key)
+
+
+@pytest.mark.parametrize("count_only", [False, True])
+def test_part_encoder_looks_up_and_learns_each_word_once(monkeypatch, count_only):
+    e = tokens.PartEncoder(public_tokenizers.path("byte_bpe_50k.json"), count_only)
+    e.memo, sent = Counted(), []
+    joined = e.joined
+    monkeypatch.setattr(e, "joined", lambda parts: sent.extend(parts) or joined(parts))
+    words = ["the", "thing", "élan", "日本語", "Straße", "\U00020000", "it's", "x1", "²", "dogs'", "a<|endoftext|>", "<|endoftext|>!!", "e\u0301", "\ufb01"]
+    marks = ["", ",", "!!", ".***", "'", "'!", "|>", "..........", "_"]
+    lines = ["\n", "\n\n", "\r\n", "\n\u00a0", ".\n", "'\n"]
+    rng = np.random.default_rng(8)
+    pick = [w + m for w in words for m in marks]
+    pick += [a + n + b for a, n, b in zip(rng.choice(pick, 60), rng.choice(lines, 60), rng.choice(pick, 60))]
+    texts = [" ".join(rng.choice(pick, 30)) for _ in range(60)]
+    texts += ["", " ", "\n", "the", "the thing\n", "the \nthing the", " the", "the\tthing, the  thing", "one\nthe!!\nthing the\nthe!! the\nthing"]
+    got = [x.ids for x in e.library.encode_batch(texts, add_special_tokens=False)]
+    plain = [len(x) for x in got] if count_only else [np.array(x, "<u4").tobytes() for x in got]
+    assert e.encode(texts) == plain and e.encode(texts) == plain and [e.encode([t])[0] for t in texts] == plain
+    e = tokens.PartEncoder(public_tokenizers.path("byte_bpe_50k.json"), count_only)
+    e.memo, sent[:] = Counted(), []
+    monkeypatch.setattr(e, "joined", lambda parts: sent.extend(parts) or joined(parts))
+    e.encode(["so the thing\nthe thing!! the thing, the élan\nthing's x1 the"] * 50)
+    # 7 different parts after a space, and words that a part holds; words of letters do not go through whole texts
+    assert e.memo.asked < 20 and sent == ["x1"]
+    assert {"the", "thing", "thing!!", "thing,", "élan", "x1"} <= set(e.memo) and not any("\n" in p for p in e.memo)
+
+
 def test_near_dedup_shuffles_only_rows_that_may_match(spark):
     docs = make(spark, [(None, "x"), (None, None), *((k // 2 * 7919 - 40_000, f"text {k}") for k in range(6000))])
     ids = spark.createDataFrame([(k * 7919 - 40_000,) for k in range(0, 3000, 300)] + [(5,)], "id bigint")
